@@ -27,7 +27,7 @@ _FREQUENT = ("amp", "lt", "gt", "quot", "nbsp")
 _HIDDEN = (
     r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)"
 )
-_HEAD = r"(?is)<head\b.*?(?:</head\s*>|(?=<body\b)|\z)"
+_HEAD = r"(?is)<head\b.*?(?:</head\s*>|(?=<body\b)|\z)|<title\b.*?(?:</title\s*>|\z)"
 _BLOCK_TAG = (
     r"(?i)</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figcaption|"
     r"figure|footer|form|h[1-6]|header|hr|html|li|main|nav|ol|option|p|pre|section|table|"
@@ -50,13 +50,10 @@ def _attribute(name: str) -> str:
 
 
 def _attribute_value(tag: Column, name: str) -> Column:
-    """An attribute's text, entities decoded; null when the tag lacks it."""
+    """An attribute as it is written; null when the tag lacks it."""
     pattern = _attribute(name)
     return bind(
-        tag,
-        lambda t: F.when(
-            t.rlike(pattern), decode_entities(F.regexp_replace(t, pattern, "$1$2$3"))
-        ),
+        tag, lambda t: F.when(t.rlike(pattern), F.regexp_replace(t, pattern, "$1$2$3"))
     )
 
 
@@ -113,6 +110,7 @@ def html_title(html: Column | str) -> Column:
 
 
 def html_language(html: Column | str) -> Column:
+    """The language the page names, '' when it names none."""
     tag = F.regexp_extract(as_column(html), _tag("html"), 0)
     return F.coalesce(_attribute_value(tag, "lang"), F.lit(""))
 
@@ -123,12 +121,14 @@ def html_meta(html: Column | str, name: str) -> Column:
     named = F.filter(
         tags, lambda t: F.coalesce(F.lower(_attribute_value(t, "name")) == name, F.lit(False))
     )
-    return F.coalesce(_attribute_value(F.try_element_at(named, F.lit(1)), "content"), F.lit(""))
+    content = _attribute_value(F.try_element_at(named, F.lit(1)), "content")
+    return F.coalesce(decode_entities(content), F.lit(""))
 
 
 def html_links(html: Column | str) -> Column:
     """The href of every ``<a href=...>``, in document order; comments and scripts hide theirs."""
     visible = F.regexp_replace(as_column(html), _HIDDEN, "")
     tags = F.regexp_extract_all(visible, F.lit(_tag("a")), F.lit(0))
-    linked = F.filter(tags, lambda t: t.rlike(_attribute("href")))
-    return F.transform(linked, lambda t: _attribute_value(t, "href"))
+    href = _attribute("href")
+    linked = F.filter(tags, lambda t: t.rlike(href))
+    return F.transform(linked, lambda t: decode_entities(F.regexp_replace(t, href, "$1$2$3")))

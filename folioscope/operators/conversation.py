@@ -130,26 +130,29 @@ def turn_segments(turns: DataFrame, layout: Layout) -> DataFrame:
     return turns.withColumn("segment", segment.otherwise("")).drop("_answered")
 
 
-def concat_before(
-    df: DataFrame, key: Sequence[str], order: str, text: str, out: str, fanout: int = FANOUT
-) -> DataFrame:
-    """Add ``out``: the texts of all earlier rows of the same key, joined in order.
-
-    ``order`` counts from 0.  No window holds more than ``fanout`` rows: longer groups are
-    cut into blocks, the blocks' texts are treated the same way, and every row puts the
-    text before its block in front of the text before it in its block.
-    """
-    last = df.agg(F.max(order)).first()[0]
-    return _concat_before(df, list(key), order, text, out, fanout, last or 0)
-
-
 def _earlier(text: str, key: Sequence[str], order: str) -> Column:
     window = Window.partitionBy(*key).orderBy(order)
     rows = window.rowsBetween(Window.unboundedPreceding, -1)
     return F.array_join(F.collect_list(text).over(rows), "")
 
 
-def _concat_before(df, key, order, text, out, fanout, last):
+def concat_before(
+    df: DataFrame,
+    key: Sequence[str],
+    order: str,
+    text: str,
+    out: str,
+    last: int,
+    fanout: int = FANOUT,
+) -> DataFrame:
+    """Add ``out``: the texts of all earlier rows of the same key, joined in order.
+
+    ``order`` counts from 0 and ends at ``last``.  No window holds more than ``fanout``
+    rows: longer groups are cut into blocks, the blocks' texts are treated the same way,
+    and every row puts the text before its block in front of the text before it in its
+    block.
+    """
+    key = list(key)
     if last < fanout:
         return df.withColumn(out, _earlier(text, key, order))
     block = f"_block_{last}"
@@ -158,7 +161,7 @@ def _concat_before(df, key, order, text, out, fanout, last):
     blocks = cut.groupBy(*key, block).agg(
         F.array_join(F.transform(parts, lambda p: p["_text"]), "").alias("_whole")
     )
-    before = _concat_before(blocks, key, block, "_whole", "_before", fanout, last // fanout)
+    before = concat_before(blocks, key, block, "_whole", "_before", last // fanout, fanout)
     inside = cut.withColumn("_inside", _earlier(text, [*key, block], order))
     joined = inside.join(before.select(*key, block, "_before"), [*key, block])
     whole = F.concat("_before", "_inside")
@@ -167,8 +170,9 @@ def _concat_before(df, key, order, text, out, fanout, last):
 
 def history(turns: DataFrame, layout: Layout = RETRIEVAL, fanout: int = FANOUT) -> DataFrame:
     """Add ``history``: the opening and all earlier turns, with their role prefixes."""
+    last = turns.agg(F.max("turn")).first()[0] or 0
     told = concat_before(
-        turn_segments(turns, layout), ["conv_id"], "turn", "segment", "_told", fanout
+        turn_segments(turns, layout), ["conv_id"], "turn", "segment", "_told", last, fanout
     )
     return told.withColumn("history", F.concat(F.lit(layout.opening), "_told")).drop("_told")
 

@@ -102,12 +102,9 @@ class Best:
         return question, place + 1, ids, self.scores[question, place]
 
 
-def _id_arrays(batch: pa.RecordBatch, n_ids: int, rows: np.ndarray) -> list[np.ndarray]:
-    taken = pa.array(rows)
-    return [
-        batch.column(i).take(taken).cast(pa.int64()).to_numpy(zero_copy_only=False)
-        for i in range(n_ids)
-    ]
+def _id_arrays(batch, n_ids: int, rows: np.ndarray) -> list[np.ndarray]:
+    taken = batch.select(range(n_ids)).take(pa.array(rows))
+    return [np.asarray(column.cast(pa.int64())) for column in taken.columns]
 
 
 class _Shape:
@@ -182,24 +179,24 @@ def _scan_questions(shape: _Shape, block) -> DataFrame:
     return shape.questions.mapInArrow(run, schema)
 
 
-def _load(shape: _Shape, rows: DataFrame, keys: Sequence[str]):
-    """Collect a block of checked size and hand it to all executors."""
-    table = rows.select(*keys, "_vector").toArrow()
-    positions, matrix = unit_rows(table.column(len(keys)), shape.dims)
-    taken = pa.array(positions)
-    columns = [table.column(i).combine_chunks().take(taken) for i in range(len(keys))]
-    return columns, matrix
+def _collect(rows: DataFrame, limit: int) -> pa.Table | None:
+    """A side of at most ``limit`` rows, None when it has more."""
+    table = rows.limit(limit + 1).toArrow()
+    return table if table.num_rows <= limit else None
 
 
-def _question_block(shape: _Shape, rows: DataFrame):
-    (qids,), matrix = _load(shape, rows, [shape.qid])
-    return rows.sparkSession.sparkContext.broadcast((qids, matrix))
+def _question_block(shape: _Shape, table: pa.Table):
+    """Hand a block of questions to all executors."""
+    positions, matrix = unit_rows(table.column(1), shape.dims)
+    qids = table.column(0).combine_chunks().take(pa.array(positions))
+    return shape.questions.sparkSession.sparkContext.broadcast((qids, matrix))
 
 
-def _vector_block(shape: _Shape, rows: DataFrame):
-    columns, matrix = _load(shape, rows, shape.ids)
-    ids = [c.cast(pa.int64()).to_numpy(zero_copy_only=False) for c in columns]
-    return rows.sparkSession.sparkContext.broadcast((ids, matrix))
+def _vector_block(shape: _Shape, table: pa.Table):
+    """Hand a block of vectors to all executors."""
+    positions, matrix = unit_rows(table.column(len(shape.ids)), shape.dims)
+    ids = _id_arrays(table.combine_chunks(), len(shape.ids), positions)
+    return shape.vectors.sparkSession.sparkContext.broadcast((ids, matrix))
 
 
 def best_k(candidates: DataFrame, k: int, qid: str, ids: Sequence[str]) -> DataFrame:
@@ -240,7 +237,7 @@ def _passes(shape: _Shape, n_questions: int, n_vectors: int, limit: int) -> Data
     )
     stored, blocks = _cut(side, count, limit)
     for number in blocks:
-        rows = stored.where(F.col("_block") == number)
+        rows = stored.where(F.col("_block") == number).drop("_block").toArrow()
         if by_question:
             block = _question_block(shape, rows)
             found = best_k(_scan_vectors(shape, block), shape.k, shape.qid, shape.ids)
@@ -271,11 +268,12 @@ def topk_batch(
     """
     shape = _Shape(questions, vectors, k, qid, ids, vector, question_vector, dims)
     limit = max(1, block_bytes // (8 * dims + 8 * k * (1 + len(shape.ids))))
-    if shape.questions.limit(limit + 1).count() <= limit:
-        block = _question_block(shape, shape.questions)
-        return best_k(_scan_vectors(shape, block), k, qid, shape.ids)
-    if shape.vectors.limit(limit + 1).count() <= limit:
-        return _scan_questions(shape, _vector_block(shape, shape.vectors))
+    few = _collect(shape.questions, limit)
+    if few is not None:
+        return best_k(_scan_vectors(shape, _question_block(shape, few)), k, qid, shape.ids)
+    few = _collect(shape.vectors, limit)
+    if few is not None:
+        return _scan_questions(shape, _vector_block(shape, few))
     return _passes(shape, shape.questions.count(), shape.vectors.count(), limit)
 
 
@@ -292,7 +290,7 @@ def topk_single(
         [(0, [float(x) for x in question])], "qid int, embedding array<double>"
     )
     shape = _Shape(asked, vectors, k, "qid", ids, vector, "embedding", len(question))
-    found = _scan_vectors(shape, _question_block(shape, shape.questions))
+    found = _scan_vectors(shape, _question_block(shape, shape.questions.toArrow()))
     top = found.orderBy(F.col("score").desc(), *ids).limit(k)
     place = Window.orderBy(F.col("score").desc(), *ids)
     return top.select(F.row_number().over(place).alias("rank"), *ids, "score")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioscope import schemas
-from folioscope.sources.tables import conform, scan_table
+from folioscope.sources.tables import conform, scan_table, spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -32,9 +32,14 @@ def table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFra
     return scan_table(spark, f"{folder}/{name}.parquet", columns or None)
 
 
+def spread_table(spark: SparkSession, folder: str, name: str, *columns: str) -> DataFrame:
+    """A table in front of heavy work, on all cores even when it is one small file."""
+    return spread(table(spark, folder, name, *columns))
+
+
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     """The documents table in the schema of the document index."""
-    rows = table(spark, folder, "documents", "doc_id", "text", "lang", "source")
+    rows = spread_table(spark, folder, "documents", "doc_id", "text", "lang", "source")
     shaped = rows.select(
         "doc_id",
         F.col("text").alias("content"),

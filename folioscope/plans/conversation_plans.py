@@ -10,7 +10,7 @@ from folioscope import workspace
 from folioscope.operators import conversation as C
 from folioscope.operators import infer as N
 from folioscope.plans.base import query, sql_blank_lines, sql_collapse, table
-from folioscope.plans.document_plans import DIMS, chunk_vectors
+from folioscope.plans.document_plans import DIMS, chunk_index
 from folioscope.plans.vector_plans import SQL_HITS
 from folioscope.plugins import HashingEncoder
 from folioscope.streaming.history import stream_history as stream
@@ -158,14 +158,14 @@ def chat_prompts(spark, folder):
     f"""WITH {SQL_ABOUT}
         SELECT a.conv_id, a.turn, {NL}
           || 'You are a helpful assistant and inform the user about the following document:' || {NN}
-          || left(d.text, 2000) || {NN} || 'Now take the user''s question.' || a.history || {NN}
+          || left(d.text, 120000) || {NN} || 'Now take the user''s question.' || a.history || {NN}
           || 'User: ' || a.text || {NN} || 'Assistant:' || {NL} AS prompt
         FROM about a JOIN documents d ON d.doc_id = a.conv_id WHERE a.role = 'user'""",
 )
 def document_prompt(spark, folder):
     docs = table(spark, folder, "documents", "doc_id", "text")
     about = docs.select(F.col("doc_id").alias("conv_id"), F.col("text").alias("content"))
-    return C.document_prompts(turns(spark, folder), about, context_chars=2000)
+    return C.document_prompts(turns(spark, folder), about)
 
 
 @query("summary_prompt", f"SELECT doc_id, {SQL_SUMMARY} AS prompt FROM documents")
@@ -207,7 +207,7 @@ def context_block(spark, folder):
 )
 def answer_prompt(spark, folder):
     prompts = N.answer_prompts(
-        turns(spark, folder), chunk_vectors(spark, folder), HashingEncoder(DIMS)
+        turns(spark, folder), chunk_index(spark, folder), HashingEncoder(DIMS)
     )
     return prompts.select("conv_id", "turn", "prompt")
 
@@ -263,7 +263,7 @@ def generation_status(spark, folder):
 )
 def answer_questions(spark, folder):
     answered = N.answer_questions(
-        turns(spark, folder), chunk_vectors(spark, folder), HashingEncoder(DIMS), Digest()
+        turns(spark, folder), chunk_index(spark, folder), HashingEncoder(DIMS), Digest()
     )
     return answered.select("conv_id", "turn", "answer", "status")
 

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from folioscope.functions import urls as U
 from folioscope.operators import crawl as W
-from folioscope.plans.base import query, table
+from folioscope.plans.base import query, spread_table, table
 from folioscope.plans.document_plans import SQL_HOST, SQL_LOCAL, SQL_PATH
 from folioscope.sources.pages import saved_files
 
@@ -26,7 +26,7 @@ SQL_TARGET = "regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) || href"
 
 
 def page_links(spark, folder):
-    pages = table(spark, folder, "pages", "page_id", "url", "html")
+    pages = spread_table(spark, folder, "pages", "page_id", "url", "html")
     return W.extract_links(pages, ("page_id", "url"))
 
 

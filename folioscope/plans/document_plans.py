@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from folioscope import workspace
 from folioscope.functions import tokens as K
 from folioscope.operators import chunk as CH
 from folioscope.operators import embed as E
@@ -17,6 +18,7 @@ from folioscope.plans.base import (
     sql_strip,
     sql_tokens,
     sql_vectors,
+    spread_table,
     table,
     vector_text,
 )
@@ -53,7 +55,7 @@ SQL_HOST = "regexp_extract(url, '://([^/?#]*)', 1)"
 
 def page_files(spark, folder):
     """Saved pages as files: page_id, path, html."""
-    saved = saved_files(table(spark, folder, "pages", "page_id", "url", "html"))
+    saved = saved_files(spread_table(spark, folder, "pages", "page_id", "url", "html"))
     return saved.select(
         "page_id", F.concat_ws("/", F.lit("crawl"), "host", "local_path").alias("path"), "html"
     )
@@ -61,7 +63,7 @@ def page_files(spark, folder):
 
 @query("extract_text", f"SELECT page_id, {SQL_HTML_TEXT} AS content FROM pages")
 def extract_text(spark, folder):
-    pages = table(spark, folder, "pages", "page_id", "html")
+    pages = spread_table(spark, folder, "pages", "page_id", "html")
     return I.extract_text(pages, "html").select("page_id", "content")
 
 
@@ -74,7 +76,7 @@ def extract_text(spark, folder):
         FROM pages""",
 )
 def extract_metadata(spark, folder):
-    pages = table(spark, folder, "pages", "page_id", "html")
+    pages = spread_table(spark, folder, "pages", "page_id", "html")
     return I.extract_metadata(pages, "html").drop("html")
 
 
@@ -142,7 +144,7 @@ def ingest_report(spark, folder):
         SELECT doc_id, len(tok) AS n_tokens, md5(array_to_string(tok, '|')) AS digest FROM t""",
 )
 def tokenize(spark, folder):
-    docs = table(spark, folder, "documents", "doc_id", "text")
+    docs = spread_table(spark, folder, "documents", "doc_id", "text")
     tokens = docs.select("doc_id", K.tokenize("text").alias("tok"))
     return tokens.select(
         "doc_id",
@@ -157,7 +159,7 @@ def tokenize(spark, folder):
         tokens[1] AS first_token, tokens[len(tokens)] AS last_token FROM runs""",
 )
 def fixed_chunks(spark, folder):
-    runs = CH.token_runs(table(spark, folder, "documents", "doc_id", "text"), 64, "text")
+    runs = CH.token_runs(spread_table(spark, folder, "documents", "doc_id", "text"), 64, "text")
     return runs.select(
         "doc_id",
         F.col("chunk_number").cast("bigint").alias("chunk_number"),
@@ -173,7 +175,7 @@ def fixed_chunks(spark, folder):
         FROM runs""",
 )
 def detokenize(spark, folder):
-    runs = CH.token_runs(table(spark, folder, "documents", "doc_id", "text"), 64, "text")
+    runs = CH.token_runs(spread_table(spark, folder, "documents", "doc_id", "text"), 64, "text")
     return runs.select(
         "doc_id",
         F.col("chunk_number").cast("bigint").alias("chunk_number"),
@@ -258,11 +260,16 @@ def chunk_documents(spark, folder):
 
 
 def chunk_vectors(spark, folder):
-    """Chunks of all documents with hashed vectors: the index that questions search."""
+    """Chunks of all documents with hashed vectors."""
     chunks = CH.chunk_documents(documents(spark, folder).select("doc_id", "content"))
     return E.embed_table(chunks, HashingEncoder(DIMS))
 
 
+def chunk_index(spark, folder):
+    """The stored index that questions search: vectors and texts are read separately."""
+    return workspace.materialize(chunk_vectors(spark, folder), "chunks")
+
+
 SQL_CHUNKS = f"""{sql_runs(512)},
       chunks AS (SELECT doc_id, chunk_number, {sql_detokenize("tokens")} AS content FROM runs)"""
 SQL_CHUNK_VECTORS = (
@@ -280,7 +287,7 @@ SQL_CHUNK_VECTORS = (
         FROM t""",
 )
 def pad_truncate(spark, folder):
-    docs = table(spark, folder, "documents", "doc_id", "text")
+    docs = spread_table(spark, folder, "documents", "doc_id", "text")
     padded = E.pad_tokens(docs, "text").select("doc_id", "tokens")
     return padded.select(
         "doc_id",
@@ -296,7 +303,7 @@ def pad_truncate(spark, folder):
         SELECT doc_id, dim, round(s / 512.0, 9) AS value FROM v_sum WHERE s <> 0""",
 )
 def encode_tokens(spark, folder):
-    docs = table(spark, folder, "documents", "doc_id", "text")
+    docs = spread_table(spark, folder, "documents", "doc_id", "text")
     encoded = E.encode_tokens(docs, ["doc_id"], "text", DIMS)
     pooled = E.pool_positions(encoded, ["doc_id"])
     return pooled.select("doc_id", "dim", F.round("value", 9).alias("value"))

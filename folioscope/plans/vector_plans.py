@@ -9,7 +9,7 @@ from folioscope.operators import embed as E
 from folioscope.operators import infer as N
 from folioscope.operators import retrieve as R
 from folioscope.plans.base import query, sql_collapse, sql_vectors, table
-from folioscope.plans.document_plans import DIMS, SQL_CHUNK_VECTORS, chunk_vectors
+from folioscope.plans.document_plans import DIMS, SQL_CHUNK_VECTORS, chunk_index
 from folioscope.plugins import HashingEncoder
 
 SQL_QUESTIONS = """q AS (SELECT conv_id, turn, text FROM conversations WHERE role = 'user')"""
@@ -116,7 +116,7 @@ def topk_batch_blocks(spark, folder):
         FROM hits h LEFT JOIN chunks c USING (doc_id, chunk_number)""",
 )
 def hit_projection(spark, folder):
-    chunks = chunk_vectors(spark, folder)
+    chunks = chunk_index(spark, folder)
     turns = table(spark, folder, "conversations")
     hits = N.question_hits(turns, chunks, HashingEncoder(DIMS))
     shown = R.hit_projection(hits, chunks, ("doc_id", "chunk_number"))

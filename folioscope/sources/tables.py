@@ -16,6 +16,16 @@ def scan_table(spark: SparkSession, path: str, columns: Sequence[str] | None = N
     return table.select(*columns) if columns else table
 
 
+def spread(table: DataFrame) -> DataFrame:
+    """Deal out a table that is stored in fewer splits than there are cores.
+
+    Meant for scans in front of heavy work.  What moves is bounded by cores times the
+    split size; a large table has more splits than that and is left as it is.
+    """
+    cores = table.sparkSession.sparkContext.defaultParallelism
+    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+
+
 def count_rows(df: DataFrame) -> DataFrame:
     return df.agg(F.count(F.lit(1)).alias("n_rows"))
 
