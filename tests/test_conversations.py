@@ -23,12 +23,13 @@ def lines(text):
 
 
 def loop(turns, layout):
-    """What a chat that handles one turn after the other has as history before each turn."""
+    """What a chat that handles one turn after the other has as history before each question."""
     clean = {"raw": str, "lines": lines, "collapse": lambda t: t.replace("\n\n", "\n")}
     before, told, waiting = {}, {}, {}
     for conv, turn, role, text in sorted(turns):
-        before[conv, turn] = now = told.get(conv, layout.opening)
+        now = told.get(conv, layout.opening)
         if role == "user":
+            before[conv, turn] = now
             piece = layout.user[0] + text + layout.user[1]
             if layout.keep_failed_question:
                 now += piece
@@ -69,14 +70,14 @@ LAYOUTS = {"chat": C.CHAT, "document": C.DOCUMENT_CHAT, "retrieval": C.RETRIEVAL
 def test_history(spark, name, fanout):
     rows = spark.createDataFrame(chats(), TURNS)
     told = C.history(rows, LAYOUTS[name], fanout)
-    found = {(r.conv_id, r.turn): r.history for r in told.collect()}
+    found = {(r.conv_id, r.turn): r.history for r in C.questions(told).collect()}
     assert found == loop(chats(), LAYOUTS[name])
 
 
 def test_answers_can_be_kept_raw(spark):
     layout = C.with_answer(C.RETRIEVAL, "raw")
     told = C.history(spark.createDataFrame(chats(), TURNS), layout)
-    found = {(r.conv_id, r.turn): r.history for r in told.collect()}
+    found = {(r.conv_id, r.turn): r.history for r in C.questions(told).collect()}
     assert found == loop(chats(), layout)
 
 
@@ -200,8 +201,7 @@ def test_stream_equals_batch(spark, tmp_path, name):
     )
     run.awaitTermination()
     found = {(r.conv_id, r.turn): r.history for r in spark.read.parquet(target).collect()}
-    wanted = loop(rows, LAYOUTS[name])
-    assert found == {(c, t): wanted[c, t] for c, t, role, _ in rows if role == "user"}
+    assert found == loop(rows, LAYOUTS[name])
 
 
 def test_questions_without_text(spark):
