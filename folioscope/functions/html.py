@@ -1,7 +1,8 @@
 """Text, metadata and links of HTML pages by regular expression.
 
-Repeated groups are possessive or bounded, so that a hostile page costs linear time and
-no deep recursion.  An unclosed comment, script or style runs to the end of the page.
+Whatever is not closed (a comment, a script, a title, a tag) runs to the end of the page.
+With that, and without unbounded repeated groups, a hostile page costs neither quadratic
+time nor deep recursion.
 """
 
 from __future__ import annotations
@@ -31,29 +32,29 @@ _HEAD = r"(?is)<head\b.*?(?:</head\s*>|(?=<body\b)|\z)|<title\b.*?(?:</title\s*>
 _BLOCK_TAG = (
     r"(?i)</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figcaption|"
     r"figure|footer|form|h[1-6]|header|hr|html|li|main|nav|ol|option|p|pre|section|table|"
-    r"tbody|td|tfoot|th|thead|title|tr|ul)\b[^>]*>"
+    r"tbody|td|tfoot|th|thead|title|tr|ul)\b[^>]*(?:>|\z)"
 )
-_ANY_TAG = r"</?[A-Za-z!?][^>]*>"
+_ANY_TAG = r"</?[A-Za-z!?][^>]*(?:>|\z)"
+_TITLE = r"(?is)<title\b[^>]*>(.*?)(?:</title|\z)"
 
-_QUOTED_TAG = r"(?:(?:[^>\"']++|\"[^\"]*\"|'[^']*'){0,200}+>|[^>]*>)"
-_ATTRIBUTE = r"[^\s=>/]+(?:\s*=\s*(?:\"[^\"]*\"|'[^']*'|[^\s\"'>]+))?"
+# A '>' inside quotes does not end a tag (beyond 200 pieces any '>' does).
+_TAG_REST = r"(?:(?:[^>\"']++|\"[^\"]*\"|'[^']*'){0,200}+>|[^>]*(?:>|\z))"
+_ATTRIBUTE = r"([^\s=>/\"'][^\s=>/]*)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]*))?"
 
 
 def _tag(name: str) -> str:
-    return rf"(?is)<{name}(?=[\s/]){_QUOTED_TAG}"
-
-
-def _attribute(name: str) -> str:
-    before = rf"(?:[\s/]+(?!{name}[\s=]){_ATTRIBUTE}){{0,200}}+"
-    value = r"(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+))"
-    return rf"(?is)^<\w+{before}[\s/]+{name}\s*=\s*{value}.*\z"
+    return rf"(?is)<{name}(?=[\s/]){_TAG_REST}"
 
 
 def _attribute_value(tag: Column, name: str) -> Column:
-    """An attribute as it is written; null when the tag lacks it."""
-    pattern = _attribute(name)
+    """An attribute as it is written; '' without a value, null when the tag lacks it."""
+    inner = F.regexp_replace(tag, r"^<\w+", "")
+    names = F.transform(F.regexp_extract_all(inner, F.lit(_ATTRIBUTE), F.lit(1)), F.lower)
+    values = F.regexp_extract_all(inner, F.lit(_ATTRIBUTE), F.lit(2))
+    value = F.get(values, (F.array_position(names, name) - 1).cast("int"))
     return bind(
-        tag, lambda t: F.when(t.rlike(pattern), F.regexp_replace(t, pattern, "$1$2$3"))
+        value,
+        lambda v: F.when(v.rlike("^[\"']"), F.substring(v, 2, F.length(v) - 2)).otherwise(v),
     )
 
 
@@ -105,7 +106,7 @@ def html_text(html: Column | str) -> Column:
 
 def html_title(html: Column | str) -> Column:
     """The title, '' when there is none."""
-    title = F.regexp_extract(as_column(html), r"(?is)<title\b[^>]*>(.*?)</title", 1)
+    title = F.regexp_extract(as_column(html), _TITLE, 1)
     return strip_text(decode_entities(title))
 
 
@@ -129,6 +130,5 @@ def html_links(html: Column | str) -> Column:
     """The href of every ``<a href=...>``, in document order; comments and scripts hide theirs."""
     visible = F.regexp_replace(as_column(html), _HIDDEN, "")
     tags = F.regexp_extract_all(visible, F.lit(_tag("a")), F.lit(0))
-    href = _attribute("href")
-    linked = F.filter(tags, lambda t: t.rlike(href))
-    return F.transform(linked, lambda t: decode_entities(F.regexp_replace(t, href, "$1$2$3")))
+    hrefs = F.transform(tags, lambda t: _attribute_value(t, "href"))
+    return F.transform(F.filter(hrefs, lambda h: h.isNotNull()), decode_entities)

@@ -71,7 +71,9 @@ def url_extension(path: Column | str) -> Column:
 
 
 def path_extension(path: Column | str) -> Column:
-    return F.regexp_extract(as_column(path), r"[^/.][^/]*(\.[^./]*)\z", 1)
+    name = F.ltrim(F.substring_index(as_column(path), "/", -1), F.lit("."))
+    last = F.concat(F.lit("."), F.substring_index(name, ".", -1))
+    return F.when(name.contains("."), last).otherwise("")
 
 
 URL_PARTS = {
