@@ -40,24 +40,34 @@ def url_authority(url: Column | str) -> Column:
 
 
 def _path_and_params(url: Column) -> Column:
-    return F.regexp_extract(url, rf"^(?:{_SCHEME}:)?(?://[^/?#]*)?([^?#]*)", 1)
+    before_query = F.substring_index(fetch_key(url), "?", 1)
+    return F.regexp_replace(before_query, rf"^(?:{_SCHEME}:)?(?://[^/]*)?", "")
+
+
+def _after(text: Column, mark: str) -> Column:
+    """What follows the first ``mark``, '' without one."""
+    rest = F.substring(text, F.instr(text, mark) + 1, F.length(text))
+    return F.when(text.contains(mark), rest).otherwise("")
 
 
 def url_path(url: Column | str) -> Column:
     """The path without the ``;parameters`` of its last segment."""
-    return F.regexp_replace(_path_and_params(as_column(url)), r";[^/]*\z", "")
+    path = _path_and_params(as_column(url))
+    return F.when(path.contains(";"), F.regexp_replace(path, r";[^/]*\z", "")).otherwise(path)
 
 
 def url_params(url: Column | str) -> Column:
-    return F.regexp_extract(_path_and_params(as_column(url)), r";([^/]*)\z", 1)
+    url = as_column(url)
+    params = F.regexp_extract(_path_and_params(url), r";([^/]*)\z", 1)
+    return F.when(url.contains(";"), params).otherwise("")
 
 
 def url_query(url: Column | str) -> Column:
-    return F.regexp_extract(as_column(url), r"^[^?#]*\?([^#]*)", 1)
+    return _after(fetch_key(url), "?")
 
 
 def url_fragment(url: Column | str) -> Column:
-    return F.regexp_extract(as_column(url), r"(?s)^[^#]*#(.*)\z", 1)
+    return _after(as_column(url), "#")
 
 
 def fetch_key(url: Column | str) -> Column:
@@ -85,6 +95,8 @@ URL_PARTS = {
     "fragment": url_fragment,
 }
 
+BASE_PARTS = ("scheme", "authority", "path", "params", "query")
+
 
 def with_url_parts(df: DataFrame, url: str, prefix: str = "", parts=tuple(URL_PARTS)) -> DataFrame:
     return let(df, {prefix + part: URL_PARTS[part](url) for part in parts})
@@ -139,13 +151,22 @@ def _without_dots(segments: Column) -> Column:
     return F.concat(walked, F.when(open_end, F.array(F.lit(""))).otherwise(F.array()))
 
 
+def with_base_parts(pages: DataFrame, base: str) -> DataFrame:
+    """Add the parts of a page's URL that resolving its links needs, once per page."""
+    return with_url_parts(pages, base, "_b_", BASE_PARTS)
+
+
 def resolve_links(df: DataFrame, base: str, href: str, out: str) -> DataFrame:
-    """Add ``out``: the absolute URL that ``href`` means on the page ``base``."""
+    """Add ``out``: the absolute URL that ``href`` means on the page ``base``.
+
+    The columns of ``with_base_parts`` are used up when they are there and made otherwise.
+    """
     c = F.col
+    kept = [name for name in df.columns if name not in {f"_b_{part}" for part in BASE_PARTS}]
+    if len(kept) == len(df.columns):
+        df = with_base_parts(df, base)
     staged = let(df, {"_href": clean_url(href)})
-    of_page = {f"_b_{part}": URL_PARTS[part](base) for part in URL_PARTS if part != "fragment"}
-    of_link = {f"_h_{part}": URL_PARTS[part]("_href") for part in URL_PARTS}
-    staged = let(staged, of_page | of_link)
+    staged = with_url_parts(staged, "_href", "_h_")
 
     scheme = F.when(c("_h_scheme") != "", c("_h_scheme")).otherwise(c("_b_scheme"))
     foreign = (scheme != c("_b_scheme")) | ~scheme.isin(*RELATIVE_SCHEMES)
@@ -161,10 +182,10 @@ def resolve_links(df: DataFrame, base: str, href: str, out: str) -> DataFrame:
         staged,
         {"_scheme": scheme, "_form": form, "_segments": _segments(c("_b_path"), c("_h_path"))},
     )
-    kept = F.when(c("_h_path").startswith("/"), c("_segments")).otherwise(
+    tidy = F.when(c("_h_path").startswith("/"), c("_segments")).otherwise(
         _without_empty(c("_segments"))
     )
-    staged = let(staged, {"_kept": F.when(c("_form") == "path", kept)})
+    staged = let(staged, {"_kept": F.when(c("_form") == "path", tidy)})
     dotted = F.exists("_kept", lambda s: s.isin(".", ".."))
     merged = F.array_join(F.when(dotted, _without_dots(c("_kept"))).otherwise(c("_kept")), "/")
 
@@ -186,7 +207,7 @@ def resolve_links(df: DataFrame, base: str, href: str, out: str) -> DataFrame:
         c("_scheme"), c("_authority"), c("_path"), c("_params"), c("_query"), c("_h_fragment")
     )
     resolved = F.when(c("_form") == "page", c(base)).when(c("_form") == "foreign", c(href))
-    return let(staged, {out: resolved.otherwise(joined)}).select(*df.columns, out)
+    return let(staged, {out: resolved.otherwise(joined)}).select(*kept, out)
 
 
 def in_scope(

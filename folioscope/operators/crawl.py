@@ -11,6 +11,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from folioscope import workspace
 from folioscope.functions import html as H
@@ -28,6 +29,14 @@ def extract_links(pages: DataFrame, keep: tuple[str, ...] = ("url",)) -> DataFra
     return pages.select(*keep, F.posexplode(H.html_links("html")).alias("pos", "href"))
 
 
+def resolved_links(pages: DataFrame, keep: tuple[str, ...] = ("url",)) -> DataFrame:
+    """The links of every page with ``target``, the absolute URL; ``keep`` includes url."""
+    staged = urls.with_base_parts(pages.select(*keep, "html"), "url")
+    parts = [name for name in staged.columns if name not in (*keep, "html")]
+    links = extract_links(staged, (*keep, *parts))
+    return urls.resolve_links(links, "url", "href", "target")
+
+
 def classify_links(
     links: DataFrame, start_url: str, url: str = "target", segment_aligned: bool = False
 ) -> DataFrame:
@@ -117,9 +126,8 @@ def link_table(pages: DataFrame, start_url: str, segment_aligned: bool = False)
 
     An empty href names the page itself, which has been visited, so it is left out.
     """
-    links = extract_links(pages, ("url", "fetch_url")).where(F.col("href") != "")
-    resolved = urls.resolve_links(links, "url", "href", "target")
-    classified = classify_links(resolved, start_url, "target", segment_aligned)
+    links = resolved_links(pages, ("url", "fetch_url")).where(F.col("href") != "")
+    classified = classify_links(links, start_url, "target", segment_aligned)
     useful = classified.where(F.col("action") != "ignore")
     return useful.select(
         F.col("fetch_url").alias("src"), "pos", F.col("target").alias("url"), "action"
@@ -146,37 +154,41 @@ def crawl_bfs(
     known = pages.groupBy("fetch_url").agg(
         F.min(F.struct("url", "content_type")).alias("_page")
     )
-    known.select("fetch_url", "_page.url", "_page.content_type").write.parquet(f"{folder}/known")
-    known = spark.read.parquet(f"{folder}/known")
+    known = known.select("fetch_url", "_page.url", "_page.content_type")
+    known = workspace.stored(known, f"{folder}/known")
     double = pages.select("url", "fetch_url").join(known, ["url", "fetch_url"], "left_anti")
     single = pages.join(double, ["url", "fetch_url"], "left_anti")
-    link_table(single, start_url, segment_aligned).write.parquet(f"{folder}/links")
-    links = spark.read.parquet(f"{folder}/links")
+    links = workspace.stored(link_table(single, start_url, segment_aligned), f"{folder}/links")
 
     depth = 0
     first = spark.range(1).select(F.lit(start_url).alias("url"), F.col("id").alias("rank"))
-    _fetch(first, known).write.parquet(f"{folder}/visits/depth=0")
+    layer = workspace.stored(_fetch(first, known), f"{folder}/visits/depth=0")
+
+    def table(name: str, schema: T.StructType) -> DataFrame:
+        """All layers so far, with their depth."""
+        full = T.StructType([*schema.fields, T.StructField("depth", T.IntegerType())])
+        return spark.read.schema(full).parquet(f"{folder}/{name}")
+
     while depth < max_depth:
-        layer = spark.read.parquet(f"{folder}/visits/depth={depth}")
         if max_saves is not None:
-            tried = _attempts(layer, links, known).drop("depth")
-            tried.write.parquet(f"{folder}/attempts/depth={depth}")
-            if _saved(spark.read.parquet(f"{folder}/attempts")) >= max_saves:
+            tried = _attempts(layer.withColumn("depth", F.lit(depth)), links, known).drop("depth")
+            tried = workspace.stored(tried, f"{folder}/attempts/depth={depth}")
+            if _saved(table("attempts", tried.schema)) >= max_saves:
                 break
         found = _followed(layer, links, "enqueue")
-        seen = spark.read.parquet(f"{folder}/visits").select("url")
+        seen = table("visits", layer.schema).select("url")
         new = visited_filter(found, seen).withColumnsRenamed({"rank": "_parent", "pos": "_pos"})
         ranked = ordered_ids(new, ["_parent", "_pos"], "rank").select("url", "rank")
         depth += 1
-        _fetch(ranked, known).write.parquet(f"{folder}/visits/depth={depth}")
-        if spark.read.parquet(f"{folder}/visits/depth={depth}").isEmpty():
+        layer = workspace.stored(_fetch(ranked, known), f"{folder}/visits/depth={depth}")
+        if layer.isEmpty():
             break
 
-    visits = spark.read.parquet(f"{folder}/visits")
+    visits = table("visits", layer.schema)
     if max_saves is None:
         tried = _attempts(visits, links, known)
     else:
-        tried = spark.read.parquet(f"{folder}/attempts")
+        tried = table("attempts", tried.schema)
     order = F.struct("depth", "rank", "pos", "local_path", "status")
     first = tried.groupBy("url").agg(F.min(order).alias("_first"))
     attempts = workspace.materialize(first.select("_first.*", "url"), "attempts")
@@ -203,8 +215,6 @@ def _attempts(visits: DataFrame, links: DataFrame, known: DataFrame) -> DataFram
 
     The same PDF again is the same file again, so only its first link can save it.
     """
-    if "depth" not in visits.columns:
-        visits = visits.withColumn("depth", F.lit(0))
     key = ["depth", "rank", "pos"]
     pages = visits.withColumn("pos", F.lit(-1))
     linked = _followed(visits, links, "save").groupBy("url")

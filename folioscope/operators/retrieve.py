@@ -264,7 +264,8 @@ def topk_batch(
     """The k nearest vectors of every question: qid, rank, ids, score.
 
     ``qid`` must be unique among questions and ``ids`` among vectors.  Missing, zero and
-    wrongly sized vectors neither ask nor answer.
+    wrongly sized vectors neither ask nor answer.  A side may be read more than once, so
+    hand in stored tables and not the plan that computes them.
     """
     shape = _Shape(questions, vectors, k, qid, ids, vector, question_vector, dims)
     limit = max(1, block_bytes // (8 * dims + 8 * k * (1 + len(shape.ids))))
@@ -299,9 +300,15 @@ def topk_single(
 def hit_projection(
     hits: DataFrame, chunks: DataFrame, ids: Sequence[str] = ("vec_id",), content: str = "content"
 ) -> DataFrame:
-    """Add the cleaned text of every hit; a hit without text gives ''."""
+    """Add the cleaned text of every hit; a hit without text gives ''.
+
+    The hits are stored first: their known size lets Spark broadcast their ids to the scan
+    of the texts, and only texts that were hit travel to the join.
+    """
+    stored = workspace.materialize(hits, "hits")
     texts = chunks.select(*ids, F.col(content).alias("_text"))
-    joined = hits.join(texts, list(ids), "left")
+    wanted = texts.join(stored.select(*ids).distinct(), list(ids), "left_semi")
+    joined = stored.join(wanted, list(ids), "left")
     cleaned = collapse_newlines(default_empty("_text"))
     return joined.select(*hits.columns, cleaned.alias("document"))
 

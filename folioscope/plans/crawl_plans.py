@@ -25,9 +25,9 @@ SQL_LINKS = r"""links AS (
 SQL_TARGET = "regexp_extract(url, '^([a-z]+://[^/?#]*)', 1) || href"
 
 
-def page_links(spark, folder):
+def page_links(spark, folder, links=W.extract_links):
     pages = spread_table(spark, folder, "pages", "page_id", "url", "html")
-    return W.extract_links(pages, ("page_id", "url"))
+    return links(pages, ("page_id", "url"))
 
 
 @query("extract_links", f"WITH {SQL_LINKS} SELECT page_id, pos, href FROM links")
@@ -41,7 +41,7 @@ def extract_links(spark, folder):
     f"WITH {SQL_LINKS} SELECT page_id, pos, {SQL_TARGET} AS target FROM links",
 )
 def resolve_url(spark, folder):
-    resolved = U.resolve_links(page_links(spark, folder), "url", "href", "target")
+    resolved = page_links(spark, folder, W.resolved_links)
     return resolved.select("page_id", F.col("pos").cast("bigint").alias("pos"), "target")
 
 
@@ -94,7 +94,7 @@ def in_scope(spark, folder):
         FROM t""",
 )
 def classify_link(spark, folder):
-    resolved = U.resolve_links(page_links(spark, folder), "url", "href", "target")
+    resolved = page_links(spark, folder, W.resolved_links)
     actions = W.classify_links(resolved, "https://blog.tionsh.example.com")
     return actions.select("page_id", F.col("pos").cast("bigint").alias("pos"), "action")
 
@@ -155,7 +155,7 @@ def first_wins(spark, folder):
 )
 def visited_filter(spark, folder):
     """Pages and their links are found again; the pages with an even id have been seen."""
-    links = U.resolve_links(page_links(spark, folder), "url", "href", "target")
+    links = page_links(spark, folder, W.resolved_links)
     pages = table(spark, folder, "pages", "page_id", "url")
     found = links.select(
         F.col("page_id").alias("rank"),
@@ -172,7 +172,7 @@ def visited_filter(spark, folder):
 
 def part_pages(spark, folder):
     """url, html, content_type of the pages and files derived from the part table."""
-    parts = table(spark, folder, "part", "p_partkey", "p_size")
+    parts = spread_table(spark, folder, "part", "p_partkey", "p_size")
     n = parts.count()
     k = F.col("p_partkey")
 

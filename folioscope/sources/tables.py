@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+SPREAD_SPLITS = 64
+
 
 def scan_table(spark: SparkSession, path: str, columns: Sequence[str] | None = None) -> DataFrame:
     """Every row of a Parquet table; name the columns to read only those."""
@@ -17,13 +19,14 @@ def scan_table(spark: SparkSession, path: str, columns: Sequence[str] | None = N
 
 
 def spread(table: DataFrame) -> DataFrame:
-    """Deal out a table that is stored in fewer splits than there are cores.
+    """Deal out a small table, stored in fewer splits than there are cores, to all cores.
 
-    Meant for scans in front of heavy work.  What moves is bounded by cores times the
-    split size; a large table has more splits than that and is left as it is.
+    Meant for scans in front of heavy work.  Tables of ``SPREAD_SPLITS`` splits or more
+    are left as they are, so what moves is bounded whatever the size of the cluster.
     """
     cores = table.sparkSession.sparkContext.defaultParallelism
-    return table.repartition(cores) if table.rdd.getNumPartitions() < cores else table
+    few = table.rdd.getNumPartitions() < min(cores, SPREAD_SPLITS)
+    return table.repartition(cores) if few else table
 
 
 def count_rows(df: DataFrame) -> DataFrame:

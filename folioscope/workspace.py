@@ -30,9 +30,11 @@ def new_folder(spark: SparkSession, purpose: str) -> str:
     return f"{work_root(spark)}/{purpose}-{uuid.uuid4().hex}"
 
 
-def materialize(df: DataFrame, purpose: str) -> DataFrame:
+def stored(df: DataFrame, folder: str) -> DataFrame:
     """Write a table and read it back: the lineage ends at files that outlive executors."""
-    spark = df.sparkSession
-    folder = new_folder(spark, purpose)
     df.write.parquet(folder)
-    return spark.read.schema(df.schema).parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder)
+
+
+def materialize(df: DataFrame, purpose: str) -> DataFrame:
+    return stored(df, new_folder(df.sparkSession, purpose))
