@@ -1,8 +1,8 @@
 """Text, metadata and links of HTML pages by regular expression.
 
-Whatever is not closed (a comment, a script, a title, a tag) runs to the end of the page.
-With that, and without unbounded repeated groups, a hostile page costs neither quadratic
-time nor deep recursion.
+Whatever is not closed (a comment, a script, a title, a tag, a quote) runs to the end of
+the page.  With that, and with possessive groups, which Java repeats in a loop, a hostile
+page costs neither quadratic time nor deep recursion.
 """
 
 from __future__ import annotations
@@ -29,17 +29,20 @@ _HIDDEN = (
     r"(?is)<!--.*?(?:-->|\z)|<script\b.*?(?:</script\s*>|\z)|<style\b.*?(?:</style\s*>|\z)"
 )
 _HEAD = r"(?is)<head\b.*?(?:</head\s*>|(?=<body\b)|\z)|<title\b.*?(?:</title\s*>|\z)"
+# A '>' inside a quoted value does not end a tag.
+_TAG_REST = (
+    r"(?:[^>=]++|=\s*+\"[^\"]*+(?:\"|\z)|=\s*+'[^']*+(?:'|\z)|=)*+(?:>|\z)"
+)
 _BLOCK_TAG = (
     r"(?i)</?(?:address|article|aside|blockquote|body|br|dd|div|dl|dt|fieldset|figcaption|"
     r"figure|footer|form|h[1-6]|header|hr|html|li|main|nav|ol|option|p|pre|section|table|"
-    r"tbody|td|tfoot|th|thead|title|tr|ul)\b[^>]*(?:>|\z)"
-)
-_ANY_TAG = r"</?[A-Za-z!?][^>]*(?:>|\z)"
+    r"tbody|td|tfoot|th|thead|title|tr|ul)\b"
+) + _TAG_REST
+_ANY_TAG = r"</?[A-Za-z!?]" + _TAG_REST
 _TITLE = r"(?is)<title\b[^>]*>(.*?)(?:</title|\z)"
 
-# A '>' inside quotes does not end a tag (beyond 200 pieces any '>' does).
-_TAG_REST = r"(?:(?:[^>\"']++|\"[^\"]*\"|'[^']*'){0,200}+>|[^>]*(?:>|\z))"
 _ATTRIBUTE = r"([^\s=>/\"'][^\s=>/]*)(?:\s*=\s*(\"[^\"]*\"|'[^']*'|[^\s>]*))?"
+_QUOTED = r"^(?:\"[^\"]*\"|'[^']*')\z"
 
 
 def _tag(name: str) -> str:
@@ -54,7 +57,7 @@ def _attribute_value(tag: Column, name: str) -> Column:
     value = F.get(values, (F.array_position(names, name) - 1).cast("int"))
     return bind(
         value,
-        lambda v: F.when(v.rlike("^[\"']"), F.substring(v, 2, F.length(v) - 2)).otherwise(v),
+        lambda v: F.when(v.rlike(_QUOTED), F.substring(v, 2, F.length(v) - 2)).otherwise(v),
     )
 
 

@@ -21,7 +21,6 @@ from folioscope.sources.pages import with_fetch_key
 from folioscope.staging import let
 
 MAX_SAVES = 10
-MAX_DEPTH = 10_000
 
 
 def extract_links(pages: DataFrame, keep: tuple[str, ...] = ("url",)) -> DataFrame:
@@ -138,13 +137,14 @@ def crawl_bfs(
     pages: DataFrame,
     start_url: str,
     max_saves: int | None = None,
-    max_depth: int = MAX_DEPTH,
+    max_depth: int | None = None,
     segment_aligned: bool = False,
 ) -> Crawl:
     """Visit pages from a start URL in queue order.
 
     ``pages`` has url, html and optionally content_type.  With ``max_saves`` the loop ends
-    after the layer that reaches that many files; otherwise it ends when a layer is empty.
+    after the layer that reaches that many files, with ``max_depth`` after that layer, and
+    otherwise when a layer is empty.
     """
     spark = pages.sparkSession
     folder = workspace.new_folder(spark, "crawl")
@@ -169,7 +169,7 @@ def crawl_bfs(
         full = T.StructType([*schema.fields, T.StructField("depth", T.IntegerType())])
         return spark.read.schema(full).parquet(f"{folder}/{name}")
 
-    while depth < max_depth:
+    while depth != max_depth:
         if max_saves is not None:
             tried = _attempts(layer.withColumn("depth", F.lit(depth)), links, known).drop("depth")
             tried = workspace.stored(tried, f"{folder}/attempts/depth={depth}")

@@ -33,6 +33,8 @@ SCORE_DIGITS = 9
 BLOCK_BYTES = 64 << 20
 # Scores held at once while a block is compared with a batch.
 TILE_CELLS = 4 << 20
+# Pairs scored again at once.
+RESCORE_PAIRS = 1 << 16
 # Tasks whose candidates are merged first, so that no merge sees one row set per task.
 TASKS_PER_MERGE = 1024
 
@@ -53,47 +55,67 @@ def unit_rows(vectors: pa.Array, dims: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 class Best:
-    """The k best vectors of each of n questions so far."""
+    """The k best vectors of each of n questions so far.
+
+    Pairs are screened in single precision.  Whatever its rounding error could put among
+    the k best is scored again in double precision, so the screening changes no result.
+    """
 
     def __init__(self, n: int, k: int, n_ids: int):
         self.k = k
         self.scores = np.full((n, k), -np.inf)
         self.ids = [np.zeros((n, k), dtype=np.int64) for _ in range(n_ids)]
 
-    def offer(self, first: int, raw: np.ndarray, ids: Sequence[np.ndarray]) -> None:
-        """Scores of the questions from ``first`` on against the vectors with these ids."""
-        k, (n, m) = self.k, raw.shape
+    def _floor(self, first: int, screened: np.ndarray, error: float) -> np.ndarray:
+        """What a pair must reach to count: the k-th best so far or of this tile."""
+        k, (n, m) = self.k, screened.shape
         floor = self.scores[first : first + n, -1]
         if m > k and np.isneginf(floor).any():
-            floor = np.maximum(floor, np.partition(raw, m - k, axis=1)[:, m - k])
-        question, column = np.nonzero(raw >= (floor - _MARGIN)[:, None])
-        if not len(question):
+            best = np.partition(screened, m - k, axis=1)[:, m - k]
+            floor = np.maximum(floor, best - error)
+        return floor
+
+    def _offer(self, row: np.ndarray, scores: np.ndarray, ids: Sequence[np.ndarray]) -> None:
+        """Merge scored pairs; ``row`` is the question of each and ascends."""
+        worst = self.scores[row, -1]
+        better = scores > worst
+        better |= (scores == worst) & (ids[0] <= self.ids[0][row, -1])
+        row, scores = row[better], scores[better]
+        if not len(row):
             return
-        touched, row = np.unique(question, return_inverse=True)
-        held = first + touched
-        rows = np.concatenate([np.repeat(np.arange(len(touched)), k), row])
-        scores = np.concatenate(
-            [self.scores[held].ravel(), np.round(raw[question, column], SCORE_DIGITS)]
-        )
+        held, group = np.unique(row, return_inverse=True)
+        groups = np.concatenate([np.repeat(np.arange(len(held)), self.k), group])
+        scores = np.concatenate([self.scores[held].ravel(), scores])
         keys = [
-            np.concatenate([old[held].ravel(), new[column]])
+            np.concatenate([old[held].ravel(), new[better]])
             for old, new in zip(self.ids, ids, strict=True)
         ]
-        order = np.lexsort((*reversed(keys), -scores, rows))
-        starts = np.searchsorted(rows[order], np.arange(len(touched)))
-        chosen = order[starts[:, None] + np.arange(k)]
+        order = np.lexsort((*reversed(keys), -scores, groups))
+        starts = np.searchsorted(groups[order], np.arange(len(held)))
+        chosen = order[starts[:, None] + np.arange(self.k)]
         self.scores[held] = scores[chosen]
         for old, new in zip(self.ids, keys, strict=True):
             old[held] = new[chosen]
 
     def compare(self, questions: np.ndarray, vectors: np.ndarray, ids) -> None:
+        """Unit vectors of all questions against unit vectors with these ids."""
         if not len(vectors):
             return
+        # A dot product of unit vectors in single precision is off by less than this.
+        error = (questions.shape[1] + 8) * 2.0**-23 + _MARGIN
+        narrow = vectors.astype(np.float32).T
         step = max(1, TILE_CELLS // len(vectors))
         for first in range(0, len(questions), step):
-            raw = questions[first : first + step] @ vectors.T
-            raw += 1.0
-            self.offer(first, raw, ids)
+            screened = questions[first : first + step].astype(np.float32) @ narrow
+            screened += 1.0
+            floor = self._floor(first, screened, error)
+            least = np.nextafter((floor - error).astype(np.float32), np.float32(-np.inf))
+            question, column = np.nonzero(screened >= least[:, None])
+            question += first
+            for at in range(0, len(question), RESCORE_PAIRS):
+                q, c = question[at : at + RESCORE_PAIRS], column[at : at + RESCORE_PAIRS]
+                exact = np.einsum("ij,ij->i", questions[q], vectors[c]) + 1.0
+                self._offer(q, np.round(exact, SCORE_DIGITS), [i[c] for i in ids])
 
     def rows(self) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray]:
         """Question positions, places from 1, ids and scores of all that was found."""
