@@ -16,6 +16,7 @@ in memory by all tasks, in blocks whose size is checked:
 from __future__ import annotations
 
 from collections.abc import Sequence
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -30,7 +31,7 @@ from folioscope.functions.text import collapse_newlines, default_empty
 
 DOC_LIMIT = 5
 SCORE_DIGITS = 9
-BLOCK_BYTES = 64 << 20
+BLOCK_BYTES = 128 << 20
 # Scores held at once while a block is compared with a batch.
 TILE_CELLS = 4 << 20
 # Pairs scored again at once.
@@ -41,17 +42,28 @@ TASKS_PER_MERGE = 1024
 _MARGIN = 10.0**-SCORE_DIGITS
 
 
-def unit_rows(vectors: pa.Array, dims: int) -> tuple[np.ndarray, np.ndarray]:
-    """Positions and unit vectors of the entries that have a direction in ``dims`` numbers."""
-    if isinstance(vectors, pa.ChunkedArray):
-        vectors = vectors.combine_chunks()
-    sized = pc.fill_null(pc.equal(pc.list_value_length(vectors), dims), False)
-    rows = np.flatnonzero(sized.to_numpy(zero_copy_only=False))
-    flat = vectors.filter(sized).flatten().to_numpy(zero_copy_only=False)
-    matrix = flat.astype(np.float64).reshape(len(rows), dims)
-    norms = np.sqrt(np.einsum("ij,ij->i", matrix, matrix))
+class Vectors(NamedTuple):
+    """Vectors as they are stored, one per row, with their lengths in double precision."""
+
+    rows: np.ndarray
+    norms: np.ndarray
+
+    def screen(self, part: slice = slice(None)) -> np.ndarray:
+        """Unit vectors in single precision."""
+        return (self.rows[part] / self.norms[part, None]).astype(np.float32)
+
+
+def usable_vectors(column, dims: int) -> tuple[np.ndarray, Vectors]:
+    """The entries that have a direction in ``dims`` numbers, and their positions."""
+    if isinstance(column, pa.ChunkedArray):
+        column = column.combine_chunks()
+    sized = pc.fill_null(pc.equal(pc.list_value_length(column), dims), False)
+    positions = np.flatnonzero(sized.to_numpy(zero_copy_only=False))
+    flat = column.filter(sized).flatten().to_numpy(zero_copy_only=False)
+    rows = flat.reshape(len(positions), dims)
+    norms = np.sqrt(np.einsum("ij,ij->i", rows, rows, dtype=np.float64))
     good = np.isfinite(norms) & (norms > 0)
-    return rows[good], matrix[good] / norms[good, None]
+    return positions[good], Vectors(rows[good], norms[good])
 
 
 class Best:
@@ -97,16 +109,17 @@ class Best:
         for old, new in zip(self.ids, keys, strict=True):
             old[held] = new[chosen]
 
-    def compare(self, questions: np.ndarray, vectors: np.ndarray, ids) -> None:
-        """Unit vectors of all questions against unit vectors with these ids."""
-        if not len(vectors):
+    def compare(self, questions: Vectors, vectors: Vectors, ids) -> None:
+        """All questions against vectors with these ids."""
+        n, m = len(questions.norms), len(vectors.norms)
+        if not m:
             return
         # A dot product of unit vectors in single precision is off by less than this.
-        error = (questions.shape[1] + 8) * 2.0**-23 + _MARGIN
-        narrow = vectors.astype(np.float32).T
-        step = max(1, TILE_CELLS // len(vectors))
-        for first in range(0, len(questions), step):
-            screened = questions[first : first + step].astype(np.float32) @ narrow
+        error = (questions.rows.shape[1] + 8) * 2.0**-23 + _MARGIN
+        narrow = vectors.screen().T
+        step = max(1, TILE_CELLS // m)
+        for first in range(0, n, step):
+            screened = questions.screen(slice(first, first + step)) @ narrow
             screened += 1.0
             floor = self._floor(first, screened, error)
             least = np.nextafter((floor - error).astype(np.float32), np.float32(-np.inf))
@@ -114,7 +127,10 @@ class Best:
             question += first
             for at in range(0, len(question), RESCORE_PAIRS):
                 q, c = question[at : at + RESCORE_PAIRS], column[at : at + RESCORE_PAIRS]
-                exact = np.einsum("ij,ij->i", questions[q], vectors[c]) + 1.0
+                dots = np.einsum(
+                    "ij,ij->i", questions.rows[q], vectors.rows[c], dtype=np.float64
+                )
+                exact = dots / (questions.norms[q] * vectors.norms[c]) + 1.0
                 self._offer(q, np.round(exact, SCORE_DIGITS), [i[c] for i in ids])
 
     def rows(self) -> tuple[np.ndarray, np.ndarray, list[np.ndarray], np.ndarray]:
@@ -145,6 +161,12 @@ class _Shape:
         self.qid_field = T.StructField(qid, self.questions.schema[qid].dataType)
         self.score = T.StructField("score", T.DoubleType())
 
+    def row_bytes(self) -> int:
+        """What one row of a block occupies, with the k best of a question beside it."""
+        kinds = [side.schema["_vector"].dataType for side in (self.questions, self.vectors)]
+        number = 8 if any(kind != T.ArrayType(T.FloatType()) for kind in kinds) else 4
+        return number * self.dims + 8 + 8 * self.k * (1 + len(self.ids))
+
 
 def _scan_vectors(shape: _Shape, block) -> DataFrame:
     """Question block in memory, vectors streamed: at most k rows per question and task."""
@@ -155,11 +177,12 @@ def _scan_vectors(shape: _Shape, block) -> DataFrame:
     names = schema.names
 
     def run(batches):
-        qids, questions = block.value
-        best = Best(len(questions), k, n_ids)
+        qids, *parts = block.value
+        questions = Vectors(*parts)
+        best = Best(len(qids), k, n_ids)
         for batch in batches:
-            rows, matrix = unit_rows(batch.column(n_ids), dims)
-            best.compare(questions, matrix, _id_arrays(batch, n_ids, rows))
+            positions, vectors = usable_vectors(batch.column(n_ids), dims)
+            best.compare(questions, vectors, _id_arrays(batch, n_ids, positions))
         question, _, ids, scores = best.rows()
         merge = np.full(len(question), TaskContext.get().partitionId() // TASKS_PER_MERGE)
         columns = [pa.array(merge, pa.int32()), qids.take(pa.array(question))]
@@ -186,13 +209,14 @@ def _scan_questions(shape: _Shape, block) -> DataFrame:
     names = schema.names
 
     def run(batches):
-        ids, vectors = block.value
+        ids, *parts = block.value
+        vectors = Vectors(*parts)
         for batch in batches:
-            rows, questions = unit_rows(batch.column(1), dims)
-            best = Best(len(questions), k, n_ids)
+            positions, questions = usable_vectors(batch.column(1), dims)
+            best = Best(len(positions), k, n_ids)
             best.compare(questions, vectors, ids)
             question, place, found, scores = best.rows()
-            columns = [batch.column(0).take(pa.array(rows[question]))]
+            columns = [batch.column(0).take(pa.array(positions[question]))]
             columns.append(pa.array(place, pa.int32()))
             columns += [pa.array(column, pa.int64()) for column in found]
             columns.append(pa.array(scores, pa.float64()))
@@ -208,17 +232,20 @@ def _collect(rows: DataFrame, limit: int) -> pa.Table | None:
 
 
 def _question_block(shape: _Shape, table: pa.Table):
-    """Hand a block of questions to all executors."""
-    positions, matrix = unit_rows(table.column(1), shape.dims)
+    """Hand a block of questions to all executors, as plain arrays.
+
+    Broadcasts are pickled by reference, and executors need not have this package.
+    """
+    positions, questions = usable_vectors(table.column(1), shape.dims)
     qids = table.column(0).combine_chunks().take(pa.array(positions))
-    return shape.questions.sparkSession.sparkContext.broadcast((qids, matrix))
+    return shape.questions.sparkSession.sparkContext.broadcast((qids, *questions))
 
 
 def _vector_block(shape: _Shape, table: pa.Table):
     """Hand a block of vectors to all executors."""
-    positions, matrix = unit_rows(table.column(len(shape.ids)), shape.dims)
+    positions, vectors = usable_vectors(table.column(len(shape.ids)), shape.dims)
     ids = _id_arrays(table.combine_chunks(), len(shape.ids), positions)
-    return shape.vectors.sparkSession.sparkContext.broadcast((ids, matrix))
+    return shape.vectors.sparkSession.sparkContext.broadcast((ids, *vectors))
 
 
 def best_k(candidates: DataFrame, k: int, qid: str, ids: Sequence[str]) -> DataFrame:
@@ -290,7 +317,7 @@ def topk_batch(
     hand in stored tables and not the plan that computes them.
     """
     shape = _Shape(questions, vectors, k, qid, ids, vector, question_vector, dims)
-    limit = max(1, block_bytes // (8 * dims + 8 * k * (1 + len(shape.ids))))
+    limit = max(1, block_bytes // shape.row_bytes())
     few = _collect(shape.questions, limit)
     if few is not None:
         return best_k(_scan_vectors(shape, _question_block(shape, few)), k, qid, shape.ids)

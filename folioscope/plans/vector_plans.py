@@ -102,7 +102,7 @@ def topk_batch(spark, folder):
 )
 def topk_batch_blocks(spark, folder):
     """The same search when neither side fits into one block."""
-    hits = neighbours(spark, folder, block_bytes=200_000)
+    hits = neighbours(spark, folder, block_bytes=100_000)
     return hits.select(
         "qid", F.col("rank").cast("bigint").alias("rank"), "vec_id", F.round("score", 6).alias("score")
     )

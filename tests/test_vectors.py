@@ -1,5 +1,6 @@
 """Embedding and exact top-k against brute force."""
 
+import pickle
 import sys
 
 import numpy as np
@@ -65,7 +66,7 @@ def test_question_block(sides, k):
 
 
 def limit_bytes(rows, k):
-    return rows * (8 * DIMS + 16 * k)
+    return rows * (4 * DIMS + 8 + 16 * k)
 
 
 @pytest.mark.parametrize("k", [1, 5])
@@ -94,10 +95,12 @@ def test_neither_side_fits(sides, swap):
 def test_tiles(sides, monkeypatch):
     questions, vectors, asked, held = sides
     best = R.Best(3, 2, 1)
-    q, v = np.eye(3), np.array([[1.0, 0, 0], [1.0, 0, 0], [0, 1.0, 0], [0.6, 0.8, 0]])
+    q = R.Vectors(np.eye(3), np.ones(3))
+    v = np.array([[1.0, 0, 0], [1.0, 0, 0], [0, 1.0, 0], [0.6, 0.8, 0]])
     monkeypatch.setattr(R, "TILE_CELLS", 4)
     for start in range(0, 4, 2):
-        best.compare(q, v[start : start + 2], [np.arange(start, start + 2)])
+        part = R.Vectors(v[start : start + 2], np.ones(2))
+        best.compare(q, part, [np.arange(start, start + 2)])
     question, place, (ids,), scores = best.rows()
     assert list(zip(question, place, ids, scores, strict=True)) == [
         (0, 1, 0, 2.0),
@@ -109,6 +112,16 @@ def test_tiles(sides, monkeypatch):
     ]
 
 
+def test_blocks_need_no_package_on_executors(sides):
+    *_, asked, held = sides
+    shape = R._Shape(asked, held, 1, "qid", ["vec_id"], "embedding", "embedding", DIMS)
+    blocks = [
+        R._question_block(shape, shape.questions.toArrow()),
+        R._vector_block(shape, shape.vectors.toArrow()),
+    ]
+    assert not any(b"folioscope" in pickle.dumps(block.value) for block in blocks)
+
+
 def test_single_question(sides):
     questions, vectors, _, held = sides
     top = R.topk_single(held, questions[5][1], 4)
