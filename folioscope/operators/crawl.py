@@ -150,14 +150,18 @@ def crawl_bfs(
     folder = workspace.new_folder(spark, "crawl")
     pages = with_fetch_key(pages)
 
-    # One page per fetched URL; the others are few and leave by an anti join on the URL.
+    # One page per fetched URL.  The URLs with several pages are stored on their own: their
+    # known size lets Spark broadcast them, so that no page body is shuffled.
     known = pages.groupBy("fetch_url").agg(
-        F.min(F.struct("url", "content_type")).alias("_page")
+        F.min(F.struct("url", "content_type")).alias("_page"), F.count(F.lit(1)).alias("n_pages")
     )
-    known = known.select("fetch_url", "_page.url", "_page.content_type")
+    known = known.select("fetch_url", "_page.url", "_page.content_type", "n_pages")
     known = workspace.stored(known, f"{folder}/known")
-    double = pages.select("url", "fetch_url").join(known, ["url", "fetch_url"], "left_anti")
-    single = pages.join(double, ["url", "fetch_url"], "left_anti")
+    several = known.where("n_pages > 1").select("fetch_url", F.col("url").alias("_kept"))
+    several = workspace.stored(several, f"{folder}/several")
+    single = pages.join(several, "fetch_url", "left").where(
+        F.col("_kept").isNull() | (F.col("_kept") == F.col("url"))
+    )
     links = workspace.stored(link_table(single, start_url, segment_aligned), f"{folder}/links")
 
     depth = 0
@@ -169,12 +173,14 @@ def crawl_bfs(
         full = T.StructType([*schema.fields, T.StructField("depth", T.IntegerType())])
         return spark.read.schema(full).parquet(f"{folder}/{name}")
 
-    while depth != max_depth:
+    while True:
         if max_saves is not None:
             tried = _attempts(layer.withColumn("depth", F.lit(depth)), links, known).drop("depth")
             tried = workspace.stored(tried, f"{folder}/attempts/depth={depth}")
             if _saved(table("attempts", tried.schema)) >= max_saves:
                 break
+        if depth == max_depth:
+            break
         found = _followed(layer, links, "enqueue")
         seen = table("visits", layer.schema).select("url")
         new = visited_filter(found, seen).withColumnsRenamed({"rank": "_parent", "pos": "_pos"})

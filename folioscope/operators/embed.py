@@ -87,15 +87,16 @@ def pool_positions(encoded: DataFrame, key: Sequence[str], positions: int = EMBE
 
 
 def mean_pool(df: DataFrame, key: str, vector: str, dims: int) -> DataFrame:
-    """The mean vector of every group.
+    """The mean vector of every group: key, mean; vectors of another size are left out.
 
-    One aggregate per dimension: each task ships one row per group it saw, however large
-    the group, and no vector is ever taken apart into rows.
+    Each task ships one row per group and dimension it saw, however large the group.  The
+    list put together per group has ``dims`` entries.
     """
-    means = df.groupBy(key).agg(
-        *(F.avg(F.get(vector, F.lit(i)).cast("double")).alias(f"_{i}") for i in range(dims))
-    )
-    return means.select(key, F.array(*(f"_{i}" for i in range(dims))).alias("mean"))
+    sized = df.where(F.size(vector) == dims)
+    numbers = sized.select(key, F.posexplode(vector).alias("_dim", "_number"))
+    means = numbers.groupBy(key, "_dim").agg(F.avg(F.col("_number").cast("double")).alias("_mean"))
+    parts = F.array_sort(F.collect_list(F.struct("_dim", "_mean")))
+    return means.groupBy(key).agg(F.transform(parts, lambda p: p["_mean"]).alias("mean"))
 
 
 def check_dims(df: DataFrame, dims: int, vector: str = "embedding") -> tuple[DataFrame, DataFrame]:

@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from folioscope import plugins
+from folioscope import plugins, workspace
 from folioscope.operators import conversation as C
 from folioscope.operators.arrow import add_columns
 from folioscope.operators.embed import embed_questions
@@ -32,7 +32,7 @@ def generate_batch(
     """Add response, status and error.
 
     A prompt that fails marks its own row: ``error`` when the generator raises,
-    ``invalid`` when it returns no text, otherwise ``ok``.
+    ``invalid`` when it returns no text, otherwise ``ok``.  A null prompt is ``not_asked``.
     """
     position = df.columns.index(prompt)
 
@@ -40,6 +40,8 @@ def generate_batch(
         plugins.start(generator)
 
         def one(text):
+            if text is None:
+                return None, "not_asked", None
             try:
                 answer = generator.generate(text, model, temperature)
             except Exception as error:
@@ -109,7 +111,8 @@ def question_hits(
     asked = turns.where(F.col("role") == "user").select(
         F.struct("conv_id", "turn").alias("qid"), F.coalesce("text", F.lit("")).alias("question")
     )
-    embedded = embed_questions(asked, encoder)
+    # Stored, so that every question is encoded once however often the search reads it.
+    embedded = workspace.materialize(embed_questions(asked, encoder), "questions")
     hits = topk_batch(embedded, chunks, encoder.dims, k, "qid", ids)
     return hits.select("qid.conv_id", "qid.turn", "rank", *ids, "score")
 
@@ -129,16 +132,14 @@ def answer_questions(
     A question without documents is reported as ``no_documents`` and not asked.
     """
     prompts = answer_prompts(turns, chunks, encoder, k, ids, layout)
-    ready = prompts.where(F.col("prompt").isNotNull())
-    told = generate_batch(ready, generator, model, FACTUAL_TEMPERATURE)
+    told = generate_batch(prompts, generator, model, FACTUAL_TEMPERATURE)
     answer = F.when(F.col("status") == "ok", C.clean_answer("response", layout.answer))
-    answered = told.select("conv_id", "turn", "question", answer.alias("answer"), "status", "error")
-    missing = prompts.where(F.col("prompt").isNull()).select(
+    status = F.when(F.col("prompt").isNull(), "no_documents").otherwise(F.col("status"))
+    return told.select(
         "conv_id",
         "turn",
         "question",
-        F.lit(None).cast("string").alias("answer"),
-        F.lit("no_documents").alias("status"),
-        F.lit(None).cast("string").alias("error"),
+        answer.alias("answer"),
+        status.alias("status"),
+        "error",
     )
-    return answered.unionByName(missing)

@@ -145,16 +145,17 @@ class Model:
 
 
 def test_failures_stay_in_their_rows(spark):
-    rows = spark.createDataFrame([(1, "fine"), (2, "raise"), (3, "nothing")], "id int, prompt string")
+    rows = spark.createDataFrame([(1, "fine"), (2, "raise"), (3, "nothing"), (4, None)], "id int, prompt string")
     told = N.generate_batch(rows, Model(), "m", 0.5)
     found = {r.id: (r.response, r.status, r.error) for r in told.collect()}
     assert found == {
         1: ("m 0.5\n\n \nfine", "ok", None),
         2: (None, "error", "RuntimeError: down"),
         3: (None, "invalid", None),
+        4: (None, "not_asked", None),
     }
     counts = {r.status: r.n_prompts for r in N.generation_status(told).collect()}
-    assert counts == {"ok": 1, "error": 1, "invalid": 1}
+    assert counts == {"ok": 1, "error": 1, "invalid": 1, "not_asked": 1}
 
 
 def test_summaries(spark):

@@ -116,6 +116,14 @@ def test_crawl_stops_at_the_limit(spark, limit):
     assert report["saved"] == limit
 
 
+def test_crawl_stops_at_a_depth(spark):
+    rows = table(spark, [(START, "p1", "text/html"), (START + "p1", "p2", "text/html")])
+    for limit in (None, 5):
+        crawl = W.crawl_bfs(rows, START, max_saves=limit, max_depth=1)
+        assert sorted(r.url for r in crawl.visits.collect()) == [START, START + "p1"]
+        assert crawl.saves(5).count() == 2
+
+
 def test_unsafe_and_missing_start(spark):
     rows = table(
         spark,
