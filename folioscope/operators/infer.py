@@ -15,6 +15,7 @@ from folioscope.operators.arrow import add_columns
 from folioscope.operators.embed import embed_questions
 from folioscope.operators.retrieve import DOC_LIMIT, hit_projection, topk_batch
 
+# What a generator is asked for unless the caller says otherwise.
 CHAT_TEMPERATURE = 0.8
 FACTUAL_TEMPERATURE = 0.0
 MODEL = "llama3.1"
