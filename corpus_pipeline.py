@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioscope import workspace
-from folioscope.llm import decontaminate, repetition, spread
+from folioscope.llm import decontaminate, pieces, repetition, setjoin, spread
 
 
 def _counted(docs: DataFrame, columns: list[str]) -> DataFrame:
@@ -30,6 +30,11 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return _counted(spread.remove_wide_lines(docs), docs.columns)
 
 
+def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document, that with the smallest id, of each class of near copies."""
+    return setjoin.keep_one(docs)
+
+
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without benchmark passages; documents that mostly consist of them go."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
@@ -37,10 +42,20 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     return _counted(cleaned, docs.columns)
 
 
+def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Ids of a sampled segmentation of every text, seeded by the document's id."""
+    import public_tokenizers
+
+    encoded = pieces.encode_sampled(docs, public_tokenizers.path("piece_bpe_32k.model"))
+    return encoded.withColumn("n_ids", F.size("ids").cast("bigint"))
+
+
 STAGES = [
     ("quality rules", quality_rules),
     ("line dedup", line_dedup),
+    ("n-gram Jaccard join", jaccard_join),
     ("benchmark decontamination", decontamination),
+    ("SentencePiece encoding and decoding", token_ids),
 ]
 
 # The last stage samples segmentations, which SQL cannot express.

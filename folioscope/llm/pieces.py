@@ -1,19 +1,19 @@
 """Sampled segmentations of text into the pieces of a public vocabulary, and their decoding.
 
-A text is cut into words that each begin with their blank, as the pieces do.  Over the
-lattice of pieces of a word, forward filtering sums the weights of all segmentations of
-each prefix; backward sampling then draws one segmentation, piece by piece from the end,
-with the probability that the weights give it.  The draws are numbers computed from the
-row key, so a row gets the same segmentation in every run, task and batch.
-
-Characters without a piece become byte pieces, as do a literal U+2581 and anything else
-that decoding could not tell apart, so decoding the ids always gives back the text.
+A text is cut into words that begin with their blanks, as the pieces do, so that no piece
+crosses a cut.  Over the lattice of pieces of a word, forward filtering sums the weights of
+all segmentations of each prefix; backward sampling then draws one segmentation, piece by
+piece from the end, with the probability that the weights give it.  The draws are numbers
+computed from the row key, so a row gets the same segmentation in every run, task and batch.
+
+Characters without a piece become byte pieces, as does a literal U+2581, which decoding
+could not tell from a blank; so decoding the ids always gives back the text.
 """
 
 from __future__ import annotations
 
-import re
 from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -23,143 +23,214 @@ from pyspark.sql import functions as F
 from folioscope.llm import words
 
 BLANK = "▁"
-# Words whose lattices a Python worker keeps; the rest is computed again.
-KEPT_WORDS = 200_000
-# A longer run without a blank is cut, so that one lattice stays small.
+# Text whose lattices are held at once, in bytes.
+PIECE_BYTES = 1 << 20
+# A longer run without a blank is cut, so that a lattice stays small.
 MAX_WORD = 64
 
-_WORD = re.compile(r"[ ]+[^ ]{0,%d}|[^ ]{1,%d}" % (MAX_WORD, MAX_WORD))
-_BLANKS = MAX_WORD
-
-
-class Lattices:
-    """Transition tables of words: for each end position the begins to draw from."""
-
-    def __init__(self, path: str, theta: float) -> None:
-        import sentencepiece
-
-        model = sentencepiece.SentencePieceProcessor(model_file=path)
-        size = model.get_piece_size()
-        self.byte_ids = [model.piece_to_id(f"<0x{byte:02X}>") for byte in range(256)]
-        special = {
-            i for i in range(size) if model.is_control(i) or model.is_unknown(i) or model.is_byte(i)
-        }
-        # Scores of merge vocabularies are negative ranks; weights fall with the rank as
-        # frequencies do.  A piece that merging never yields has the lowest weight.
-        self.pieces = {
-            model.id_to_piece(i): (i, -theta * float(np.log1p(max(-model.get_score(i), 0.0))))
-            for i in range(size)
-            if i not in special
-        }
-        self.longest = max(map(len, self.pieces))
-        self.byte_weight = -theta * float(np.log1p(size))
-        self.known: dict[str, int] = {}
-        self.clear()
-
-    def clear(self) -> None:
-        """Forget all words; their numbers are given anew."""
-        self.known.clear()
-        self.first_node: list[int] = []  # node of a word's end
-        self.node_edges: list[int] = [0]
-        self.edge_sum: list[float] = []  # node + running share: increasing over all edges
-        self.edge_ids: list[tuple[int, ...]] = []
-        self.edge_back: list[int] = []  # node at the begin of the piece, -1 at the word's begin
-        self._arrays = None
-
-    def number(self, word: str) -> int:
-        got = self.known.get(word)
-        return self._add(word) if got is None else got
-
-    def _add(self, word: str) -> int:
-        size = len(word)
-        shown = word.replace(" ", BLANK)
-        literal = [c == BLANK for c in word]
-        total = [0.0] + [0.0] * size  # log of the summed weights of each prefix
-        base = len(self.node_edges) - 1
-        for end in range(1, size + 1):
-            edges = []
-            for begin in range(max(0, end - self.longest), end):
-                piece = self.pieces.get(shown[begin:end])
-                if piece is not None and not any(literal[begin:end]):
-                    edges.append((total[begin] + piece[1], begin, (piece[0],)))
-            if not any(begin == end - 1 for _, begin, _ in edges):
-                raw = word[end - 1].encode("utf-8")
-                ids = tuple(self.byte_ids[b] for b in raw)
-                edges.append((total[end - 1] + self.byte_weight * len(raw), end - 1, ids))
-            top = max(weight for weight, _, _ in edges)
-            shares = np.exp([weight - top for weight, _, _ in edges])
-            total[end] = top + float(np.log(shares.sum()))
-            running = np.cumsum(shares / shares.sum())
-            node = base + end - 1
-            for share, (_, begin, ids) in zip(running, edges):
-                self.edge_sum.append(node + min(float(share), 1.0))
-                self.edge_back.append(base + begin - 1 if begin else -1)
-                self.edge_ids.append(ids)
-            self.edge_sum[-1] = node + 1.0
-            self.node_edges.append(len(self.edge_sum))
-        number = len(self.first_node)
-        self.first_node.append(base + size - 1)
-        self.known[word] = number
-        self._arrays = None
-        return number
-
-    def arrays(self) -> tuple[np.ndarray, ...]:
-        if self._arrays is None:
-            sizes = np.array([len(ids) for ids in self.edge_ids], np.int64)
-            self._arrays = (
-                np.array(self.first_node, np.int64),
-                np.array(self.node_edges, np.int64),
-                np.array(self.edge_sum),
-                np.array(self.edge_back, np.int64),
-                sizes,
-                np.concatenate([[0], np.cumsum(sizes)]).astype(np.int64),
-                np.array([i for ids in self.edge_ids for i in ids], np.int32),
-            )
-        return self._arrays
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+_NO_PIECE, _BYTES = -1, -2
+_LITERAL = 0x110000  # no code point, and so part of no piece
+
+
+class Vocabulary(NamedTuple):
+    """Pieces by their length in code points: sorted hashes with ids and weights."""
+
+    by_length: list[tuple[np.ndarray, np.ndarray, np.ndarray]]
+    byte_ids: np.ndarray
+    byte_weight: float
+    texts: list[bytes]  # what each id stands for
+
+
+def _text_of(model, i: int) -> bytes:
+    piece = model.id_to_piece(i)
+    if model.is_byte(i):
+        return bytes([int(piece[1:-1], 16)])
+    if model.is_control(i) or model.is_unknown(i):
+        return b""
+    return piece.replace(BLANK, " ").encode("utf-8")
 
 
 @lru_cache(maxsize=2)
-def _lattices(path: str, theta: float) -> Lattices:
-    return Lattices(path, theta)
+def load(path: str, theta: float = 1.0) -> Vocabulary:
+    """Read a vocabulary.  The scores of a merge vocabulary are negative ranks; the weight of
+    a piece falls with its rank as frequencies do: ``(1 + rank) ** -theta``."""
+    import sentencepiece
+
+    model = sentencepiece.SentencePieceProcessor(model_file=path)
+    size = model.get_piece_size()
+    grouped: dict[int, list[tuple[int, int, float]]] = {}
+    for i in range(size):
+        if model.is_control(i) or model.is_unknown(i) or model.is_byte(i):
+            continue
+        points = np.frombuffer(model.id_to_piece(i).encode("utf-32-le"), np.uint32)
+        total = np.zeros(1, np.uint64)
+        for point in points:
+            total = total * _STEP + np.uint64(point + 1)
+        weight = -theta * float(np.log1p(max(-model.get_score(i), 0.0)))
+        grouped.setdefault(len(points), []).append((int(total[0]), i, weight))
+    by_length = []
+    for length in range(1, max(grouped) + 1):
+        rows = sorted(grouped.get(length, []))
+        by_length.append(
+            (
+                np.array([r[0] for r in rows], np.uint64),
+                np.array([r[1] for r in rows], np.int32),
+                np.array([r[2] for r in rows], np.float64),
+            )
+        )
+    bytes_ = np.array([model.piece_to_id(f"<0x{byte:02X}>") for byte in range(256)], np.int32)
+    texts = [_text_of(model, i) for i in range(size)]
+    return Vocabulary(by_length, bytes_, -theta * float(np.log1p(size)), texts)
+
+
+class Words(NamedTuple):
+    """Words of a column, as ranges of code points."""
+
+    starts: np.ndarray
+    ends: np.ndarray
+    rows: np.ndarray  # index of the first word of each row, and the number of words
+
+
+def split_words(data: np.ndarray, heads: np.ndarray, offsets: np.ndarray) -> Words:
+    """Cut rows where a blank follows another character, and words that are too long.
+
+    ``heads`` are the bytes at which code points begin.
+    """
+    blank = data[heads] == 0x20
+    first = np.searchsorted(heads, offsets)  # code point at which each row begins
+    cut = blank.copy()
+    cut[1:] &= ~blank[:-1]
+    cut[first[:-1][first[:-1] < len(heads)]] = True
+    starts = np.flatnonzero(cut)
+    ends = np.append(starts[1:], len(heads))
+    parts = -(-(ends - starts) // MAX_WORD)
+    if (parts > 1).any():
+        within = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
+        limits = np.repeat(ends, parts)
+        starts = np.repeat(starts, parts) + within * MAX_WORD
+        ends = np.minimum(starts + MAX_WORD, limits)
+    return Words(starts, ends, np.searchsorted(starts, first))
+
+
+class Lattice(NamedTuple):
+    """For each character of the distinct words, the pieces that may end there."""
+
+    ids: np.ndarray  # by character and length of the piece
+    shares: np.ndarray  # running probabilities of the lengths
+    first: np.ndarray  # first character of each word
+    last: np.ndarray
+
+
+def build_lattice(
+    vocabulary: Vocabulary, points: np.ndarray, widths: np.ndarray, first: np.ndarray, last: np.ndarray
+) -> Lattice:
+    """Forward filtering over all words at once.
+
+    ``points`` are the code points of the words one after the other, ``widths`` their bytes.
+    """
+    longest = len(vocabulary.by_length)
+    size = len(points)
+    ids = np.full((size, longest), _NO_PIECE, np.int32)
+    weights = np.full((size, longest), -np.inf)
+    left = np.repeat(last, last - first + 1) - np.arange(size) + 1  # characters from here on
+    begins = np.arange(size)
+    total = np.zeros(size, np.uint64)
+    for length, (hashes, piece_ids, piece_weights) in enumerate(vocabulary.by_length, 1):
+        begins = begins[left[begins] >= length]
+        ends = begins + (length - 1)
+        total[begins] = total[begins] * _STEP + (points[ends] + np.uint64(1))
+        if not len(hashes):
+            continue
+        at = np.searchsorted(hashes, total[begins])
+        at[at == len(hashes)] = 0
+        found = hashes[at] == total[begins]
+        ids[ends[found], length - 1] = piece_ids[at[found]]
+        weights[ends[found], length - 1] = piece_weights[at[found]]
+    alone = ids[:, 0] == _NO_PIECE
+    ids[alone, 0] = _BYTES
+    weights[alone, 0] = vocabulary.byte_weight * widths[alone]
+
+    summed = np.zeros(size)
+    shares = np.zeros((size, longest))
+    lengths = last - first + 1
+    for depth in range(int(lengths.max(initial=0))):
+        at = first[lengths > depth] + depth
+        reach = min(depth + 1, longest)
+        before = np.zeros((len(at), reach))
+        inner = min(depth, longest)
+        before[:, :inner] = summed[at[:, None] - np.arange(1, inner + 1)]
+        score = weights[at, :reach] + before
+        top = score.max(1)
+        running = np.cumsum(np.exp(score - top[:, None]), 1)
+        summed[at] = top + np.log(running[:, -1])
+        shares[at, :reach] = running / running[:, -1:]
+        shares[at, reach:] = 1.0
+    return Lattice(ids, shares, first, last)
 
 
 def draws(seeds: np.ndarray, places: np.ndarray, step: int) -> np.ndarray:
     """Numbers in [0, 1) that depend on the row, the word's place in it and the step only."""
-    at = places.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15) + np.uint64(step)
+    at = places.astype(np.uint64) * _STEP + np.uint64(step)
     return (words.mix(seeds ^ words.mix(at)) >> np.uint64(11)) * (1.0 / (1 << 53))
 
 
-def split_words(text: str) -> list[str]:
-    """Runs that pieces do not cross: blanks in front of other characters, of bounded length."""
-    return _WORD.findall(text)
-
-
-def sample(lattices: Lattices, numbers: np.ndarray, seeds: np.ndarray, places: np.ndarray):
-    """Ids of the drawn pieces of all words, in order, and how many each word has."""
-    first, nodes, sums, back, sizes, begins, flat = lattices.arrays()
-    at = first[numbers]
+def sample(
+    lattice: Lattice, numbers: np.ndarray, seeds: np.ndarray, places: np.ndarray
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Backward sampling: word, last character and length of each drawn piece, in order."""
+    at = lattice.last[numbers]
+    begin = lattice.first[numbers]
     live = np.arange(len(numbers))
     taken = []
-    step = 0
     while len(live):
         node = at[live]
-        share = draws(seeds[live], places[live], step)
-        low, high = nodes[node], nodes[node + 1] - 1
-        edge = np.clip(np.searchsorted(sums, node + share, "right"), low, high)
-        taken.append((live, edge))
-        at[live] = back[edge]
-        live = live[back[edge] >= 0]
-        step += 1
+        share = draws(seeds[live], places[live], len(taken))
+        length = (lattice.shares[node] <= share[:, None]).sum(1) + 1
+        taken.append((live, node, length))
+        at[live] = node - length
+        live = live[at[live] >= begin[live]]
     if not taken:
-        return np.empty(0, np.int32), np.zeros(len(numbers), np.int64)
-    word = np.concatenate([w for w, _ in taken])
-    edge = np.concatenate([e for _, e in taken])
-    order = np.concatenate([np.full(len(w), -k) for k, (w, _) in enumerate(taken)])
-    by_place = np.lexsort((order, word))
-    word, edge = word[by_place], edge[by_place]
-    counts = np.bincount(word, sizes[edge], minlength=len(numbers)).astype(np.int64)
-    total = np.repeat(begins[edge] - np.concatenate([[0], np.cumsum(sizes[edge])[:-1]]), sizes[edge])
-    return flat[total + np.arange(len(total))], counts
+        return (np.empty(0, np.int64),) * 3
+    word, node, length = (np.concatenate([t[k] for t in taken]) for k in range(3))
+    order = np.lexsort((node, word))
+    return word[order], node[order], length[order]
+
+
+def encode_column(
+    vocabulary: Vocabulary, data: np.ndarray, offsets: np.ndarray, seeds: np.ndarray
+) -> tuple[np.ndarray, np.ndarray]:
+    """Ids of all rows one after the other, and where each row's begin."""
+    heads = np.flatnonzero((data & 0xC0) != 0x80)
+    if not len(heads):
+        return np.empty(0, np.int32), np.zeros(len(offsets), np.int64)
+    points = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
+    tails = np.append(heads[1:], len(data))
+    found = split_words(data, heads, offsets)
+    hashes = words.run_hashes(data, heads[found.starts], tails[found.ends - 1])
+    _, example, numbers = np.unique(hashes, return_index=True, return_inverse=True)
+
+    sizes = (found.ends - found.starts)[example]
+    first = np.cumsum(sizes) - sizes
+    source = np.repeat(found.starts[example] - first, sizes) + np.arange(sizes.sum())
+    own = points[source].astype(np.uint64)
+    own[own == ord(BLANK)] = _LITERAL
+    own[own == 0x20] = ord(BLANK)
+    widths = (tails - heads)[source]
+    lattice = build_lattice(vocabulary, own, widths, first, first + sizes - 1)
+
+    counts = np.diff(found.rows)
+    places = np.arange(len(numbers)) - np.repeat(found.rows[:-1], counts)
+    word, node, length = sample(lattice, numbers, np.repeat(seeds, counts), places)
+    ids = lattice.ids[node, length - 1]
+    many = np.where(ids == _BYTES, widths[node], 1)
+    begin = np.cumsum(many) - many
+    out = np.repeat(ids, many)
+    spelled = np.repeat(ids == _BYTES, many)
+    byte = np.repeat(heads[source[node]] - begin, many) + np.arange(len(out))
+    out[spelled] = vocabulary.byte_ids[data[byte[spelled]]]
+    per_word = np.bincount(word, many, minlength=len(numbers)).astype(np.int64)
+    return out, np.concatenate([[0], np.cumsum(per_word)])[found.rows]
 
 
 def encode_sampled(
@@ -184,28 +255,16 @@ def encode_sampled(
     )
 
     def run(batches):
-        lattices = _lattices(model, theta)
+        vocabulary = load(model, theta)
         for batch in batches:
-            for piece in words.pieces(batch, "text", 1 << 20):
-                if len(lattices.known) > KEPT_WORDS:
-                    lattices.clear()
+            for piece in words.pieces(batch, "text", PIECE_BYTES):
                 column = piece.column(2)
-                numbers, counts = [], []
-                for value in column.to_pylist():
-                    own = split_words(value) if value else []
-                    numbers.extend(map(lattices.number, own))
-                    counts.append(len(own))
-                rows = np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)
                 seeds = piece.column(1).to_numpy().view(np.uint64)
-                places = np.arange(rows[-1]) - np.repeat(rows[:-1], counts)
-                ids, sizes = sample(
-                    lattices, np.array(numbers, np.int64), np.repeat(seeds, counts), places
-                )
-                ends = np.concatenate([[0], np.cumsum(sizes)])[rows].astype(np.int32)
-                null = column.is_null()
-                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(ids))
+                ids, ends = encode_column(vocabulary, *words.buffers(column), seeds)
+                lists = pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids))
                 if column.null_count:
-                    lists = pa.compute.if_else(null, pa.scalar(None, lists.type), lists)
+                    none = pa.scalar(None, lists.type)
+                    lists = pa.compute.if_else(column.is_null(), none, lists)
                 yield pa.RecordBatch.from_arrays([piece.column(0), lists], names=["key", "ids"])
 
     kind = chosen.schema["key"].dataType.simpleString()
@@ -213,39 +272,36 @@ def encode_sampled(
     return encoded.withColumnsRenamed({"key": key, "ids": out})
 
 
-@lru_cache(maxsize=2)
-def _piece_bytes(path: str) -> list[bytes]:
-    import sentencepiece
-
-    model = sentencepiece.SentencePieceProcessor(model_file=path)
-    table = []
-    for i in range(model.get_piece_size()):
-        piece = model.id_to_piece(i)
-        if model.is_byte(i):
-            table.append(bytes([int(piece[1:-1], 16)]))
-        elif model.is_control(i) or model.is_unknown(i):
-            table.append(b"")
-        else:
-            table.append(piece.replace(BLANK, " ").encode("utf-8"))
-    return table
-
-
-def decode(
-    encoded: DataFrame, model: str, ids: str = "ids", out: str = "decoded"
-) -> DataFrame:
+def decode_lists(vocabulary: Vocabulary, lists: pa.Array) -> pa.Array:
+    """The texts of lists of ids; a null list has a null text."""
+    table = np.frombuffer(b"".join(vocabulary.texts), np.uint8)
+    widths = np.array([len(t) for t in vocabulary.texts], np.int64)
+    begins = np.cumsum(widths) - widths
+    ids = lists.flatten().to_numpy(zero_copy_only=False)
+    counts = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    many = widths[ids]
+    ends = np.concatenate([[0], np.cumsum(many)])
+    source = np.repeat(begins[ids] - ends[:-1], many) + np.arange(ends[-1])
+    rows = np.concatenate([[0], np.cumsum(counts)])
+    offsets = pa.py_buffer(ends[rows].astype(np.int32).tobytes())
+    held = pa.py_buffer(table[source].tobytes())
+    texts = pa.Array.from_buffers(pa.string(), len(lists), [None, offsets, held])
+    none = pa.scalar(None, pa.string())
+    return pa.compute.if_else(lists.is_null(), none, texts) if lists.null_count else texts
+
+
+def decode(encoded: DataFrame, model: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
     """All columns and ``out``, the text that the ids stand for; null ids give null."""
     fields = encoded.columns
     at = fields.index(ids)
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema]
 
     def run(batches):
-        table = _piece_bytes(model)
+        vocabulary = load(model)
         for batch in batches:
-            texts = [
-                None if own is None else b"".join([table[i] for i in own]).decode("utf-8")
-                for own in batch.column(at).to_pylist()
-            ]
-            columns = [*batch.columns, pa.array(texts, pa.string())]
-            yield pa.RecordBatch.from_arrays(columns, names=[*fields, out])
+            for begin in range(0, batch.num_rows, 256):
+                part = batch.slice(begin, 256)
+                columns = [*part.columns, decode_lists(vocabulary, part.column(at))]
+                yield pa.RecordBatch.from_arrays(columns, names=[*fields, out])
 
     return encoded.mapInArrow(run, ", ".join([*kinds, f"`{out}` string"]))

@@ -3,8 +3,18 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-
-from folioscope.llm import decontaminate, licenses, repetition, spread, tokencount
+from pyspark.sql import functions as F
+
+from folioscope.llm import (
+    decontaminate,
+    licenses,
+    links,
+    pieces,
+    repetition,
+    setjoin,
+    spread,
+    tokencount,
+)
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -26,6 +36,7 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 # --- 1: quality rules ------------------------------------------------------------------
 
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _SPACE_WORDS = r"regexp_extract_all({}, '[^\x20\x09-\x0D]+')"
 
 
@@ -129,9 +140,66 @@ def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# --- 6: sampled pieces -----------------------------------------------------------------
+
+
+@query("op6_sampled_pieces")
+def op6_sampled_pieces(spark: SparkSession, folder: str) -> DataFrame:
+    """Digests of the sampled ids and of what they decode to."""
+    import public_tokenizers
+
+    model = public_tokenizers.path("piece_bpe_32k.model")
+    encoded = pieces.encode_sampled(table(spark, folder, "documents"), model)
+    return pieces.decode(encoded, model).select(
+        "doc_id",
+        F.coalesce(F.size("ids"), F.lit(0)).cast("bigint").alias("n_pieces"),
+        F.sha2(F.coalesce(F.array_join("ids", ","), F.lit("")), 256).alias("ids_sha256"),
+        F.sha2(F.coalesce("decoded", F.lit("")), 256).alias("decoded_sha256"),
+    )
+
+
+# --- 8: n-gram Jaccard join ------------------------------------------------------------
+
+_CLASS_SQL = rf"""
+    WITH RECURSIVE w AS (
+        SELECT doc_id, {_SPACE_WORDS.format(_LOWER.format("coalesce(text, '')"))} AS w
+        FROM documents
+    ),
+    s AS (
+        SELECT DISTINCT doc_id, array_to_string(w[i:i + {links.SHINGLE_WORDS - 1}], ' ') AS g
+        FROM (
+            SELECT doc_id, w,
+                unnest(range(1, greatest(len(w) - {links.SHINGLE_WORDS - 1}, 1) + 1)) AS i
+            FROM w WHERE len(w) > 0
+        )
+    ),
+    sizes AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    common AS (
+        SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+        FROM s a JOIN s b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY ALL
+    ),
+    linked AS (
+        SELECT a, b FROM common c JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id
+        WHERE 100 * c.n >= {links.PERCENT} * (x.n + y.n - c.n)
+    ),
+    reach AS (
+        SELECT a, b FROM linked
+        UNION
+        SELECT reach.a, linked.b FROM reach JOIN linked ON reach.b = linked.a
+    )
+    SELECT doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles,
+        least(doc_id, min(b)) AS component_id
+    FROM documents LEFT JOIN sizes USING (doc_id) LEFT JOIN reach ON a = doc_id
+    GROUP BY doc_id"""
+
+
+@query("op8_jaccard_join", _CLASS_SQL)
+def op8_jaccard_join(spark: SparkSession, folder: str) -> DataFrame:
+    return setjoin.jaccard_classes(table(spark, folder, "documents"))
+
+
 # --- 9: benchmark decontamination ------------------------------------------------------
 
-_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _PLAIN_WORDS = (
     "regexp_extract_all("
     + _LOWER.format("coalesce(text, '')")
