@@ -5,10 +5,11 @@ order: those beyond the first ``n - ceil(t * n) + 1`` of a set of n are too few.
 share such a shingle form a tile.  The order is by hash, but shingles that many documents
 have come last, which keeps tiles small; it decides how much is compared, never the result.
 
-Only classes are wanted, so members of one class need not be compared.  A first round links
-every set with the set of smallest size that it shares most shingles with.  What the tiles
-then still hold of different classes is cut into blocks of sets of like size; hashed bitmaps
-bound the overlap from above, and the sorted arrays of the pairs that pass decide.
+Only classes are wanted, so members of one class need not be compared.  A first round tests
+all pairs of small tiles, and in larger ones each set with a leader and a neighbour.  What
+the larger tiles then still hold of different classes is cut into blocks of sets of like
+size and compared block by block.  In both rounds hashed bitmaps bound the overlap from
+above, and the sorted arrays of the pairs that pass decide.
 """
 
 from __future__ import annotations
@@ -26,7 +27,9 @@ COMMON_SHINGLES = 50_000
 # A shingle is reported as common from so many documents of a piece of text on.
 COMMON_IN_PIECE = 3
 COMMON_TOTAL = 32
-# Sets in a block of a tile.
+# All pairs of a tile of so many sets are tested at once.
+SMALL_TILE = 6
+# Sets in a block of a larger tile.
 BLOCK = 512
 # Ids of documents whose sets are compared: up to here they go to all tasks (8 bytes each),
 # beyond it the texts are joined by a shuffle.
@@ -164,8 +167,13 @@ def leaders(key: np.ndarray, n: np.ndarray, percent: int) -> np.ndarray:
         lead[at] = at[np.maximum.accumulate(np.where(starts, np.arange(len(at)), 0))]
 
 
-def shared_entries(marks: DataFrame, percent: int) -> DataFrame:
-    """``key``, ``n``, ``set`` and ``leader`` for shingles that two or more sets begin with."""
+def share(marks: DataFrame, percent: int) -> DataFrame:
+    """What sets that begin with one shingle give: pairs to test, and the entries of tiles.
+
+    Rows with ``other`` are pairs (``set``, ``other``): all of a tile of up to ``SMALL_TILE``
+    sets, else each set with its leader and with the set in front of it.  Rows without are
+    the entries (``key``, ``n``, ``set``) of the larger tiles.
+    """
     entries = marks.where("n > 0").select(F.explode("prefix").alias("key"), "n", "set")
     dealt = entries.repartition("key").sortWithinPartitions("key", "n", "set")
     columns = ["key", "n", "set"]
@@ -175,15 +183,37 @@ def shared_entries(marks: DataFrame, percent: int) -> DataFrame:
             key, n, ids = (rows[c] for c in columns)
             fresh = np.append(True, (key[1:] != key[:-1]) | (ids[1:] != ids[:-1]))
             key, n, ids = key[fresh], n[fresh], ids[fresh]
-            same = key[1:] == key[:-1]
-            several = np.append(False, same) | np.append(same, False)
+            head = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+            size = np.diff(np.append(head, len(key)))
+            several = np.repeat(size > 1, size)
+            large = np.repeat(size > SMALL_TILE, size)[several]
             key, n, ids = key[several], n[several], ids[several]
-            if len(key):
-                lead = ids[leaders(key, n, percent)]
-                arrays = [pa.array(v) for v in (key, n, ids, lead)]
-                yield pa.RecordBatch.from_arrays(arrays, names=[*columns, "leader"])
-
-    schema = "key bigint, n bigint, set bigint, leader bigint"
+            found = []
+            for step in range(1, SMALL_TILE):
+                near = (key[step:] == key[:-step]) & (large[step:] <= (step == 1))
+                at = np.flatnonzero(near)
+                found.append((at, at + step))
+            found.append((leaders(key, n, percent)[large], np.flatnonzero(large)))
+            one, two = (np.concatenate([f[k] for f in found]) for k in range(2))
+            fits = (100 * n[one] >= percent * n[two]) & (one != two)
+            pairs = np.stack([ids[one[fits]], ids[two[fits]]], 1)
+            pairs.sort(1)
+            pairs = np.unique(pairs, axis=0)
+            none = np.zeros(len(pairs), np.int64)
+            yield pa.RecordBatch.from_arrays(
+                [
+                    pa.array(np.append(none, key[large])),
+                    pa.array(np.append(none, n[large])),
+                    pa.array(np.append(pairs[:, 0], ids[large])),
+                    pa.array(
+                        np.append(pairs[:, 1], ids[large]),
+                        mask=np.arange(len(pairs) + large.sum()) >= len(pairs),
+                    ),
+                ],
+                names=[*columns, "other"],
+            )
+
+    schema = "key bigint, n bigint, set bigint, other bigint"
     return workspace.materialize(dealt.mapInArrow(run, schema), "shared")
 
 
@@ -199,43 +229,78 @@ def bitmap(members: np.ndarray) -> np.ndarray:
     return np.packbits((counts & 1).astype(np.uint8), bitorder="little").view(np.uint64)
 
 
-def fold(bitmaps: list[np.ndarray]) -> np.ndarray:
-    """Bitmaps of equal width: the wider ones folded onto the width of the narrowest."""
-    width = min(map(len, bitmaps))
-    out = np.empty((len(bitmaps), width), np.uint64)
-    for row, own in enumerate(bitmaps):
-        out[row] = np.bitwise_xor.reduce(own.reshape(-1, width), 0)
-    return out
+def fold(own: np.ndarray, width: int) -> np.ndarray:
+    """A bitmap folded onto fewer words; parities of the shorter bitmap come out."""
+    return np.bitwise_xor.reduce(own.reshape(-1, width), 0)
 
 
-def fetch_sets(
-    docs: DataFrame, key: str, text: str, marks: DataFrame, wanted: DataFrame, shingle: int
-) -> DataFrame:
-    """``set``, ``members`` and ``bits`` of the wanted sets, from one document of each."""
-    holder = marks.join(wanted, "set", "left_semi").groupBy("set").agg(F.min("key").alias("_key"))
-    holder = workspace.materialize(holder.where("_key is not null"), "holders")
-    chosen = docs.select(docs[key].alias("_key"), docs[text].alias("text"))
-    if holder.count() <= BROADCAST_IDS:
-        holder = F.broadcast(holder)
-    texts = chosen.join(holder, "_key").select("text", "set")
+def may_be_similar(apart: np.ndarray, both: np.ndarray, percent: int) -> np.ndarray:
+    """Whether sets of ``both`` members together can be similar if ``apart`` bits differ.
+
+    Every differing bit stands for a member that only one of the sets has.
+    """
+    most = (both - apart) // 2  # the overlap is at most this
+    return 100 * most >= percent * (both - most)
+
+
+class Texts:
+    """Finds sets again in the documents that they came from."""
+
+    def __init__(self, docs: DataFrame, key: str, text: str, marks: DataFrame, shingle: int):
+        self.chosen = docs.select(docs[key].alias("_key"), docs[text].alias("text"))
+        self.marks = marks.where("n > 0").select("key", "set")
+        self.shingle = shingle
+
+    def fetch(self, wanted: DataFrame, column: str, pack) -> DataFrame:
+        """``set`` and ``column`` of the wanted sets; ``pack`` makes binary values of sets."""
+        holder = (
+            self.marks.join(wanted.select("set").distinct(), "set", "left_semi")
+            .groupBy("set")
+            .agg(F.min("key").alias("_key"))
+        )
+        holder = workspace.materialize(holder.where("_key is not null"), "holders")
+        if holder.count() <= BROADCAST_IDS:
+            holder = F.broadcast(holder)
+        shingle = self.shingle
+
+        def run(batches):
+            for batch in batches:
+                for piece in words.pieces(batch, "text"):
+                    keys, places = _sets(piece, 0, shingle)
+                    right = links.set_ids(keys, places) == piece.column(1).to_numpy()
+                    rows = pa.RecordBatch.from_arrays(
+                        [piece.column(1), pack(keys, places)], names=["set", column]
+                    )
+                    yield rows.filter(pa.array(right))
+
+        texts = self.chosen.join(holder, "_key").select("text", "set")
+        found = texts.mapInArrow(run, f"set bigint, {column} binary")
+        return workspace.materialize(found, column)
+
+
+def _bitmaps(keys: np.ndarray, places: np.ndarray) -> pa.Array:
+    maps = [bitmap(keys[a:b]).tobytes() if b > a else b"" for a, b in zip(places, places[1:])]
+    return pa.array(maps, pa.binary())
+
+
+def bounded(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
+    """The pairs (``a``, ``b``) that their bitmaps allow; ``sizes`` has set, n and bits."""
+    one = sizes.select(F.col("set").alias("a"), F.col("n").alias("n"), F.col("bits").alias("x"))
+    two = sizes.select(F.col("set").alias("b"), F.col("n").alias("m"), F.col("bits").alias("y"))
+    both = pairs.join(one, "a").join(two, "b").select("a", "b", "n", "m", "x", "y")
 
     def run(batches):
         for batch in batches:
-            for piece in words.pieces(batch, "text"):
-                keys, places = _sets(piece, 0, shingle)
-                right = links.set_ids(keys, places) == piece.column(1).to_numpy()
-                maps = [
-                    bitmap(keys[a:b]).tobytes() if ok else None
-                    for a, b, ok in zip(places[:-1], places[1:], right)
-                ]
-                rows = pa.RecordBatch.from_arrays(
-                    [piece.column(1), links.blobs(keys, places), pa.array(maps, pa.binary())],
-                    names=["set", "members", "bits"],
-                )
-                yield rows.filter(pa.array(right))
+            apart = []
+            for x, y in zip(batch.column(4).to_pylist(), batch.column(5).to_pylist()):
+                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
+                width = min(len(x), len(y))
+                apart.append(int(np.bitwise_count(fold(x, width) ^ fold(y, width)).sum()))
+            n, m = batch.column(2).to_numpy(), batch.column(3).to_numpy()
+            keep = may_be_similar(np.array(apart, np.int64), n + m, percent)
+            yield batch.select(["a", "b"]).filter(pa.array(keep))
 
-    found = texts.mapInArrow(run, "set bigint, members binary, bits binary")
-    return workspace.materialize(found, "sets")
+    return both.mapInArrow(run, "a bigint, b bigint")
 
 
 def _cells(entries: DataFrame) -> DataFrame:
@@ -281,39 +346,43 @@ def _cells(entries: DataFrame) -> DataFrame:
     return dealt.mapInArrow(run, "cell bigint, side bigint, n bigint, set bigint, label bigint")
 
 
-def candidates(n, label, side, maps: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs of a cell whose classes differ and whose bitmaps allow similarity."""
-    ones, others = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
-    alone = not len(others)
-    others = ones if alone else others
-    found = []
-    for at in ones:
-        rest = others[others > at] if alone else others
-        small, large = np.minimum(n[at], n[rest]), np.maximum(n[at], n[rest])
-        fits = (label[rest] != label[at]) & (100 * small >= percent * large)
-        rest = rest[fits]
-        if len(rest):
-            apart = np.bitwise_count(maps[rest] ^ maps[at]).sum(1, dtype=np.int64)
-            both = n[rest] + n[at]
-            most = (both - apart) // 2  # overlap is at most this
-            rest = rest[100 * most >= percent * (both - most)]
-            found.extend((at, other) for other in rest)
-    pairs = np.array(found, np.int64).reshape(-1, 2)
-    return pairs[:, 0], pairs[:, 1]
-
-
-def compare_cells(cells: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def candidates(n, label, side, maps: list[np.ndarray], percent: int) -> np.ndarray:
+    """Index pairs of a cell whose classes differ and whose bitmaps allow similarity.
+
+    Similar sets differ in size by less than a factor of two, so their bitmaps are of one
+    width or the larger one's is folded once.
+    """
+    widths = np.array([len(m) for m in maps])
+    second = side == 1 if side.any() else np.ones(len(n), bool)
+    found = [np.empty((0, 2), np.int64)]
+    for width in np.unique(widths):
+        near = np.flatnonzero((widths >= width) & (widths <= 2 * width))
+        folded = np.stack([fold(maps[i], width) for i in near])
+        for place, at in enumerate(near):
+            if widths[at] != width or side[at] == 1:
+                continue
+            fits = second[near] & (label[near] != label[at]) & (near > at)
+            fits &= 100 * np.minimum(n[near], n[at]) >= percent * np.maximum(n[near], n[at])
+            rest = np.flatnonzero(fits)
+            if len(rest):
+                apart = np.bitwise_count(folded[rest] ^ folded[place]).sum(1, dtype=np.int64)
+                rest = near[rest[may_be_similar(apart, n[near[rest]] + n[at], percent)]]
+                found.append(np.stack([np.full(len(rest), at), rest], 1))
+    return np.concatenate(found)
+
+
+def compare_cells(cells: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
     """Distinct pairs (``a``, ``b``) that the bitmaps of a cell leave over."""
     columns = ["cell", "side", "n", "set", "label", "bits"]
-    carried = cells.join(sets.select("set", "bits"), "set").select(*columns)
-    dealt = carried.repartition("cell").sortWithinPartitions("cell", "side", "n")
+    carried = cells.join(bits, "set").select(*columns)
+    dealt = carried.repartition("cell").sortWithinPartitions("cell", "side", "n", "set")
 
     def flush(rows):
         side, n, ids, label = (np.array([r[k] for r in rows], np.int64) for k in (1, 2, 3, 4))
-        maps = fold([np.frombuffer(r[5], np.uint64) for r in rows])
-        a, b = candidates(n, label, side, maps, percent)
-        x, y = np.minimum(ids[a], ids[b]), np.maximum(ids[a], ids[b])
-        return pa.RecordBatch.from_arrays([pa.array(x), pa.array(y)], names=["a", "b"])
+        maps = [np.frombuffer(r[5], np.uint64) for r in rows]
+        pairs = np.sort(ids[candidates(n, label, side, maps, percent)], 1)
+        columns = [pa.array(np.ascontiguousarray(pairs[:, k])) for k in range(2)]
+        return pa.RecordBatch.from_arrays(columns, names=["a", "b"])
 
     def run(batches):
         rows = []
@@ -347,20 +416,28 @@ def jaccard_classes(
     if not PERCENT_FLOOR <= percent <= 100:
         raise ValueError(f"percent must lie between {PERCENT_FLOOR} and 100")
     marks = mark(docs, key, text, shingle, percent)
-    shared = shared_entries(marks, percent)
-    counted = shared.where("set <> leader").groupBy("set", "leader").agg(F.count("*").alias("n"))
-    best = counted.groupBy("set").agg(F.max_by("leader", F.struct("n", "leader")).alias("b"))
-    pairs = workspace.materialize(best.select(F.col("set").alias("a"), "b"), "pairs")
-    wanted = shared.select("set").distinct()
-    sets = fetch_sets(docs, key, text, marks, wanted, shingle)
-    edges = workspace.materialize(links.verified(pairs, sets, percent), "links")
+    shared = share(marks, percent)
+    texts = Texts(docs, key, text, marks, shingle)
+    pairs = shared.where("other is not null").select(F.col("set").alias("a"), F.col("other").alias("b"))
+    pairs = workspace.materialize(pairs.distinct(), "pairs")
+    tiles = shared.where("other is null").select("key", "n", "set")
+    met = pairs.select(F.col("a").alias("set")).union(pairs.select("b"))
+    bits = texts.fetch(met.union(tiles.select("set")), "bits", _bitmaps)
+
+    def verify(some: DataFrame) -> DataFrame:
+        some = workspace.materialize(some, "pairs")
+        sets = some.select(F.col("a").alias("set")).union(some.select("b"))
+        members = texts.fetch(sets, "members", links.blobs)
+        return workspace.materialize(links.verified(some, members, percent), "links")
+
+    sizes = marks.groupBy("set").agg(F.first("n").alias("n")).join(bits, "set")
+    edges = verify(bounded(pairs, sizes, percent))
     labels = links.components(edges)
 
-    named = shared.join(labels.withColumnRenamed("node", "set"), "set", "left").select(
+    named = tiles.join(labels.withColumnRenamed("node", "set"), "set", "left").select(
         "key", "n", "set", F.coalesce("label", "set").alias("label")
     )
-    rest = compare_cells(_cells(named), sets, percent)
-    more = workspace.materialize(links.verified(rest, sets, percent), "links")
+    more = verify(compare_cells(_cells(named), bits, percent))
     if more.limit(1).count():
         labels = links.components(edges.union(more))
 
