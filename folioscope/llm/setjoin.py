@@ -6,10 +6,11 @@ share such a shingle form a tile.  The order is by hash, but shingles that many
 have come last, which keeps tiles small; it decides how much is compared, never the result.
 
 Only classes are wanted, so members of one class need not be compared.  A first round tests
-all pairs of small tiles, and in larger ones each set with a leader and a neighbour.  What
-the larger tiles then still hold of different classes is cut into blocks of sets of like
-size and compared block by block.  In both rounds hashed bitmaps bound the overlap from
-above, and the sorted arrays of the pairs that pass decide.
+all pairs of small tiles, and in larger ones each set with a leader and a neighbour; a
+second tests neighbours that are still of different classes.  What the larger tiles then
+still hold of different classes is cut into blocks of sets of like size and compared block
+by block.  In all rounds hashed bitmaps bound the overlap from above, and the sorted arrays
+of the pairs that pass decide.
 """
 
 from __future__ import annotations
@@ -29,6 +30,9 @@ COMMON_IN_PIECE = 3
 COMMON_TOTAL = 32
 # All pairs of a tile of so many sets are tested at once.
 SMALL_TILE = 6
+# So many members of a class that holds most of a larger tile are tested with each other set
+# before whole tiles are compared.
+NEIGHBOURS = 32
 # Sets in a block of a larger tile.
 BLOCK = 512
 # Ids of documents whose sets are compared: up to here they go to all tasks (8 bytes each),
@@ -303,6 +307,52 @@ def bounded(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
     return both.mapInArrow(run, "a bigint, b bigint")
 
 
+def _mixed(batches, columns):
+    """The tiles that hold several classes, one after the other."""
+    for rows in _runs(batches, columns):
+        key, label = rows["key"], rows["label"]
+        head = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
+        low = np.minimum.reduceat(label, head)
+        high = np.maximum.reduceat(label, head)
+        ends = np.append(head[1:], len(key))
+        for begin, end in zip(head[low != high], ends[low != high]):
+            yield {c: rows[c][begin:end] for c in columns}
+
+
+def neighbours(entries: DataFrame, percent: int) -> DataFrame:
+    """Distinct pairs of sets of different classes that stand near each other in tiles.
+
+    Each set meets the next one of its tile.  Where one class holds most of a tile, every
+    other set meets ``NEIGHBOURS`` members of that class of like size, others in each tile;
+    so a set that belongs to the class soon meets one that it is similar to.
+    """
+    columns = ["key", "n", "set", "label"]
+    steps = np.arange(NEIGHBOURS, dtype=np.uint64)
+    dealt = entries.repartition("key").sortWithinPartitions("key", "n", "set")
+
+    def run(batches):
+        for tile in _mixed(batches, columns):
+            ids, label = tile["set"], tile["label"]
+            at = np.flatnonzero(label[1:] != label[:-1])
+            found = [np.stack([ids[at], ids[at + 1]], 1)]
+            middle = np.sort(label)[len(label) // 2]  # the label of a majority, if there is one
+            inside, outside = np.flatnonzero(label == middle), np.flatnonzero(label != middle)
+            if len(inside) > len(outside):
+                n, own = tile["n"][inside], tile["n"][outside]
+                low = np.searchsorted(n, -(-percent * own // 100), "left")[:, None]
+                high = np.searchsorted(n, 100 * own // percent, "right")[:, None]
+                draw = words.mix(tile["key"][:1].view(np.uint64) + steps) >> np.uint64(11)
+                draw = draw[None, :] % np.maximum(high - low, 1).astype(np.uint64)
+                near = inside[np.minimum(low + draw.astype(np.int64), len(inside) - 1)]
+                pairs = np.stack([np.broadcast_to(outside[:, None], near.shape), near], 2)
+                found.append(ids[pairs.reshape(-1, 2)])
+            pairs = np.unique(np.sort(np.concatenate(found), 1), axis=0)
+            arrays = [pa.array(np.ascontiguousarray(pairs[:, k])) for k in range(2)]
+            yield pa.RecordBatch.from_arrays(arrays, names=["a", "b"])
+
+    return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
+
+
 def _cells(entries: DataFrame) -> DataFrame:
     """Blocks of the tiles that hold several classes, paired where sizes allow similarity.
 
@@ -312,25 +362,14 @@ def _cells(entries: DataFrame) -> DataFrame:
     columns = ["key", "n", "set", "label"]
     dealt = entries.repartition("key").sortWithinPartitions("key", "n", "set")
 
-    def run(batches):
-        for rows in _runs(batches, columns):
-            key, label = rows["key"], rows["label"]
-            head = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
-            low = np.minimum.reduceat(label, head)
-            high = np.maximum.reduceat(label, head)
-            ends = np.append(head[1:], len(key))
-            for begin, end in zip(head[low != high], ends[low != high]):
-                own = {c: rows[c][begin:end] for c in columns}
-                yield from _pair_blocks(own)
-
-    def _pair_blocks(own):
-        n = own["n"]
+    def pair_blocks(tile):
+        n = tile["n"]
         blocks = -(-len(n) // BLOCK)
         for i in range(blocks):
             for j in range(i, blocks):
                 if 100 * n[min((i + 1) * BLOCK, len(n)) - 1] < PERCENT_FLOOR * n[j * BLOCK]:
                     break
-                cell = words.mix(own["key"][:1].view(np.uint64) + np.uint64((i << 32) + j))
+                cell = words.mix(tile["key"][:1].view(np.uint64) + np.uint64((i << 32) + j))
                 for side, block in enumerate({i: 0, j: 1}):
                     part = slice(block * BLOCK, (block + 1) * BLOCK)
                     size = len(n[part])
@@ -338,11 +377,15 @@ def _cells(entries: DataFrame) -> DataFrame:
                         [
                             pa.array(np.repeat(cell.view(np.int64), size)),
                             pa.array(np.full(size, side, np.int64)),
-                            *(pa.array(own[c][part]) for c in ("n", "set", "label")),
+                            *(pa.array(tile[c][part]) for c in ("n", "set", "label")),
                         ],
                         names=["cell", "side", "n", "set", "label"],
                     )
 
+    def run(batches):
+        for tile in _mixed(batches, columns):
+            yield from pair_blocks(tile)
+
     return dealt.mapInArrow(run, "cell bigint, side bigint, n bigint, set bigint, label bigint")
 
 
@@ -434,12 +477,20 @@ def jaccard_classes(
     edges = verify(bounded(pairs, sizes, percent))
     labels = links.components(edges)
 
-    named = tiles.join(labels.withColumnRenamed("node", "set"), "set", "left").select(
-        "key", "n", "set", F.coalesce("label", "set").alias("label")
-    )
-    more = verify(compare_cells(_cells(named), bits, percent))
-    if more.limit(1).count():
-        labels = links.components(edges.union(more))
+    def classed() -> DataFrame:
+        """The entries of large tiles with the class of their set."""
+        known = labels.withColumnRenamed("node", "set")
+        return tiles.join(known, "set", "left").select(
+            "key", "n", "set", F.coalesce("label", "set").alias("label")
+        )
+
+    near = verify(bounded(neighbours(classed(), percent), sizes, percent))
+    if near.limit(1).count():
+        edges = edges.union(near)
+        labels = links.components(edges)
+    rest = verify(compare_cells(_cells(classed()), bits, percent))
+    if rest.limit(1).count():
+        labels = links.components(edges.union(rest))
 
     holders = marks.where("n > 0").groupBy("set").agg(F.min("key").alias("own"))
     classes = labels.join(holders, labels["node"] == holders["set"]).select("node", "label", "own")
