@@ -9,7 +9,10 @@ from folioscope.llm import (
     decontaminate,
     licenses,
     links,
+    paragraphs,
     pieces,
+    quotes,
+    repeats,
     repetition,
     setjoin,
     spread,
@@ -140,6 +143,23 @@ def op3_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# --- 4: suffix-array dedup -------------------------------------------------------------
+
+
+@query("op4_repeated_strings")
+def op4_repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
+    return repeats.digest(repeats.remove_repeats(table(spark, folder, "documents")))
+
+
+# --- 5: paragraph dedup ----------------------------------------------------------------
+
+
+@query("op5_paragraph_minhash")
+def op5_paragraph_minhash(spark: SparkSession, folder: str) -> DataFrame:
+    docs = table(spark, folder, "documents").select("doc_id", "text")
+    return paragraphs.digest(paragraphs.remove_near_copies(docs))
+
+
 # --- 6: sampled pieces -----------------------------------------------------------------
 
 
@@ -158,6 +178,78 @@ def op6_sampled_pieces(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+# --- 7: quotation linking --------------------------------------------------------------
+
+_QUOTE_SQL = r"""
+    WITH RECURSIVE one AS (
+        SELECT conv_id, turn, min(text) AS said, min(role) AS by FROM conversations
+        GROUP BY ALL
+    ),
+    mail AS (
+        SELECT c.conv_id, c.turn, c.role, coalesce(
+            'On turn ' || (c.turn - 1) || ', ' || b.by || ' wrote:' || chr(10)
+            || coalesce('>> ' || string_split(e.said, chr(10))[1] || chr(10), '')
+            || '> ' || replace(b.said, chr(10), chr(10) || '> ') || chr(10), '') || c.text AS text,
+            c.text AS plain
+        FROM conversations c
+        LEFT JOIN one b ON b.conv_id = c.conv_id AND b.turn = c.turn - 1
+        LEFT JOIN one e ON e.conv_id = c.conv_id AND e.turn = c.turn - 2
+    ),
+    marked AS (
+        SELECT conv_id, turn, line, regexp_extract(line, '^( ?>)+') AS marks
+        FROM (SELECT conv_id, turn, unnest(string_split(text, chr(10))) AS line FROM mail)
+    ),
+    lines AS (
+        SELECT * FROM (
+            SELECT conv_id, turn, length(replace(marks, ' ', '')) AS level,
+                trim(regexp_replace(lower(substr(line, length(marks) + 1)), '\s+', ' ', 'g'))
+                    AS body
+            FROM marked
+        ) WHERE body <> ''
+    ),
+    written AS (
+        SELECT conv_id, body, min(turn) AS origin FROM lines WHERE level = 0 GROUP BY ALL
+    ),
+    links AS (
+        SELECT conv_id, turn, level, origin, count(*) AS n
+        FROM lines JOIN written USING (conv_id, body)
+        WHERE level > 0 AND origin < turn GROUP BY ALL
+    ),
+    parents AS (
+        SELECT conv_id, turn, arg_max(origin, (n, origin)) AS parent
+        FROM links WHERE level = 1 GROUP BY ALL
+    ),
+    chains AS (
+        SELECT conv_id, turn, parent AS root, 1 AS depth FROM parents
+        UNION ALL
+        SELECT c.conv_id, c.turn, p.parent, c.depth + 1
+        FROM chains c JOIN parents p ON p.conv_id = c.conv_id AND p.turn = c.root
+    ),
+    roots AS (SELECT conv_id, turn, min(root) AS root, max(depth) AS depth FROM chains GROUP BY ALL),
+    counts AS (
+        SELECT conv_id, turn, count(*) AS n FROM lines WHERE level > 0 GROUP BY ALL
+    ),
+    linked AS (SELECT conv_id, turn, sum(n) AS n FROM links GROUP BY ALL),
+    said AS (
+        SELECT m.conv_id, m.turn, m.role, trim(plain, ' ' || chr(9) || chr(10) || chr(13)) AS text,
+            parent AS reply_to, coalesce(root, m.turn) AS root, coalesce(depth, 0)::BIGINT AS depth,
+            coalesce(counts.n, 0)::BIGINT AS n_quoted, coalesce(linked.n, 0)::BIGINT AS n_linked
+        FROM mail m LEFT JOIN parents USING (conv_id, turn) LEFT JOIN roots USING (conv_id, turn)
+        LEFT JOIN counts USING (conv_id, turn) LEFT JOIN linked USING (conv_id, turn)
+    )
+    SELECT * EXCLUDE (text), sha256(text) AS text_sha256, row_number() OVER (
+        PARTITION BY conv_id ORDER BY root, turn, role, text) - 1 AS position
+    FROM said"""
+
+
+@query("op7_quotation_linking", _QUOTE_SQL)
+def op7_quotation_linking(spark: SparkSession, folder: str) -> DataFrame:
+    """The conversations as mail that quotes what it answers, linked and without quotes."""
+    mail = quotes.as_mail(table(spark, folder, "conversations"))
+    linked = quotes.link_quotations(mail)
+    return linked.withColumn("text_sha256", F.sha2("text", 256)).drop("text")
+
+
 # --- 8: n-gram Jaccard join ------------------------------------------------------------
 
 _CLASS_SQL = rf"""

@@ -43,11 +43,13 @@ MIN_BITS, MAX_BITS = 64, 1 << 15
 PERCENT_FLOOR = 50
 
 
-def _sets(piece: pa.RecordBatch, at: int, shingle: int):
-    data, offsets = words.buffers(piece.column(at))
+def text_sets(column: pa.Array, shingle: int):
+    """The sets of whole texts: shingles, where each set's begin, the row of each set."""
+    data, offsets = words.buffers(column)
     found = words.find_runs(data, offsets, words.NOT_SPACE)
     hashes = words.run_hashes(data, found.starts, found.ends, words.LOWER)
-    return links.row_sets(hashes, found.rows, shingle)
+    keys, places = links.row_sets(hashes, found.rows, shingle)
+    return keys, places, np.arange(len(column))
 
 
 def common_shingles(texts: DataFrame, shingle: int) -> np.ndarray:
@@ -59,7 +61,7 @@ def common_shingles(texts: DataFrame, shingle: int) -> np.ndarray:
     def run(batches):
         for batch in batches:
             for piece in words.pieces(batch, "text"):
-                keys, _ = _sets(piece, 0, shingle)
+                keys, _, _ = text_sets(piece.column(0), shingle)
                 keys = np.sort(keys)
                 heads = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else []
                 counts = np.diff(np.append(heads, len(keys))).astype(np.int64)
@@ -103,7 +105,7 @@ def mark(docs: DataFrame, key: str, text: str, shingle: int, percent: int) -> Da
         seen = np.empty(0, np.int64)
         for batch in batches:
             for piece in words.pieces(batch, "text"):
-                keys, places = _sets(piece, 1, shingle)
+                keys, places, _ = text_sets(piece.column(1), shingle)
                 ids = links.set_ids(keys, places)
                 _, first = np.unique(ids, return_index=True)
                 fresh = np.zeros(len(ids), bool)
@@ -130,24 +132,6 @@ def mark(docs: DataFrame, key: str, text: str, shingle: int, percent: int) -> Da
     return workspace.materialize(marks, "marks")
 
 
-def _runs(batches, columns):
-    """Chunks of sorted rows as numpy arrays; rows with one key stay in one chunk."""
-    held = None
-    for batch in batches:
-        fresh = {c: batch.column(i).to_numpy() for i, c in enumerate(columns)}
-        if held is not None:
-            fresh = {c: np.concatenate([held[c], fresh[c]]) for c in columns}
-        key = fresh[columns[0]]
-        if not len(key):
-            continue
-        cut = int(np.searchsorted(key, key[-1], "left"))
-        if cut:
-            yield {c: v[:cut] for c, v in fresh.items()}
-        held = {c: v[cut:] for c, v in fresh.items()}
-    if held is not None and len(held[columns[0]]):
-        yield held
-
-
 def _heads(key: np.ndarray) -> np.ndarray:
     """For each row the index of the first row with its key; keys are sorted."""
     first = np.append(True, key[1:] != key[:-1])
@@ -183,7 +167,7 @@ def share(marks: DataFrame, percent: int) -> DataFrame:
     columns = ["key", "n", "set"]
 
     def run(batches):
-        for rows in _runs(batches, columns):
+        for rows in words.runs(batches, columns):
             key, n, ids = (rows[c] for c in columns)
             fresh = np.append(True, (key[1:] != key[:-1]) | (ids[1:] != ids[:-1]))
             key, n, ids = key[fresh], n[fresh], ids[fresh]
@@ -248,12 +232,16 @@ def may_be_similar(apart: np.ndarray, both: np.ndarray, percent: int) -> np.ndar
 
 
 class Texts:
-    """Finds sets again in the documents that they came from."""
+    """Finds sets again in the texts that they came from.
+
+    ``cut`` gives for a string column the shingles of its sets, where each set's begin, and
+    the row of each set.
+    """
 
-    def __init__(self, docs: DataFrame, key: str, text: str, marks: DataFrame, shingle: int):
+    def __init__(self, docs: DataFrame, key: str, text: str, marks: DataFrame, cut) -> None:
         self.chosen = docs.select(docs[key].alias("_key"), docs[text].alias("text"))
         self.marks = marks.where("n > 0").select("key", "set")
-        self.shingle = shingle
+        self.cut = cut
 
     def fetch(self, wanted: DataFrame, column: str, pack) -> DataFrame:
         """``set`` and ``column`` of the wanted sets; ``pack`` makes binary values of sets."""
@@ -261,25 +249,37 @@ class Texts:
             self.marks.join(wanted.select("set").distinct(), "set", "left_semi")
             .groupBy("set")
             .agg(F.min("key").alias("_key"))
+            .where("_key is not null")
+            .groupBy("_key")
+            .agg(F.collect_list("set").alias("sets"))
         )
-        holder = workspace.materialize(holder.where("_key is not null"), "holders")
-        if holder.count() <= BROADCAST_IDS:
+        holder = workspace.materialize(holder, "holders")
+        size = holder.agg(F.coalesce(F.sum(F.size("sets")), F.lit(0)).alias("n")).first().n
+        if size <= BROADCAST_IDS:
             holder = F.broadcast(holder)
-        shingle = self.shingle
+        cut = self.cut
 
         def run(batches):
             for batch in batches:
                 for piece in words.pieces(batch, "text"):
-                    keys, places = _sets(piece, 0, shingle)
-                    right = links.set_ids(keys, places) == piece.column(1).to_numpy()
+                    keys, places, owner = cut(piece.column(0))
+                    ids = links.set_ids(keys, places)
+                    lists = piece.column(1)
+                    own = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
+                    asked = _pair_key(lists.flatten().to_numpy(zero_copy_only=False), own)
+                    right = np.isin(_pair_key(ids, owner), asked)
                     rows = pa.RecordBatch.from_arrays(
-                        [piece.column(1), pack(keys, places)], names=["set", column]
+                        [pa.array(ids), pack(keys, places)], names=["set", column]
                     )
                     yield rows.filter(pa.array(right))
 
-        texts = self.chosen.join(holder, "_key").select("text", "set")
+        texts = self.chosen.join(holder, "_key").select("text", "sets")
         found = texts.mapInArrow(run, f"set bigint, {column} binary")
-        return workspace.materialize(found, column)
+        return workspace.materialize(found.dropDuplicates(["set"]), column)
+
+
+def _pair_key(ids: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    return words.mix(words.mix(ids.view(np.uint64)) + rows.astype(np.uint64))
 
 
 def _bitmaps(keys: np.ndarray, places: np.ndarray) -> pa.Array:
@@ -309,7 +309,7 @@ def bounded(pairs: DataFrame, sizes: DataFrame, percent: int) -> DataFrame:
 
 def _mixed(batches, columns):
     """The tiles that hold several classes, one after the other."""
-    for rows in _runs(batches, columns):
+    for rows in words.runs(batches, columns):
         key, label = rows["key"], rows["label"]
         head = np.flatnonzero(np.append(True, key[1:] != key[:-1]))
         low = np.minimum.reduceat(label, head)
@@ -441,27 +441,15 @@ def compare_cells(cells: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
     return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
 
 
-def jaccard_classes(
-    docs: DataFrame,
-    key: str = "doc_id",
-    text: str = "text",
-    shingle: int = links.SHINGLE_WORDS,
-    percent: int = links.PERCENT,
-) -> DataFrame:
-    """``key``, ``n_shingles`` and ``component_id`` of every row.
+def link_sets(marks: DataFrame, texts: Texts, percent: int) -> DataFrame:
+    """``node`` and ``label`` of the sets that are similar to another one.
 
-    Words are runs without ASCII white space, A-Z in lower case.  Two documents link when
-    100 * intersection >= ``percent`` * union of their shingle sets (``percent`` of 50 or
-    more); ``component_id`` is the smallest key reachable by links.  Null and texts without
-    words are empty and linked with nothing.  Repeated rows stay; a null key is never the
-    smallest, and a class of null keys only has none.  Other columns are ignored.
+    ``marks`` has ``set``, ``n`` and ``prefix``, the keys under which sets meet.
     """
-    if not PERCENT_FLOOR <= percent <= 100:
-        raise ValueError(f"percent must lie between {PERCENT_FLOOR} and 100")
-    marks = mark(docs, key, text, shingle, percent)
     shared = share(marks, percent)
-    texts = Texts(docs, key, text, marks, shingle)
-    pairs = shared.where("other is not null").select(F.col("set").alias("a"), F.col("other").alias("b"))
+    pairs = shared.where("other is not null").select(
+        F.col("set").alias("a"), F.col("other").alias("b")
+    )
     pairs = workspace.materialize(pairs.distinct(), "pairs")
     tiles = shared.where("other is null").select("key", "n", "set")
     met = pairs.select(F.col("a").alias("set")).union(pairs.select("b"))
@@ -491,7 +479,29 @@ def jaccard_classes(
     rest = verify(compare_cells(_cells(classed()), bits, percent))
     if rest.limit(1).count():
         labels = links.components(edges.union(rest))
+    return labels
+
 
+def jaccard_classes(
+    docs: DataFrame,
+    key: str = "doc_id",
+    text: str = "text",
+    shingle: int = links.SHINGLE_WORDS,
+    percent: int = links.PERCENT,
+) -> DataFrame:
+    """``key``, ``n_shingles`` and ``component_id`` of every row.
+
+    Words are runs without ASCII white space, A-Z in lower case.  Two documents link when
+    100 * intersection >= ``percent`` * union of their shingle sets (``percent`` of 50 or
+    more); ``component_id`` is the smallest key reachable by links.  Null and texts without
+    words are empty and linked with nothing.  Repeated rows stay; a null key is never the
+    smallest, and a class of null keys only has none.  Other columns are ignored.
+    """
+    if not PERCENT_FLOOR <= percent <= 100:
+        raise ValueError(f"percent must lie between {PERCENT_FLOOR} and 100")
+    marks = mark(docs, key, text, shingle, percent)
+    texts = Texts(docs, key, text, marks, lambda column: text_sets(column, shingle))
+    labels = link_sets(marks, texts, percent)
     holders = marks.where("n > 0").groupBy("set").agg(F.min("key").alias("own"))
     classes = labels.join(holders, labels["node"] == holders["set"]).select("node", "label", "own")
     lowest = classes.groupBy("label").agg(F.min("own").alias("lowest"))

@@ -186,3 +186,36 @@ def code_points(data: np.ndarray) -> np.ndarray:
     total = np.zeros(len(data) + 1, np.int64)
     np.cumsum((data & 0xC0) != 0x80, out=total[1:])
     return total
+
+
+def prefix_hash(data: np.ndarray) -> np.ndarray:
+    """Running hash of a text, with 0 in front; the hash of any slice follows from it."""
+    up, _ = _powers(max(BLOCK_BYTES, 1 << max(len(data) - 1, 0).bit_length()))
+    total = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum(_BYTE_VALUES[data] * up[: len(data)], out=total[1:])
+    return total
+
+
+def slice_hash(total: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """64-bit hashes of the slices of a text, from its running hash; equal slices agree."""
+    _, down = _powers(max(BLOCK_BYTES, 1 << max(len(total) - 2, 0).bit_length()))
+    size = (end - begin).astype(np.uint64) * np.uint64(0xA24BAED4963EE407)
+    return mix((total[end] - total[begin]) * down[np.minimum(begin, len(down) - 1)] + size)
+
+
+def runs(batches, columns: list[str]) -> Iterator[dict[str, np.ndarray]]:
+    """Chunks of sorted rows as arrays; rows with one value of the first column stay together."""
+    held = None
+    for batch in batches:
+        fresh = {c: batch.column(i).to_numpy() for i, c in enumerate(columns)}
+        if held is not None:
+            fresh = {c: np.concatenate([held[c], fresh[c]]) for c in columns}
+        key = fresh[columns[0]]
+        if not len(key):
+            continue
+        cut = int(np.searchsorted(key, key[-1], "left"))
+        if cut:
+            yield {c: v[:cut] for c, v in fresh.items()}
+        held = {c: v[cut:] for c, v in fresh.items()}
+    if held is not None and len(held[columns[0]]):
+        yield held
