@@ -31,6 +31,7 @@ PART_BYTES = 1 << 20
 # Up to so many contexts of one anchor are compared in one task; the windows of more are
 # dealt out one by one.
 LARGE_GROUP = 256
+STRIDE = 16
 
 _WHOLE = (1 << 31) - 1
 
@@ -75,7 +76,8 @@ def _parts(texts: pa.Array, length: int):
 
 
 def anchor_table(rows: DataFrame, length: int) -> DataFrame:
-    """``anchor`` and ``context`` (hashes), ``row`` and ``place`` of all anchors.
+    """``anchor`` and ``context`` (hashes), ``row`` and ``place`` of the anchors, and what a
+    piece of text covers by itself as rows with ``last``.
 
     A text that a task has met before gives none again: copies are covered whole.
     """
@@ -104,49 +106,86 @@ def anchor_table(rows: DataFrame, length: int) -> DataFrame:
                     key = words.slice_hash(total, at, at + ANCHOR)
                     found.append((key, words.mix(around), np.full(len(at), ids[row]), at + first))
                 if found:
-                    arrays = [np.concatenate([f[k] for f in found]) for k in range(4)]
-                    yield pa.RecordBatch.from_arrays(
-                        [
-                            pa.array(arrays[0].view(np.int64)),
-                            pa.array(arrays[1].view(np.int64)),
-                            pa.array(arrays[2]),
-                            pa.array(arrays[3].astype(np.int64)),
-                        ],
-                        names=["anchor", "context", "row", "place"],
+                    key, around, own, place = (
+                        np.concatenate([f[k] for f in found]) for k in range(4)
                     )
+                    yield _merged(key, around, own, place, back, ahead)
 
     binary = rows.select("row", F.col("text").cast("binary").alias("text"))
-    return binary.mapInArrow(run, "anchor bigint, context bigint, row bigint, place bigint")
+    return binary.mapInArrow(
+        run, "anchor bigint, context bigint, row bigint, place bigint, last bigint"
+    )
+
+
+def _merged(key, around, own, place, back: int, ahead: int) -> pa.RecordBatch:
+    """One place of each context of a piece, and what its repeated contexts cover.
+
+    Contexts that repeat within the piece are covered whatever stands elsewhere; their
+    places, many in texts with a short period, shrink to the spans that they cover.
+    """
+    many, later = words.repeated(words.mix(words.mix(key) + around))
+    order = np.lexsort((place[many], own[many]))
+    row, at = own[many][order], place[many][order]
+    first, last = np.maximum(at - back, 0), at + ahead
+    head = np.append(True, (row[1:] != row[:-1]) | (first[1:] > last[:-1]))[: len(row)]
+    ends = np.append(np.flatnonzero(head)[1:], len(row)) - 1 if len(row) else np.empty(0, int)
+    spans = row[head], first[head], last[ends]
+    single = ~later
+    none = np.zeros(int(single.sum()), np.int64)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(np.append(key[single], words.mix(spans[0].view(np.uint64))).view(np.int64)),
+            pa.array(np.append(around[single], np.zeros(len(spans[0]), np.uint64)).view(np.int64)),
+            pa.array(np.append(own[single], spans[0])),
+            pa.array(np.append(place[single], spans[1]).astype(np.int64)),
+            pa.array(np.append(none, spans[2]).astype(np.int64)),
+        ],
+        names=["anchor", "context", "row", "place", "last"],
+    )
 
 
-def meet(table: DataFrame) -> DataFrame:
-    """Anchors that stand in several places: ``kind``, ``anchor``, ``row``, ``place``.
+def meet(table: DataFrame, length: int) -> DataFrame:
+    """What the anchors show: ``kind``, ``anchor``, ``row``, ``place``, ``last``.
 
-    Kind 0 are places whose whole context repeats.  Kind 1 and 2 are one place of each
-    context of an anchor with several of them, 2 where there are many.
+    Kind 0 are spans, from ``place`` to ``last``, that repeat.  Kind 1 and 2 are one place of
+    each context of an anchor with several of them, 2 where there are many.
     """
-    columns = ["anchor", "context", "row", "place"]
+    columns = ["anchor", "context", "row", "place", "last"]
     dealt = table.repartition("anchor").sortWithinPartitions("anchor", "context")
 
     def run(batches):
         for rows in words.runs(batches, columns):
+            done = rows["last"] > 0
+            spans = {c: rows[c][done] for c in columns}
+            rows = {c: rows[c][~done] for c in columns}
             key, context = rows["anchor"], rows["context"]
-            head = np.append(True, key[1:] != key[:-1])
-            first = head | np.append(True, context[1:] != context[:-1])
+            head = np.append(True, key[1:] != key[:-1])[: len(key)]
+            first = head | np.append(True, context[1:] != context[:-1])[: len(key)]
             alike = np.diff(np.append(np.flatnonzero(first), len(key)))
             several = np.repeat(alike > 1, alike)
             number = np.cumsum(head) - 1
             contexts = np.bincount(number, first).astype(np.int64)[number]
             probe = first & (contexts > 1)
-            kind = np.where(contexts > LARGE_GROUP, 2, 1)
-            at = np.concatenate([np.flatnonzero(several), np.flatnonzero(probe)])
-            kinds = np.append(np.zeros(several.sum(), np.int64), kind[probe])
+            kind = np.where(contexts > LARGE_GROUP, 2, 1)[probe]
+            place = rows["place"]
+            parts = {
+                "kind": [np.zeros(done.sum() + several.sum(), np.int64), kind],
+                "anchor": [spans["anchor"], key[several], key[probe]],
+                "row": [spans["row"], rows["row"][several], rows["row"][probe]],
+                "place": [
+                    spans["place"],
+                    np.maximum(place[several] - (length - ANCHOR), 0),
+                    place[probe],
+                ],
+                "last": [spans["last"], place[several] + length, np.zeros(len(kind), np.int64)],
+            }
             yield pa.RecordBatch.from_arrays(
-                [pa.array(kinds), *(pa.array(rows[c][at]) for c in ("anchor", "row", "place"))],
-                names=["kind", "anchor", "row", "place"],
+                [pa.array(np.concatenate(p)) for p in parts.values()], names=list(parts)
             )
 
-    return dealt.mapInArrow(run, "kind bigint, anchor bigint, row bigint, place bigint")
+    return dealt.mapInArrow(
+        run, "kind bigint, anchor bigint, row bigint, place bigint, last bigint"
+    )
 
 
 def contexts(rows: DataFrame, probes: DataFrame, length: int) -> DataFrame:
@@ -295,41 +334,65 @@ def _groups(found) -> pa.RecordBatch:
 
 
 def large_groups(probes: DataFrame, length: int) -> DataFrame:
-    """The same for anchors with many contexts: every window is dealt out by its hash."""
+    """The same for anchors with many contexts: their windows are dealt out by their bytes.
+
+    ``STRIDE`` windows that begin next to each other share all bytes but the outer ones.
+    Contexts meet by the hash of these shared bytes, so only those meet that repeat them,
+    and then compare the hashes of the single windows.
+    """
     chosen = probes.where("kind = 2").select("row", "place", "before", "bytes")
+    windows = [f"w{j}" for j in range(STRIDE)]
+    columns = ["group", "row", "place", *windows]
+    shape = ", ".join(["`group` bigint, row bigint, place bigint", *(f"{w} bigint" for w in windows)])
 
     def split(batches):
         for batch in batches:
             found = []
             for row, place, before, own in zip(*(c.to_pylist() for c in batch.columns)):
-                cells = np.frombuffer(own, np.uint8)
-                begin = np.arange(min(before, len(cells) - length) + 1)
-                if len(begin):
-                    name = words.slice_hash(words.prefix_hash(cells), begin, begin + length)
-                    found.append((name, np.full(len(begin), row), begin + (place - before)))
+                total = words.prefix_hash(np.frombuffer(own, np.uint8))
+                # The windows of block b begin b * STRIDE to (b + 1) * STRIDE - 1 bytes
+                # in front of the anchor.
+                near = np.arange(0, before + 1, STRIDE)
+                near = near[before - near - STRIDE + 1 + length <= len(own)]
+                if not len(near):
+                    continue
+                core = words.slice_hash(total, before - near, before - near - STRIDE + 1 + length)
+                begin = before - near[:, None] - np.arange(STRIDE)
+                valid = (begin >= 0) & (begin + length <= len(own))
+                safe = np.where(valid, begin, 0)
+                hashes = words.slice_hash(total, safe, safe + length) | np.uint64(1)
+                hashes[~valid] = 0
+                name = words.mix(core + near.astype(np.uint64))
+                found.append((name, np.full(len(near), row), place - near, hashes))
             if found:
-                name, row, first = (np.concatenate([f[k] for f in found]) for k in range(3))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(name.view(np.int64)), pa.array(row), pa.array(first)],
-                    names=["group", "row", "first"],
-                )
+                name, row, place, hashes = (np.concatenate([f[k] for f in found]) for k in range(4))
+                arrays = [name.view(np.int64), row, place.astype(np.int64)]
+                arrays += [np.ascontiguousarray(hashes[:, j]).view(np.int64) for j in range(STRIDE)]
+                yield pa.RecordBatch.from_arrays([pa.array(a) for a in arrays], names=columns)
 
     def pick(batches):
-        columns = ["group", "row", "first"]
         for rows in words.runs(batches, columns):
-            name, row, first = (rows[c] for c in columns)
+            name, row, place = (rows[c] for c in columns[:3])
             fresh = np.append(True, (name[1:] != name[:-1]) | (row[1:] != row[:-1])
-                              | (first[1:] != first[:-1]))
-            name, row, first = name[fresh], row[fresh], first[fresh]
-            same = name[1:] == name[:-1]
-            many = np.append(False, same) | np.append(same, False)
-            arrays = [name[many], row[many], first[many], first[many] + length]
+                              | (place[1:] != place[:-1]))
+            name, row, place = name[fresh], row[fresh], place[fresh]
+            first = np.full(len(name), _WHOLE, np.int64)
+            last = np.zeros(len(name), np.int64)
+            for j, window in enumerate(windows):
+                own = rows[window][fresh].view(np.uint64)
+                many, _ = words.repeated(words.mix(words.mix(name.view(np.uint64)) + own))
+                many &= own != 0
+                first[many] = np.minimum(first[many], place[many] - j)
+                last[many] = np.maximum(last[many], place[many] - j + length)
+            # Windows of one block overlap, so what repeats of them is one span.
+            many = last > 0
+            arrays = [name[many], row[many], first[many], last[many]]
             yield pa.RecordBatch.from_arrays(
-                [pa.array(a) for a in arrays], names=[*columns, "last"]
+                [pa.array(a) for a in arrays], names=["group", "row", "first", "last"]
             )
 
-    windows = chosen.mapInArrow(split, "`group` bigint, row bigint, `first` bigint")
-    dealt = windows.repartition("group").sortWithinPartitions("group", "row", "first")
+    dealt = chosen.mapInArrow(split, shape).repartition("group")
+    dealt = dealt.sortWithinPartitions("group", "row", "place")
     return dealt.mapInArrow(pick, "`group` bigint, row bigint, `first` bigint, `last` bigint")
 
 
@@ -346,7 +409,7 @@ def find_repeats(
         F.xxhash64(docs[key].cast("string"), F.length(text), docs[text]).alias("row"),
         F.coalesce(docs[text], F.lit("")).alias("text"),
     )
-    found = workspace.materialize(meet(anchor_table(rows.select("row", "text"), length)), "anchors")
+    found = workspace.materialize(meet(anchor_table(rows.select("row", "text"), length), length), "anchors")
     probes = contexts(rows.select("row", "text"), found.where("kind > 0"), length)
     probes = workspace.materialize(probes, "contexts")
     whole = rows.where(F.octet_length("text") >= length).select(
@@ -354,11 +417,7 @@ def find_repeats(
     )
     copied = whole.groupBy("digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
     places = [
-        found.where("kind = 0").select(
-            "row",
-            F.greatest(F.col("place") - (length - ANCHOR), F.lit(0)).alias("first"),
-            (F.col("place") + length).alias("last"),
-        ),
+        found.where("kind = 0").select("row", F.col("place").alias("first"), "last"),
         small_groups(probes, length).select("row", "first", "last"),
         large_groups(probes, length).select("row", "first", "last"),
         whole.join(copied, "digest", "left_semi").select(
