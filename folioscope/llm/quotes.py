@@ -69,19 +69,22 @@ def reply_chains(parents: DataFrame) -> DataFrame:
     """``conv``, ``turn``, ``root`` and ``depth`` of the messages that have a parent.
 
     ``parents`` has ``conv``, ``turn`` and ``parent``, an earlier turn.  Each round doubles
-    the length of the known paths, so there are as many rounds as the largest depth has
-    binary digits.  Every round is stored; only its two tables are read by the next.
+    the length of the paths that have not reached a root, so there are as many rounds as the
+    largest depth has binary digits, and paths that are complete are only looked up.  Every
+    round is stored.
     """
+    columns = ["conv", "turn", "root", "depth"]
     paths = parents.select(
         "conv", "turn", F.col("parent").alias("root"), F.lit(1).cast("bigint").alias("depth")
     )
-    paths = workspace.materialize(paths, "paths")
+    growing = workspace.materialize(paths, "paths")
+    done = growing.where("false")
     while True:
-        upper = paths.select(
+        upper = growing.unionByName(done).select(
             "conv", F.col("turn").alias("root"), F.col("root").alias("top"),
             F.col("depth").alias("more"),
         )
-        longer = paths.join(upper, ["conv", "root"], "left").select(
+        longer = growing.join(upper, ["conv", "root"], "left").select(
             "conv",
             "turn",
             F.coalesce("top", "root").alias("root"),
@@ -89,9 +92,10 @@ def reply_chains(parents: DataFrame) -> DataFrame:
             F.expr("top IS NOT NULL").alias("grew"),
         )
         longer = workspace.materialize(longer, "paths")
-        paths = longer.select("conv", "turn", "root", "depth")
-        if not longer.where("grew").limit(1).count():
-            return paths
+        done = done.unionByName(longer.where("NOT grew").select(*columns))
+        growing = longer.where("grew").select(*columns)
+        if not growing.limit(1).count():
+            return done
 
 
 def link_quotations(
