@@ -12,7 +12,8 @@ WHITESPACE = "".join(chr(i) for i in range(0x3001) if chr(i).isspace())
 WHITESPACE_CLASS = r"[\t-\r\x1c-\x20\x{85}\p{Z}]"
 LINE_BREAK = r"\r\n|[\n-\r\x1c-\x1e\x{85}\x{2028}\x{2029}]"
 
-DEFAULT_CONTEXT_CHARS = 120000
+# No limit: whole documents go into prompts unless the caller sets one.
+DEFAULT_CONTEXT_CHARS = None
 
 
 def as_column(value: Column | str) -> Column:
@@ -36,12 +37,12 @@ def collapse_newlines(text: Column | str) -> Column:
     return F.replace(as_column(text), F.lit("\n\n"), F.lit("\n"))
 
 
-def truncate_chars(text: Column | str, limit: int = DEFAULT_CONTEXT_CHARS) -> Column:
-    return F.substring(as_column(text), 1, limit)
+def truncate_chars(text: Column | str, limit: int | None = DEFAULT_CONTEXT_CHARS) -> Column:
+    return as_column(text) if limit is None else F.substring(as_column(text), 1, limit)
 
 
-def was_truncated(text: Column | str, limit: int = DEFAULT_CONTEXT_CHARS) -> Column:
-    return F.length(as_column(text)) > limit
+def was_truncated(text: Column | str, limit: int | None = DEFAULT_CONTEXT_CHARS) -> Column:
+    return F.lit(False) if limit is None else F.length(as_column(text)) > limit
 
 
 def content_length(text: Column | str) -> Column:

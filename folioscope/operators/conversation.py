@@ -208,7 +208,7 @@ def document_prompt(history: Column | str, question: Column | str) -> Column:
 def document_system_text(
     document: Column | str,
     template: str = DOCUMENT_SYSTEM_TEMPLATE,
-    context_chars: int = X.DEFAULT_CONTEXT_CHARS,
+    context_chars: int | None = X.DEFAULT_CONTEXT_CHARS,
 ) -> Column:
     """The opening of a conversation about one document; its template may name {text}."""
     text = X.truncate_chars(X.default_empty(document), context_chars)
@@ -219,7 +219,7 @@ def summary_prompt(
     document: Column | str,
     language: str = SUMMARY_LANGUAGE,
     template: str = SUMMARY_TEMPLATE,
-    context_chars: int = X.DEFAULT_CONTEXT_CHARS,
+    context_chars: int | None = X.DEFAULT_CONTEXT_CHARS,
 ) -> Column:
     """A template may name {language} and {text}."""
     text = X.truncate_chars(X.default_empty(document), context_chars)
@@ -227,7 +227,7 @@ def summary_prompt(
 
 
 def document_prompts(
-    turns: DataFrame, documents: DataFrame, context_chars: int = X.DEFAULT_CONTEXT_CHARS
+    turns: DataFrame, documents: DataFrame, context_chars: int | None = X.DEFAULT_CONTEXT_CHARS
 ) -> DataFrame:
     """One prompt per user turn of conversations about documents.
 

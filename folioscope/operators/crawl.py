@@ -20,9 +20,6 @@ from folioscope.operators.ordering import first_rows, number_rows, ordered_ids
 from folioscope.sources.pages import with_fetch_key
 from folioscope.staging import let
 
-MAX_SAVES = 10
-
-
 def extract_links(pages: DataFrame, keep: tuple[str, ...] = ("url",)) -> DataFrame:
     """Every ``<a href>`` of every page: the kept columns, pos from 0, href."""
     return pages.select(*keep, F.posexplode(H.html_links("html")).alias("pos", "href"))
@@ -94,20 +91,22 @@ class Crawl:
         """The visits numbered from 0 in queue order."""
         return number_rows(self.visits, ["depth", "rank"], "visit_order")
 
-    def saves(self, max_saves: int = MAX_SAVES) -> DataFrame:
-        """The first ``max_saves`` files, numbered from 0 in the order they are saved."""
+    def saves(self, max_saves: int | None = None) -> DataFrame:
+        """The files, or the first ``max_saves``, numbered from 0 in the order they are saved."""
         good = self.attempts.where(F.col("status") == "candidate").drop("status")
         kept = first_wins(good, ("depth", "rank", "pos"))
-        return first_rows(kept, ["depth", "rank", "pos"], max_saves, "save_order")
+        order = ["depth", "rank", "pos"]
+        if max_saves is None:
+            return number_rows(kept, order, "save_order")
+        return first_rows(kept, order, max_saves, "save_order")
 
-    def report(self, max_saves: int = MAX_SAVES) -> DataFrame:
-        """Attempts up to the last save, by what became of them."""
+    def report(self, max_saves: int | None = None) -> DataFrame:
+        """Attempts by what became of them; with a limit, those up to the last save."""
         key = ["depth", "rank", "pos"]
         done = self.saves(max_saves).select(*key, "url", F.lit("saved").alias("_saved"))
-        full = done.agg(
-            F.count(F.lit(1)).alias("_n"), F.max(F.struct(*key)).alias("_last")
-        )
-        last = full.where(F.col("_n") == max_saves).select("_last").first()
+        full = done.agg(F.count(F.lit(1)).alias("_n"), F.max(F.struct(*key)).alias("_last"))
+        at_limit = F.lit(False) if max_saves is None else F.col("_n") == max_saves
+        last = full.where(at_limit).select("_last").first()
         tried = self.attempts
         if last is not None:
             end = F.struct(*(F.lit(v).alias(n) for n, v in zip(key, last[0], strict=True)))

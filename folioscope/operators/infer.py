@@ -70,14 +70,18 @@ def summarize_documents(
     model: str = MODEL,
     language: str = C.SUMMARY_LANGUAGE,
     template: str = C.SUMMARY_TEMPLATE,
-    context_chars: int = C.X.DEFAULT_CONTEXT_CHARS,
+    context_chars: int | None = C.X.DEFAULT_CONTEXT_CHARS,
 ) -> DataFrame:
-    """Add ``summary``, status and error; the prompt is not kept."""
+    """Add ``summary``, ``truncated``, status and error; the prompt is not kept.
+
+    Whole documents are summarised unless ``context_chars`` sets a limit.
+    """
     prompt = C.summary_prompt("content", language, template, context_chars)
     asked = docs.withColumn("_prompt", prompt)
     told = generate_batch(asked, generator, model, FACTUAL_TEMPERATURE, "_prompt")
     summary = F.when(F.col("status") == "ok", C.clean_answer("response", "lines"))
-    return told.withColumn("summary", summary).drop("_prompt", "response")
+    cut = F.coalesce(C.X.was_truncated("content", context_chars), F.lit(False))
+    return told.withColumns({"summary": summary, "truncated": cut}).drop("_prompt", "response")
 
 
 def answer_prompts(

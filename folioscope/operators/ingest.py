@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
+import fnmatch
 from collections.abc import Mapping
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -24,8 +25,9 @@ from folioscope.sources.files import scan_files
 from folioscope.sources.tables import conform
 
 # Files the engine reads itself, by the pattern of their names.
-HTML_GLOB = "*.{html,htm,HTML,HTM}"
-TEXT_GLOB = "*.{txt,md,TXT,MD}"
+HTML_GLOB = "*.{[hH][tT][mM][lL],[hH][tT][mM]}"
+TEXT_GLOB = "*.{[tT][xX][tT],[mM][dD]}"
+OWN_NAMES = r"(?i)[.](html|htm|txt|md)$"
 
 METADATA = ("title", "author", "keywords", "content_type", "language")
 
@@ -57,16 +59,22 @@ def extract_text(df: DataFrame, html: str, out: str = "content") -> DataFrame:
     return df.withColumn(out, H.html_text(html))
 
 
+def decoded(content: str) -> Column:
+    """The text of a file: UTF-8, or ISO-8859-1 where the bytes are not valid UTF-8."""
+    plain = F.col(content).cast("string")
+    return F.when(F.is_valid_utf8(plain), plain).otherwise(F.decode(F.col(content), "ISO-8859-1"))
+
+
 def extract_html_files(files: DataFrame) -> DataFrame:
     """Text and metadata of HTML files read as bytes."""
-    page = files.select("path", F.decode(F.col("content"), "UTF-8").alias("_page"))
+    page = files.select("path", decoded("content").alias("_page"))
     return _with_status(extract_metadata(extract_text(page, "_page"), "_page").drop("_page"))
 
 
 def extract_text_files(files: DataFrame) -> DataFrame:
     """Plain text files have content and a type, and no other metadata."""
     empty = {name: F.lit("") for name in METADATA} | {"content_type": F.lit("text/plain")}
-    page = files.select("path", F.decode(F.col("content"), "UTF-8").alias("content"))
+    page = files.select("path", decoded("content").alias("content"))
     return _with_status(page.withColumns(empty))
 
 
@@ -115,16 +123,31 @@ def ingest_status(content, error=None):
 def ingest_directory(
     spark: SparkSession, directory: str, extractors: Mapping[str, plugins.Extractor] | None = None
 ) -> DataFrame:
-    """Every HTML and text file below a directory, plus those an extractor's glob names.
+    """A row for every file below a directory that Spark lists.
 
-    Each kind is listed by its own glob, so no file is opened twice.
+    A file goes to the first extractor whose glob (``*``, ``?``, ``[...]``) its name
+    matches, else to the built-in ones for HTML and text; what nobody reads has the status
+    ``unsupported``.  Each kind is listed by its own glob, so no file is opened twice, and
+    unsupported files are not opened at all.
     """
-    parts = [
-        extract_html_files(scan_files(spark, directory, HTML_GLOB)),
-        extract_text_files(scan_files(spark, directory, TEXT_GLOB)),
-    ]
+    taken: list[str] = []
+
+    def free(files: DataFrame) -> DataFrame:
+        """Files that no extractor before has taken."""
+        for pattern in taken:
+            files = files.where(~base_name("path").rlike(pattern))
+        return files
+
+    parts = []
     for glob, extractor in (extractors or {}).items():
-        parts.append(extract_with(scan_files(spark, directory, glob), extractor))
+        parts.append(extract_with(free(scan_files(spark, directory, glob)), extractor))
+        taken.append(f"^{fnmatch.translate(glob)}")
+    parts.append(extract_html_files(free(scan_files(spark, directory, HTML_GLOB))))
+    parts.append(extract_text_files(free(scan_files(spark, directory, TEXT_GLOB))))
+    taken.append(OWN_NAMES)
+    rest = free(scan_files(spark, directory).select("path"))
+    nothing = {name: F.lit(None).cast("string") for name in ("content", *METADATA, "error")}
+    parts.append(rest.withColumns(nothing).withColumn("status", F.lit("unsupported")))
     whole = parts[0]
     for part in parts[1:]:
         whole = whole.unionByName(part)

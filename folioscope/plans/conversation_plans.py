@@ -90,7 +90,7 @@ SQL_ABOUT = f"""{_ANSWERED}, about_segments AS (
       SELECT conv_id, turn, role, text, coalesce({_EARLIER}, '') AS history FROM about_segments)"""
 
 SQL_SUMMARY = f"""'Summarize the following text in deutsch. Two paragraphs will be enough:' || {NN}
-    || left(text, 120000) || {NN} || 'Summary:'"""
+    || text || {NN} || 'Summary:'"""
 
 SQL_CONTEXT = f"""context AS (
       SELECT h.conv_id, h.turn,
@@ -158,7 +158,7 @@ def chat_prompts(spark, folder):
     f"""WITH {SQL_ABOUT}
         SELECT a.conv_id, a.turn, {NL}
           || 'You are a helpful assistant and inform the user about the following document:' || {NN}
-          || left(d.text, 120000) || {NN} || 'Now take the user''s question.' || a.history || {NN}
+          || d.text || {NN} || 'Now take the user''s question.' || a.history || {NN}
           || 'User: ' || a.text || {NN} || 'Assistant:' || {NL} AS prompt
         FROM about a JOIN documents d ON d.doc_id = a.conv_id WHERE a.role = 'user'""",
 )

@@ -287,8 +287,7 @@ def crawl_bfs(spark, folder):
 )
 def crawl_saves(spark, folder):
     """Every file a crawl without a limit saves, in order."""
-    pages = part_pages(spark, folder)
-    saves = W.crawl_bfs(pages, START_URL).saves(max_saves=pages.count())
+    saves = W.crawl_bfs(part_pages(spark, folder), START_URL).saves()
     return saves.select("save_order", "url", "local_path")
 
 
@@ -316,5 +315,4 @@ def max_saves(spark, folder):
         FROM attempt GROUP BY 1""",
 )
 def crawl_report(spark, folder):
-    pages = part_pages(spark, folder)
-    return W.crawl_bfs(pages, START_URL).report(max_saves=pages.count())
+    return W.crawl_bfs(part_pages(spark, folder), START_URL).report()

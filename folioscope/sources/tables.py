@@ -44,10 +44,11 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
+    """Whether Parquet files are there; a folder without any is no table."""
     try:
         spark.read.parquet(path)
     except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
+        if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return False
         raise
     return True
@@ -83,10 +84,18 @@ def bulk_append(
     writer.parquet(path)
 
 
-def upsert_by_id(old: DataFrame, new: DataFrame, ids: Sequence[str]) -> DataFrame:
+def upsert_by_id(
+    old: DataFrame, new: DataFrame, ids: Sequence[str], order: str | None = None
+) -> DataFrame:
     """The next version of a table: rows of ``new`` replace those of ``old`` with their id.
 
-    Write the result to a new path.  When every row changes, adding a column is cheaper.
+    Of several new rows with one id that with the largest ``order`` stays; without ``order``
+    the new ids must be unique.  Write the result to a new path.  When every row changes,
+    adding a column is cheaper.
     """
+    if order is not None:
+        whole = F.struct(F.col(order).alias("_order"), *(F.col(c) for c in new.columns))
+        last = new.groupBy(*(F.col(c).alias(f"_{c}") for c in ids)).agg(F.max(whole).alias("_new"))
+        new = last.select(*(F.col("_new")[c].alias(c) for c in new.columns))
     kept = old.join(new.select(*ids), list(ids), "left_anti")
     return kept.select(*old.columns).unionByName(new, allowMissingColumns=True)

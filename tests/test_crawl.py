@@ -1,67 +1,17 @@
-"""Crawls against a loop with a queue, on random sites."""
+"""Properties of crawls on random sites."""
 
-import os.path
 import random
-from urllib.parse import unquote, urljoin, urlparse
 
 import pytest
 
 from folioscope.operators import crawl as W
 from folioscope.operators import ordering as O
+from folioscope.sources.pages import with_fetch_key
 
 PAGES = "url string, html string, content_type string"
 START = "http://h/s/"
 
 
-def queue_crawl(pages, start, max_files):
-    """Visits in order, and (url, file) of the saves in order."""
-    known = {url.split("#")[0]: (html, kind) for url, html, kind in pages}
-    base = urlparse(start)
-    prefix = base.path.rstrip("/")
-    queue, visited, files, saves = [start], [], set(), []
-
-    def save(url):
-        html_kind = known.get(url.split("#")[0])
-        if not html_kind or not any(k in html_kind[1] for k in ("text", "html", "pdf")):
-            return
-        path, kind = urlparse(url).path, html_kind[1]
-        extension = {"text/html": ".html", "application/pdf": ".pdf"}.get(
-            kind, os.path.splitext(path)[1]
-        )
-        parts = [unquote(p) for p in path.strip("/").split("/")]
-        name = parts[-1] or "index"
-        name += "" if name.endswith(extension) else extension
-        file = "/".join([*parts[:-1], name])
-        if file not in files:
-            files.add(file)
-            saves.append((url, file))
-
-    def full():
-        return len(saves) >= max_files
-
-    while queue and not full():
-        url = queue.pop(0)
-        visited.append(url)
-        if url.split("#")[0] not in known:
-            continue
-        save(url)
-        if full():
-            break
-        for href in known[url.split("#")[0]][0].split():
-            target = urljoin(url, href)
-            part = urlparse(target)
-            extension = os.path.splitext(part.path)[1].lower()
-            inside = part.netloc == base.netloc and part.path.startswith(prefix)
-            if extension == ".pdf":
-                save(target)
-                if full():
-                    break
-            elif inside and extension in ("", ".html", ".htm"):
-                if target not in visited and target not in queue:
-                    queue.append(target)
-    return visited, saves
-
-
 def site(seed, n=40):
     rng = random.Random(seed)
     names = [f"p{i}" for i in range(n)] + [f"p{i}.html" for i in range(0, n, 5)]
@@ -93,25 +43,59 @@ def table(spark, pages):
     return spark.createDataFrame([(u, html(h), k) for u, h, k in pages], PAGES)
 
 
+def crawled(spark, pages, **limits):
+    """Visits and saves in order, and for each fetched page its useful links in order."""
+    rows = table(spark, pages)
+    crawl = W.crawl_bfs(rows, START, **limits)
+    visits = crawl.ordered_visits().orderBy("visit_order").collect()
+    links = {}
+    for link in W.link_table(with_fetch_key(rows), START).orderBy("src", "pos").collect():
+        links.setdefault(link.src, []).append((link.url, link.action))
+    saves = [(r.url, r.local_path) for r in crawl.saves().orderBy("save_order").collect()]
+    return crawl, visits, links, saves
+
+
+@pytest.mark.parametrize("seed", [1, 2, 3])
+def test_visits_are_first_appearances(spark, seed):
+    """The visits are the start and then, once each, what the visited pages link to."""
+    _, visits, links, _ = crawled(spark, site(seed))
+    follow = [
+        url
+        for visit in visits
+        if visit.fetched
+        for url, action in links.get(visit.url.split("#")[0], [])
+        if action == "enqueue"
+    ]
+    assert [v.url for v in visits] == list(dict.fromkeys([START, *follow]))
+
+
 @pytest.mark.parametrize("seed", [1, 2, 3])
-def test_crawl_equals_queue(spark, seed):
-    pages = site(seed)
-    crawl = W.crawl_bfs(table(spark, pages), START)
-    visits = [r.url for r in crawl.ordered_visits().orderBy("visit_order").collect()]
-    wanted, saves = queue_crawl(pages, START, 10**9)
-    assert visits == wanted
-    found = [(r.url, r.local_path) for r in crawl.saves(10**6).orderBy("save_order").collect()]
-    assert found == saves
-    report = {r.status: r.n_files for r in crawl.report(10**6).collect()}
-    assert report["saved"] == len(saves)
+def test_saves_are_first_of_their_file(spark, seed):
+    """A page is offered before the files that it links to; each file name is taken once."""
+    crawl, visits, links, saves = crawled(spark, site(seed))
+    offered = []
+    for visit in visits:
+        if visit.fetched:
+            found = links.get(visit.url.split("#")[0], [])
+            offered += [visit.url, *(url for url, action in found if action == "save")]
+    order = {url: n for n, url in reversed(list(enumerate(offered)))}
+    assert [order[url] for url, _ in saves] == sorted(order[url] for url, _ in saves)
+    assert len({path for _, path in saves}) == len(saves)
+    good = crawl.attempts.where("status = 'candidate'").collect()
+    firsts = {}
+    for row in good:
+        firsts[row.local_path] = min(firsts.get(row.local_path, len(offered)), order[row.url])
+    assert {path: order[url] for url, path in saves} == firsts
+    report = {r.status: r.n_files for r in crawl.report().collect()}
+    assert report["saved"] == len(saves) and sum(report.values()) == crawl.attempts.count()
 
 
 @pytest.mark.parametrize("limit", [1, 4, 9])
 def test_crawl_stops_at_the_limit(spark, limit):
-    pages = site(4)
-    crawl = W.crawl_bfs(table(spark, pages), START, max_saves=limit)
+    whole = crawled(spark, site(4))[3]
+    crawl = W.crawl_bfs(table(spark, site(4)), START, max_saves=limit)
     found = [(r.url, r.local_path) for r in crawl.saves(limit).orderBy("save_order").collect()]
-    assert found == queue_crawl(pages, START, limit)[1]
+    assert found == whole[:limit]
     report = {r.status: r.n_files for r in crawl.report(limit).collect()}
     assert report["saved"] == limit
 

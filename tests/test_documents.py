@@ -44,6 +44,13 @@ def test_upsert(spark):
     new = spark.createDataFrame([(2, "B", 0.5), (3, "C", 0.1)], "id long, t string, v double")
     rows = {tuple(r) for r in tables.upsert_by_id(old, new, ["id"]).collect()}
     assert rows == {(1, "a", None), (2, "B", 0.5), (3, "C", 0.1)}
+    twice = new.unionByName(spark.createDataFrame([(3, "D", 0.7)], new.schema))
+    rows = {tuple(r) for r in tables.upsert_by_id(old, twice, ["id"], order="v").collect()}
+    assert rows == {(1, "a", None), (2, "B", 0.5), (3, "D", 0.7)}
+
+
+def test_a_folder_without_files_is_no_table(spark, tmp_path):
+    assert not tables.table_exists(spark, str(tmp_path))
 
 
 def session(folder=None, master="local[2]", checkpoint=None):
@@ -77,8 +84,10 @@ def test_directory(spark, tmp_path):
     (tmp_path / "sub" / "d.pdf").write_text("bad")
     (tmp_path / "e.pdf").write_text("empty")
     (tmp_path / "f.bin").write_text("ignored")
-    assert files.scan_files(spark, str(tmp_path)).count() == 6
-    rows = I.ingest_directory(spark, str(tmp_path), {"*.pdf": Upper()})
+    (tmp_path / "g.Txt").write_bytes("M\u00fcller".encode("latin-1"))
+    (tmp_path / "h.html").write_text("by the plug-in")
+    assert files.scan_files(spark, str(tmp_path)).count() == 8
+    rows = I.ingest_directory(spark, str(tmp_path), {"*.pdf": Upper(), "h.*": Upper()})
     status = {r.path.rsplit("/", 1)[1]: (r.status, r.error) for r in rows.collect()}
     assert status == {
         "a.html": ("indexed", None),
@@ -86,11 +95,16 @@ def test_directory(spark, tmp_path):
         "c.pdf": ("indexed", None),
         "d.pdf": ("error", "ValueError: bad file"),
         "e.pdf": ("no_content", None),
+        "f.bin": ("unsupported", None),
+        "g.Txt": ("indexed", None),
+        "h.html": ("indexed", None),
     }
+    assert rows.count() == 8
     report = {r.status: r.n_files for r in I.ingest_report(rows).collect()}
-    assert report == {"indexed": 3, "error": 1, "no_content": 1}
+    assert report == {"indexed": 5, "error": 1, "no_content": 1, "unsupported": 1}
     docs = {r.file_name: r for r in I.build_documents(rows).collect()}
-    assert set(docs) == {"a.html", "b.txt", "c.pdf"}
+    assert set(docs) == {"a.html", "b.txt", "c.pdf", "g.Txt", "h.html"}
+    assert docs["g.Txt"].content == "M\u00fcller" and docs["h.html"].content == "BY THE PLUG-IN"
     assert docs["b.txt"].content == "plain" and docs["b.txt"].content_length == 5
     assert docs["b.txt"].directory_path.endswith("/sub")
     assert (docs["c.pdf"].title, docs["c.pdf"].author, docs["c.pdf"].language) == ("T", "A", "")

@@ -3,9 +3,8 @@
 import html
 import itertools
 import os.path
-import posixpath
 import time
-from urllib.parse import unquote, urljoin, urlparse
+from urllib.parse import urljoin, urlparse
 
 from pyspark.sql import functions as F
 
@@ -69,23 +68,23 @@ def test_url_parts(spark):
         assert row.extension == os.path.splitext(part.path)[1].lower()
 
 
-def saved_as(url, content_type):
-    path = urlparse(url).path
-    kinds = {"text/html": ".html", "application/pdf": ".pdf"}
-    extension = kinds.get(content_type, os.path.splitext(path)[1])
-    *folders, name = [unquote(part) for part in path.strip("/").split("/")]
-    name = name or "index"
-    name = name if name.endswith(extension) else name + extension
-    return posixpath.normpath("/".join([*folders, name]))
+SAVED_AS = [
+    ("http://h", "text/html", "index.html"),
+    ("http://u:1@h:8/p.PDF?q#f", "application/pdf", "p.PDF.pdf"),
+    ("http://h/a.tar.gz", "text/plain", "a.tar.gz"),
+    ("http://h/a.b/c", "text/html", "a.b/c.html"),
+    ("http://h/a+b%20c%zz%", "text/html", "a+b c%zz%.html"),
+    ("http://h/a//b/./c.htm/", "text/html", "a/b/c.htm.html"),
+    ("http://h/a;x.pdf", "application/pdf", "a.pdf"),
+    ("http://h/\u00fc%C3%BC", "text/html", "\u00fc\u00fc.html"),
+    ("http://h/a b", "text/plain", "a b"),
+]
 
 
 def test_local_paths(spark):
-    kinds = ["text/html", "application/pdf", "text/plain"]
-    pairs = list(itertools.product(URLS, kinds))
-    rows = spark.createDataFrame(pairs, "url string, content_type string")
+    rows = spark.createDataFrame(SAVED_AS, "url string, content_type string, path string")
     for row in U.with_local_path(rows).collect():
-        assert row.local_path == saved_as(row.url, row.content_type), row
-        assert not row.unsafe
+        assert row.local_path == row.path and not row.unsafe, row
 
 
 def test_unsafe_paths(spark):
