@@ -24,7 +24,7 @@ from folioscope.llm import words
 
 BLANK = "▁"
 # Text whose lattices are held at once, in bytes.
-PIECE_BYTES = 1 << 20
+PIECE_BYTES = 1 << 19
 # A longer run without a blank is cut, so that a lattice stays small.
 MAX_WORD = 64
 

@@ -15,9 +15,9 @@ import numpy as np
 import pyarrow as pa
 
 # Bytes of text that are turned into arrays at once.
-PIECE_BYTES = 4 << 20
+PIECE_BYTES = 1 << 20
 # Bytes whose running hash is held at once.
-BLOCK_BYTES = 1 << 19
+BLOCK_BYTES = 1 << 18
 
 _BASE = 0x9E3779B97F4A7C15 | 1
 _WINDOW = np.uint64(0xD6E8FEB86659FD93)
