@@ -67,23 +67,32 @@ def pad_tokens(df: DataFrame, text: str, positions: int = EMBED_TOKENS) -> DataF
 def encode_tokens(
     df: DataFrame, key: Sequence[str], text: str, dims: int, positions: int = EMBED_TOKENS
 ) -> DataFrame:
-    """The hashing encoder as rows: key, position, dim, value; empty positions have none."""
-    tokens = F.slice(K.tokenize(text), 1, positions)
-    coded = df.select(*key, F.posexplode(tokens).alias("position", "_token")).withColumn(
-        "_code", K.hash_token("_token")
-    )
+    """The hashing encoder as rows: key, windows, window, position, dim, value.
+
+    Every token of a text is one row: its place is a position from 0 in one of the text's
+    ``windows`` runs of ``positions`` tokens.  Empty positions have no row.
+    """
+    whole = df.select(*key, K.tokenize(text).alias("_tokens"))
+    counted = whole.withColumn("windows", F.ceil(F.size("_tokens") / F.lit(positions)))
+    placed = counted.select(*key, "windows", F.posexplode("_tokens").alias("_at", "_token"))
+    coded = placed.withColumn("_code", K.hash_token("_token"))
     return coded.select(
         *key,
-        "position",
+        "windows",
+        F.expr(f"_at div {positions}").alias("window"),
+        (F.col("_at") % positions).cast("bigint").alias("position"),
         K.hashed_dimension(F.col("_code"), dims).alias("dim"),
         K.hashed_sign(F.col("_code"), dims).alias("value"),
     )
 
 
 def pool_positions(encoded: DataFrame, key: Sequence[str], positions: int = EMBED_TOKENS) -> DataFrame:
-    """Mean over all positions, the empty ones included: key, dim, value, zeros left out."""
-    sums = encoded.groupBy(*key, "dim").agg((F.sum("value") / float(positions)).alias("value"))
-    return sums.where(F.col("value") != 0)
+    """Mean over all positions of all windows, the empty ones included: key, dim, value.
+
+    Zeros are left out.
+    """
+    mean = F.sum("value") / (F.max("windows") * float(positions))
+    return encoded.groupBy(*key, "dim").agg(mean.alias("value")).where(F.col("value") != 0)
 
 
 def mean_pool(df: DataFrame, key: str, vector: str, dims: int) -> DataFrame:

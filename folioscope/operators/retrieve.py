@@ -32,6 +32,8 @@ from folioscope.functions.text import collapse_newlines, default_empty
 DOC_LIMIT = 5
 SCORE_DIGITS = 9
 BLOCK_BYTES = 128 << 20
+# Ids of hits, some 50 MB, that are broadcast to the scan of the texts.
+HIT_IDS = 1_000_000
 # Scores held at once while a block is compared with a batch.
 TILE_CELLS = 4 << 20
 # Pairs scored again at once.
@@ -225,10 +227,9 @@ def _scan_questions(shape: _Shape, block) -> DataFrame:
     return shape.questions.mapInArrow(run, schema)
 
 
-def _collect(rows: DataFrame, limit: int) -> pa.Table | None:
-    """A side of at most ``limit`` rows, None when it has more."""
-    table = rows.limit(limit + 1).toArrow()
-    return table if table.num_rows <= limit else None
+def _collect(rows: DataFrame, n_rows: int, limit: int) -> pa.Table | None:
+    """A side of at most ``limit`` rows, None when it has more: rows move only if they fit."""
+    return rows.toArrow() if n_rows <= limit else None
 
 
 def _question_block(shape: _Shape, table: pa.Table):
@@ -270,7 +271,8 @@ def _cut(rows: DataFrame, n_rows: int, limit: int) -> tuple[DataFrame, list[int]
     at = F.monotonically_increasing_id()
     within = F.floor(at.bitwiseAND(F.lit((1 << 33) - 1)) / F.lit(limit))
     block = F.shiftright(at, 33) * F.lit(1 << 20) + within
-    spread = rows.repartition(-(-n_rows // limit)).withColumn("_block", block)
+    # Rows are dealt out almost evenly: with room for the difference few blocks are cut again.
+    spread = rows.repartition(-(-n_rows * 10 // (limit * 9))).withColumn("_block", block)
     spread.write.partitionBy("_block").parquet(folder)
     schema = T.StructType([*rows.schema.fields, T.StructField("_block", T.LongType())])
     stored = spark.read.schema(schema).parquet(folder)
@@ -318,13 +320,15 @@ def topk_batch(
     """
     shape = _Shape(questions, vectors, k, qid, ids, vector, question_vector, dims)
     limit = max(1, block_bytes // shape.row_bytes())
-    few = _collect(shape.questions, limit)
+    n_questions = shape.questions.count()
+    few = _collect(shape.questions, n_questions, limit)
     if few is not None:
         return best_k(_scan_vectors(shape, _question_block(shape, few)), k, qid, shape.ids)
-    few = _collect(shape.vectors, limit)
+    n_vectors = shape.vectors.count()
+    few = _collect(shape.vectors, n_vectors, limit)
     if few is not None:
         return _scan_questions(shape, _vector_block(shape, few))
-    return _passes(shape, shape.questions.count(), shape.vectors.count(), limit)
+    return _passes(shape, n_questions, n_vectors, limit)
 
 
 def topk_single(
@@ -351,12 +355,16 @@ def hit_projection(
 ) -> DataFrame:
     """Add the cleaned text of every hit; a hit without text gives ''.
 
-    The hits are stored first: their known size lets Spark broadcast their ids to the scan
-    of the texts, and only texts that were hit travel to the join.
+    The hits are stored and their distinct ids counted: up to ``HIT_IDS`` of them are
+    broadcast to the scan of the texts, and only texts that were hit travel to the join.
+    Beyond that the join of ids and texts is left to Spark.
     """
     stored = workspace.materialize(hits, "hits")
     texts = chunks.select(*ids, F.col(content).alias("_text"))
-    wanted = texts.join(stored.select(*ids).distinct(), list(ids), "left_semi")
+    found = workspace.materialize(stored.select(*ids).distinct(), "hit-ids")
+    if found.count() <= HIT_IDS:
+        found = F.broadcast(found)
+    wanted = texts.join(found, list(ids), "left_semi")
     joined = stored.join(wanted, list(ids), "left")
     cleaned = collapse_newlines(default_empty("_text"))
     return joined.select(*hits.columns, cleaned.alias("document"))

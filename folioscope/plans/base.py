@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from folioscope import schemas
+from folioscope.functions import tokens as K
 from folioscope.sources.tables import conform, scan_table, spread
+from folioscope.staging import bind
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -102,10 +104,11 @@ def sql_runs(size: int, source: str = "documents", key: str = "doc_id", text: st
 
 
 def sql_vectors(source: str, keys: str, text: str, name: str, dims: int = 64) -> str:
-    """CTE `name` (keys, vec): the hashing encoder's vectors times 512, as whole numbers."""
+    """CTE `name` (keys, vec): the hashing encoder's vectors as whole numbers, that is times
+    512 and the number of windows of 512 tokens."""
     return f"""
       {name}_tok AS (
-        SELECT {keys}, unnest({sql_tokens(text)}[1:512]) AS tok FROM {source}),
+        SELECT {keys}, unnest({sql_tokens(text)}) AS tok FROM {source}),
       {name}_code AS (
         SELECT {keys}, CAST('0x' || substr(md5(tok), 1, 8) AS BIGINT) AS h FROM {name}_tok),
       {name}_sum AS (
@@ -120,10 +123,16 @@ def sql_vectors(source: str, keys: str, text: str, name: str, dims: int = 64) ->
         FROM {name}_map)"""
 
 
-def vector_text(vector: str):
-    """A hashed vector as text, exact because its numbers are whole multiples of 1/512."""
-    whole = F.transform(vector, lambda x: (x * 512).cast("int").cast("string"))
-    return F.array_join(whole, ",")
+def vector_text(vector: str, text: str):
+    """A text's hashed vector as text, exact because its numbers are whole multiples of 1/512
+    divided by the number of windows of 512 tokens."""
+    windows = F.greatest(F.ceil(F.size(K.tokenize(text)) / F.lit(512)), F.lit(1))
+
+    def whole(scale):
+        numbers = F.transform(vector, lambda x: F.round(x.cast("double") * scale).cast("int"))
+        return F.array_join(numbers.cast("array<string>"), ",")
+
+    return bind(windows * 512, whole)
 
 
 SQL_VECTOR_TEXT = "array_to_string(list_transform(vec, lambda x: CAST(CAST(x AS BIGINT) AS VARCHAR)), ',')"

@@ -299,10 +299,32 @@ def pad_truncate(spark, folder):
 
 @query(
     "encode_tokens",
-    f"""WITH {sql_vectors("documents", "doc_id", "text", "v", DIMS)}
-        SELECT doc_id, dim, round(s / 512.0, 9) AS value FROM v_sum WHERE s <> 0""",
+    f"""WITH t AS (SELECT doc_id, {sql_tokens("text")} AS tok FROM documents),
+        placed AS (SELECT doc_id, unnest(tok) AS tok, unnest(range(0, len(tok))) AS i FROM t),
+        coded AS (SELECT doc_id, i, CAST('0x' || substr(md5(tok), 1, 8) AS BIGINT) AS h FROM placed)
+        SELECT doc_id, i // 512 AS part, i % 512 AS position, h % {DIMS} AS dim,
+               CAST(CASE WHEN (h // {DIMS}) % 2 = 0 THEN 1 ELSE -1 END AS BIGINT) AS value
+        FROM coded""",
 )
 def encode_tokens(spark, folder):
+    docs = spread_table(spark, folder, "documents", "doc_id", "text")
+    return E.encode_tokens(docs, ["doc_id"], "text", DIMS).select(
+        "doc_id",
+        F.col("window").alias("part"),
+        "position",
+        "dim",
+        F.col("value").cast("bigint").alias("value"),
+    )
+
+
+@query(
+    "pool_positions",
+    f"""WITH {sql_vectors("documents", "doc_id", "text", "v", DIMS)},
+        n AS (SELECT doc_id, ceil(len({sql_tokens("text")}) / 512.0) AS parts FROM documents)
+        SELECT doc_id, dim, round(s / (512.0 * parts), 9) AS value
+        FROM v_sum JOIN n USING (doc_id) WHERE s <> 0""",
+)
+def pool_positions(spark, folder):
     docs = spread_table(spark, folder, "documents", "doc_id", "text")
     encoded = E.encode_tokens(docs, ["doc_id"], "text", DIMS)
     pooled = E.pool_positions(encoded, ["doc_id"])
@@ -332,7 +354,7 @@ def embed_table(spark, folder):
     return chunk_vectors(spark, folder).select(
         "doc_id",
         F.col("chunk_number").cast("bigint").alias("chunk_number"),
-        vector_text("embedding").alias("vector"),
+        vector_text("embedding", "content").alias("vector"),
     )
 
 
@@ -344,7 +366,7 @@ def embed_table(spark, folder):
 )
 def filter_embeddable(spark, folder):
     embedded = E.embed_table(partly_labelled(spark, folder), HashingEncoder(DIMS))
-    return embedded.select("doc_id", vector_text("embedding").alias("vector"))
+    return embedded.select("doc_id", vector_text("embedding", "content").alias("vector"))
 
 
 @query(
@@ -357,7 +379,7 @@ def embed_questions(spark, folder):
     turns = table(spark, folder, "conversations").where(F.col("role") == "user")
     asked = turns.select("conv_id", "turn", F.col("text").alias("question"))
     embedded = E.embed_questions(asked, HashingEncoder(DIMS))
-    return embedded.select("conv_id", "turn", vector_text("embedding").alias("vector"))
+    return embedded.select("conv_id", "turn", vector_text("embedding", "question").alias("vector"))
 
 
 @query(

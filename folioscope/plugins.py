@@ -55,8 +55,9 @@ class WhitespaceTokenizer:
 class HashingEncoder:
     """Each position is a signed unit vector chosen by a hash of its token.
 
-    Pooling is the mean over ``positions`` slots, the empty ones included; with ``mask``
-    only the filled ones count.
+    A text fills as many windows of ``positions`` slots as it needs, and at least one.
+    Pooling is the mean over all of their slots, the empty ones included; with ``mask`` only
+    the filled ones count.
     """
 
     _KNOWN_LIMIT = 1 << 20
@@ -78,10 +79,11 @@ class HashingEncoder:
         return slot
 
     def encode(self, texts: list[str]) -> np.ndarray:
-        rows = [[self._slot(t) for t in text.split()[: self.positions]] for text in texts]
+        rows = [[self._slot(t) for t in text.split()] for text in texts]
         counts = np.array([len(r) for r in rows], dtype=np.int64)
         slots = np.fromiter((s for r in rows for s in r), dtype=np.int64, count=counts.sum())
         cells = np.repeat(np.arange(len(texts)), counts) * self.dims + slots // 2
         sums = np.bincount(cells, weights=1 - 2 * (slots % 2), minlength=len(texts) * self.dims)
-        divisor = np.maximum(counts, 1)[:, None] if self.mask else self.positions
-        return sums.reshape(len(texts), self.dims) / divisor
+        windows = np.maximum(-(-counts // self.positions), 1)
+        divisor = np.maximum(counts, 1) if self.mask else self.positions * windows
+        return sums.reshape(len(texts), self.dims) / divisor[:, None]

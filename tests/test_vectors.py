@@ -182,6 +182,41 @@ def test_encoder_equals_expressions(spark):
     assert {(r.id, r.dim): r.value for r in sparse.collect()} == wanted
 
 
+def test_long_texts_are_read_whole(spark):
+    """3,000 words: the last one counts, and every token has one position."""
+    words = [f"w{i % 97}" for i in range(2999)]
+    texts = [" ".join([*words, "x"]), " ".join([*words, "y"])]
+    encoder = HashingEncoder(64)
+    first, second = encoder.encode(texts) * 512 * 6
+    last = [int(np.flatnonzero(encoder.encode([t])[0])[0]) for t in "xy"]
+    assert last[0] != last[1]
+    assert sorted(np.flatnonzero(np.round(first - second))) == sorted(last)
+    questions = spark.createDataFrame(list(enumerate(texts)), "qid long, question string")
+    embedded = {r.qid: r.embedding for r in E.embed_questions(questions, encoder).collect()}
+    assert np.allclose(np.array(embedded[1]) * 512 * 6, second, atol=1e-3)
+    placed = E.encode_tokens(questions, ["qid"], "question", 64).where("qid = 0").collect()
+    assert {r.windows for r in placed} == {6}
+    assert sorted(r.window * 512 + r.position for r in placed) == list(range(3000))
+
+
+def test_hit_texts_are_not_shuffled(spark, tmp_path):
+    """Ids of a checked size are broadcast to the scan of the texts, whatever Spark's threshold."""
+    path = str(tmp_path / "texts")
+    spark.range(20000).selectExpr("id AS vec_id", "concat('t', id) AS content").write.parquet(path)
+    hits = spark.range(0, 20000, 7).selectExpr("id AS qid", "1 AS rank", "id AS vec_id")
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "2000")
+    try:
+        shown = R.hit_projection(hits, spark.read.parquet(path))
+        plan = shown._jdf.queryExecution().executedPlan().toString()
+        rows = shown.collect()
+    finally:
+        spark.conf.set(key, before)
+    assert "BroadcastHashJoin" in plan and "LeftSemi, BuildRight" in plan
+    assert sorted(r.document for r in rows) == sorted(f"t{i}" for i in range(0, 20000, 7))
+
+
 class Counting(HashingEncoder):
     """Fails unless it was started."""
 
