@@ -151,8 +151,9 @@ def build_lattice(
     ids[alone, 0] = _BYTES
     weights[alone, 0] = vocabulary.byte_weight * widths[alone]
 
+    # Each weight is read once; the running probabilities take its place.
     summed = np.zeros(size)
-    shares = np.zeros((size, longest))
+    shares = weights
     lengths = last - first + 1
     for depth in range(int(lengths.max(initial=0))):
         at = first[lengths > depth] + depth
