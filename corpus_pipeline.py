@@ -38,8 +38,7 @@ def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without benchmark passages; documents that mostly consist of them go."""
     benchmark = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
-    cleaned = decontaminate.remove_hits(decontaminate.mark_hits(docs, benchmark))
-    return _counted(cleaned, docs.columns)
+    return _counted(decontaminate.remove_benchmark(docs, benchmark), docs.columns)
 
 
 def token_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

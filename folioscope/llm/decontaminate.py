@@ -101,7 +101,7 @@ def match_rows(
 
 
 def _shards(benchmark: DataFrame, item: str, text: str, limit: int):
-    """Lists of (item id, text) with about ``limit`` bytes; at least one list."""
+    """Lists of (item id, text) with about ``limit`` bytes, at least one; True with the last."""
     pairs = benchmark.select(
         F.col(item).cast("string").alias("item"), F.col(text).alias("text")
     ).where("item is not null and text is not null")
@@ -109,7 +109,8 @@ def _shards(benchmark: DataFrame, item: str, text: str, limit: int):
     count = max(1, -(-size // limit))
     shard = F.pmod(F.xxhash64("item", "text"), F.lit(count))
     for number in range(count):
-        yield [(r.item, r.text) for r in pairs.where(shard == number).distinct().collect()]
+        rows = pairs.where(shard == number).distinct().collect()
+        yield [(r.item, r.text) for r in rows], number == count - 1
 
 
 def mark_hits(
@@ -129,6 +130,11 @@ def mark_hits(
     or items, count like single ones for what they contain; items without an id are left
     out.  An empty benchmark gives no hits.
     """
+    return _streamed(docs, benchmark, text, item, item_text, window, shard_bytes)
+
+
+def _streamed(docs, benchmark, text, item, item_text, window, shard_bytes, finish=None):
+    """``mark_hits``; ``finish`` turns a marked batch of the last pass into rows like ``docs``."""
     fields = docs.columns
     at = fields.index(text)
     added = {"_n_words": "bigint", "_hits": "array<bigint>", "_items": "array<string>"}
@@ -137,7 +143,7 @@ def mark_hits(
         + [f"{name} {kind}" for name, kind in added.items()]
     )
 
-    def passing(matcher_of, merge):
+    def passing(matcher_of, merge, finish):
         def run(batches):
             matcher = matcher_of()
             for batch in batches:
@@ -150,17 +156,19 @@ def mark_hits(
                         _add_spans(hit, found.rows, piece.column(len(fields) + 1))
                     columns = [*piece.columns[: len(fields)], pa.array(np.diff(found.rows))]
                     columns += [_spans(hit, found.rows), _item_lists(items, before, len(piece))]
-                    yield pa.RecordBatch.from_arrays(columns, names=[*fields, *added])
+                    rows = pa.RecordBatch.from_arrays(columns, names=[*fields, *added])
+                    yield finish(rows) if finish else rows
 
         return run
 
     marked = None
     context = docs.sparkSession.sparkContext
-    for shard in _shards(benchmark, item, item_text, shard_bytes):
+    for shard, last in _shards(benchmark, item, item_text, shard_bytes):
         held = context.broadcast(shard)
         source = docs if marked is None else workspace.materialize(marked, "hits")
-        run = passing(lambda held=held: build_matcher(held.value, window), marked is not None)
-        marked = source.mapInArrow(run, schema)
+        end = finish if last else None
+        run = passing(lambda held=held: build_matcher(held.value, window), marked is not None, end)
+        marked = source.mapInArrow(run, docs.schema if end else schema)
     return marked
 
 
@@ -233,35 +241,58 @@ def remove_hits(
     without hits are unchanged, null texts included.
     """
     fields = [name for name in marked.columns if name not in ("_n_words", "_hits", "_items")]
-    at = marked.columns.index(text)
-    shape = marked.select(*fields).schema
 
     def run(batches):
         for batch in batches:
             for piece in words.pieces(batch, text):
-                column = piece.column(at)
-                spans = piece.column(piece.schema.get_field_index("_hits"))
-                sizes = spans.value_lengths().to_numpy(zero_copy_only=False)
-                if not sizes.any():
-                    yield piece.select(fields)
-                    continue
-                data, offsets = words.buffers(column)
-                found = words.find_runs(data, offsets, words.ALPHANUMERIC)
-                raw = data.tobytes()
-                texts, keep = [], []
-                null = column.is_null().to_numpy(zero_copy_only=False)
-                for row, flat in enumerate(spans.to_pylist()):
-                    first, count = found.rows[row], found.rows[row + 1] - found.rows[row]
-                    gone = sum(flat[1::2]) - sum(flat[::2])
-                    keep.append(100 * gone <= max_share * count)
-                    place, parts = int(offsets[row]), []
-                    for begin, end in zip(flat[::2], flat[1::2]):
-                        parts.append(raw[place : found.starts[first + begin]])
-                        place = int(found.ends[first + end - 1])
-                    parts.append(raw[place : offsets[row + 1]])
-                    texts.append(b"".join(parts))
-                fresh = pa.array(texts, pa.binary(), mask=null).cast(column.type)
-                cleaned = piece.set_column(at, piece.schema.field(at), fresh)
-                yield cleaned.select(fields).filter(pa.array(keep, pa.bool_()))
-
-    return marked.mapInArrow(run, shape)
+                yield _without_hits(piece, fields, text, max_share)
+
+    return marked.mapInArrow(run, marked.select(*fields).schema)
+
+
+def remove_benchmark(
+    docs: DataFrame,
+    benchmark: DataFrame,
+    text: str = "text",
+    item: str = "item_id",
+    item_text: str = "text",
+    window: int = WINDOW,
+    shard_bytes: int = SHARD_BYTES,
+    max_share: int = MAX_HIT_SHARE,
+) -> DataFrame:
+    """``mark_hits`` and ``remove_hits`` with one pass over the texts for each shard."""
+    fields = docs.columns
+
+    def finish(piece):
+        return _without_hits(piece, fields, text, max_share)
+
+    return _streamed(docs, benchmark, text, item, item_text, window, shard_bytes, finish)
+
+
+def _without_hits(
+    piece: pa.RecordBatch, fields: list[str], text: str, max_share: int
+) -> pa.RecordBatch:
+    """The marked rows that stay, without their hits."""
+    at = piece.schema.get_field_index(text)
+    column = piece.column(at)
+    spans = piece.column(piece.schema.get_field_index("_hits"))
+    if not spans.value_lengths().to_numpy(zero_copy_only=False).any():
+        return piece.select(fields)
+    data, offsets = words.buffers(column)
+    found = words.find_runs(data, offsets, words.ALPHANUMERIC)
+    raw = data.tobytes()
+    texts, keep = [], []
+    null = column.is_null().to_numpy(zero_copy_only=False)
+    for row, flat in enumerate(spans.to_pylist()):
+        first, count = found.rows[row], found.rows[row + 1] - found.rows[row]
+        gone = sum(flat[1::2]) - sum(flat[::2])
+        keep.append(100 * gone <= max_share * count)
+        place, parts = int(offsets[row]), []
+        for begin, end in zip(flat[::2], flat[1::2]):
+            parts.append(raw[place : found.starts[first + begin]])
+            place = int(found.ends[first + end - 1])
+        parts.append(raw[place : offsets[row + 1]])
+        texts.append(b"".join(parts))
+    fresh = pa.array(texts, pa.binary(), mask=null).cast(column.type)
+    cleaned = piece.set_column(at, piece.schema.field(at), fresh)
+    return cleaned.select(fields).filter(pa.array(keep, pa.bool_()))

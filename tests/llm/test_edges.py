@@ -112,7 +112,12 @@ def test_filters_keep_columns(docs, benchmark):
     base = docs.drop("_hits")
     cleaned = decontaminate.remove_hits(decontaminate.mark_hits(base, benchmark))
     assert cleaned.columns == base.columns
+    rows = sorted(map(repr, cleaned.collect()))
     assert {r.doc_id: r.text for r in cleaned.collect()}[1] is None
+    for limit in (decontaminate.SHARD_BYTES, 8):
+        once = decontaminate.remove_benchmark(base, benchmark, shard_bytes=limit)
+        assert once.columns == base.columns
+        assert sorted(map(repr, once.collect())) == rows
 
 
 def test_messages(spark):
