@@ -22,6 +22,8 @@ _NAMED = {name[:-1]: char for name, char in html5.items() if name.endswith(";")}
     f"#{code}": bytes([code]).decode("cp1252", errors="ignore") or chr(code)
     for code in range(128, 160)
 }
+# A map is searched entry by entry, so names are looked up by their first characters first.
+_HEAD_CHARS = 1
 # The names worth a look before the table.
 _FREQUENT = ("amp", "lt", "gt", "quot", "nbsp")
 
@@ -61,6 +63,10 @@ def _attribute_value(tag: Column, name: str) -> Column:
     )
 
 
+def _look_up(table: Column, name: Column) -> Column:
+    return F.try_element_at(F.try_element_at(table, F.left(name, F.lit(_HEAD_CHARS))), name)
+
+
 def _decode_entity(entity: Column, table: Column) -> Column:
     body = F.substring(entity, 2, 40)
     body = F.left(body, F.length(body) - 1)
@@ -72,11 +78,11 @@ def _decode_entity(entity: Column, table: Column) -> Column:
     valid = (code > 0) & (code < 0x110000) & ~code.between(0xD800, 0xDFFF)
     utf32 = F.unhex(F.lpad(F.hex(code), 8, "0"))
     char = (
-        F.when(code.between(128, 159), F.try_element_at(table, F.concat(F.lit("#"), code)))
+        F.when(code.between(128, 159), _look_up(table, F.concat(F.lit("#"), code)))
         .when(valid, F.decode(utf32, "UTF-32"))
         .otherwise("\ufffd")
     )
-    named = F.coalesce(F.try_element_at(table, body), entity)
+    named = F.coalesce(_look_up(table, body), entity)
     frequent = F.when(body.startswith("#"), char)
     for name in _FREQUENT:
         frequent = frequent.when(body == name, _NAMED[name])
@@ -85,7 +91,11 @@ def _decode_entity(entity: Column, table: Column) -> Column:
 
 def decode_entities(text: Column | str) -> Column:
     """Replace ``&name;``, ``&#n;`` and ``&#xn;`` once; unknown names stay."""
-    table = F.from_json(F.lit(json.dumps(_NAMED, ensure_ascii=False)), "map<string,string>")
+    heads: dict[str, dict[str, str]] = {}
+    for name, char in _NAMED.items():
+        heads.setdefault(name[:_HEAD_CHARS], {})[name] = char
+    kind = "map<string,map<string,string>>"
+    table = F.from_json(F.lit(json.dumps(heads, ensure_ascii=False)), kind)
 
     def joined(before: Column, entity: Column) -> Column:
         decoded = F.when(entity.isNull(), "").otherwise(_decode_entity(entity, table))

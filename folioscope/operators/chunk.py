@@ -62,17 +62,18 @@ def _plugin_chunks(docs, carried, chunk_tokens, tokenizer):
         + [T.StructField("chunk_number", T.IntegerType()), T.StructField("content", T.StringType())]
     )
     names = schema.names
+    shipped = plugins.Shipped(tokenizer)
 
     def run(batches):
-        plugins.start(tokenizer)
+        cutter = plugins.start(shipped)
         for batch in batches:
             parents, numbers, texts = [], [], []
             for parent, text in enumerate(batch.column(len(carried)).to_pylist()):
-                tokens = tokenizer.encode(text)
+                tokens = cutter.encode(text)
                 for number, start in enumerate(range(0, len(tokens), chunk_tokens), 1):
                     parents.append(parent)
                     numbers.append(number)
-                    texts.append(tokenizer.decode(tokens[start : start + chunk_tokens]))
+                    texts.append(cutter.decode(tokens[start : start + chunk_tokens]))
             kept = batch.take(pa.array(parents, pa.int64()))
             columns = [kept.column(i) for i in range(len(carried))]
             columns += [pa.array(numbers, pa.int32()), pa.array(texts, pa.string())]

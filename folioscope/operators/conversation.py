@@ -227,19 +227,28 @@ def summary_prompt(
 
 
 def document_prompts(
-    turns: DataFrame, documents: DataFrame, context_chars: int | None = X.DEFAULT_CONTEXT_CHARS
+    turns: DataFrame,
+    documents: DataFrame,
+    context_chars: int | None = X.DEFAULT_CONTEXT_CHARS,
+    template: str = DOCUMENT_SYSTEM_TEMPLATE,
 ) -> DataFrame:
-    """One prompt per user turn of conversations about documents.
+    """One prompt per user turn of conversations about documents: with status.
 
-    ``documents`` has conv_id and content, one row per conversation.
+    ``documents`` has conv_id and content, one row per conversation.  The status is ``ok``,
+    ``truncated`` where ``context_chars`` cut the document, or ``no_document`` with a null
+    prompt, which generation passes by.
     """
     asked = questions(history(turns, DOCUMENT_CHAT))
+    long = F.lit(False) if context_chars is None else F.length("content") > context_chars
     system = documents.select(
-        "conv_id", document_system_text("content", context_chars=context_chars).alias("_system")
+        "conv_id",
+        document_system_text("content", template, context_chars).alias("_system"),
+        F.when(long, "truncated").otherwise("ok").alias("_status"),
     )
-    joined = asked.join(system, "conv_id")
+    joined = asked.join(system, "conv_id", "left")
     prompt = document_prompt(F.concat("_system", "history"), "question")
-    return joined.select("conv_id", "turn", prompt.alias("prompt"))
+    status = F.coalesce("_status", F.lit("no_document"))
+    return joined.select("conv_id", "turn", prompt.alias("prompt"), status.alias("status"))
 
 
 def context_block(hits: DataFrame, key: Sequence[str], document: str = "document") -> DataFrame:

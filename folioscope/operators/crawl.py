@@ -17,7 +17,7 @@ from folioscope import workspace
 from folioscope.functions import html as H
 from folioscope.functions import urls
 from folioscope.operators.ordering import first_rows, number_rows, ordered_ids
-from folioscope.sources.pages import with_fetch_key
+from folioscope.sources.pages import first_wins, with_fetch_key
 from folioscope.staging import let
 
 def extract_links(pages: DataFrame, keep: tuple[str, ...] = ("url",)) -> DataFrame:
@@ -72,13 +72,6 @@ def visited_filter(candidates: DataFrame, visited: DataFrame, url: str = "url")
     return new.select(url, "_first.rank", "_first.pos")
 
 
-def first_wins(saves: DataFrame, order: tuple[str, ...]) -> DataFrame:
-    """The earliest row of every ``local_path``; a later one finds the file in its place."""
-    others = [c for c in saves.columns if c not in order and c != "local_path"]
-    first = saves.groupBy("local_path").agg(F.min(F.struct(*order, *others)).alias("_first"))
-    return first.select("local_path", "_first.*").select(*saves.columns)
-
-
 @dataclass
 class Crawl:
     """``visits``: url, depth, rank, fetched.  ``attempts``: the first try to save each URL,

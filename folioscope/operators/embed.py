@@ -20,13 +20,14 @@ EMBED_TOKENS = 512
 def embed_table(df: DataFrame, encoder: plugins.Encoder, text: str = "content") -> DataFrame:
     """Add ``embedding`` and its ``norm`` to every row with text; other rows get nulls.
 
-    An empty text is embedded, a null one is not.  The encoder is started once per task
-    and sees ``encoder.batch_size`` texts at a time.
+    An empty text is embedded, a null one is not.  The encoder is started once per
+    worker process and sees ``encoder.batch_size`` texts at a time.
     """
     position = df.columns.index(text)
+    shipped = plugins.Shipped(encoder)
 
     def prepare():
-        model = plugins.start(encoder)
+        model = plugins.start(shipped)
 
         def compute(batch):
             texts = batch.column(position).to_pylist()

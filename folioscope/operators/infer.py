@@ -36,15 +36,16 @@ def generate_batch(
     ``invalid`` when it returns no text, otherwise ``ok``.  A null prompt is ``not_asked``.
     """
     position = df.columns.index(prompt)
+    shipped = plugins.Shipped(generator)
 
     def prepare():
-        plugins.start(generator)
+        writer = plugins.start(shipped)
 
         def one(text):
             if text is None:
                 return None, "not_asked", None
             try:
-                answer = generator.generate(text, model, temperature)
+                answer = writer.generate(text, model, temperature)
             except Exception as error:
                 return None, "error", f"{type(error).__name__}: {error}"
             if not isinstance(answer, str):

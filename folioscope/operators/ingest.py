@@ -83,19 +83,21 @@ def extract_with(files: DataFrame, extractor: plugins.Extractor) -> DataFrame:
     names = ("content", *METADATA, "error")
     fields = [T.StructField(name, T.StringType()) for name in names]
 
-    def one(path, content):
+    shipped = plugins.Shipped(extractor)
+
+    def one(reader, path, content):
         try:
-            text, found = extractor.extract(path, content)
+            text, found = reader.extract(path, content)
         except Exception as error:
             return [None] * (1 + len(METADATA)) + [f"{type(error).__name__}: {error}"]
         return [text, *(found.get(METADATA_KEYS[name]) or "" for name in METADATA), None]
 
     def prepare():
-        plugins.start(extractor)
+        reader = plugins.start(shipped)
 
         def compute(batch):
             paths, bodies = (batch.column(i).to_pylist() for i in (0, 1))
-            rows = [one(p, b) for p, b in zip(paths, bodies, strict=True)]
+            rows = [one(reader, p, b) for p, b in zip(paths, bodies, strict=True)]
             return [pa.array([r[i] for r in rows], pa.string()) for i in range(len(names))]
 
         return compute

@@ -159,8 +159,9 @@ def chat_prompts(spark, folder):
         SELECT a.conv_id, a.turn, {NL}
           || 'You are a helpful assistant and inform the user about the following document:' || {NN}
           || d.text || {NN} || 'Now take the user''s question.' || a.history || {NN}
-          || 'User: ' || a.text || {NN} || 'Assistant:' || {NL} AS prompt
-        FROM about a JOIN documents d ON d.doc_id = a.conv_id WHERE a.role = 'user'""",
+          || 'User: ' || a.text || {NN} || 'Assistant:' || {NL} AS prompt,
+          CASE WHEN d.doc_id IS NULL THEN 'no_document' ELSE 'ok' END AS status
+        FROM about a LEFT JOIN documents d ON d.doc_id = a.conv_id WHERE a.role = 'user'""",
 )
 def document_prompt(spark, folder):
     docs = table(spark, folder, "documents", "doc_id", "text")

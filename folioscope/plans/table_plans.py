@@ -153,11 +153,15 @@ def pages_source(spark, folder):
 
 @query(
     "pages_sink",
-    f"""SELECT page_id, {SQL_HOST} AS host, {SQL_LOCAL} AS local_path, html AS body FROM pages""",
+    f"""SELECT page_id, {SQL_HOST} AS host, {SQL_LOCAL} AS local_path, html AS body FROM pages
+        QUALIFY row_number() OVER (PARTITION BY {SQL_LOCAL} ORDER BY page_id) = 1""",
 )
 def pages_sink(spark, folder):
+    """Stored twice: the second time every file is there."""
     target = workspace.new_folder(spark, "saved")
     saved = saved_files(table(spark, folder, "pages", "page_id", "url", "html"))
     kept = saved.where(~F.col("unsafe"))
-    sink(kept.select("page_id", "host", "local_path", "url", F.col("html").alias("body")), target)
+    files = kept.select("page_id", "host", "local_path", "url", F.col("html").alias("body"))
+    for _ in range(2):
+        sink(files, target)
     return spark.read.parquet(target).select("page_id", "host", "local_path", "body")

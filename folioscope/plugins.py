@@ -1,13 +1,17 @@
 """The four pluggable functions and the defaults that need no model.
 
 A plug-in is any picklable object with the method below.  It is shipped to the tasks; a
-``start()`` method, when there is one, runs once per task before the first call and is the
-place to load a model.
+``start()`` method, when there is one, runs before the first call, once per stage in each
+Python worker process, and is the place to load a model.
 """
 
 from __future__ import annotations
 
 import hashlib
+import sys
+import uuid
+from collections import OrderedDict
+from types import ModuleType
 from typing import Protocol
 
 import numpy as np
@@ -36,12 +40,43 @@ class Generator(Protocol):
     def generate(self, prompt: str, model: str, temperature: float) -> str: ...
 
 
-def start(plugin):
-    """Run a plug-in's ``start()`` if it has one and return the plug-in."""
-    begin = getattr(plugin, "start", None)
-    if begin is not None:
-        begin()
-    return plugin
+# Started plug-ins that a worker process keeps; the one unused for longest is let go first.
+KEPT = 4
+
+
+class Shipped:
+    """A plug-in on its way to the tasks, under a key by which a process finds it again."""
+
+    def __init__(self, plugin):
+        self.key, self.plugin = uuid.uuid4().hex, plugin
+
+
+def _started() -> OrderedDict[str, object]:
+    """Started plug-ins by key.
+
+    The library travels to tasks by value, so its own globals end with a task; an entry of
+    ``sys.modules`` lasts as long as the process.
+    """
+    name = "folioscope_started"
+    return vars(sys.modules.setdefault(name, ModuleType(name))).setdefault("kept", OrderedDict())
+
+
+def start(shipped: Shipped):
+    """The plug-in, ready for use: started by the first task of its stage in this process.
+
+    Later tasks get the started object, not their own copy.  When ``start()`` raises, nothing
+    is kept and the task fails.
+    """
+    kept = _started()
+    if shipped.key not in kept:
+        begin = getattr(shipped.plugin, "start", None)
+        if begin is not None:
+            begin()
+        kept[shipped.key] = shipped.plugin
+        while len(kept) > KEPT:
+            kept.popitem(last=False)
+    kept.move_to_end(shipped.key)
+    return kept[shipped.key]
 
 
 class WhitespaceTokenizer:

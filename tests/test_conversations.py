@@ -121,6 +121,18 @@ def test_prompts(spark):
     assert found.system == "About X"
 
 
+def test_document_prompts_keep_every_question(spark):
+    turns = spark.createDataFrame(
+        [(1, 0, "user", "Q"), (2, 0, "user", "R"), (3, 0, "user", "S")],
+        "conv_id long, turn long, role string, text string",
+    )
+    about = spark.createDataFrame([(1, "short"), (2, "too long")], "conv_id long, content string")
+    rows = C.document_prompts(turns, about, context_chars=5, template="<{text}>").collect()
+    found = {r.conv_id: (r.status, r.prompt) for r in rows}
+    assert {k: v[0] for k, v in found.items()} == {1: "ok", 2: "truncated", 3: "no_document"}
+    assert "<short>" in found[1][1] and "<too l>" in found[2][1] and found[3][1] is None
+
+
 def test_context_is_in_rank_order(spark):
     hits = spark.createDataFrame([(1, 2, "b"), (1, 1, "a"), (2, 1, "c")], "q int, rank int, document string")
     found = {r.q: r.context for r in C.context_block(hits, ["q"]).collect()}

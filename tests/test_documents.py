@@ -11,7 +11,7 @@ from folioscope import schemas, workspace
 from folioscope.operators import chunk as CH
 from folioscope.operators import ingest as I
 from folioscope.plugins import WhitespaceTokenizer
-from folioscope.sources import files, tables
+from folioscope.sources import files, pages, tables
 
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
@@ -186,3 +186,18 @@ def test_subword_chunks_join_to_the_text(spark, sample):
 def test_chunk_size_must_be_positive(spark):
     with pytest.raises(ValueError):
         CH.chunk_documents(docs_of(spark, ["a"]), 0)
+
+
+def test_pages_sink_keeps_one_row_per_file(spark, tmp_path):
+    path = str(tmp_path / "saved")
+    schema = "page_id long, host string, local_path string, body string"
+    first = spark.createDataFrame(
+        [(2, "h", "a.html", "two"), (1, "h", "a.html", "one"), (3, "h", "b.html", "three")], schema
+    )
+    pages.pages_sink(first, path)
+    later = spark.createDataFrame([(0, "h", "a.html", "zero"), (4, "h", "c.html", "four")], schema)
+    pages.pages_sink(later, path)
+    assert sorted(r.body for r in spark.read.parquet(path).collect()) == ["four", "one", "three"]
+    status = {r.page_id: r.status for r in pages.sink_status(first.union(later), path).collect()}
+    assert status.pop(1) == status.pop(3) == status.pop(4) == "saved"
+    assert status == {0: "skipped_exists", 2: "skipped_exists"}

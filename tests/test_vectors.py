@@ -2,6 +2,8 @@
 
 import pickle
 import sys
+import uuid
+from pathlib import Path
 
 import numpy as np
 import pytest
@@ -251,3 +253,21 @@ def test_mean_pool(spark):
     )
     means = {r.k: r["mean"] for r in E.mean_pool(rows, "k", "v", 2).collect()}
     assert means == {"a": [2.0, 3.0], "b": [5.0, 6.0]}
+
+
+class StartLog(HashingEncoder):
+    """Leaves a file for each start."""
+
+    def __init__(self, folder):
+        super().__init__(4)
+        self.folder = folder
+
+    def start(self):
+        (Path(self.folder) / uuid.uuid4().hex).touch()
+
+
+def test_encoder_starts_once_per_process(spark, tmp_path):
+    rows = spark.range(0, 400, numPartitions=40).selectExpr("id", "concat('w', id) AS content")
+    embedded = E.embed_table(rows, StartLog(str(tmp_path)))
+    assert embedded.agg({"norm": "sum"}).first()[0] > 0
+    assert 1 <= len(list(tmp_path.iterdir())) <= 8
