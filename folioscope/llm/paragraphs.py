@@ -1,8 +1,10 @@
 """Near copies of paragraphs: MinHash bands, exact verification, removal by components.
 
-A paragraph is a line with ``MIN_WORDS`` words or more.  Its 5-word shingles are sketched by
-the least values of several hash functions, and the bands of the sketch are the keys under
-which paragraphs meet; what meets is compared exactly, as whole documents are.  Of each
+A paragraph is a line with ``min_words`` words or more; one that does not fill a shingle has
+its whole sequence as one, as short documents have.  Its 5-word shingles are sketched by the
+least values of several hash functions, and the bands of the sketch are the keys under which
+paragraphs meet; what meets is compared exactly, as whole documents are.  Equal sets are one
+set by their id, and a set too small to be similar to any other has no bands.  Of each
 component one paragraph stays.
 """
 
@@ -16,7 +18,8 @@ from pyspark.sql import functions as F
 from folioscope import workspace
 from folioscope.llm import links, setjoin, words
 
-MIN_WORDS = 20
+# By default a paragraph fills one shingle; the registered query judges every line with a word.
+MIN_WORDS = links.SHINGLE_WORDS
 # A pair of similarity 0.8 shares a band with probability 1 - (1 - 0.8^3)^12 > 0.9998.
 BANDS, BAND_ROWS = 12, 3
 
@@ -64,7 +67,17 @@ def bands(keys: np.ndarray, places: np.ndarray) -> np.ndarray:
     return out
 
 
-def mark(docs: DataFrame, key: str, text: str, shingle: int, min_words: int) -> DataFrame:
+def may_link(sizes: np.ndarray, percent: int) -> np.ndarray:
+    """Whether a set of so many members can be similar to any other than its equals.
+
+    The most similar one has a single member more.
+    """
+    return 100 * sizes >= percent * (sizes + 1)
+
+
+def mark(
+    docs: DataFrame, key: str, text: str, shingle: int, percent: int, min_words: int
+) -> DataFrame:
     """``key``, ``number`` of the line in its text, ``set``, ``n``, ``prefix`` (the bands).
 
     A task gives the bands of a set once, so copies are merged before anything is shuffled.
@@ -85,17 +98,20 @@ def mark(docs: DataFrame, key: str, text: str, shingle: int, min_words: int) ->
                 fresh[first] = True
                 fresh &= ~np.isin(ids, seen)
                 seen = np.union1d(seen, ids)
-                flat = pa.array(bands(keys, places).reshape(-1).view(np.int64))
-                ends = np.arange(len(ids) + 1, dtype=np.int32) * BANDS
-                lists = pa.ListArray.from_arrays(pa.array(ends), flat)
+                sizes = np.diff(places).astype(np.int64)
+                banded = fresh & may_link(sizes, percent)
+                inside = np.concatenate([[0], np.cumsum(sizes[banded])])
+                flat = bands(keys[np.repeat(banded, sizes)], inside).reshape(-1)
+                ends = np.concatenate([[0], np.cumsum(BANDS * banded)]).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends), pa.array(flat.view(np.int64)))
                 none = pa.scalar(None, lists.type)
                 yield pa.RecordBatch.from_arrays(
                     [
                         piece.column(0).take(pa.array(own)),
                         pa.array(long - lines.rows[own]),
                         pa.array(ids),
-                        pa.array(np.diff(places).astype(np.int64)),
-                        pa.compute.if_else(pa.array(fresh), lists, none),
+                        pa.array(sizes),
+                        pa.compute.if_else(pa.array(banded), lists, none),
                     ],
                     names=["key", "number", "set", "n", "prefix"],
                 )
@@ -117,7 +133,7 @@ def paragraph_classes(
 ) -> DataFrame:
     """``key``, ``number``, and of the class its first paragraph (``class_key``,
     ``class_number``) and its size, for each paragraph; a class is a component of links."""
-    marks = mark(docs, key, text, shingle, min_words)
+    marks = mark(docs, key, text, shingle, percent, min_words)
     texts = setjoin.Texts(
         docs, key, text, marks, lambda column: paragraph_sets(column, shingle, min_words)
     )

@@ -157,7 +157,7 @@ def op4_repeated_strings(spark: SparkSession, folder: str) -> DataFrame:
 @query("op5_paragraph_minhash")
 def op5_paragraph_minhash(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "text")
-    return paragraphs.digest(paragraphs.remove_near_copies(docs))
+    return paragraphs.digest(paragraphs.remove_near_copies(docs, min_words=1))
 
 
 # --- 6: sampled pieces -----------------------------------------------------------------
