@@ -27,7 +27,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without lines that stand on many sites."""
-    return _counted(spread.remove_wide_lines(docs), docs.columns)
+    cleaned = spread.remove_wide_lines(docs, min_words=1)
+    return _counted(cleaned, docs.columns)
 
 
 def jaccard_join(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

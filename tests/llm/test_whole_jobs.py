@@ -3,6 +3,7 @@
 import hashlib
 import re
 
+import corpus_pipeline
 from folioscope.llm import paragraphs, queries
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -66,3 +67,22 @@ def test_near_copies_of_short_paragraphs(spark):
     rows = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
     removed = {r.doc_id: r._n_removed for r in paragraphs.remove_near_copies(rows).collect()}
     assert removed == {0: 0, 1: 1, 2: 0, 3: 1, 4: 0}
+
+
+# --- lines -------------------------------------------------------------------------------
+
+
+def sites(spark, texts):
+    rows = [(i, text, "en", f"site{i}", len(text)) for i, text in enumerate(texts)]
+    kinds = "doc_id bigint, text string, lang string, source string, n_chars bigint"
+    return spark.createDataFrame(rows, kinds)
+
+
+def own_words(tag, count):
+    return " ".join(f"{tag}{i}" for i in range(count))
+
+
+def test_short_lines_go(spark):
+    texts = [f"Home\n{own_words(chr(97 + i), 30)}\nContact us" for i in range(12)]
+    out = corpus_pipeline.line_dedup(spark, sites(spark, texts), "").collect()
+    assert {r.doc_id: r.text for r in out} == {i: t.split("\n")[1] for i, t in enumerate(texts)}
