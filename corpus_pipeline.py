@@ -26,8 +26,8 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Texts without lines that stand on many sites."""
-    cleaned = spread.remove_wide_lines(docs, min_words=1)
+    """Texts without lines that stand on many sites; near copies are left to the next stage."""
+    cleaned = spread.remove_wide_lines(docs, min_words=1, copies_only=True)
     return _counted(cleaned, docs.columns)
 
 

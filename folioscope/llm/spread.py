@@ -2,9 +2,9 @@
 
 A HyperLogLog sketch of the sites is kept per line hash; sketches of tasks merge by
 aggregation.  Lines whose estimate is near the threshold are counted exactly.  Lines at or
-over the threshold are taken out of every document that does not consist of them: a
-document most of whose text is shared is a copy, and copies are the business of the
-operators on near duplicates.
+over the threshold are taken out of every document that does not consist of them.  Of the
+documents that do, ``copies_only`` leaves alone just those that are near copies of another
+one: copies are the business of the operators on near duplicates.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioscope import workspace
-from folioscope.llm import words
+from folioscope.llm import links, setjoin, words
 
 MIN_SITES = 10
 MIN_LINE_WORDS = 3
@@ -106,18 +106,28 @@ def wide_lines(
     return workspace.materialize(flagged, "wide-lines")
 
 
-def _strip(data, offsets, flagged_of, min_words, max_share):
-    """Texts without flagged lines, with the number of lines, flagged and removed lines."""
+def _share(data, offsets, flagged_of, min_words, max_share):
+    """Lines, which of them are flagged, and whether a row has few enough to lose them."""
     lines, judged, hashes = _lines(data, offsets, min_words)
     points = words.code_points(data)
     sizes = points[lines.ends] - points[lines.starts]
     own = words.owners(lines.rows)
     flagged = np.zeros(len(sizes), bool)
     flagged[judged] = flagged_of(hashes, own[judged])
-    n_flagged = words.by_row(flagged, lines.rows)
     share = words.by_row(flagged * sizes, lines.rows)
-    takes = 100 * share <= max_share * words.by_row(sizes, lines.rows)
-    removed = flagged & takes[own]
+    return lines, flagged, 100 * share <= max_share * words.by_row(sizes, lines.rows)
+
+
+def _strip(data, offsets, flagged_of, min_words, max_share, copy_of=None):
+    """Texts without flagged lines, with the number of lines, flagged and removed lines.
+
+    ``copy_of`` says which rows are copies; without it all rows over ``max_share`` are.
+    """
+    lines, flagged, takes = _share(data, offsets, flagged_of, min_words, max_share)
+    if copy_of is not None and not takes.all():
+        takes |= ~copy_of()
+    n_flagged = words.by_row(flagged, lines.rows)
+    removed = flagged & takes[words.owners(lines.rows)]
     texts = []
     raw = data.tobytes()
     touched = words.by_row(removed, lines.rows)
@@ -140,6 +150,33 @@ def _strip(data, offsets, flagged_of, min_words, max_share):
     return texts, np.diff(lines.rows), n_flagged, touched
 
 
+def _set_ids(column: pa.Array) -> np.ndarray:
+    keys, places, _ = setjoin.text_sets(column, links.SHINGLE_WORDS)
+    return links.set_ids(keys, places)
+
+
+def _copies(heavy: DataFrame) -> DataFrame:
+    """``_key`` and ``_spared`` (ids of shingle sets) of the heavy rows with a near copy.
+
+    ``heavy`` has ``_key``, ``set`` and ``text``.  A copy is heavy itself, so both stay
+    whole and are as similar as before to whoever joins them later.  The set is the key of
+    the comparison, so a row without a key is compared like any other.
+    """
+    heavy = workspace.materialize(heavy, "heavy")
+    texts = heavy.dropDuplicates(["set"]).select("set", "text")
+    classes = setjoin.jaccard_classes(texts, "set").where("n_shingles > 0")
+    sizes = heavy.groupBy("set").agg(F.count(F.lit(1)).alias("n"))
+    known = workspace.materialize(
+        classes.join(sizes, "set").select("set", "n", "component_id"), "heavy-classes"
+    )
+    many = known.groupBy("component_id").agg(F.sum("n").alias("rows")).where("rows > 1")
+    copies = known.join(many, "component_id", "left_semi").select("set")
+    spared = heavy.select("_key", "set").join(copies, "set", "left_semi")
+    return workspace.materialize(
+        spared.groupBy("_key").agg(F.collect_set("set").alias("_spared")), "heavy-copies"
+    )
+
+
 def remove_wide_lines(
     docs: DataFrame,
     key: str = "doc_id",
@@ -149,6 +186,7 @@ def remove_wide_lines(
     min_words: int = MIN_LINE_WORDS,
     max_share: int = MAX_SHARE,
     broadcast_lines: int = BROADCAST_LINES,
+    copies_only: bool = False,
 ) -> DataFrame:
     """All columns with ``text`` cleaned, and ``_n_lines``, ``_n_flagged``, ``_n_removed``.
 
@@ -156,6 +194,10 @@ def remove_wide_lines(
     more.  A flagged line goes with the newline behind it (at the end of a text, the one in
     front of it).  Null texts stay null and have no lines; empty lines are not counted.
     Repeated rows are cleaned one by one; an empty table gives an empty result.
+
+    A document with more than ``max_share`` percent of its characters in flagged lines stays
+    as it is; with ``copies_only``, only if another such document is similar to it as the
+    Jaccard join measures it.
     """
     flagged = wide_lines(docs, site, text, min_sites, min_words)
     fields = docs.columns
@@ -166,48 +208,85 @@ def remove_wide_lines(
         + [f"`{name}` bigint" for name in added]
     )
 
-    def clean(piece, flagged_of):
-        column = piece.column(at)
-        texts, *counts = _strip(*words.buffers(column), flagged_of, min_words, max_share)
-        null = column.is_null().to_numpy(zero_copy_only=False)
-        fresh = pa.array(texts, pa.binary(), mask=null).cast(column.type)
-        columns = [*piece.columns[:at], fresh, *piece.columns[at + 1 : len(fields)]]
-        columns += [pa.array(c.astype(np.int64)) for c in counts]
-        return pa.RecordBatch.from_arrays(columns, names=[*fields, *added])
-
     if flagged.count() <= broadcast_lines:
         known = np.sort(np.array([r.line for r in flagged.collect()], np.int64))
         held = docs.sparkSession.sparkContext.broadcast(known)
+        carried = docs
 
-        def everywhere(batches):
-            for batch in batches:
-                for piece in words.pieces(batch, text):
-                    yield clean(piece, lambda hashes, _: np.isin(hashes, held.value))
+        def marker(piece):
+            return lambda hashes, _: np.isin(hashes, held.value)
+
+    else:
+        # Beyond the bound each document meets only the flagged lines that it has.
+        own = _line_keys(docs, key, text, min_words).join(flagged, "line", "left_semi")
+        lists = own.groupBy("_key").agg(F.collect_set("line").alias("_flagged"))
+        joined = docs.join(lists, docs[key].eqNullSafe(lists["_key"]), "left")
+        carried = joined.select(*(docs[name] for name in fields), lists["_flagged"])
 
-        return docs.mapInArrow(everywhere, schema)
+        def marker(piece):
+            mine = np.sort(_salted(piece.column(len(fields))))
+            return lambda hashes, rows: np.isin(_with_row(hashes, rows), mine)
 
-    # Beyond the bound each document meets only the flagged lines that it has.
-    own = _line_keys(docs, key, text, min_words).join(flagged, "line", "left_semi")
-    lists = own.groupBy("_key").agg(F.collect_set("line").alias("_flagged"))
-    joined = docs.join(lists, docs[key].eqNullSafe(lists["_key"]), "left")
-    carried = joined.select(*(docs[name] for name in fields), "_flagged")
+    if copies_only:
+        place = fields.index(key)
 
-    def each(batches):
+        def weigh(batches):
+            for batch in batches:
+                for piece in words.pieces(batch, text):
+                    column = piece.column(at)
+                    own = words.buffers(column)
+                    takes = _share(*own, marker(piece), min_words, max_share)[2]
+                    chosen = pa.array(np.flatnonzero(~takes))
+                    column = column.take(chosen)
+                    yield pa.RecordBatch.from_arrays(
+                        [piece.column(place).take(chosen), pa.array(_set_ids(column)), column],
+                        names=["_key", "set", "text"],
+                    )
+
+        kinds = [docs.schema[name].dataType.simpleString() for name in (key, text)]
+        heavy = carried.mapInArrow(weigh, f"_key {kinds[0]}, set bigint, text {kinds[1]}")
+        copies = _copies(heavy)
+        if copies.count() <= setjoin.BROADCAST_IDS:
+            copies = F.broadcast(copies)
+        columns = [carried[name] for name in carried.columns]
+        carried = carried.join(copies, carried[key].eqNullSafe(copies["_key"]), "left")
+        carried = carried.select(*columns, copies["_spared"])
+
+    def run(batches):
         for batch in batches:
             for piece in words.pieces(batch, text):
-                sets = piece.column(len(fields))
-                sizes = sets.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-                owner = np.repeat(np.arange(piece.num_rows), sizes).astype(np.uint64)
-                held = sets.flatten().to_numpy(zero_copy_only=False).view(np.uint64)
-                mine = np.sort(words.mix(words.mix(held) + owner))
+                column = piece.column(at)
+
+                def copy_of(piece=piece, column=column):
+                    ids, rows = _set_ids(column), np.arange(len(column))
+                    return np.isin(_with_row(ids, rows), _salted(piece.columns[-1]))
+
+                texts, *counts = _strip(
+                    *words.buffers(column),
+                    marker(piece),
+                    min_words,
+                    max_share,
+                    copy_of if copies_only else None,
+                )
+                null = column.is_null().to_numpy(zero_copy_only=False)
+                fresh = pa.array(texts, pa.binary(), mask=null).cast(column.type)
+                columns = [*piece.columns[:at], fresh, *piece.columns[at + 1 : len(fields)]]
+                columns += [pa.array(c.astype(np.int64)) for c in counts]
+                yield pa.RecordBatch.from_arrays(columns, names=[*fields, *added])
+
+    return carried.mapInArrow(run, schema)
+
 
-                def flagged_of(hashes, rows, mine=mine):
-                    salted = words.mix(hashes.view(np.uint64)) + rows.astype(np.uint64)
-                    return np.isin(words.mix(salted), mine)
+def _with_row(hashes: np.ndarray, rows: np.ndarray) -> np.ndarray:
+    """Hashes that are equal only within one row of a piece."""
+    return words.mix(words.mix(hashes.view(np.uint64)) + rows.astype(np.uint64))
 
-                yield clean(piece, flagged_of)
 
-    return carried.mapInArrow(each, schema)
+def _salted(lists: pa.Array) -> np.ndarray:
+    """The values of a list column, each with its row."""
+    sizes = lists.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+    held = lists.flatten().to_numpy(zero_copy_only=False)
+    return _with_row(held, np.repeat(np.arange(len(lists)), sizes))
 
 
 def _line_keys(docs: DataFrame, key: str, text: str, min_words: int) -> DataFrame:

@@ -3,8 +3,11 @@
 import hashlib
 import re
 
+import pytest
+from pyspark.sql import functions as F
+
 import corpus_pipeline
-from folioscope.llm import paragraphs, queries
+from folioscope.llm import paragraphs, queries, spread
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -86,3 +89,16 @@ def test_short_lines_go(spark):
     texts = [f"Home\n{own_words(chr(97 + i), 30)}\nContact us" for i in range(12)]
     out = corpus_pipeline.line_dedup(spark, sites(spark, texts), "").collect()
     assert {r.doc_id: r.text for r in out} == {i: t.split("\n")[1] for i, t in enumerate(texts)}
+
+
+@pytest.mark.parametrize("bound", [spread.BROADCAST_LINES, 0])
+def test_only_copies_stay_whole(spark, bound):
+    footer = own_words("footer", 60)
+    texts = [f"{own_words(chr(97 + i), 30)}\n{footer}" for i in range(12)]
+    texts += [f"{footer}\nnew", f"{footer}\nold"]  # similar to each other
+    docs = sites(spark, texts).withColumn("doc_id", F.expr("nullif(doc_id, 13)"))
+    cleaned = spread.remove_wide_lines(docs, min_words=1, copies_only=True, broadcast_lines=bound)
+    expected = {i: t.split("\n")[0] for i, t in enumerate(texts[:12])} | {12: texts[12]}
+    assert {r.doc_id: r.text for r in cleaned.collect()} == expected | {None: texts[13]}
+    staged = corpus_pipeline.line_dedup(spark, docs, "").collect()
+    assert {r.doc_id: r.text for r in staged} == expected | {None: texts[13]}
