@@ -7,8 +7,10 @@ from pyspark.sql import functions as F
 
 from folioscope.llm import (
     decontaminate,
+    kdshards,
     licenses,
     links,
+    manifest,
     paragraphs,
     pieces,
     quotes,
@@ -17,6 +19,7 @@ from folioscope.llm import (
     setjoin,
     spread,
     tokencount,
+    veccodes,
 )
 
 QUERIES: dict = {}
@@ -382,3 +385,201 @@ _SPREAD_SQL = rf"""
 def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     docs = table(spark, folder, "documents").select("doc_id", "source", "text")
     return spread.digest(spread.remove_wide_lines(docs))
+
+
+# --- 11: sharding ----------------------------------------------------------------------
+
+
+@query("op11_kd_shards")
+def op11_kd_shards(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document in one of 24 shards of near equal bytes."""
+    docs = table(spark, folder, "documents")
+    return kdshards.kd_shards(docs, shards=24, keep=["doc_id"])
+
+
+# --- 12: vector code compression -------------------------------------------------------
+
+
+def _codes_sql() -> str:
+    """The rounds written out; floors of negative numbers go down."""
+    total = "sum(v)::BIGINT"
+    mean = f"({total} - (({total} % count(*)) + count(*)) % count(*)) // count(*)"
+
+    def assigned(books: str) -> str:
+        return f"""
+            SELECT id, part, arg_min(entry, (distance, entry)) AS entry, min(distance) AS distance
+            FROM (
+                SELECT id, p.part, entry,
+                    sum((p.v - b.v) * (p.v - b.v)) AS distance
+                FROM parts p JOIN {books} b USING (part, spot) GROUP BY ALL
+            ) GROUP BY ALL"""
+
+    rounds = []
+    for r in range(veccodes.ROUNDS):
+        rounds.append(f"""
+        near{r} AS ({assigned(f"books{r}")}),
+        means{r} AS (
+            SELECT part, entry, spot, {mean} AS v
+            FROM near{r} JOIN parts USING (id, part) GROUP BY ALL
+        ),
+        books{r + 1} AS (
+            SELECT part, entry, spot, coalesce(m.v, b.v) AS v
+            FROM books{r} b LEFT JOIN means{r} m USING (part, entry, spot)
+        ),""")
+    steps = "".join(rounds)
+    final = f"books{veccodes.ROUNDS}"
+    return f"""
+        WITH kept AS (
+            SELECT row_number() OVER (ORDER BY vec_id NULLS LAST, embedding) - 1 AS id,
+                vec_id, label, embedding, len(embedding) // {veccodes.PARTS} AS width
+            FROM embeddings
+            WHERE len(embedding) > 0
+                AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ),
+        parts AS (
+            SELECT id, i // width AS part, i % width AS spot,
+                floor({veccodes.SCALE} * embedding[i + 1]::DOUBLE)::BIGINT AS v
+            FROM (SELECT id, embedding, width, unnest(range(len(embedding))) AS i FROM kept)
+        ),
+        books0 AS (
+            SELECT part, id AS entry, spot, v FROM parts WHERE id < {veccodes.ENTRIES}
+        ),{steps}
+        final AS ({assigned(final)}),
+        coded AS (
+            SELECT id, string_agg(format('{{:02x}}', entry), '' ORDER BY part) AS code,
+                sum(distance)::BIGINT AS error
+            FROM final GROUP BY id
+        ),
+        digest AS (
+            SELECT sha256(string_agg(v::VARCHAR, ',' ORDER BY part, entry, spot)) AS sha
+            FROM {final}
+        )
+        SELECT vec_id, code, error,
+            (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+            sha AS codebooks_sha256
+        FROM kept JOIN coded USING (id), digest"""
+
+
+@query("op12_vector_codes", _codes_sql())
+def op12_vector_codes(spark: SparkSession, folder: str) -> DataFrame:
+    """Codes of all vectors, and a digest of the codebooks they refer to."""
+    codes, books = veccodes.encode_vectors(table(spark, folder, "embeddings"))
+    sha = None if books is None else veccodes.books_digest(books)
+    return codes.withColumn("codebooks_sha256", F.lit(sha).cast("string"))
+
+
+# --- 13: Merkle manifest ---------------------------------------------------------------
+
+_ASCII = ("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+# Levels written out below: enough for sixteen to the power of them rows in a source.
+_SQL_LEVELS = 5
+
+
+def _manifest_sql(levels: int = _SQL_LEVELS) -> str:
+    arity = manifest.ARITY
+
+    def leaf(text: str) -> str:
+        fields = " || ".join(
+            f"coalesce(strlen({v}::VARCHAR) || ':' || {v}::VARCHAR, '-')"
+            for v in ("doc_id", "source", "lang", "n_chars", text)
+        )
+        return f"sha256({fields})"
+
+    crc = """xor(list_reduce([4294967295] || list_transform(string_split(doc_id::VARCHAR, ''),
+        lambda c: ord(c)::BIGINT), lambda crc, b: list_reduce([xor(crc, b)] || range(8),
+        lambda x, _: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END)),
+        4294967295)"""
+    tree = []
+
+    def grow(name: str, base: str, key: str) -> None:
+        """Levels of the trees of ``base`` (key, pos, h): nodes and, per level, siblings."""
+        tree.append(f"{name}0 AS (SELECT {key}, pos, h FROM {base})")
+        for n in range(levels):
+            tree.append(f"""{name}{n + 1} AS (
+                SELECT {key}, pos // {arity} AS pos, sha256(string_agg(h, '' ORDER BY pos)) AS h
+                FROM (SELECT *, count(*) OVER (PARTITION BY {key}) AS n FROM {name}{n})
+                WHERE n > 1 GROUP BY {key}, pos // {arity})""")
+            tree.append(f"""{name}_step{n} AS (
+                SELECT a.{key}, a.pos,
+                    coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (b.pos < a.pos), '') AS l,
+                    coalesce(string_agg(b.h, '' ORDER BY b.pos) FILTER (b.pos > a.pos), '') AS r
+                FROM {name}{n} a JOIN {name}{n} b
+                    ON a.{key} = b.{key} AND a.pos // {arity} = b.pos // {arity}
+                WHERE (a.{key}, a.pos // {arity}) IN (SELECT ({key}, pos) FROM {name}{n + 1})
+                GROUP BY ALL)""")
+        ends = " UNION ALL ".join(
+            f"SELECT {key}, h FROM {name}{n} QUALIFY count(*) OVER (PARTITION BY {key}) = 1"
+            for n in range(levels + 1)
+        )
+        tree.append(f"{name}_top AS ({ends})")
+
+    grow("s", "leaves", "tree")
+    subs = """subs AS (
+        SELECT 0 AS one, tree, row_number() OVER (ORDER BY encode(tree)) - 1 AS pos, h
+        FROM s_top)"""
+    tree.append(subs)
+    grow("r", "subs", "one")
+    proof, joins = [], []
+    steps = [("s", n, "leaves.tree", "leaves.pos", "tree") for n in range(levels)]
+    steps += [("r", n, "0", "subs.pos", "one") for n in range(levels)]
+    for name, n, key, pos, column in steps:
+        a = f"{name}_step{n}"
+        joins.append(f"LEFT JOIN {a} ON {a}.{column} = {key} AND {a}.pos = {pos} // {arity**n}")
+        proof.append(f"coalesce({a}.l || {a}.r, '')")
+    folds, previous = [], "start"
+    for i, (name, n, *_) in enumerate(steps):
+        a = f"{name}{n}"
+        folds.append(
+            f"f{i} AS (SELECT *, CASE WHEN {a}l IS NULL THEN {previous} "
+            f"ELSE sha256({a}l || {previous} || {a}r) END AS fold{i} "
+            f"FROM {'joined' if i == 0 else f'f{i - 1}'})"
+        )
+        previous = f"fold{i}"
+    sides = ", ".join(
+        f"{name}_step{n}.l AS {name}{n}l, {name}_step{n}.r AS {name}{n}r"
+        for name, n, *_ in steps
+    )
+    return f"""
+        WITH leaves AS (
+            SELECT *, row_number() OVER (
+                PARTITION BY tree ORDER BY doc_id NULLS FIRST, h
+            ) - 1 AS pos
+            FROM (
+                SELECT doc_id, coalesce('=' || source, '-') AS tree, {leaf("text")} AS h,
+                    CASE WHEN {crc} % 5 = 0
+                        THEN {leaf(f"translate(text, '{_ASCII[0]}', '{_ASCII[1]}')")}
+                        ELSE {leaf("text")} END AS start
+                FROM documents
+            )
+        ),
+        {", ".join(tree)},
+        joined AS (
+            SELECT leaves.doc_id, leaves.h AS leaf, start, subs.h AS subroot, r_top.h AS root,
+                sha256({" || ".join(proof)}) AS proof_sha256, {sides}
+            FROM leaves JOIN subs ON subs.tree = leaves.tree
+            JOIN r_top ON r_top.one = 0 {" ".join(joins)}
+        ),
+        {", ".join(folds)}
+        SELECT doc_id, leaf, subroot, root, proof_sha256, {previous} AS folded_root,
+            {previous} = root AS verified
+        FROM f{len(steps) - 1}"""
+
+
+@query("op13_merkle_manifest", _manifest_sql())
+def op13_merkle_manifest(spark: SparkSession, folder: str) -> DataFrame:
+    """Proofs of all documents, checked against the table with some texts in lower case."""
+    docs = table(spark, folder, "documents")
+    fields = ["doc_id", "source", "lang", "n_chars"]
+    lowered = F.translate("text", *_ASCII)
+    forged = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 5 == 0
+    given = F.when(forged, manifest.leaf_digest(*map(F.col, fields), lowered))
+    proved = manifest.manifest(docs.withColumn("_given", given), carry=["_given"])
+    back = manifest.folded(F.coalesce("_given", "leaf"), F.col("proof"))
+    return proved.select(
+        "doc_id",
+        "leaf",
+        "subroot",
+        "root",
+        manifest.proof_digest(F.col("proof")).alias("proof_sha256"),
+        back.alias("folded_root"),
+    ).withColumn("verified", F.expr("folded_root = root"))

@@ -10,7 +10,7 @@ import pytest
 import corpus_pipeline
 from folioscope.llm import pieces, queries, repetition
 
-TABLES = ("documents", "benchmark", "conversations")
+TABLES = ("documents", "benchmark", "conversations", "embeddings")
 
 
 @pytest.fixture(scope="module")
