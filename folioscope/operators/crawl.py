@@ -1,17 +1,22 @@
 """Breadth-first crawl selection over a table of fetched pages.
 
-The order of a first-in-first-out queue is rebuilt layer by layer: a new URL is keyed by
-the smallest (rank of the linking page, position of the link), and sorting a layer by that
-key gives its ranks.  The driver holds the loop counter and the stop test only.
+The order of a first-in-first-out queue is rebuilt layer by layer.  The rank of a URL is the
+rank of the page that links to it followed by the position of the link there, as bytes, so
+ranks of a layer compare like the queue and no layer is sorted.
+
+Links, known pages and visits are tables in buckets of one number, by the hash of the URL
+that they are looked up by.  A layer moves to the buckets, they do not move; its new URLs
+are appended to the visits as files of their own.  The driver holds the loop counter and the
+stop test only.
 """
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from folioscope import workspace
 from folioscope.functions import html as H
@@ -20,6 +25,10 @@ from folioscope.operators.ordering import first_rows, number_rows, ordered_ids
 from folioscope.sources.pages import first_wins, with_fetch_key
 from folioscope.staging import let
 
+# Layers after which ranks are written anew as numbers, because they grow by a position each.
+RANK_LAYERS = 32
+
+
 def extract_links(pages: DataFrame, keep: tuple[str, ...] = ("url",)) -> DataFrame:
     """Every ``<a href>`` of every page: the kept columns, pos from 0, href."""
     return pages.select(*keep, F.posexplode(H.html_links("html")).alias("pos", "href"))
@@ -125,21 +134,81 @@ def link_table(pages: DataFrame, start_url: str, segment_aligned: bool = False)
     )
 
 
+class _Buckets:
+    """The tables of one crawl, each in the same number of buckets by a key of its own.
+
+    They are in the session's catalog while the crawl runs, because only catalog tables are
+    read by bucket; results are read by their path.
+    """
+
+    def __init__(self, spark: SparkSession, n: int):
+        self.spark, self.n = spark, n
+        self.folder = workspace.new_folder(spark, "crawl")
+        self.prefix = f"crawl_{uuid.uuid4().hex}"
+        self.names: list[str] = []
+
+    def append(self, name: str, rows: DataFrame, key: str) -> None:
+        writer = rows.write.format("parquet").mode("append").bucketBy(self.n, key)
+        if "depth" in rows.columns:
+            writer = writer.partitionBy("depth")
+        writer.option("path", f"{self.folder}/{name}").saveAsTable(f"{self.prefix}_{name}")
+        if name not in self.names:
+            self.names.append(name)
+
+    def read(self, name: str) -> DataFrame:
+        return self.spark.table(f"{self.prefix}_{name}")
+
+    def by_path(self, name: str) -> DataFrame:
+        schema = self.read(name).schema
+        return self.spark.read.schema(schema).parquet(f"{self.folder}/{name}")
+
+    def drop(self) -> None:
+        """Forget the tables; their files stay."""
+        for name in self.names:
+            self.spark.sql(f"DROP TABLE {self.prefix}_{name}")
+
+
+def _bytes(number: Column, size: int) -> Column:
+    """A number that is not negative as ``size`` bytes, which compare like numbers."""
+    return F.unhex(F.lpad(F.hex(number), 2 * size, "0"))
+
+
+def next_layer(layer: DataFrame, follow: DataFrame, visits: DataFrame) -> DataFrame:
+    """The URLs that pages of a layer (url, rank) link to and nobody has visited, with the
+    least ``rank`` of a linking page and the least position ``pos`` on it.
+
+    ``follow`` (src, pos, url) is in buckets by src and ``visits`` by url.
+    """
+    asked = layer.select(urls.fetch_key("url").alias("src"), "rank")
+    found = asked.join(follow, "src").select("url", "rank", "pos")
+    return visited_filter(found, visits)
+
+
 def crawl_bfs(
     pages: DataFrame,
     start_url: str,
     max_saves: int | None = None,
     max_depth: int | None = None,
     segment_aligned: bool = False,
+    n_buckets: int | None = None,
 ) -> Crawl:
     """Visit pages from a start URL in queue order.
 
     ``pages`` has url, html and optionally content_type.  With ``max_saves`` the loop ends
     after the layer that reaches that many files, with ``max_depth`` after that layer, and
-    otherwise when a layer is empty.
+    otherwise when a layer is empty.  ``n_buckets`` is the number of shuffle partitions
+    unless given; choose it for the size of the link table.
     """
     spark = pages.sparkSession
-    folder = workspace.new_folder(spark, "crawl")
+    tables = _Buckets(spark, n_buckets or int(spark.conf.get("spark.sql.shuffle.partitions")))
+    try:
+        return _crawled(tables, pages, start_url, max_saves, max_depth, segment_aligned)
+    finally:
+        tables.drop()
+
+
+def _crawled(tables: _Buckets, pages, start_url, max_saves, max_depth, segment_aligned) -> Crawl:
+    spark = tables.spark
     pages = with_fetch_key(pages)
 
     # One page per fetched URL.  The URLs with several pages are stored on their own: their
@@ -148,51 +217,69 @@ def crawl_bfs(
         F.min(F.struct("url", "content_type")).alias("_page"), F.count(F.lit(1)).alias("n_pages")
     )
     known = known.select("fetch_url", "_page.url", "_page.content_type", "n_pages")
-    known = workspace.stored(known, f"{folder}/known")
+    tables.append("known", known, "fetch_url")
+    known = tables.read("known")
     several = known.where("n_pages > 1").select("fetch_url", F.col("url").alias("_kept"))
-    several = workspace.stored(several, f"{folder}/several")
+    several = workspace.stored(several, f"{tables.folder}/several")
     single = pages.join(several, "fetch_url", "left").where(
         F.col("_kept").isNull() | (F.col("_kept") == F.col("url"))
     )
-    links = workspace.stored(link_table(single, start_url, segment_aligned), f"{folder}/links")
-
-    depth = 0
-    first = spark.range(1).select(F.lit(start_url).alias("url"), F.col("id").alias("rank"))
-    layer = workspace.stored(_fetch(first, known), f"{folder}/visits/depth=0")
-
-    def table(name: str, schema: T.StructType) -> DataFrame:
-        """All layers so far, with their depth."""
-        full = T.StructType([*schema.fields, T.StructField("depth", T.IntegerType())])
-        return spark.read.schema(full).parquet(f"{folder}/{name}")
-
+    links = workspace.stored(
+        link_table(single, start_url, segment_aligned), f"{tables.folder}/links"
+    )
+    # Dealt out before they are written, so that a bucket is one file.
+    for name, action in (("follow", "enqueue"), ("files", "save")):
+        chosen = links.where(F.col("action") == action).select("src", "pos", "url")
+        tables.append(name, chosen.repartition(tables.n, "src"), "src")
+    follow, files = tables.read("follow"), tables.read("files")
+
+    depth = n_saved = 0
+    start = spark.range(1).select(
+        F.lit(start_url).alias("url"), F.lit(b"").alias("rank"), F.lit(0).alias("depth")
+    )
+    tables.append("visits", start, "url")
     while True:
+        layer = tables.read("visits").where(F.col("depth") == depth)
+        if layer.isEmpty():
+            break
         if max_saves is not None:
-            tried = _attempts(layer.withColumn("depth", F.lit(depth)), links, known).drop("depth")
-            tried = workspace.stored(tried, f"{folder}/attempts/depth={depth}")
-            if _saved(table("attempts", tried.schema)) >= max_saves:
+            n_saved += _save_layer(tables, _fetch(layer, known), files, known, depth)
+            if n_saved >= max_saves:
                 break
         if depth == max_depth:
             break
-        found = _followed(layer, links, "enqueue")
-        seen = table("visits", layer.schema).select("url")
-        new = visited_filter(found, seen).withColumnsRenamed({"rank": "_parent", "pos": "_pos"})
-        ranked = ordered_ids(new, ["_parent", "_pos"], "rank").select("url", "rank")
+        new = next_layer(layer, follow, tables.read("visits"))
         depth += 1
-        layer = workspace.stored(_fetch(ranked, known), f"{folder}/visits/depth={depth}")
-        if layer.isEmpty():
-            break
-
-    visits = table("visits", layer.schema)
-    if max_saves is None:
-        tried = _attempts(visits, links, known)
-    else:
-        tried = table("attempts", tried.schema)
+        if depth % RANK_LAYERS:
+            rank = F.concat("rank", _bytes(F.col("pos"), 4))
+        else:
+            new = ordered_ids(new, ["rank", "pos"], "_id")
+            rank = _bytes(F.col("_id"), 8)
+        new = new.select("url", rank.alias("rank"), F.lit(depth).alias("depth"))
+        tables.append("visits", new, "url")
+
+    visits = workspace.materialize(_fetch(tables.by_path("visits"), known), "visits")
+    tried = _attempts(visits, files, known) if max_saves is None else tables.by_path("attempts")
     order = F.struct("depth", "rank", "pos", "local_path", "status")
     first = tried.groupBy("url").agg(F.min(order).alias("_first"))
     attempts = workspace.materialize(first.select("_first.*", "url"), "attempts")
     return Crawl(visits.select("url", "depth", "rank", "fetched"), attempts)
 
 
+def _save_layer(
+    tables: _Buckets, layer: DataFrame, files: DataFrame, known: DataFrame, depth: int
+) -> int:
+    """Append a layer's attempts and the file names that no layer before has taken; how many
+    those are."""
+    tables.append("attempts", _attempts(layer, files, known), "url")
+    tried = tables.read("attempts").where(F.col("depth") == depth)
+    taken = tried.where(F.col("status") == "candidate").select("local_path").distinct()
+    if depth:
+        taken = taken.join(tables.read("taken").select("local_path"), "local_path", "left_anti")
+    tables.append("taken", taken.withColumn("depth", F.lit(depth)), "local_path")
+    return tables.read("taken").where(F.col("depth") == depth).count()
+
+
 def _fetch(urls_to_fetch: DataFrame, known: DataFrame) -> DataFrame:
     """Look up what a server would send for each URL."""
     fetchable = known.select("fetch_url", "content_type", F.lit(True).alias("_hit"))
@@ -201,21 +288,15 @@ def _fetch(urls_to_fetch: DataFrame, known: DataFrame) -> DataFrame:
     return joined.withColumn("fetched", F.coalesce("_hit", F.lit(False))).drop("_hit")
 
 
-def _followed(visits: DataFrame, links: DataFrame, action: str) -> DataFrame:
-    """Links of one action on the fetched pages, with the rank of their page."""
-    pages = visits.where("fetched").withColumnsRenamed({"fetch_url": "src", "url": "_page"})
-    wanted = links.where(F.col("action") == action)
-    return pages.drop("content_type", "fetched", "_page").join(wanted, "src")
-
-
-def _attempts(visits: DataFrame, links: DataFrame, known: DataFrame) -> DataFrame:
+def _attempts(visits: DataFrame, files: DataFrame, known: DataFrame) -> DataFrame:
     """Tries to save a file: each page before its links, each PDF at its first link.
 
     The same PDF again is the same file again, so only its first link can save it.
     """
     key = ["depth", "rank", "pos"]
     pages = visits.withColumn("pos", F.lit(-1))
-    linked = _followed(visits, links, "save").groupBy("url")
+    fetched = visits.where("fetched").select(F.col("fetch_url").alias("src"), "depth", "rank")
+    linked = fetched.join(files, "src").groupBy("url")
     linked = linked.agg(F.min(F.struct(*key)).alias("_first")).select("url", "_first.*")
     columns = [*key, "url", "fetched", "content_type"]
     tried = pages.select(*columns).unionByName(_fetch(linked, known).select(*columns))
@@ -228,8 +309,3 @@ def _attempts(visits: DataFrame, links: DataFrame, known: DataFrame) -> DataFram
     )
     placed = urls.with_local_path(tried)
     return placed.select(*key, "url", "local_path", status.alias("status"))
-
-
-def _saved(attempts: DataFrame) -> int:
-    good = attempts.where(F.col("status") == "candidate")
-    return good.select("local_path").distinct().count()

@@ -9,8 +9,8 @@ in memory by all tasks, in blocks whose size is checked:
 * few questions: they are the block, each task scans its part of the vectors and emits at
   most k rows per question;
 * few vectors: they are the block, each task answers its own questions, nothing is shuffled;
-* neither: the smaller side is cut into blocks of bounded size, one pass over the other
-  side per block, every pass stored before the next one starts.
+* neither: both sides are cut into blocks of bounded size, and the pairs of blocks are the
+  cells of a grid that Spark deals out to tasks, all in one stage and without the driver.
 """
 
 from __future__ import annotations
@@ -264,41 +264,49 @@ def best_k(candidates: DataFrame, k: int, qid: str, ids: Sequence[str]) -> DataF
     return ranked.where(F.col("rank") <= k).select(qid, "rank", *ids, "score")
 
 
-def _cut(rows: DataFrame, n_rows: int, limit: int) -> tuple[DataFrame, list[int]]:
-    """Store a side in blocks of at most ``limit`` rows each."""
-    spark = rows.sparkSession
-    folder = workspace.new_folder(spark, "blocks")
-    at = F.monotonically_increasing_id()
-    within = F.floor(at.bitwiseAND(F.lit((1 << 33) - 1)) / F.lit(limit))
-    block = F.shiftright(at, 33) * F.lit(1 << 20) + within
-    # Rows are dealt out almost evenly: with room for the difference few blocks are cut again.
-    spread = rows.repartition(-(-n_rows * 10 // (limit * 9))).withColumn("_block", block)
-    spread.write.partitionBy("_block").parquet(folder)
-    schema = T.StructType([*rows.schema.fields, T.StructField("_block", T.LongType())])
-    stored = spark.read.schema(schema).parquet(folder)
-    return stored, [r[0] for r in stored.select("_block").distinct().collect()]
-
-
-def _passes(shape: _Shape, n_questions: int, n_vectors: int, limit: int) -> DataFrame:
-    spark = shape.questions.sparkSession
-    folder = workspace.new_folder(spark, "hits")
-    by_question = n_questions <= n_vectors
-    side, count = (
-        (shape.questions, n_questions) if by_question else (shape.vectors, n_vectors)
+def _grid(shape: _Shape, n_questions: int, n_vectors: int, limit: int) -> DataFrame:
+    """Both sides in blocks, and every pair of blocks a cell that one task compares.
+
+    A question is sent to the cells of its row of the grid and a vector to those of its
+    column.  Square cells move the fewest rows for what a task may hold, so both sides have
+    blocks of the same size.  Ids are unique, so their hashes deal blocks out evenly; blocks
+    are planned a tenth smaller than the limit to leave room for the difference.
+    """
+    room = max(1, limit * 9 // 10)
+    down, across = -(-n_questions // room), -(-n_vectors // room)
+    k, dims, n_ids = shape.k, shape.dims, len(shape.ids)
+    every = (F.sequence(F.lit(0), F.lit(n - 1)) for n in (across, down))
+    row = F.pmod(F.xxhash64(shape.qid), F.lit(down)).cast("int")
+    column = F.pmod(F.xxhash64(*shape.ids), F.lit(across)).cast("int")
+    asked = shape.questions.select(
+        row.alias("_row"), F.explode(next(every)).alias("_column"), shape.qid, "_vector"
     )
-    stored, blocks = _cut(side, count, limit)
-    for number in blocks:
-        rows = stored.where(F.col("_block") == number).drop("_block").toArrow()
-        if by_question:
-            block = _question_block(shape, rows)
-            found = best_k(_scan_vectors(shape, block), shape.k, shape.qid, shape.ids)
-        else:
-            block = _vector_block(shape, rows)
-            found = _scan_questions(shape, block)
-        found.write.mode("append").parquet(folder)
-        block.destroy()
-    hits = spark.read.schema(found.schema).parquet(folder)
-    return hits if by_question else best_k(hits.drop("rank"), shape.k, shape.qid, shape.ids)
+    held = shape.vectors.select(
+        F.explode(next(every)).alias("_row"), column.alias("_column"), *shape.ids, "_vector"
+    )
+    merge = T.StructField("_merge", T.IntegerType())
+    schema = T.StructType([merge, shape.qid_field, *shape.id_fields, shape.score])
+
+    def compare(left: pa.Table, right: pa.Table) -> pa.Table:
+        positions, questions = usable_vectors(left.column(3), dims)
+        found, vectors = usable_vectors(right.column(2 + n_ids), dims)
+        best = Best(len(positions), k, n_ids)
+        ids = [
+            np.asarray(right.column(2 + i).combine_chunks().cast(pa.int64()))[found]
+            for i in range(n_ids)
+        ]
+        best.compare(questions, vectors, ids)
+        question, _, near, scores = best.rows()
+        qids = left.column(2).combine_chunks().take(pa.array(positions[question]))
+        # Cells of neighbouring columns are merged first; a block may be empty.
+        group = right.column(1)[0].as_py() // TASKS_PER_MERGE if right.num_rows else 0
+        columns = [pa.array(np.full(len(question), group), pa.int32()), qids]
+        columns += [pa.array(i, pa.int64()) for i in near]
+        return pa.Table.from_arrays([*columns, pa.array(scores)], names=schema.names)
+
+    cell = ["_row", "_column"]
+    pairs = asked.groupBy(*cell).cogroup(held.groupBy(*cell))
+    return best_k(pairs.applyInArrow(compare, schema), k, shape.qid, shape.ids)
 
 
 def topk_batch(
@@ -328,7 +336,7 @@ def topk_batch(
     few = _collect(shape.vectors, n_vectors, limit)
     if few is not None:
         return _scan_questions(shape, _vector_block(shape, few))
-    return _passes(shape, n_questions, n_vectors, limit)
+    return _grid(shape, n_questions, n_vectors, limit)
 
 
 def topk_single(

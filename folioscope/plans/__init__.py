@@ -4,6 +4,7 @@ from folioscope.plans import (  # noqa: F401  (importing a module registers its
     conversation_plans,
     crawl_plans,
     document_plans,
+    name_plans,
     table_plans,
     text_plans,
     vector_plans,
