@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import uuid
 from dataclasses import dataclass
+from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -83,11 +84,18 @@ def visited_filter(candidates: DataFrame, visited: DataFrame, url: str = "url")
 
 @dataclass
 class Crawl:
-    """``visits``: url, depth, rank, fetched.  ``attempts``: the first try to save each URL,
-    with depth, rank, pos, url, local_path, status.  Ranks grow in queue order within a depth."""
+    """``visits``: url, depth, rank, fetched.  ``tried``: tries to save a URL, with depth, rank,
+    pos, url, local_path, status.  Ranks grow in queue order within a depth."""
 
     visits: DataFrame
-    attempts: DataFrame
+    tried: DataFrame
+
+    @cached_property
+    def attempts(self) -> DataFrame:
+        """The first try of each URL; stored when it is first asked for."""
+        order = F.struct("depth", "rank", "pos", "local_path", "status")
+        first = self.tried.groupBy("url").agg(F.min(order).alias("_first"))
+        return workspace.materialize(first.select("_first.*", "url"), "attempts")
 
     def ordered_visits(self) -> DataFrame:
         """The visits numbered from 0 in queue order."""
@@ -147,13 +155,21 @@ class _Buckets:
         self.prefix = f"crawl_{uuid.uuid4().hex}"
         self.names: list[str] = []
 
-    def append(self, name: str, rows: DataFrame, key: str) -> None:
-        writer = rows.write.format("parquet").mode("append").bucketBy(self.n, key)
-        if "depth" in rows.columns:
-            writer = writer.partitionBy("depth")
+    def create(self, name: str, rows: DataFrame, key: str, part: str | None = None) -> None:
+        """Store rows under a name; a column ``part`` becomes folders."""
+        writer = rows.write.format("parquet").bucketBy(self.n, key)
+        if part is not None:
+            writer = writer.partitionBy(part)
+        self.names.append(name)
         writer.option("path", f"{self.folder}/{name}").saveAsTable(f"{self.prefix}_{name}")
-        if name not in self.names:
-            self.names.append(name)
+
+    def append(self, name: str, rows: DataFrame, depth: int) -> None:
+        """Add a layer in a folder of its own.  The depth is not part of the rows, so Spark
+        compiles the same code for every layer once."""
+        self.spark.sql(
+            f"INSERT INTO {self.prefix}_{name} PARTITION (depth = {depth}) SELECT * FROM {{rows}}",
+            rows=rows,
+        )
 
     def read(self, name: str) -> DataFrame:
         return self.spark.table(f"{self.prefix}_{name}")
@@ -217,27 +233,26 @@ def _crawled(tables: _Buckets, pages, start_url, max_saves, max_depth, segment_a
         F.min(F.struct("url", "content_type")).alias("_page"), F.count(F.lit(1)).alias("n_pages")
     )
     known = known.select("fetch_url", "_page.url", "_page.content_type", "n_pages")
-    tables.append("known", known, "fetch_url")
+    tables.create("known", known, "fetch_url")
     known = tables.read("known")
     several = known.where("n_pages > 1").select("fetch_url", F.col("url").alias("_kept"))
     several = workspace.stored(several, f"{tables.folder}/several")
     single = pages.join(several, "fetch_url", "left").where(
         F.col("_kept").isNull() | (F.col("_kept") == F.col("url"))
     )
-    links = workspace.stored(
-        link_table(single, start_url, segment_aligned), f"{tables.folder}/links"
+    # Dealt out before they are written, so that a bucket is a file for each action.
+    links = link_table(single, start_url, segment_aligned).repartition(tables.n, "src")
+    tables.create("links", links, "src", "action")
+    follow, files = (
+        tables.read("links").where(F.col("action") == action).drop("action")
+        for action in ("enqueue", "save")
     )
-    # Dealt out before they are written, so that a bucket is one file.
-    for name, action in (("follow", "enqueue"), ("files", "save")):
-        chosen = links.where(F.col("action") == action).select("src", "pos", "url")
-        tables.append(name, chosen.repartition(tables.n, "src"), "src")
-    follow, files = tables.read("follow"), tables.read("files")
 
     depth = n_saved = 0
     start = spark.range(1).select(
         F.lit(start_url).alias("url"), F.lit(b"").alias("rank"), F.lit(0).alias("depth")
     )
-    tables.append("visits", start, "url")
+    tables.create("visits", start, "url", "depth")
     while True:
         layer = tables.read("visits").where(F.col("depth") == depth)
         if layer.isEmpty():
@@ -255,15 +270,16 @@ def _crawled(tables: _Buckets, pages, start_url, max_saves, max_depth, segment_a
         else:
             new = ordered_ids(new, ["rank", "pos"], "_id")
             rank = _bytes(F.col("_id"), 8)
-        new = new.select("url", rank.alias("rank"), F.lit(depth).alias("depth"))
-        tables.append("visits", new, "url")
+        tables.append("visits", new.select("url", rank.alias("rank")), depth)
 
+    known = tables.by_path("known")
     visits = workspace.materialize(_fetch(tables.by_path("visits"), known), "visits")
-    tried = _attempts(visits, files, known) if max_saves is None else tables.by_path("attempts")
-    order = F.struct("depth", "rank", "pos", "local_path", "status")
-    first = tried.groupBy("url").agg(F.min(order).alias("_first"))
-    attempts = workspace.materialize(first.select("_first.*", "url"), "attempts")
-    return Crawl(visits.select("url", "depth", "rank", "fetched"), attempts)
+    if max_saves is None:
+        files = tables.by_path("links").where(F.col("action") == "save").drop("action")
+        tried = _attempts(visits, files, known)
+    else:
+        tried = tables.by_path("attempts")
+    return Crawl(visits.select("url", "depth", "rank", "fetched"), tried)
 
 
 def _save_layer(
@@ -271,12 +287,19 @@ def _save_layer(
 ) -> int:
     """Append a layer's attempts and the file names that no layer before has taken; how many
     those are."""
-    tables.append("attempts", _attempts(layer, files, known), "url")
+    key = ["rank", "pos", "url", "local_path", "status"]
+    found = _attempts(layer, files, known)
+    if depth:
+        tables.append("attempts", found.select(*key), depth)
+    else:
+        tables.create("attempts", found.select(*key, "depth"), "url", "depth")
     tried = tables.read("attempts").where(F.col("depth") == depth)
     taken = tried.where(F.col("status") == "candidate").select("local_path").distinct()
     if depth:
-        taken = taken.join(tables.read("taken").select("local_path"), "local_path", "left_anti")
-    tables.append("taken", taken.withColumn("depth", F.lit(depth)), "local_path")
+        held = tables.read("taken").select("local_path")
+        tables.append("taken", taken.join(held, "local_path", "left_anti"), depth)
+    else:
+        tables.create("taken", taken.withColumn("depth", F.lit(0)), "local_path", "depth")
     return tables.read("taken").where(F.col("depth") == depth).count()
 
 

@@ -145,3 +145,40 @@ def test_first_wins_keeps_ties_apart(spark):
     )
     found = sorted((r.n, r.url, r.local_path) for r in W.first_wins(rows, ("n",)).collect())
     assert found == [(1, "b", "f"), (3, "c", "g")]
+
+
+def test_a_layer_moves_to_the_buckets(spark):
+    """Links and visits are read by bucket; only the layer and its candidates are shuffled."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    tables = W._Buckets(spark, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        links = spark.range(500).selectExpr(
+            "concat('u', id) AS src", "0 AS pos", "concat('u', id * 7 % 500) AS url"
+        )
+        visits = spark.range(50).selectExpr("concat('u', id) AS url", "X'00' AS rank", "0 AS depth")
+        tables.create("links", links, "src")
+        tables.create("visits", visits, "url", "depth")
+        layer = tables.read("visits").where("depth = 0")
+        new = W.next_layer(layer.repartition(3), tables.read("links"), tables.read("visits"))
+        plan = new._jdf.queryExecution().executedPlan().toString()
+        joins = plan.replace("REPARTITION_BY_NUM", "").count("ENSURE_REQUIREMENTS")
+        assert joins == 2 and plan.count("Bucketed: true") == 2
+        assert new.count() == len({f"u{i * 7 % 500}" for i in range(50)} - {f"u{i}" for i in range(50)})
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        tables.drop()
+
+
+@pytest.mark.parametrize("n", [3, 40])
+def test_ranks_over_many_layers(spark, monkeypatch, n):
+    """Long chains: ranks are written anew every few layers and keep their order."""
+    monkeypatch.setattr(W, "RANK_LAYERS", 3)
+    pages = [(START, "a0 b0", "text/html")]
+    for name in "ab":
+        pages += [(f"{START}{name}{i}", f"{name}{i + 1}", "text/html") for i in range(8)]
+    _, visits, _, _ = crawled(spark, pages, max_saves=n, n_buckets=3)
+    names = [v.url.removeprefix(START) for v in visits]
+    whole = ["", *(f"{c}{i}" for i in range(9) for c in "ab")]
+    assert names == (whole[: len(names)] if n == 3 else whole)
+    assert not spark.catalog.listTables("default")
