@@ -1,15 +1,19 @@
 """Near copies of paragraphs: MinHash bands, exact verification, removal by components.
 
-A paragraph is a line with ``min_words`` words or more; one that does not fill a shingle has
-its whole sequence as one, as short documents have.  Its 5-word shingles are sketched by the
-least values of several hash functions, and the bands of the sketch are the keys under which
-paragraphs meet; what meets is compared exactly, as whole documents are.  Equal sets are one
-set by their id, and a set too small to be similar to any other has no bands.  Of each
-component one paragraph stays.
+What is judged are pieces: a line is cut behind its sentences, and a long sentence at places
+that its own words choose, so that a passage is cut alike wherever it stands.  A piece that
+does not fill a shingle has its whole sequence as one, as short documents have.  Its 5-word
+shingles are sketched by the least values of several hash functions, and the bands of the
+sketch are the keys under which pieces meet; what meets is compared exactly, as whole
+documents are.  Equal sets are one set by their id, and a set too small to be similar to any
+other has no bands.  Of each component one piece stays.  Repeated pieces side by side make a
+passage, which tells a copied paragraph from a stock sentence.
 """
 
 from __future__ import annotations
 
+from typing import NamedTuple
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -18,38 +22,93 @@ from pyspark.sql import functions as F
 from folioscope import workspace
 from folioscope.llm import links, setjoin, words
 
-# By default a paragraph fills one shingle; the registered query judges every line with a word.
+# By default a piece fills one shingle; the registered query judges every piece with a word.
 MIN_WORDS = links.SHINGLE_WORDS
-# A pair of similarity 0.8 shares a band with probability 1 - (1 - 0.8^3)^12 > 0.9998.
-BANDS, BAND_ROWS = 12, 3
+# Sentences of more words are cut further, where a word has the least hash of so many words
+# on both sides.
+LONG_SENTENCE, CUT_REACH = 24, 5
+# Repeated words side by side that make a passage: of 50 copied words, those in the two pieces
+# that reach over the ends of the copy may count for nothing, and pieces have 9 words or so.
+PASSAGE_WORDS = 40
+# A pair of similarity 0.8 shares a band with probability 1 - (1 - 0.8^2)^8 > 0.9997.
+BANDS, BAND_ROWS = 8, 2
+# Pieces of classes with so many members, or of the largest this many, whichever are fewer,
+# are looked up in a broadcast table; the others meet their class in a join.
+HOT_CLASS, HOT_SETS = 256, 100_000
 
 _FACTORS = words.mix(np.arange(1, BANDS * BAND_ROWS + 1, dtype=np.uint64)) | np.uint64(1)
 _SHIFTS = words.mix(np.arange(1001, BANDS * BAND_ROWS + 1001, dtype=np.uint64))
+_STOPS = np.isin(np.arange(256), [0x21, 0x2E, 0x3F])  # ! . ?
+_CLOSERS = np.isin(np.arange(256), [0x22, 0x27, 0x29, 0x5D])  # " ' ) ]
+
+
+class Pieces(NamedTuple):
+    """Sentences and parts of long ones, in the order of the text."""
+
+    hashes: np.ndarray  # of all words
+    words: np.ndarray  # index of the first word of each piece, and the number of words
+    begins: np.ndarray  # first byte of each piece; the pieces of a line fill it
+    ends: np.ndarray  # byte behind it
+    rows: np.ndarray  # index of the first piece of each row, and the number of pieces
+
+    def sizes(self) -> np.ndarray:
+        return np.diff(self.words)
+
+
+def _chosen_cuts(hashes: np.ndarray, sentence: np.ndarray) -> np.ndarray:
+    """Words with the least hash among ``CUT_REACH`` neighbours on both sides, the first of
+    equals; neighbours are words of the same sentence."""
+    least = np.ones(len(hashes), bool)
+    for step in range(1, min(CUT_REACH, len(hashes) - 1) + 1):
+        near = sentence[step:] == sentence[:-step]
+        left, right = hashes[:-step], hashes[step:]
+        least[step:] &= ~near | (right < left)
+        least[:-step] &= ~near | (left <= right)
+    return least
 
 
-def paragraph_runs(data: np.ndarray, offsets: np.ndarray, min_words: int):
-    """Lines with enough words, their word hashes, and where each line's words begin."""
+def text_pieces(data: np.ndarray, offsets: np.ndarray) -> Pieces:
+    """The pieces of all rows.  A sentence ends behind a word that ends in ``.``, ``!`` or
+    ``?``, perhaps with a closing quote or bracket, and at the end of its line."""
     lines = words.find_runs(data, offsets, words.NOT_NEWLINE)
     found = words.find_runs(data, offsets, words.NOT_SPACE)
-    first = np.searchsorted(found.starts, lines.starts)
-    last = np.searchsorted(found.starts, lines.ends)
-    long = last - first >= min_words
-    # Words of judged lines only, line after line.
-    inside = np.zeros(len(found.starts) + 1, np.int64)
-    np.add.at(inside, first[long], 1)
-    np.add.at(inside, last[long], -1)
-    chosen = np.cumsum(inside[:-1]) > 0
-    hashes = words.run_hashes(data, found.starts[chosen], found.ends[chosen], words.LOWER)
-    rows = np.concatenate([[0], np.cumsum(last[long] - first[long])])
-    return lines, np.flatnonzero(long), hashes, rows
+    hashes = words.run_hashes(data, found.starts, found.ends, words.LOWER)
+    if not len(hashes):
+        none = np.empty(0, np.int64)
+        return Pieces(hashes, np.zeros(1, np.int64), none, none, np.zeros(len(offsets), np.int64))
+    line = np.searchsorted(lines.starts, found.starts, "right") - 1
+    final = found.ends - 1
+    final = np.where(_CLOSERS[data[final]] & (final > found.starts), final - 1, final)
+    line_end = np.append(line[1:] != line[:-1], True)
+    stop = _STOPS[data[final]] | line_end
+    sentence = np.cumsum(stop) - stop
+    long = np.bincount(sentence)[sentence] > LONG_SENTENCE
+    last = stop | (long & _chosen_cuts(hashes, sentence))
+    first = np.append(0, np.flatnonzero(last)[:-1] + 1)
+    opens = np.append(True, line_end[:-1])[first]
+    begins = np.where(opens, lines.starts[line[first]], found.starts[first])
+    ends = np.append(begins[1:], 0)
+    closing = np.append(opens[1:], True)
+    ends[closing] = lines.ends[line[first[closing]]]
+    return Pieces(
+        hashes, np.append(first, len(hashes)), begins, ends, np.searchsorted(begins, offsets)
+    )
+
+
+def _judged(pieces: Pieces, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The pieces with enough words, the words of those, and where the words of each begin."""
+    sizes = pieces.sizes()
+    long = sizes >= min_words
+    rows = np.concatenate([[0], np.cumsum(sizes[long])])
+    return np.flatnonzero(long), pieces.hashes[np.repeat(long, sizes)], rows
 
 
 def paragraph_sets(column: pa.Array, shingle: int, min_words: int):
-    """The sets of all paragraphs of a column, as ``setjoin.Texts`` wants them."""
-    data, offsets = words.buffers(column)
-    lines, long, hashes, rows = paragraph_runs(data, offsets, min_words)
+    """The sets of all pieces of a column, as ``setjoin.Texts`` wants them."""
+    pieces = text_pieces(*words.buffers(column))
+    long, hashes, rows = _judged(pieces, min_words)
     keys, places = links.row_sets(hashes, rows, shingle)
-    return keys, places, words.owners(lines.rows)[long]
+    return keys, places, words.owners(pieces.rows)[long]
 
 
 def bands(keys: np.ndarray, places: np.ndarray) -> np.ndarray:
@@ -78,20 +137,21 @@ def may_link(sizes: np.ndarray, percent: int) -> np.ndarray:
 def mark(
     docs: DataFrame, key: str, text: str, shingle: int, percent: int, min_words: int
 ) -> DataFrame:
-    """``key``, ``number`` of the line in its text, ``set``, ``n``, ``prefix`` (the bands).
+    """``key``, ``other_key``, ``number`` of the piece in its text, ``set``, ``n``, ``prefix``
+    (the bands).
 
     A task gives the bands of a set once, so copies are merged before anything is shuffled.
     """
-    chosen = docs.select(docs[key].alias("key"), docs[text].alias("text"))
+    chosen = setjoin.keyed(docs, key, text)
 
     def run(batches):
         seen = np.empty(0, np.int64)
         for batch in batches:
             for piece in words.pieces(batch, "text"):
-                data, offsets = words.buffers(piece.column(1))
-                lines, long, hashes, rows = paragraph_runs(data, offsets, min_words)
+                cut = text_pieces(*words.buffers(piece.column(2)))
+                long, hashes, rows = _judged(cut, min_words)
                 keys, places = links.row_sets(hashes, rows, shingle)
-                own = words.owners(lines.rows)[long]
+                own = words.owners(cut.rows)[long]
                 ids = links.set_ids(keys, places)
                 _, first = np.unique(ids, return_index=True)
                 fresh = np.zeros(len(ids), bool)
@@ -108,17 +168,20 @@ def mark(
                 yield pa.RecordBatch.from_arrays(
                     [
                         piece.column(0).take(pa.array(own)),
-                        pa.array(long - lines.rows[own]),
+                        piece.column(1).take(pa.array(own)),
+                        pa.array(long - cut.rows[own]),
                         pa.array(ids),
                         pa.array(sizes),
                         pa.compute.if_else(pa.array(banded), lists, none),
                     ],
-                    names=["key", "number", "set", "n", "prefix"],
+                    names=["key", "other_key", "number", "set", "n", "prefix"],
                 )
 
     kind = chosen.schema["key"].dataType.simpleString()
     marks = chosen.mapInArrow(
-        run, f"key {kind}, number bigint, set bigint, n bigint, prefix array<bigint>"
+        run,
+        f"key {kind}, other_key bigint, number bigint, set bigint, n bigint, "
+        "prefix array<bigint>",
     )
     return workspace.materialize(marks, "paragraphs")
 
@@ -131,31 +194,98 @@ def paragraph_classes(
     percent: int = links.PERCENT,
     min_words: int = MIN_WORDS,
 ) -> DataFrame:
-    """``key``, ``number``, and of the class its first paragraph (``class_key``,
-    ``class_number``) and its size, for each paragraph; a class is a component of links."""
+    """The repeated pieces: ``key``, ``other_key`` (a hash of the text of rows without a key),
+    ``number`` of the piece in its text, and of its class the first piece (``class_key``,
+    ``class_other``, ``class_number``) and its size, two or more.
+
+    A class is a component of links.  Null and empty texts have no pieces.  Repeated rows
+    repeat all of their pieces; rows without a key come last in their class.  An empty table
+    gives an empty result.
+    """
     marks = mark(docs, key, text, shingle, percent, min_words)
     texts = setjoin.Texts(
         docs, key, text, marks, lambda column: paragraph_sets(column, shingle, min_words)
     )
     labels = setjoin.link_sets(marks.select("key", "set", "n", "prefix"), texts, percent)
-    # Nulls come last: a paragraph of a row without a key stays only if no other can.
-    place = F.struct(F.col("key").isNull().alias("none"), "key", "number")
+    place = F.struct(F.col("key").isNull().alias("none"), "key", "other_key", "number")
     holders = marks.groupBy("set").agg(F.min(place).alias("first"), F.count("*").alias("size"))
-    known = holders.join(labels.withColumnRenamed("node", "set"), "set", "left").select(
-        "set", "first", "size", F.coalesce("label", "set").alias("label")
+    known = workspace.materialize(
+        holders.join(labels.withColumnRenamed("node", "set"), "set", "left")
+        .where("size > 1 OR label IS NOT NULL")
+        .select("set", "first", "size", F.coalesce("label", "set").alias("label")),
+        "paragraph-sets",
     )
     whole = known.groupBy("label").agg(F.min("first").alias("first"), F.sum("size").alias("size"))
-    whole = whole.where("size > 1")
-    repeated = known.select("set", "label").join(whole, "label").select("set", "first", "size")
-    return marks.join(repeated, "set", "left").select(
+    repeated = workspace.materialize(
+        known.select("set", "label", F.col("size").alias("own"))
+        .join(whole.where("size > 1"), "label")
+        .select("set", "own", "first", "size"),
+        "paragraph-classes",
+    )
+    # The members of a hot set would meet in one task: such sets go to the members instead.
+    hot = repeated.where(F.col("own") >= HOT_CLASS).orderBy(F.desc("own"), "set").limit(HOT_SETS)
+    hot = workspace.materialize(hot.drop("own"), "paragraph-hot")
+    members = marks.select("key", "other_key", "number", "set")
+    rest = members.join(F.broadcast(hot.select("set")), "set", "left_anti")
+    cold = repeated.drop("own").join(F.broadcast(hot.select("set")), "set", "left_anti")
+    both = members.join(F.broadcast(hot), "set").unionByName(rest.join(cold, "set"))
+    return both.select(
         "key",
+        "other_key",
         "number",
-        F.coalesce("first.key", "key").alias("class_key"),
-        F.coalesce("first.number", "number").alias("class_number"),
-        F.coalesce("size", F.lit(1)).alias("class_size"),
+        F.col("first.key").alias("class_key"),
+        F.col("first.other_key").alias("class_other"),
+        F.col("first.number").alias("class_number"),
+        F.col("size").alias("class_size"),
     )
 
 
+def _sums(flags: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """How many flags are set before each place, for places up to the number of flags."""
+    return np.concatenate([[0], np.cumsum(flags)])[at]
+
+
+def passages(cut: Pieces, again: np.ndarray, least: int = PASSAGE_WORDS) -> np.ndarray:
+    """For each row its maximal runs of repeated pieces with ``least`` words or more."""
+    own = words.owners(cut.rows)
+    heads = again.copy()
+    heads[1:] &= ~again[:-1] | (own[1:] != own[:-1])
+    starts = np.flatnonzero(heads)
+    run = np.cumsum(heads)[again] - 1
+    total = np.bincount(run, cut.sizes()[again], len(starts))
+    return np.bincount(own[starts[total >= least]], minlength=len(cut.rows) - 1)
+
+
+def without_pieces(
+    data: np.ndarray, offsets: np.ndarray, cut: Pieces, gone: np.ndarray
+) -> list[bytes]:
+    """The texts without some pieces.
+
+    A line of which nothing is left goes with the newline behind it; at the end of a text,
+    with the one that then is the last.
+    """
+    keep = np.ones(len(data) + 1, np.int64)
+    np.add.at(keep, cut.begins[gone], -1)
+    np.add.at(keep, cut.ends[gone], 1)
+    keep = np.cumsum(keep - 1)[:-1] == 0
+    lines = words.find_runs(data, offsets, words.NOT_NEWLINE)
+    first = np.searchsorted(cut.begins, lines.starts)
+    last = np.searchsorted(cut.begins, lines.ends)
+    lost = (last > first) & (_sums(gone, last) - _sums(gone, first) == last - first)
+    ends = lines.ends[lost]
+    row_end = offsets[1:][words.owners(lines.rows)[lost]]
+    keep[ends[ends < row_end]] = False
+    newlines = np.flatnonzero(keep & (data == 0x0A))
+    final = ends[ends == row_end]
+    row = np.searchsorted(offsets, final, "left") - 1  # a line is not empty: its row has bytes
+    newlines = np.append(newlines, -1)  # found where a text has none in front
+    before = newlines[np.searchsorted(newlines[:-1], final) - 1]
+    keep[before[before >= offsets[row]]] = False
+    sums = _sums(keep, offsets)
+    raw = data[keep].tobytes()
+    return [raw[a:b] for a, b in zip(sums[:-1], sums[1:])]
+
+
 def remove_near_copies(
     docs: DataFrame,
     key: str = "doc_id",
@@ -164,66 +294,75 @@ def remove_near_copies(
     percent: int = links.PERCENT,
     min_words: int = MIN_WORDS,
 ) -> DataFrame:
-    """``key``, ``text`` without the paragraphs that repeat another, and counts of each row.
-
-    Of the paragraphs of a class that with the smallest key and line number stays.  A
-    removed line goes with its newline.  ``_n_paragraphs``, ``_n_repeated`` (in a class of
-    two or more) and ``_n_removed`` are counts; ``_classes`` lists the class keys of the
-    repeated ones.  Null texts stay null.  Rows that share a key share their removals; rows
-    with a null key are cleaned of what repeats a paragraph of another row.  An empty table
-    gives an empty result; other columns are ignored.
+    """``key``, ``text`` without the pieces that repeat another, and counts of each row.
+
+    Of the pieces of a class that with the smallest key and number stays.  ``_n_paragraphs``
+    counts the judged pieces, ``_n_repeated`` the passages (runs of pieces in classes of two
+    or more, ``PASSAGE_WORDS`` words or more in all), ``_n_pieces`` the pieces in such
+    classes and ``_n_removed`` those of them that go; ``_classes`` lists the class keys.
+    Null texts stay null.  Rows that share a key share their removals; rows with a null key
+    are cleaned of what repeats a piece of another row or of a text with a smaller hash.  An
+    empty table gives an empty result; other columns are ignored.
     """
     classes = paragraph_classes(docs, key, text, shingle, percent, min_words)
-    stays = F.expr("class_key <=> key AND class_number = number")
-    again = F.col("class_size") > 1
-    lists = classes.groupBy("key").agg(
-        F.count(F.lit(1)).alias("n"),
-        F.count_if(again).alias("m"),
-        F.collect_set(F.when(again & ~stays, F.col("number"))).alias("gone"),
-        F.sort_array(F.collect_set(F.when(again, F.col("class_key")))).alias("classes"),
-    )
-    chosen = docs.select(docs[key].alias("_key"), docs[text].alias("text"))
-    joined = chosen.join(lists, chosen["_key"].eqNullSafe(lists["key"]), "left").select(
-        F.col("_key").alias("key"), "text", "n", "m", "gone", "classes"
+    stays = F.expr("class_key <=> key AND class_other <=> other_key AND class_number = number")
+    lists = classes.groupBy("key", "other_key").agg(
+        F.collect_set("number").alias("again"),
+        F.collect_set(F.when(~stays, F.col("number"))).alias("gone"),
+        F.sort_array(F.collect_set("class_key")).alias("classes"),
     )
+    chosen = setjoin.keyed(docs, key, text).withColumnsRenamed({"key": "own", "other_key": "mine"})
+    same = chosen["own"].eqNullSafe(lists["key"]) & chosen["mine"].eqNullSafe(lists["other_key"])
+    joined = chosen.join(lists, same, "left").select("own", "text", "again", "gone", "classes")
+
+    def flags(numbers: pa.Array, cut: Pieces) -> np.ndarray:
+        out = np.zeros(len(cut.begins), bool)
+        sizes = numbers.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        out[np.repeat(cut.rows[:-1], sizes) + numbers.flatten().to_numpy()] = True
+        return out
 
     def run(batches):
         for batch in batches:
             for piece in words.pieces(batch, "text"):
-                out = []
-                for own, gone in zip(piece.column(1).to_pylist(), piece.column(4).to_pylist()):
-                    if own is None or not gone:
-                        out.append(own)
-                        continue
-                    gone, at, kept = set(gone), -1, []
-                    for line in own.split("\n"):
-                        at += bool(line)
-                        if not line or at not in gone:
-                            kept.append(line)
-                    out.append("\n".join(kept))
-                removed = piece.column(4).value_lengths().fill_null(0).cast(pa.int64())
-                columns = [piece.column(0), pa.array(out, pa.string())]
-                columns += [piece.column(k).fill_null(0) for k in (2, 3)]
+                column = piece.column(1)
+                data, offsets = words.buffers(column)
+                cut = text_pieces(data, offsets)
+                again, gone = (flags(piece.column(k), cut) for k in (2, 3))
+                null = column.is_null().to_numpy(zero_copy_only=False)
+                texts = column
+                if gone.any():
+                    texts = without_pieces(data, offsets, cut, gone)
+                    texts = pa.array(texts, pa.binary(), mask=null)
+                judged = cut.sizes() >= min_words
+                counts = [words.by_row(judged, cut.rows), passages(cut, again)]
+                counts += [words.by_row(f, cut.rows) for f in (again, gone)]
                 yield pa.RecordBatch.from_arrays(
-                    [*columns, removed, piece.column(5)],
-                    names=["key", "text", "n", "m", "r", "classes"],
+                    [
+                        piece.column(0),
+                        texts.cast(pa.string()),
+                        *(pa.array(c.astype(np.int64)) for c in counts),
+                        piece.column(4),
+                    ],
+                    names=["key", "text", "n", "m", "p", "r", "classes"],
                 )
 
-    kind = joined.schema["key"].dataType.simpleString()
+    kind = joined.schema["own"].dataType.simpleString()
     cleaned = joined.mapInArrow(
-        run, f"key {kind}, text string, n bigint, m bigint, r bigint, classes array<{kind}>"
+        run,
+        f"key {kind}, text string, n bigint, m bigint, p bigint, r bigint, classes array<{kind}>",
     )
-    names = {"n": "_n_paragraphs", "m": "_n_repeated", "r": "_n_removed", "classes": "_classes"}
-    return cleaned.withColumnsRenamed(names | {"key": key, "text": text})
+    names = {"n": "_n_paragraphs", "m": "_n_repeated", "p": "_n_pieces", "r": "_n_removed"}
+    return cleaned.withColumnsRenamed(names | {"classes": "_classes", "key": key, "text": text})
 
 
 def digest(cleaned: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per document: counts, the documents whose paragraphs it repeats or opens, and
-    the SHA-256 of the text that is left."""
+    """One row per document: counts, the documents whose pieces it repeats or opens, and the
+    SHA-256 of the text that is left."""
     return cleaned.select(
         key,
         F.col("_n_paragraphs").alias("n_paragraphs"),
         F.col("_n_repeated").alias("n_repeated"),
+        F.col("_n_pieces").alias("n_repeated_pieces"),
         F.col("_n_removed").alias("n_removed"),
         F.array_join(F.coalesce("_classes", F.array()), ",").alias("class_ids"),
         F.sha2(F.coalesce(text, F.lit("")), 256).alias("kept_sha256"),

@@ -92,12 +92,18 @@ def prefixes(
     return keys[chosen], np.concatenate([[0], np.cumsum(length)])
 
 
+def keyed(docs: DataFrame, key: str, text: str) -> DataFrame:
+    """``key``, ``other_key`` and ``text``: a row without a key is known by a hash of its text."""
+    other = F.when(docs[key].isNull(), F.xxhash64(docs[text]))
+    return docs.select(docs[key].alias("key"), other.alias("other_key"), docs[text].alias("text"))
+
+
 def mark(docs: DataFrame, key: str, text: str, shingle: int, percent: int) -> DataFrame:
-    """``key``, ``set``, ``n`` and ``prefix`` of every document.
+    """``key``, ``other_key``, ``set``, ``n`` and ``prefix`` of every document.
 
     A task gives the prefix of a set once, so copies are merged before anything is shuffled.
     """
-    chosen = docs.select(docs[key].alias("key"), docs[text].alias("text"))
+    chosen = keyed(docs, key, text)
     common = common_shingles(chosen.select("text"), shingle)
     held = docs.sparkSession.sparkContext.broadcast(common)
 
@@ -105,7 +111,7 @@ def mark(docs: DataFrame, key: str, text: str, shingle: int, percent: int) -> Da
         seen = np.empty(0, np.int64)
         for batch in batches:
             for piece in words.pieces(batch, "text"):
-                keys, places, _ = text_sets(piece.column(1), shingle)
+                keys, places, _ = text_sets(piece.column(2), shingle)
                 ids = links.set_ids(keys, places)
                 _, first = np.unique(ids, return_index=True)
                 fresh = np.zeros(len(ids), bool)
@@ -120,15 +126,17 @@ def mark(docs: DataFrame, key: str, text: str, shingle: int, percent: int) -> Da
                 yield pa.RecordBatch.from_arrays(
                     [
                         piece.column(0),
+                        piece.column(1),
                         pa.array(ids),
                         pa.array(np.diff(places).astype(np.int64)),
                         pa.compute.if_else(pa.array(fresh), lists, none),
                     ],
-                    names=["key", "set", "n", "prefix"],
+                    names=["key", "other_key", "set", "n", "prefix"],
                 )
 
     kind = chosen.schema["key"].dataType.simpleString()
-    marks = chosen.mapInArrow(run, f"key {kind}, set bigint, n bigint, prefix array<bigint>")
+    schema = f"key {kind}, other_key bigint, set bigint, n bigint, prefix array<bigint>"
+    marks = chosen.mapInArrow(run, schema)
     return workspace.materialize(marks, "marks")
 
 
@@ -239,18 +247,18 @@ class Texts:
     """
 
     def __init__(self, docs: DataFrame, key: str, text: str, marks: DataFrame, cut) -> None:
-        self.chosen = docs.select(docs[key].alias("_key"), docs[text].alias("text"))
-        self.marks = marks.where("n > 0").select("key", "set")
+        self.chosen = keyed(docs, key, text)
+        self.marks = marks.where("n > 0").select("key", "other_key", "set")
         self.cut = cut
 
     def fetch(self, wanted: DataFrame, column: str, pack) -> DataFrame:
         """``set`` and ``column`` of the wanted sets; ``pack`` makes binary values of sets."""
+        place = F.struct(F.col("key").isNull().alias("none"), "key", "other_key")
         holder = (
             self.marks.join(wanted.select("set").distinct(), "set", "left_semi")
             .groupBy("set")
-            .agg(F.min("key").alias("_key"))
-            .where("_key is not null")
-            .groupBy("_key")
+            .agg(F.min(place).alias("at"))
+            .groupBy(F.col("at.key").alias("_key"), F.col("at.other_key").alias("_other"))
             .agg(F.collect_list("set").alias("sets"))
         )
         holder = workspace.materialize(holder, "holders")
@@ -273,7 +281,10 @@ class Texts:
                     )
                     yield rows.filter(pa.array(right))
 
-        texts = self.chosen.join(holder, "_key").select("text", "sets")
+        chosen = self.chosen
+        same = chosen["key"].eqNullSafe(holder["_key"])
+        same &= chosen["other_key"].eqNullSafe(holder["_other"])
+        texts = chosen.join(holder, same).select("text", "sets")
         found = texts.mapInArrow(run, f"set bigint, {column} binary")
         return workspace.materialize(found.dropDuplicates(["set"]), column)
 
@@ -494,26 +505,35 @@ def jaccard_classes(
     Words are runs without ASCII white space, A-Z in lower case.  Two documents link when
     100 * intersection >= ``percent`` * union of their shingle sets (``percent`` of 50 or
     more); ``component_id`` is the smallest key reachable by links.  Null and texts without
-    words are empty and linked with nothing.  Repeated rows stay; a null key is never the
-    smallest, and a class of null keys only has none.  Other columns are ignored.
+    words are empty and linked with nothing.  Repeated rows stay; a row with a null key links
+    like any other, but null is never the smallest key, and a class of null keys only has
+    none.  Other columns are ignored.
     """
     if not PERCENT_FLOOR <= percent <= 100:
         raise ValueError(f"percent must lie between {PERCENT_FLOOR} and 100")
+    classes = _classes(docs, key, text, shingle, percent)
+    return classes.select(
+        F.col("key").alias(key),
+        F.col("n").alias("n_shingles"),
+        F.when(F.col("n") > 0, F.col("lowest.key")).otherwise(F.col("key")).alias("component_id"),
+    )
+
+
+def _classes(docs: DataFrame, key: str, text: str, shingle: int, percent: int) -> DataFrame:
+    """``key``, ``other_key``, ``n`` and, of rows with a set, ``lowest``: the smallest key of
+    the class, or the smallest hash of its texts if all rows of the class lack a key."""
     marks = mark(docs, key, text, shingle, percent)
     texts = Texts(docs, key, text, marks, lambda column: text_sets(column, shingle))
     labels = link_sets(marks, texts, percent)
-    holders = marks.where("n > 0").groupBy("set").agg(F.min("key").alias("own"))
+    place = F.struct(F.col("key").isNull().alias("none"), "key", "other_key")
+    holders = marks.where("n > 0").groupBy("set").agg(F.min(place).alias("own"))
     classes = labels.join(holders, labels["node"] == holders["set"]).select("node", "label", "own")
     lowest = classes.groupBy("label").agg(F.min("own").alias("lowest"))
     reach = classes.join(lowest, "label").select(F.col("node").alias("set"), "lowest")
     named_sets = holders.join(reach, "set", "left").select(
         "set", F.coalesce("lowest", "own").alias("lowest")
     )
-    return marks.join(named_sets, "set", "left").select(
-        F.col("key").alias(key),
-        F.col("n").alias("n_shingles"),
-        F.when(F.col("n") > 0, F.col("lowest")).otherwise(F.col("key")).alias("component_id"),
-    )
+    return marks.join(named_sets, "set", "left").select("key", "other_key", "n", "lowest")
 
 
 def keep_one(
@@ -525,10 +545,14 @@ def keep_one(
 ) -> DataFrame:
     """The rows whose key is the smallest of their class, with all columns unchanged.
 
-    Keys are expected to be unique; rows that share one stay or go together, and rows with a
-    null key stay only where their class has no other key.
+    Keys are expected to be unique; rows that share one stay or go together.  Rows with a
+    null key stay only where their class has no key, and of those only rows with one text.
+    Null and empty texts stay.  An empty table gives an empty result.
     """
-    classes = jaccard_classes(docs, key, text, shingle, percent)
-    gone = classes.where(~F.col(key).eqNullSafe(F.col("component_id")))
-    gone = workspace.materialize(gone.select(F.col(key).alias("_gone")).distinct(), "gone")
-    return docs.join(gone, docs[key].eqNullSafe(gone["_gone"]), "left_anti")
+    classes = _classes(docs, key, text, shingle, percent)
+    first = F.expr("lowest.key <=> key AND lowest.other_key <=> other_key")
+    gone = classes.where(F.col("n") > 0).where(~first).select("key", "other_key").distinct()
+    gone = workspace.materialize(gone, "gone")
+    other = F.when(docs[key].isNull(), F.xxhash64(docs[text]))
+    same = docs[key].eqNullSafe(gone["key"]) & other.eqNullSafe(gone["other_key"])
+    return docs.join(gone, same, "left_anti")

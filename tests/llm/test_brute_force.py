@@ -176,14 +176,16 @@ def test_components(spark):
     assert {r.node: r.label for r in links.components(table).collect()} == label
 
 
-def test_paragraphs(spark):
+def test_paragraphs(spark, monkeypatch):
+    monkeypatch.setattr(paragraphs, "LONG_SENTENCE", 10_000)  # a line is a piece
     copies = near_copies(7, 12)
     other = near_copies(8, 1)[0]
     texts = [f"{other} {i} {other[::-1]}\n{copy}\nshort line" for i, copy in enumerate(copies)]
     expected = jaccard_classes(copies)
     got = {r.key: r for r in
            paragraphs.paragraph_classes(frame(spark, texts)).where("number = 1").collect()}
-    assert [got[i].class_key for i in range(len(copies))] == [c for _, c in expected]
+    classes = [got[i].class_key if i in got else i for i in range(len(copies))]
+    assert classes == [c for _, c in expected]
     cleaned = {r.doc_id: r for r in paragraphs.remove_near_copies(frame(spark, texts)).collect()}
     for doc, text in enumerate(texts):
         lines = text.split("\n")
