@@ -25,12 +25,14 @@ WINDOW = 10
 SHARD_BYTES = 4 << 20
 # Percent of a document's words that may be hits before the whole document goes.
 MAX_HIT_SHARE = 50
+# What is added to marked rows.
+ADDED = {"_n_words": "bigint", "_hits": "array<bigint>", "_items": "array<string>"}
 
 
 class Matcher(NamedTuple):
     vocabulary: Vocabulary
     automaton: SuffixAutomaton
-    items: list[str]
+    items: list[str | None]
     short: dict[int, list[tuple[int, int]]]  # state: (item, its length) of short items
     least: int
     window: int
@@ -42,7 +44,7 @@ def normalised(data: np.ndarray, offsets: np.ndarray) -> tuple[words.Runs, np.nd
     return found, words.run_hashes(data, found.starts, found.ends, words.LOWER)
 
 
-def build_matcher(items: list[tuple[str, str]], window: int = WINDOW) -> Matcher:
+def build_matcher(items: list[tuple[str | None, str]], window: int = WINDOW) -> Matcher:
     """The automaton of (item id, text) pairs; items without words take no part."""
     column = pa.array([text for _, text in items], pa.string())
     found, hashes = normalised(*words.buffers(column))
@@ -104,7 +106,7 @@ def _shards(benchmark: DataFrame, item: str, text: str, limit: int):
     """Lists of (item id, text) with about ``limit`` bytes, at least one; True with the last."""
     pairs = benchmark.select(
         F.col(item).cast("string").alias("item"), F.col(text).alias("text")
-    ).where("item is not null and text is not null")
+    ).where("text is not null")
     size = pairs.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0)).alias("n")).first().n
     count = max(1, -(-size // limit))
     shard = F.pmod(F.xxhash64("item", "text"), F.lit(count))
@@ -123,24 +125,39 @@ def mark_hits(
     shard_bytes: int = SHARD_BYTES,
 ) -> DataFrame:
     """All columns, and ``_n_words``, ``_hits`` (pairs of first word and the one behind the
-    last, flattened) and ``_items`` (distinct item ids, sorted as strings).
+    last, flattened) and ``_items`` (distinct item ids, sorted as strings, null last).
 
     A window is ``window`` consecutive words of an item; an item with fewer words, but not
     none, is one window.  Null and empty texts have no words.  Repeated rows, of documents
-    or items, count like single ones for what they contain; items without an id are left
-    out.  An empty benchmark gives no hits.
+    or items, count like single ones for what they contain; all items without an id count as
+    one, whose id is null.  An empty benchmark gives no hits.  Columns of ``docs`` with the
+    names of the added ones give way to them.
     """
-    return _streamed(docs, benchmark, text, item, item_text, window, shard_bytes)
+    fields = [name for name in docs.columns if name not in ADDED]
+    marked = _streamed(
+        docs.select(*fields).toDF(*_places(fields)),
+        benchmark,
+        f"c{fields.index(text)}",
+        item,
+        item_text,
+        window,
+        shard_bytes,
+    )
+    return marked.toDF(*fields, *ADDED)
+
+
+def _places(fields: list[str]) -> list[str]:
+    """Names that no added column has, so that any table can be marked."""
+    return [f"c{i}" for i in range(len(fields))]
 
 
 def _streamed(docs, benchmark, text, item, item_text, window, shard_bytes, finish=None):
     """``mark_hits``; ``finish`` turns a marked batch of the last pass into rows like ``docs``."""
     fields = docs.columns
     at = fields.index(text)
-    added = {"_n_words": "bigint", "_hits": "array<bigint>", "_items": "array<string>"}
     schema = ", ".join(
         [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema]
-        + [f"{name} {kind}" for name, kind in added.items()]
+        + [f"{name} {kind}" for name, kind in ADDED.items()]
     )
 
     def passing(matcher_of, merge, finish):
@@ -156,7 +173,7 @@ def _streamed(docs, benchmark, text, item, item_text, window, shard_bytes, finis
                         _add_spans(hit, found.rows, piece.column(len(fields) + 1))
                     columns = [*piece.columns[: len(fields)], pa.array(np.diff(found.rows))]
                     columns += [_spans(hit, found.rows), _item_lists(items, before, len(piece))]
-                    rows = pa.RecordBatch.from_arrays(columns, names=[*fields, *added])
+                    rows = pa.RecordBatch.from_arrays(columns, names=[*fields, *ADDED])
                     yield finish(rows) if finish else rows
 
         return run
@@ -197,12 +214,15 @@ def _add_spans(hit: np.ndarray, rows: np.ndarray, spans: pa.Array) -> None:
 def _item_lists(items: dict[int, set[str]], before: pa.Array | None, size: int) -> pa.Array:
     lists = before.to_pylist() if before is not None else [[] for _ in range(size)]
     for row, names in items.items():
-        lists[row] = sorted(names.union(lists[row]))
+        lists[row] = sorted(names.union(lists[row]), key=lambda name: (name is None, name))
     return pa.array(lists, pa.list_(pa.string()))
 
 
 def hit_report(marked: DataFrame, key: str = "doc_id") -> DataFrame:
-    """``key``, counts of words, hits and items, a digest of the item ids, ``contaminated``."""
+    """``key``, counts of words, hits and items, a digest of the item ids, ``contaminated``.
+
+    Null, the id of items without one, counts as an item and is left out of the digest.
+    """
     rows = marked.select(marked[key].alias("key"), "_n_words", "_hits", "_items")
 
     def run(batches):
@@ -210,7 +230,8 @@ def hit_report(marked: DataFrame, key: str = "doc_id") -> DataFrame:
             table = batch.to_pydict()
             hits = [sum(h[1::2]) - sum(h[::2]) for h in table["_hits"]]
             digests = [
-                hashlib.sha256(",".join(names).encode()).hexdigest() for names in table["_items"]
+                hashlib.sha256(",".join(n for n in names if n is not None).encode()).hexdigest()
+                for names in table["_items"]
             ]
             columns = [
                 batch.column(0),
@@ -240,7 +261,7 @@ def remove_hits(
     A span reaches from its first to its last word, bytes between them included.  Rows
     without hits are unchanged, null texts included.
     """
-    fields = [name for name in marked.columns if name not in ("_n_words", "_hits", "_items")]
+    fields = [name for name in marked.columns if name not in ADDED]
 
     def run(batches):
         for batch in batches:
@@ -260,13 +281,19 @@ def remove_benchmark(
     shard_bytes: int = SHARD_BYTES,
     max_share: int = MAX_HIT_SHARE,
 ) -> DataFrame:
-    """``mark_hits`` and ``remove_hits`` with one pass over the texts for each shard."""
-    fields = docs.columns
+    """``mark_hits`` and ``remove_hits`` with one pass over the texts for each shard.
+
+    All columns of ``docs`` come back, whatever their names.
+    """
+    fields = _places(docs.columns)
+    own = fields[docs.columns.index(text)]
 
     def finish(piece):
-        return _without_hits(piece, fields, text, max_share)
+        return _without_hits(piece, fields, own, max_share)
 
-    return _streamed(docs, benchmark, text, item, item_text, window, shard_bytes, finish)
+    plain = docs.toDF(*fields)
+    cleaned = _streamed(plain, benchmark, own, item, item_text, window, shard_bytes, finish)
+    return cleaned.toDF(*docs.columns)
 
 
 def _without_hits(

@@ -292,7 +292,11 @@ def decode_lists(vocabulary: Vocabulary, lists: pa.Array) -> pa.Array:
 
 
 def decode(encoded: DataFrame, model: str, ids: str = "ids", out: str = "decoded") -> DataFrame:
-    """All columns and ``out``, the text that the ids stand for; null ids give null."""
+    """All columns and ``out``, the text that the ids stand for; null ids give null.
+
+    A column with the name of ``out`` gives way to it.
+    """
+    encoded = encoded.select(*(encoded[name] for name in encoded.columns if name != out))
     fields = encoded.columns
     at = fields.index(ids)
     kinds = [f"`{f.name}` {f.dataType.simpleString()}" for f in encoded.schema]

@@ -364,12 +364,34 @@ _SPREAD_SQL = rf"""
         SELECT l.*, n >= {spread.MIN_LINE_WORDS} AND wide.bare IS NOT NULL AS flagged
         FROM lines l LEFT JOIN wide USING (bare)
     ),
-    judged AS (
+    weighed AS (
         SELECT doc_id, 100 * coalesce(sum(length(line)) FILTER (flagged), 0)
-                <= {spread.MAX_SHARE} * sum(length(line)) AS takes,
+                > {spread.MAX_SHARE} * sum(length(line)) AS heavy,
             count(*) FILTER (line <> '') AS n_lines, count(*) FILTER (flagged) AS n_flagged
         FROM marked GROUP BY doc_id
     ),
+    s AS (
+        SELECT DISTINCT doc_id, array_to_string(w[k:k + {links.SHINGLE_WORDS - 1}], ' ') AS g
+        FROM (
+            SELECT doc_id, w,
+                unnest(range(1, greatest(len(w) - {links.SHINGLE_WORDS - 1}, 1) + 1)) AS k
+            FROM (
+                SELECT doc_id, {_SPACE_WORDS.format(_LOWER.format("text"))} AS w
+                FROM documents JOIN weighed USING (doc_id) WHERE heavy
+            ) WHERE len(w) > 0
+        )
+    ),
+    sizes AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+    copies AS (
+        SELECT DISTINCT a AS doc_id FROM (
+            SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n
+            FROM s a JOIN s b USING (g) WHERE a.doc_id <> b.doc_id GROUP BY ALL
+        ) c JOIN sizes x ON a = x.doc_id JOIN sizes y ON b = y.doc_id
+        WHERE 100 * c.n >= {links.PERCENT} * (x.n + y.n - c.n)
+    ),
+    judged AS (
+        SELECT *, doc_id NOT IN (SELECT doc_id FROM copies) AS takes FROM weighed
+    ),
     kept AS (
         SELECT doc_id, string_agg(line, chr(10) ORDER BY i) AS kept
         FROM marked JOIN judged USING (doc_id) WHERE NOT (takes AND flagged) GROUP BY doc_id
@@ -383,6 +405,7 @@ _SPREAD_SQL = rf"""
 
 @query("op10_line_dedup", _SPREAD_SQL)
 def op10_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    """Every line with a word is judged, and flagged lines go from all but copies."""
     docs = table(spark, folder, "documents").select("doc_id", "source", "text")
     return spread.digest(spread.remove_wide_lines(docs))
 

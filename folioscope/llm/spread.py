@@ -2,9 +2,9 @@
 
 A HyperLogLog sketch of the sites is kept per line hash; sketches of tasks merge by
 aggregation.  Lines whose estimate is near the threshold are counted exactly.  Lines at or
-over the threshold are taken out of every document that does not consist of them.  Of the
-documents that do, ``copies_only`` leaves alone just those that are near copies of another
-one: copies are the business of the operators on near duplicates.
+over the threshold are taken out of every document, but for documents that mostly consist of
+them and are near copies of another one: copies are the business of the operators on near
+duplicates, which would lose all of them here.
 """
 
 from __future__ import annotations
@@ -18,8 +18,8 @@ from folioscope import workspace
 from folioscope.llm import links, setjoin, words
 
 MIN_SITES = 10
-MIN_LINE_WORDS = 3
-# Percent of a document's line characters that may go.
+MIN_LINE_WORDS = 1
+# Percent of its line characters beyond which a document mostly consists of flagged lines.
 MAX_SHARE = 50
 # Relative distance from the threshold within which sites are counted exactly; the standard
 # error of a sketch with 2^12 registers is 1.6 percent.
@@ -82,7 +82,9 @@ def wide_lines(
 ) -> DataFrame:
     """``line``: hashes of the lines that stand on at least ``min_sites`` distinct sites.
 
-    Null sites are no sites.  The exact counts cover only lines near the threshold.
+    Null sites are no sites; null and empty texts have no lines.  Repeated rows count their
+    site once.  The exact counts cover only lines near the threshold, ties at the threshold
+    included.  An empty table has no such lines.
     """
     pairs = line_sites(docs, site, text, min_words)
     sketches = pairs.groupBy("line").agg(F.hll_sketch_agg("site", LG_REGISTERS).alias("sketch"))
@@ -186,7 +188,7 @@ def remove_wide_lines(
     min_words: int = MIN_LINE_WORDS,
     max_share: int = MAX_SHARE,
     broadcast_lines: int = BROADCAST_LINES,
-    copies_only: bool = False,
+    copies_only: bool = True,
 ) -> DataFrame:
     """All columns with ``text`` cleaned, and ``_n_lines``, ``_n_flagged``, ``_n_removed``.
 
@@ -196,13 +198,18 @@ def remove_wide_lines(
     Repeated rows are cleaned one by one; an empty table gives an empty result.
 
     A document with more than ``max_share`` percent of its characters in flagged lines stays
-    as it is; with ``copies_only``, only if another such document is similar to it as the
-    Jaccard join measures it.
+    as it is if another such document is similar to it as the Jaccard join measures it;
+    without ``copies_only`` it stays in any case.  Columns with the names of the added ones
+    give way to them.
     """
+    added = ["_n_lines", "_n_flagged", "_n_removed"]
+    named = [name for name in docs.columns if name not in added]
+    # Names that no work column has.
+    fields = [f"c{i}" for i in range(len(named))]
+    key, site, text = (fields[named.index(name)] for name in (key, site, text))
+    docs = docs.select(*named).toDF(*fields)
     flagged = wide_lines(docs, site, text, min_sites, min_words)
-    fields = docs.columns
     at = fields.index(text)
-    added = ["_n_lines", "_n_flagged", "_n_removed"]
     schema = ", ".join(
         [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema]
         + [f"`{name}` bigint" for name in added]
@@ -274,7 +281,7 @@ def remove_wide_lines(
                 columns += [pa.array(c.astype(np.int64)) for c in counts]
                 yield pa.RecordBatch.from_arrays(columns, names=[*fields, *added])
 
-    return carried.mapInArrow(run, schema)
+    return carried.mapInArrow(run, schema).toDF(*named, *added)
 
 
 def _with_row(hashes: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -306,6 +313,17 @@ def _line_keys(docs: DataFrame, key: str, text: str, min_words: int) -> DataFram
     return chosen.mapInArrow(run, f"_key {kind}, line bigint")
 
 
+def without_wide_lines(docs: DataFrame, **options) -> DataFrame:
+    """``remove_wide_lines`` with the columns of ``docs`` and no others, whatever their names."""
+    fields = [f"c{i}" for i in range(len(docs.columns))]
+    named = {
+        name: fields[docs.columns.index(options.pop(name, default))]
+        for name, default in (("key", "doc_id"), ("site", "source"), ("text", "text"))
+    }
+    cleaned = remove_wide_lines(docs.toDF(*fields), **named, **options)
+    return cleaned.select(*fields).toDF(*docs.columns)
+
+
 def digest(cleaned: DataFrame, key: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document: counts and the SHA-256 of the text that is left."""
     return cleaned.select(

@@ -4,6 +4,7 @@ import public_tokenizers
 import pytest
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from folioscope.llm import (
     decontaminate,
     licenses,
@@ -32,7 +33,11 @@ ROWS = [
     (None, "three four five six seven eight", "a"),
     (7, "All rights reserved. ÄÖ\n\n😀", None),
 ]
-CLASHES = ("key", "row", "set", "n", "label", "kept", "n_words", "_gone", "_hits", "ids", "seed")
+CLASHES = (
+    "key", "row", "set", "n", "label", "kept", "n_words", "_gone", "_hits", "ids", "seed", "c0",
+    "_n_words", "_items", "_n_lines", "_n_flagged", "_n_removed", "_flagged", "_spared", "_key",
+    "other_key", "_other", "sets", "prefix", "line", "site", "decoded", "lowest", "first",
+)
 
 
 @pytest.fixture(scope="module")
@@ -50,7 +55,6 @@ def benchmark(spark):
 
 
 def operators(benchmark):
-    plain = ["doc_id", "text", "source"]
     return {
         "rules": repetition.repetition_report,
         "licenses": licenses.license_report,
@@ -60,9 +64,9 @@ def operators(benchmark):
         "pieces": lambda d: pieces.encode_sampled(d, PIECES),
         "classes": setjoin.jaccard_classes,
         "hits": lambda d: decontaminate.hit_report(
-            decontaminate.mark_hits(d.drop("_hits"), benchmark)
+            decontaminate.mark_hits(d, benchmark)
         ),
-        "lines": lambda d: spread.digest(spread.remove_wide_lines(d.select(*plain, "key"))),
+        "lines": lambda d: spread.digest(spread.remove_wide_lines(d)),
     }
 
 
@@ -92,12 +96,16 @@ def test_defined_results(docs, benchmark):
     assert by["tokens"][5]["over_limit"]
     assert by["repeats"][5]["n_removed"] == by["repeats"][5]["n_bytes"] == len(LONG)
     assert by["repeats"][4]["n_removed"] == 0  # shorter than a repeat
-    assert by["paragraphs"][5]["n_removed"] == 0 and by["paragraphs"][6]["n_removed"] == 1
+    # The copy loses all of its pieces.
+    assert by["paragraphs"][5]["n_removed"] == 0 and by["paragraphs"][6]["n_repeated"] == 1
+    assert by["paragraphs"][6]["n_removed"] == by["paragraphs"][6]["n_paragraphs"] > 1
     assert by["pieces"][1]["ids"] is None and by["pieces"][2]["ids"] == []
     classes = {k: v["component_id"] for k, v in by["classes"].items()}
     assert classes == {1: 1, 2: 2, 3: 3, 4: 4, 5: 5, 6: 5, None: None, 7: 7}
     assert by["hits"][None]["n_hit"] == 4 and by["hits"][None]["n_items"] == 1
-    assert by["hits"][4]["n_hit"] == 0  # an item without an id is left out
+    # An item without an id marks hits and counts, and stays out of the list of ids.
+    assert (by["hits"][4]["n_hit"], by["hits"][4]["n_items"]) == (2, 1)
+    assert by["hits"][4]["items_sha256"] == by["hits"][1]["items_sha256"]
     assert by["lines"][1]["n_lines"] == 0
 
 
@@ -109,7 +117,7 @@ def test_keep_one(docs):
 
 def test_filters_keep_columns(docs, benchmark):
     assert repetition.keep_varied(docs).columns == docs.columns
-    base = docs.drop("_hits")
+    base = docs.drop(*decontaminate.ADDED)
     cleaned = decontaminate.remove_hits(decontaminate.mark_hits(base, benchmark))
     assert cleaned.columns == base.columns
     rows = sorted(map(repr, cleaned.collect()))
@@ -147,3 +155,33 @@ def test_messages(spark):
     assert places == list(range(6))
     assert got[1, 4].position == 4 and got[1, 3].position == 5
     assert quotes.link_quotations(table.where("false")).count() == 0
+
+
+def test_stages_take_any_column(spark, docs, benchmark, tmp_path):
+    """All names of work columns at once, nulls, empty and long texts, and empty tables."""
+    benchmark.write.parquet(f"{tmp_path}/benchmark.parquet")
+    for name, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, str(tmp_path))
+        assert out.columns == docs.columns, name
+        rows = out.collect()
+        assert all(r._spared == "_spared" and r._hits == "_hits" for r in rows), name
+        assert rows or name == "quality rules"
+        assert stage(spark, docs.where("false"), str(tmp_path)).count() == 0
+    last = corpus_pipeline.STAGES[-1][1](spark, docs.drop("ids", "n_ids"), str(tmp_path))
+    assert last.count() == len(ROWS)
+
+
+def test_decode_replaces_a_column(docs):
+    encoded = pieces.encode_sampled(docs.select("doc_id", "text", "decoded"), PIECES)
+    back = pieces.decode(encoded.withColumn("decoded", F.lit("own")), PIECES).collect()
+    assert {r.doc_id: r.decoded for r in back if r.doc_id in (2, 4)} == {2: "", 4: "one two"}
+
+
+def test_mail(spark):
+    rows = [(1, 0, "user", "a\nb"), (1, 0, "bot", "A"), (1, 1, "bot", None), (1, 2, None, ""),
+            (None, 0, "user", "x"), (2, None, "user", "y"), (2, 1, "user", "z" * 50_000)]
+    table = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    mail = quotes.as_mail(table.withColumn("said", F.lit("own")).withColumn("by", F.lit("own")))
+    got = sorted(((r.conv_id, r.turn, r.role, r.text) for r in mail.collect()), key=repr)
+    assert len(got) == len(rows) and (1, 1, "bot", None) in got
+    assert (1, 0, "user", "a\nb") in got and quotes.as_mail(table.where("false")).count() == 0

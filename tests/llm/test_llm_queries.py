@@ -61,42 +61,51 @@ def without_hits(text, windows):
     return "".join([*out, text[place:]])
 
 
+def shingles(text):
+    low = re.sub("[A-Z]+", lambda m: m[0].lower(), text)
+    own = re.findall(r"[^\x20\x09-\x0D]+", low)
+    return {tuple(own[i : i + 5]) for i in range(max(len(own) - 4, 1))} if own else set()
+
+
+def linked(a, b):
+    common = len(a & b)
+    return common and 100 * common >= 80 * len(a | b)
+
+
 def without_wide_lines(docs):
     def bare(line):
         return line.strip(" \t\n\x0b\f\r")
 
-    def judged(line):
-        return len(re.findall(r"[^\x20\x09-\x0D]+", line)) >= 3
-
     sites = {}
     for source, text in docs.values():
         for line in text.split("\n"):
-            if judged(line):
+            if bare(line):
                 sites.setdefault(bare(line), set()).add(source)
     wide = {line for line, own in sites.items() if len(own) >= 10}
+    flagged, heavy = {}, {}
+    for doc, (_, text) in docs.items():
+        lines = text.split("\n")
+        flagged[doc] = [bare(line) in wide for line in lines]
+        share = sum(len(line) for line, f in zip(lines, flagged[doc]) if f)
+        if 100 * share > 50 * sum(map(len, lines)):
+            heavy[doc] = shingles(text)
+    copies = {a for a in heavy for b in heavy if a != b and linked(heavy[a], heavy[b])}
     out = {}
     for doc, (source, text) in docs.items():
-        lines = text.split("\n")
-        flagged = [judged(line) and bare(line) in wide for line in lines]
-        share = sum(len(line) for line, f in zip(lines, flagged) if f)
-        if 100 * share <= 50 * sum(map(len, lines)):
-            text = "\n".join(line for line, f in zip(lines, flagged) if not f)
+        if doc not in copies:
+            lines = zip(text.split("\n"), flagged[doc])
+            text = "\n".join(line for line, f in lines if not f)
         out[doc] = (source, text)
     return out
 
 
 def one_of_each(docs):
-    sets = {}
-    for doc, (_, text) in docs.items():
-        low = re.sub("[A-Z]+", lambda m: m[0].lower(), text)
-        own = re.findall(r"[^\x20\x09-\x0D]+", low)
-        sets[doc] = {tuple(own[i : i + 5]) for i in range(max(len(own) - 4, 1))} if own else set()
+    sets = {doc: shingles(text) for doc, (_, text) in docs.items()}
     label = {doc: doc for doc in docs}
     order = sorted(docs)
     for x, a in enumerate(order):
         for b in order[:x]:
-            common = len(sets[a] & sets[b])
-            if common and 100 * common >= 80 * len(sets[a] | sets[b]) and label[a] != label[b]:
+            if label[a] != label[b] and linked(sets[a], sets[b]):
                 low, high = sorted((label[a], label[b]))
                 label = {k: low if v == high else v for k, v in label.items()}
     return {doc: row for doc, row in docs.items() if label[doc] == doc}
