@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from folioscope.operators import names as N
+from folioscope.operators import references as R
 from folioscope.plans.base import query, spread_table, table
 
 _NAMES = N.name_pattern(2)
@@ -46,3 +47,54 @@ def find_names(spark, folder):
     items = table(spark, folder, "benchmark", "text")
     named = N.proper_names(docs.select("text").unionByName(items))
     return N.find_names(named, N.positional_index(docs))
+
+
+# --- references: document k refers to k div 2, and some to their neighbours and back --------
+
+_AROUND = {3: 1, 4: -1, 5: 1, 6: 1, 7: -2}  # by the last digit of the id
+
+
+@query(
+    "inline_references",
+    f"""WITH RECURSIVE step(digit, move) AS (VALUES {", ".join(map(str, _AROUND.items()))}),
+        edge AS (
+          SELECT doc_id AS a, doc_id // 2 AS b, 0 AS pos FROM documents WHERE doc_id > 0
+          UNION ALL
+          SELECT doc_id, doc_id + move, 1 FROM documents JOIN step ON doc_id % 10 = digit),
+        known AS (SELECT * FROM edge WHERE b IN (SELECT doc_id FROM documents)),
+        reach AS (SELECT a, b FROM known UNION
+                  SELECT r.a, e.b FROM reach r JOIN known e ON r.b = e.a),
+        judged AS (
+          SELECT e.*, e.b IN (SELECT doc_id FROM documents)
+                 AND (e.b, e.a) NOT IN (SELECT (a, b) FROM reach) AS live FROM edge e),
+        own AS (
+          SELECT doc_id, text, up.b AS up, up.live, side.b AS side
+          FROM documents LEFT JOIN judged up ON up.a = doc_id AND up.pos = 0
+          LEFT JOIN judged side ON side.a = doc_id AND side.pos = 1),
+        whole AS (
+          SELECT doc_id, 0 AS n_inlined,
+                 (up IS NOT NULL)::INT + (side IS NOT NULL)::INT AS n_left,
+                 text || coalesce(' [[doc:' || up || ']]', '')
+                 || coalesce(' [[doc:' || side || ']]', '') AS text
+          FROM own WHERE NOT coalesce(live, false)
+          UNION ALL
+          SELECT o.doc_id, w.n_inlined + 1, w.n_left + (side IS NOT NULL)::INT,
+                 o.text || ' ' || w.text || coalesce(' [[doc:' || side || ']]', '')
+          FROM whole w JOIN own o ON o.up = w.doc_id AND o.live)
+        SELECT doc_id, n_inlined::BIGINT AS n_inlined, n_left::BIGINT AS n_left,
+               sha256(text) AS text_sha256 FROM whole""",
+)
+def inline_references(spark, folder):
+    """Documents with what they refer to written into them; neighbours on cycles stay marked."""
+    docs = spread_table(spark, folder, "documents", "doc_id", "text")
+    k = F.col("doc_id")
+
+    def mark(condition, target):
+        return F.when(condition, F.concat(F.lit(" [[doc:"), target, F.lit("]]"))).otherwise("")
+
+    by = F.coalesce(*(F.when(k % 10 == digit, F.lit(step)) for digit, step in _AROUND.items()))
+    marked = F.concat(
+        "text", mark(k > 0, F.expr("doc_id div 2")), mark(by.isNotNull(), k + by)
+    )
+    whole = R.inline_references(docs.withColumn("text", marked))
+    return whole.select("doc_id", "n_inlined", "n_left", F.sha2("text", 256).alias("text_sha256"))
