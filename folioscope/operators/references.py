@@ -2,8 +2,8 @@
 
 References make a graph.  Documents on a cycle cannot hold each other, so the references
 inside a strongly connected component stay as they are; what is left has no cycles and is
-resolved bottom-up, one topological layer after the other, each stored.  A layer reads the
-texts of the layers below it only where a reference asks for them.
+resolved bottom-up, one topological layer after the other, each stored.  Of the texts
+below a layer only those that it asks for are shuffled.
 """
 
 from __future__ import annotations
@@ -17,8 +17,6 @@ from folioscope import workspace
 
 # A reference in a text, with the id of the document that it means.
 MARK = r"\[\[doc:(\d{1,18})\]\]"
-# Texts of a layer that are broadcast to the references of the next, in bytes.
-TEXT_BYTES = 32 << 20
 
 
 def reference_pieces(
@@ -45,34 +43,39 @@ def _none(rows: DataFrame) -> bool:
     return not rows.limit(1).count()
 
 
-def cyclic_core(edges: DataFrame) -> DataFrame:
-    """The edges (``doc``, ``target``) between nodes that have edges in and edges out, again
-    and again: cycles, and paths from one to another."""
-    while True:
+def _trimmed(edges: DataFrame) -> DataFrame:
+    """The edges (``doc``, ``target``) between nodes that have edges in and edges out; done
+    again while it takes away half of the edges."""
+    count = edges.count()
+    while count:
         tails = edges.select(F.col("doc").alias("target")).distinct()
         heads = edges.select(F.col("target").alias("doc")).distinct()
-        inner = _edges(edges.join(tails, "target", "left_semi").join(heads, "doc", "left_semi"))
-        if inner.count() == edges.count():
-            return inner.select("doc", "target")
-        edges = inner.select("doc", "target")
+        inner = edges.join(tails, "target", "left_semi").join(heads, "doc", "left_semi")
+        edges = _edges(inner.select("doc", "target"))
+        before, count = count, edges.count()
+        if 2 * count > before:
+            break
+    return edges
 
 
 def _spread(nodes: DataFrame, edges: DataFrame, along: str, to: str) -> DataFrame:
     """``node`` and ``color``: the largest color of a node from which edges lead here."""
-    while True:
+
+    def step(colors: DataFrame) -> DataFrame:
         sent = (
-            edges.join(nodes.withColumnRenamed("node", along), along)
+            edges.join(colors.withColumnRenamed("node", along), along)
             .groupBy(F.col(to).alias("node"))
             .agg(F.max("color").alias("sent"))
         )
-        after = workspace.materialize(
-            nodes.join(sent, "node", "left").select(
-                "node", F.greatest("color", "sent").alias("color"), (F.col("sent") > F.col("color")).alias("grew")
-            ),
-            "colors",
-        )
+        return colors.join(sent, "node", "left").select(
+            "node", F.greatest("color", "sent").alias("color"), F.col("color").alias("old")
+        )
+
+    while True:
+        twice = step(step(nodes).select("node", "color"))
+        after = workspace.materialize(twice, "colors")
         nodes = after.select("node", "color")
-        if _none(after.where("grew")):
+        if _none(after.where("old < color")):
             return nodes
 
 
@@ -81,40 +84,34 @@ def components(edges: DataFrame) -> DataFrame:
     node.
 
     In each round the largest node that reaches a node is its color.  The node that gives a
-    color its name and the nodes of that color from which it can be reached are a component;
-    what is left of a color goes to the next round.
+    color its name and the nodes of that color that reach it are a component; what is left
+    goes to the next round, which follows the edges the other way, because a long chain of
+    components that one way finds one by one the other finds at once.
     """
-    edges = cyclic_core(edges.where("doc <> target").distinct())
-    found = []
+    edges = _trimmed(_edges(edges.where("doc <> target").select("doc", "target").distinct()))
+    nobody = F.lit(-(1 << 63)).cast("bigint")
+    found, along, to = [], "target", "doc"
     while not _none(edges):
         nodes = edges.select(F.col("doc").alias("node")).union(edges.select("target")).distinct()
-        colors = _spread(
-            nodes.withColumn("color", F.col("node")), edges, "doc", "target"
-        )
+        colors = _spread(nodes.withColumn("color", F.col("node")), edges, along, to)
         named = edges.join(colors.withColumnRenamed("node", "doc"), "doc").join(
             colors.select(F.col("node").alias("target"), F.col("color").alias("other")), "target"
         )
-        within = _edges(named.where("color = other").select("doc", "target", "color"))
-        # Backward inside a color, from the node that it is named by.
-        start = colors.withColumn("color", F.when(F.col("node") == F.col("color"), F.col("color")))
-        start = start.withColumn("color", F.coalesce("color", F.lit(-(1 << 63)).cast("bigint")))
-        back = _spread(start, within.select("doc", "target"), "target", "doc")
-        whole = workspace.materialize(
-            back.where(F.col("color") > F.lit(-(1 << 63)).cast("bigint")).withColumnRenamed(
-                "color", "component"
-            ),
-            "components",
-        )
+        within = _edges(named.where("color = other").select("doc", "target"))
+        # The other way inside a color, from the node that it is named by.
+        own = F.when(F.col("node") == F.col("color"), F.col("color")).otherwise(nobody)
+        back = _spread(colors.select("node", own.alias("color")), within, to, along)
+        whole = back.where(F.col("color") > nobody).withColumnRenamed("color", "component")
         sizes = whole.groupBy("component").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
         found.append(whole.join(sizes, "component", "left_semi").select("node", "component"))
         gone = whole.select("node")
         left = edges.join(gone.withColumnRenamed("node", "doc"), "doc", "left_anti").join(
             gone.withColumnRenamed("node", "target"), "target", "left_anti"
         )
-        edges = cyclic_core(_edges(left.select("doc", "target")))
+        edges = _trimmed(_edges(left.select("doc", "target")))
+        along, to = to, along
     if not found:
-        nothing = edges.selectExpr("doc AS node", "doc AS component")
-        return nothing.where("false")
+        return edges.select(F.col("doc").alias("node"), F.col("doc").alias("component"))
     return reduce(DataFrame.unionByName, found)
 
 
@@ -125,7 +122,6 @@ def inline_references(
     mark: str = MARK,
     opening: str = "",
     closing: str = "",
-    text_bytes: int = TEXT_BYTES,
 ) -> DataFrame:
     """``doc_id``, ``text`` with references replaced by the texts that they mean, ``n_inlined``
     (references replaced, those inside replaced texts included) and ``n_left``.
@@ -175,11 +171,9 @@ def inline_references(
             F.col("doc").alias("target"), F.col("text").alias("whole"),
             F.col("n_inlined").alias("n_in"), F.col("n_left").alias("n_out"),
         )
+        # Only texts that are asked for go to the join.
         wanted = mine.where("target IS NOT NULL").select("target").distinct()
-        texts = workspace.materialize(texts.join(wanted, "target", "left_semi"), "texts")
-        size = texts.agg(F.coalesce(F.sum(F.octet_length("whole")), F.lit(0))).first()[0]
-        if size <= text_bytes:
-            texts = F.broadcast(texts)
+        texts = texts.join(wanted, "target", "left_semi")
         layer = workspace.materialize(
             _written(mine.join(texts, "target", "left"), opening, closing), "inlined"
         )

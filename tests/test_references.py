@@ -62,13 +62,11 @@ def graph(seed, n=30):
     return texts
 
 
-@pytest.mark.parametrize("seed,text_bytes", [(1, R.TEXT_BYTES), (2, 0)])
-def test_against_recursion(spark, seed, text_bytes):
+@pytest.mark.parametrize("seed", [1, 2])
+def test_against_recursion(spark, seed):
     texts = graph(seed)
     table = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
-    out = R.inline_references(
-        table.withColumn("target", F.lit(0)), opening="<", closing=">", text_bytes=text_bytes
-    )
+    out = R.inline_references(table.withColumn("target", F.lit(0)), opening="<", closing=">")
     got = {r.doc_id: (r.text, r.n_inlined, r.n_left) for r in out.collect()}
     assert got == plain(texts)
 
