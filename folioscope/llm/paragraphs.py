@@ -195,49 +195,45 @@ def paragraph_classes(
     min_words: int = MIN_WORDS,
 ) -> DataFrame:
     """The repeated pieces: ``key``, ``other_key`` (a hash of the text of rows without a key),
-    ``number`` of the piece in its text, and of its class the first piece (``class_key``,
-    ``class_other``, ``class_number``) and its size, two or more.
+    ``number`` of the piece in its text, and of its class its name (``class``), the key of its
+    first row (``class_key``, ``class_other``) and its size, two or more.
 
     A class is a component of links.  Null and empty texts have no pieces.  Repeated rows
     repeat all of their pieces; rows without a key come last in their class.  An empty table
     gives an empty result.
     """
     marks = mark(docs, key, text, shingle, percent, min_words)
+    holders = setjoin.set_holders(marks)
     texts = setjoin.Texts(
-        docs, key, text, marks, lambda column: paragraph_sets(column, shingle, min_words)
+        docs, key, text, holders, lambda column: paragraph_sets(column, shingle, min_words)
     )
-    labels = setjoin.link_sets(marks.select("key", "set", "n", "prefix"), texts, percent)
-    place = F.struct(F.col("key").isNull().alias("none"), "key", "other_key", "number")
-    holders = marks.groupBy("set").agg(F.min(place).alias("first"), F.count("*").alias("size"))
+    labels = setjoin.link_sets(marks.select("set", "n", "prefix"), texts, percent)
     known = workspace.materialize(
         holders.join(labels.withColumnRenamed("node", "set"), "set", "left")
         .where("size > 1 OR label IS NOT NULL")
-        .select("set", "first", "size", F.coalesce("label", "set").alias("label")),
+        .withColumn("label", F.coalesce("label", "set")),
         "paragraph-sets",
     )
-    whole = known.groupBy("label").agg(F.min("first").alias("first"), F.sum("size").alias("size"))
+    whole = known.groupBy("label").agg(
+        F.min("key").alias("class_key"),
+        F.min("other_key").alias("class_other"),
+        F.sum("size").alias("class_size"),
+    )
     repeated = workspace.materialize(
-        known.select("set", "label", F.col("size").alias("own"))
-        .join(whole.where("size > 1"), "label")
-        .select("set", "own", "first", "size"),
+        known.select("set", "label", "size")
+        .join(whole.where("class_size > 1"), "label")
+        .withColumn("class_other", F.expr("if(class_key IS NULL, class_other, NULL)"))
+        .withColumnRenamed("label", "class"),
         "paragraph-classes",
     )
     # The members of a hot set would meet in one task: such sets go to the members instead.
-    hot = repeated.where(F.col("own") >= HOT_CLASS).orderBy(F.desc("own"), "set").limit(HOT_SETS)
-    hot = workspace.materialize(hot.drop("own"), "paragraph-hot")
+    hot = repeated.where(F.col("size") >= HOT_CLASS).orderBy(F.desc("size"), "set").limit(HOT_SETS)
+    hot = workspace.materialize(hot.drop("size"), "paragraph-hot")
     members = marks.select("key", "other_key", "number", "set")
     rest = members.join(F.broadcast(hot.select("set")), "set", "left_anti")
-    cold = repeated.drop("own").join(F.broadcast(hot.select("set")), "set", "left_anti")
+    cold = repeated.drop("size").join(F.broadcast(hot.select("set")), "set", "left_anti")
     both = members.join(F.broadcast(hot), "set").unionByName(rest.join(cold, "set"))
-    return both.select(
-        "key",
-        "other_key",
-        "number",
-        F.col("first.key").alias("class_key"),
-        F.col("first.other_key").alias("class_other"),
-        F.col("first.number").alias("class_number"),
-        F.col("size").alias("class_size"),
-    )
+    return both.drop("set")
 
 
 def _sums(flags: np.ndarray, at: np.ndarray) -> np.ndarray:
@@ -305,21 +301,32 @@ def remove_near_copies(
     empty table gives an empty result; other columns are ignored.
     """
     classes = paragraph_classes(docs, key, text, shingle, percent, min_words)
-    stays = F.expr("class_key <=> key AND class_other <=> other_key AND class_number = number")
+    mine = F.expr("class_key <=> key AND class_other <=> other_key")
     lists = classes.groupBy("key", "other_key").agg(
-        F.collect_set("number").alias("again"),
-        F.collect_set(F.when(~stays, F.col("number"))).alias("gone"),
+        F.sort_array(F.collect_set(F.struct("class", "number", mine.alias("mine")))).alias("held"),
         F.sort_array(F.collect_set("class_key")).alias("classes"),
     )
-    chosen = setjoin.keyed(docs, key, text).withColumnsRenamed({"key": "own", "other_key": "mine"})
-    same = chosen["own"].eqNullSafe(lists["key"]) & chosen["mine"].eqNullSafe(lists["other_key"])
-    joined = chosen.join(lists, same, "left").select("own", "text", "again", "gone", "classes")
-
-    def flags(numbers: pa.Array, cut: Pieces) -> np.ndarray:
-        out = np.zeros(len(cut.begins), bool)
-        sizes = numbers.value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
-        out[np.repeat(cut.rows[:-1], sizes) + numbers.flatten().to_numpy()] = True
-        return out
+    chosen = setjoin.keyed(docs, key, text).withColumnsRenamed({"key": "own", "other_key": "its"})
+    same = chosen["own"].eqNullSafe(lists["key"]) & chosen["its"].eqNullSafe(lists["other_key"])
+    joined = chosen.join(lists, same, "left").select(
+        "own", "text", "held.class", "held.number", "held.mine", "classes"
+    )
+
+    def flags(piece: pa.RecordBatch, cut: Pieces) -> tuple[np.ndarray, np.ndarray]:
+        """Which pieces are repeated, and which of them go: all but the first of a class."""
+        sizes = piece.column(3).value_lengths().fill_null(0).to_numpy(zero_copy_only=False)
+        row = np.repeat(np.arange(len(sizes)), sizes)
+        classed, number, mine = (
+            piece.column(k).flatten().to_numpy(zero_copy_only=False) for k in (2, 3, 4)
+        )
+        # Sorted by class and number within a row.
+        first = np.ones(len(row), bool)
+        first[1:] = (classed[1:] != classed[:-1]) | (row[1:] != row[:-1])
+        again, gone = np.zeros((2, len(cut.begins)), bool)
+        again[cut.rows[row] + number] = True
+        leaves = ~(first & mine.astype(bool))
+        gone[cut.rows[row[leaves]] + number[leaves]] = True
+        return again, gone
 
     def run(batches):
         for batch in batches:
@@ -327,7 +334,7 @@ def remove_near_copies(
                 column = piece.column(1)
                 data, offsets = words.buffers(column)
                 cut = text_pieces(data, offsets)
-                again, gone = (flags(piece.column(k), cut) for k in (2, 3))
+                again, gone = flags(piece, cut)
                 null = column.is_null().to_numpy(zero_copy_only=False)
                 texts = column
                 if gone.any():
@@ -341,7 +348,7 @@ def remove_near_copies(
                         piece.column(0),
                         texts.cast(pa.string()),
                         *(pa.array(c.astype(np.int64)) for c in counts),
-                        piece.column(4),
+                        piece.column(5),
                     ],
                     names=["key", "text", "n", "m", "p", "r", "classes"],
                 )

@@ -239,6 +239,24 @@ def may_be_similar(apart: np.ndarray, both: np.ndarray, percent: int) -> np.ndar
     return 100 * most >= percent * (both - most)
 
 
+def set_holders(marks: DataFrame) -> DataFrame:
+    """One row per set: its smallest ``key``, or the smallest ``other_key`` where no row with a
+    key has it, how many rows have it (``size``), and ``n``.
+
+    Rows of one set shrink to one per task before they are shuffled.
+    """
+    least = marks.groupBy("set").agg(
+        F.min("key").alias("key"),
+        F.min("other_key").alias("other"),
+        F.count(F.lit(1)).alias("size"),
+        F.max("n").alias("n"),
+    )
+    other = F.when(F.col("key").isNull(), F.col("other"))
+    return workspace.materialize(
+        least.select("set", "key", other.alias("other_key"), "size", "n"), "set-holders"
+    )
+
+
 class Texts:
     """Finds sets again in the texts that they came from.
 
@@ -246,19 +264,16 @@ class Texts:
     the row of each set.
     """
 
-    def __init__(self, docs: DataFrame, key: str, text: str, marks: DataFrame, cut) -> None:
+    def __init__(self, docs: DataFrame, key: str, text: str, holders: DataFrame, cut) -> None:
         self.chosen = keyed(docs, key, text)
-        self.marks = marks.where("n > 0").select("key", "other_key", "set")
+        self.holders = holders.where("n > 0")
         self.cut = cut
 
     def fetch(self, wanted: DataFrame, column: str, pack) -> DataFrame:
         """``set`` and ``column`` of the wanted sets; ``pack`` makes binary values of sets."""
-        place = F.struct(F.col("key").isNull().alias("none"), "key", "other_key")
         holder = (
-            self.marks.join(wanted.select("set").distinct(), "set", "left_semi")
-            .groupBy("set")
-            .agg(F.min(place).alias("at"))
-            .groupBy(F.col("at.key").alias("_key"), F.col("at.other_key").alias("_other"))
+            self.holders.join(wanted.select("set").distinct(), "set", "left_semi")
+            .groupBy(F.col("key").alias("_key"), F.col("other_key").alias("_other"))
             .agg(F.collect_list("set").alias("sets"))
         )
         holder = workspace.materialize(holder, "holders")
@@ -472,7 +487,7 @@ def link_sets(marks: DataFrame, texts: Texts, percent: int) -> DataFrame:
         members = texts.fetch(sets, "members", links.blobs)
         return workspace.materialize(links.verified(some, members, percent), "links")
 
-    sizes = marks.groupBy("set").agg(F.first("n").alias("n")).join(bits, "set")
+    sizes = texts.holders.select("set", "n").join(bits, "set")
     edges = verify(bounded(pairs, sizes, percent))
     labels = links.components(edges)
 
@@ -523,10 +538,11 @@ def _classes(docs: DataFrame, key: str, text: str, shingle: int, percent: int) -
     """``key``, ``other_key``, ``n`` and, of rows with a set, ``lowest``: the smallest key of
     the class, or the smallest hash of its texts if all rows of the class lack a key."""
     marks = mark(docs, key, text, shingle, percent)
-    texts = Texts(docs, key, text, marks, lambda column: text_sets(column, shingle))
+    every = set_holders(marks)
+    texts = Texts(docs, key, text, every, lambda column: text_sets(column, shingle))
     labels = link_sets(marks, texts, percent)
     place = F.struct(F.col("key").isNull().alias("none"), "key", "other_key")
-    holders = marks.where("n > 0").groupBy("set").agg(F.min(place).alias("own"))
+    holders = every.where("n > 0").select("set", place.alias("own"))
     classes = labels.join(holders, labels["node"] == holders["set"]).select("node", "label", "own")
     lowest = classes.groupBy("label").agg(F.min("own").alias("lowest"))
     reach = classes.join(lowest, "label").select(F.col("node").alias("set"), "lowest")
