@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from folioscope.functions import vectors as V
 from folioscope.operators import embed as E
 from folioscope.operators import infer as N
+from folioscope.operators import pivots as P
 from folioscope.operators import retrieve as R
 from folioscope.plans.base import query, sql_collapse, sql_vectors, table
 from folioscope.plans.document_plans import DIMS, SQL_CHUNK_VECTORS, chunk_index
@@ -142,3 +143,18 @@ def no_hits(spark, folder):
     labels = table(spark, folder, "labels", "doc_id")
     hits = labels.select(F.col("doc_id").alias("qid"), F.lit(1).alias("rank"))
     return R.no_hits(asked, hits)
+
+
+@query(
+    "topk_pivots",
+    f"""WITH {SQL_ALL_NEIGHBOURS}
+        SELECT qid, rank, vec_id, round(score, 6) AS score FROM hits""",
+)
+def topk_pivots(spark, folder):
+    """The same search with an index that skips blocks of vectors."""
+    vectors = table(spark, folder, "embeddings")
+    index = P.pivot_index(vectors, DIMS, block_rows=64)
+    hits, _ = P.topk_pivots(vectors.withColumnRenamed("vec_id", "qid"), index)
+    return hits.select(
+        "qid", F.col("rank").cast("bigint").alias("rank"), "vec_id", F.round("score", 6).alias("score")
+    )
