@@ -275,12 +275,32 @@ def answer_questions(spark, folder):
 )
 def stream_history(spark, folder):
     """Run the stream over the stored turns to its end and read what it wrote."""
-    source = turns(spark, folder)
-    arriving = (
-        spark.readStream.schema(source.schema)
-        .option("pathGlobFilter", "conversations.parquet")
-        .parquet(folder)
-    )
+    # A pattern, because a stream takes no path that is a file; the table may be a folder.
+    return streamed(spark, folder, f"{folder}/[c]onversations.parquet")
+
+
+@query(
+    "stream_in_order",
+    f"""WITH {SQL_TOLD}, whole AS (
+          SELECT conv_id, turn FROM conversations
+          QUALIFY count(*) OVER (PARTITION BY conv_id ORDER BY turn) = turn + 1)
+        SELECT conv_id, turn, history FROM told JOIN whole USING (conv_id, turn)
+        WHERE role = 'user'""",
+)
+def stream_in_order(spark, folder):
+    """The turns arrive in four batches, in an order that has nothing to do with theirs; those
+    behind a turn that never comes wait for ever."""
+    source = workspace.new_folder(spark, "arrivals")
+    batch = F.pmod(F.xxhash64("conv_id", "turn"), F.lit(4))
+    turns(spark, folder).repartitionByRange(4, batch).write.parquet(source)
+    return streamed(spark, folder, source, in_order=True)
+
+
+def streamed(spark, folder, path, **options):
+    arriving = spark.readStream.schema(turns(spark, folder).schema)
+    if options:
+        arriving = arriving.option("maxFilesPerTrigger", 1)
+    arriving = arriving.parquet(path)
     target = workspace.new_folder(spark, "stream")
     provider = "spark.sql.streaming.stateStore.providerClass"
     before = spark.conf.get(provider)
@@ -289,7 +309,7 @@ def stream_history(spark, folder):
     )
     try:
         run = (
-            stream(arriving)
+            stream(arriving, **options)
             .writeStream.format("parquet")
             .option("path", f"{target}/rows")
             .option("checkpointLocation", f"{target}/progress")

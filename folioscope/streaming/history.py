@@ -21,6 +21,12 @@ OUTPUT = T.StructType(
     ]
 )
 _SEGMENT = T.StructType([T.StructField("segment", T.StringType())])
+_NUMBER = T.StructType([T.StructField("turn", T.LongType())])
+_TURN = T.StructType(
+    [T.StructField(name, T.StringType()) for name in ("role", "text", "segment")]
+)
+# Turns that are handed on at once; each carries the whole history before it.
+PIECE_TURNS = 64
 
 
 class _History(StatefulProcessor):
@@ -31,33 +37,40 @@ class _History(StatefulProcessor):
     ``pending`` until its answer arrives and is forgotten when another turn comes first.
     """
 
-    def __init__(self, opening: str, keep_failed_question: bool):
-        self.opening, self.keep = opening, keep_failed_question
+    def __init__(self, opening: str, keep_failed_question: bool, ttl_ms: int | None = None):
+        self.opening, self.keep, self.ttl = opening, keep_failed_question, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.segments = handle.getListState("segments", _SEGMENT)
-        self.pending = handle.getValueState("pending", _SEGMENT)
+        self.segments = handle.getListState("segments", _SEGMENT, self.ttl)
+        self.pending = handle.getValueState("pending", _SEGMENT, self.ttl)
 
     def handleInputRows(
         self, key: tuple, rows: Iterator[pd.DataFrame], timerValues
     ) -> Iterator[pd.DataFrame]:
         turns = pd.concat(list(rows)).sort_values("turn")
+        columns = (turns[name] for name in ("turn", "role", "text", "segment"))
+        yield from self.told(key, zip(*columns, strict=True))
+
+    def told(self, key: tuple, turns: Iterator[tuple]) -> Iterator[pd.DataFrame]:
+        """The questions among (turn, role, text, segment) in the order given, in pieces."""
         told = self.opening + "".join(s[0] for s in self.segments.get())
         held = self.pending.get()
         waiting = held[0] if held else ""
         asked, new = [], []
-        for turn in turns.itertuples():
-            if turn.role == "user":
-                asked.append((key[0], turn.turn, turn.text, told))
-            left = turn.segment
+        for turn, role, text, left in turns:
+            if role == "user":
+                asked.append((key[0], turn, text, told))
             if not self.keep:
-                left = waiting + left if turn.role == "assistant" else left
+                left = waiting + left if role == "assistant" else left
                 waiting = ""
-                if turn.role == "user":
+                if role == "user":
                     left, waiting = "", left
             if left:
                 told += left
                 new.append((left,))
+            if len(asked) == PIECE_TURNS:
+                yield pd.DataFrame(asked, columns=OUTPUT.names)
+                asked = []
         if new:
             self.segments.appendList(new)
         self.pending.update((waiting,))
@@ -67,16 +80,101 @@ class _History(StatefulProcessor):
         pass
 
 
-def stream_history(turns: DataFrame, layout: C.Layout = C.RETRIEVAL) -> DataFrame:
+class _InOrder(_History):
+    """Holds turns back until those before them are there.
+
+    Turns that come early wait in a map by their number.  A turn that comes in its place, and
+    what has waited for it, is told at once.  With a time to wait, a conversation in which
+    turns are still held back then tells them without those that are missing; a missing turn
+    that comes after that is told when it comes.
+    """
+
+    def __init__(self, opening, keep_failed_question, first_turn, wait_ms, ttl_ms):
+        super().__init__(opening, keep_failed_question, ttl_ms)
+        self.first, self.wait = first_turn, wait_ms
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        super().init(handle)
+        self.handle = handle
+        self.early = handle.getMapState("early", _NUMBER, _TURN, self.ttl)
+        self.next = handle.getValueState("next", _NUMBER, self.ttl)
+
+    def handleInputRows(
+        self, key: tuple, rows: Iterator[pd.DataFrame], timerValues
+    ) -> Iterator[pd.DataFrame]:
+        held = self.next.get()
+        self.due = held[0] if held else self.first
+        yield from self.told(key, self._due(rows))
+        self.next.update((self.due,))
+        if self.wait is None:
+            return
+        for timer in self.handle.listTimers():
+            self.handle.deleteTimer(timer)
+        if next(iter(self.early.keys()), None) is not None:
+            now = timerValues.getCurrentProcessingTimeInMs()
+            self.handle.registerTimer(now + self.wait)
+
+    def _due(self, rows: Iterator[pd.DataFrame]) -> Iterator[tuple]:
+        """Turns as they fall due; the others go to the map."""
+        for frame in rows:
+            for turn in frame.sort_values("turn").itertuples():
+                own = (turn.role, turn.text, turn.segment)
+                if turn.turn > self.due:
+                    self.early.updateValue((turn.turn,), own)
+                    continue
+                yield turn.turn, *own
+                if turn.turn == self.due:
+                    self.due += 1
+                    yield from self._waiting()
+
+    def _waiting(self) -> Iterator[tuple]:
+        while self.early.containsKey((self.due,)):
+            own = self.early.getValue((self.due,))
+            self.early.removeKey((self.due,))
+            yield self.due, *own
+            self.due += 1
+
+    def handleExpiredTimer(self, key: tuple, timerValues, expiredTimerInfo):
+        yield from self.told(key, self._overdue())
+        self.next.update((self.due,))
+
+    def _overdue(self) -> Iterator[tuple]:
+        for number in sorted(k[0] for k in self.early.keys()):
+            self.due = number
+            yield from self._waiting()
+
+
+def stream_history(
+    turns: DataFrame,
+    layout: C.Layout = C.RETRIEVAL,
+    in_order: bool = False,
+    first_turn: int = 0,
+    wait_seconds: float | None = None,
+    forget_seconds: float | None = None,
+) -> DataFrame:
     """User turns of a stream of turns, each with the history before it.
 
-    Turns of one micro-batch are taken in turn order, batches in arrival order.  The state
-    store must be the RocksDB one.
+    Turns of one micro-batch are taken in turn order, batches in arrival order.  With
+    ``in_order`` every turn waits for all turns between it and ``first_turn``, whatever
+    batches they come in, but no longer than ``wait_seconds`` after the last arrival in its
+    conversation, if that is given.  What is known of a conversation is forgotten
+    ``forget_seconds`` after it was written.  Bound micro-batches with the source's rate
+    options.  The state store must be the RocksDB one.
     """
     immediate = replace(layout, keep_failed_question=True)
     staged = C.turn_segments(turns, immediate).select(
         "conv_id", "turn", "role", C.X.default_empty("text").alias("text"), "segment"
     )
+
+    def ms(seconds: float | None) -> int | None:
+        return None if seconds is None else int(seconds * 1000)
+
+    plain = (layout.opening, layout.keep_failed_question)
+    if in_order:
+        keeper = _InOrder(*plain, first_turn, ms(wait_seconds), ms(forget_seconds))
+    else:
+        keeper = _History(*plain, ms(forget_seconds))
+    timed = forget_seconds is not None or (in_order and wait_seconds is not None)
     return staged.groupBy("conv_id").transformWithStateInPandas(
-        _History(layout.opening, layout.keep_failed_question), OUTPUT, "Append", "None"
+        keeper, OUTPUT, "Append", "ProcessingTime" if timed else "None"
     )

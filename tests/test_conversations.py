@@ -1,6 +1,8 @@
 """History, prompts, inference and the stream against a loop over turns."""
 
+import random
 import sys
+import time
 
 import pytest
 from pyspark import cloudpickle
@@ -217,6 +219,64 @@ def test_stream_equals_batch(spark, tmp_path, name):
     assert found == loop(rows, LAYOUTS[name])
 
 
+def run_stream(spark, folder, turns, trigger, **options):
+    """Write each list of turns as a file, in that order of arrival, and run over them."""
+    source, target = f"{folder}/in", f"{folder}/out"
+    for part in turns:
+        spark.createDataFrame(part, TURNS).coalesce(1).write.mode("append").parquet(source)
+    stream = spark.readStream.schema(TURNS).option("maxFilesPerTrigger", 1).parquet(source)
+    run = stream_history(stream, **options).writeStream.format("parquet")
+    run = run.option("checkpointLocation", f"{folder}/progress").trigger(**trigger).start(target)
+    return run, target
+
+
+@pytest.mark.parametrize("name", LAYOUTS)
+def test_stream_puts_turns_in_order(spark, tmp_path, name):
+    rows = chats()
+    shuffled = random.Random(3).sample(rows, len(rows))
+    first = min(r[1] for r in rows)
+    wanted = [r for r in rows if set(range(first, r[1])) <= {q[1] for q in rows if q[0] == r[0]}]
+    run, target = run_stream(
+        spark, tmp_path, [shuffled[k::4] for k in range(4)], {"availableNow": True},
+        layout=LAYOUTS[name], in_order=True, first_turn=first,
+    )
+    run.awaitTermination()
+    found = {(r.conv_id, r.turn): r.history for r in spark.read.parquet(target).collect()}
+    assert found == loop(wanted, LAYOUTS[name])
+
+
+def test_stream_of_one_long_conversation(spark, tmp_path):
+    rows = [(1, i, "assistant" if i % 2 else "user", f"t{i}") for i in range(1500)]
+    parts = [rows[k::3] for k in (2, 0, 1)]
+    run, target = run_stream(
+        spark, tmp_path, parts, {"availableNow": True}, layout=C.CHAT, in_order=True
+    )
+    run.awaitTermination()
+    found = {(r.conv_id, r.turn): r.history for r in spark.read.parquet(target).collect()}
+    assert found == loop(rows, C.CHAT)
+
+
+def test_stream_does_not_wait_for_ever(spark, tmp_path):
+    """Turn 1 is missing; the turns behind it are told when the time to wait is over."""
+    rows = [(1, 0, "user", "a"), (1, 2, "user", "b"), (1, 3, "assistant", "c"), (1, 4, "user", "d")]
+    run, target = run_stream(
+        spark, tmp_path, [rows], {"processingTime": "1 second"},
+        layout=C.CHAT, in_order=True, wait_seconds=2,
+    )
+    found = {}
+    try:
+        for _ in range(60):
+            time.sleep(1)
+            if run.lastProgress is not None:
+                found = {r.turn: r.history for r in spark.read.schema(
+                    "conv_id long, turn long, question string, history string").parquet(target).collect()}
+            if len(found) == 3:
+                break
+    finally:
+        run.stop()
+    assert found == {turn: told for (_, turn), told in loop(rows, C.CHAT).items()}
+
+
 def test_questions_without_text(spark):
     rows = spark.createDataFrame([(1, 0, "user", None)], TURNS)
     told = C.history(rows, C.CHAT)
