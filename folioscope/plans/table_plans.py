@@ -118,6 +118,28 @@ def upsert_by_id(spark, folder):
     return tables.upsert_by_id(old, new, ["doc_id"])
 
 
+@query(
+    "upsert_buckets",
+    """SELECT d.doc_id, coalesce('quality ' || l.quality, d.text) AS content
+       FROM documents d LEFT JOIN labels l ON l.doc_id = d.doc_id AND l.toxic = 1
+       UNION ALL SELECT -1 - item_id, text FROM benchmark""",
+)
+def upsert_buckets(spark, folder):
+    """Documents labelled as toxic get a new version and benchmark items come in, where the
+    table is stored; buckets without either are not touched."""
+    target = workspace.new_folder(spark, "buckets")
+    old = documents(spark, folder).select("doc_id", "content")
+    tables.create_buckets(old, target, ["doc_id"], 64)
+    labels = table(spark, folder, "labels", "doc_id", "quality", "toxic").where("toxic = 1")
+    new = labels.join(old.select("doc_id"), "doc_id", "left_semi").select(
+        "doc_id", F.concat(F.lit("quality "), "quality").alias("content")
+    )
+    items = table(spark, folder, "benchmark", "item_id", "text")
+    added = items.select((-1 - F.col("item_id")).alias("doc_id"), F.col("text").alias("content"))
+    tables.upsert_buckets(new.unionByName(added), target, ["doc_id"], 64)
+    return spark.read.parquet(target).select("doc_id", "content")
+
+
 _NAMES = ("documents", "pages", "embeddings", "conversations", "benchmark", "labels")
 
 

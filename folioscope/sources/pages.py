@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from folioscope import workspace
 from folioscope.functions import urls
 from folioscope.sources.tables import table_exists
 from folioscope.staging import let
@@ -49,7 +50,11 @@ def pages_sink(
     if table_exists(spark, path):
         held = spark.read.parquet(path).select("local_path")
         saved = saved.join(held, "local_path", "left_anti").select(*saved.columns)
-    writer = first_wins(saved, order).write.mode("append")
+    # The winners are found without the bodies, and only their bodies are shuffled.
+    key = ["local_path", *order]
+    first = workspace.materialize(first_wins(saved.select(*key), order), "winners")
+    winners = saved.join(first, key, "left_semi").select(*saved.columns)
+    writer = winners.dropDuplicates(["local_path"]).write.mode("append")
     if by_host:
         writer = writer.partitionBy("host")
     writer.parquet(path)

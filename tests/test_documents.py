@@ -1,6 +1,7 @@
 """Tables, files, ingest and chunks."""
 
 import sys
+from pathlib import Path
 from types import SimpleNamespace
 
 import pytest
@@ -49,6 +50,39 @@ def test_upsert(spark):
     assert rows == {(1, "a", None), (2, "B", 0.5), (3, "D", 0.7)}
 
 
+def test_upsert_without_order_needs_unique_ids(spark):
+    old = spark.createDataFrame([(1, "a")], "id long, t string")
+    new = spark.createDataFrame([(2, "B"), (2, "C")], old.schema)
+    with pytest.raises(ValueError, match="2 new rows with id 2"):
+        tables.upsert_by_id(old, new, ["id"])
+
+
+def test_upsert_reads_and_writes_touched_buckets(spark, tmp_path):
+    path = str(tmp_path / "table")
+    rows = [(i, f"t{i}", i % 7) for i in range(200)]
+    old = spark.createDataFrame(rows, "id long, t string, v int")
+    tables.create_buckets(old, path, ["id"], 16)
+
+    def files():
+        return {str(f.relative_to(path)): f.stat().st_mtime_ns for f in Path(path).rglob("*.parquet")}
+
+    before = files()
+    new = spark.createDataFrame([(5, "x", 0.5), (1000, "y", 0.1)], "id long, t string, w double")
+    touched = tables.upsert_buckets(new, path, ["id"], 16)
+    assert 1 <= len(touched) <= 2
+    after = files()
+    places = {f"{tables.BUCKET}={n}" for n in touched}
+    kept = {f for f in before if f.split("/")[0] not in places}
+    assert kept and all(after[f] == before[f] for f in kept)
+    assert not (set(before) - kept) & set(after)
+    found = {r.id: r.t for r in spark.read.parquet(path).collect()}
+    assert found == {i: t for i, t, _ in rows} | {5: "x", 1000: "y"}
+    assert tables.upsert_buckets(new.where("false"), path, ["id"], 16) == []
+    with pytest.raises(ValueError):
+        tables.upsert_buckets(new.unionByName(new), path, ["id"], 16)
+    assert files() == after
+
+
 def test_a_folder_without_files_is_no_table(spark, tmp_path):
     assert not tables.table_exists(spark, str(tmp_path))
 
