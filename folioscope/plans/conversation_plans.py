@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from folioscope import workspace
 from folioscope.operators import conversation as C
 from folioscope.operators import infer as N
+from folioscope.operators import summaries as S
 from folioscope.plans.base import query, sql_blank_lines, sql_collapse, table
 from folioscope.plans.document_plans import DIMS, chunk_index
 from folioscope.plans.vector_plans import SQL_HITS
@@ -185,6 +186,40 @@ def summarize_documents(spark, folder):
     return N.summarize_documents(docs, Digest()).select("doc_id", "summary")
 
 
+def sql_summary_tree(budget: int, levels: int) -> str:
+    """The levels written out; enough of them for the longest document."""
+    steps, ends = ["t0 AS (SELECT doc_id, coalesce(text, '') AS text FROM documents)"], []
+    for n in range(levels):
+        steps.append(f"""
+          p{n} AS (
+            SELECT doc_id, part, {sql_blank_lines(sql_digest("prompt", "0.0"))} AS answer,
+                   count(*) OVER (PARTITION BY doc_id) AS n
+            FROM (SELECT doc_id, part, {SQL_SUMMARY} AS prompt FROM (
+              SELECT doc_id, part, substr(text, part * {budget} + 1, {budget}) AS text
+              FROM (SELECT doc_id, text, unnest(range(0, greatest(
+                      CAST(ceil(length(text) / {budget}.0) AS BIGINT), 1))) AS part FROM t{n})))),
+          t{n + 1} AS (
+            SELECT doc_id, string_agg(answer, {NN} ORDER BY part) AS text FROM p{n}
+            WHERE n > 1 GROUP BY doc_id)""")
+        ends.append(f"SELECT doc_id, answer AS summary, {n + 1} AS levels FROM p{n} WHERE n = 1")
+    asked = " UNION ALL ".join(f"SELECT doc_id FROM p{n}" for n in range(levels))
+    return f"""WITH {", ".join(steps)},
+        ends AS ({" UNION ALL ".join(ends)}),
+        asked AS (SELECT doc_id, count(*) AS n_prompts FROM ({asked}) GROUP BY doc_id)
+        SELECT doc_id, summary, CAST(levels AS BIGINT) AS levels, n_prompts, 'ok' AS status
+        FROM ends JOIN asked USING (doc_id)"""
+
+
+@query("summary_tree", sql_summary_tree(600, 5))
+def summary_tree(spark, folder):
+    """Summaries with 600 characters of text in a prompt."""
+    docs = table(spark, folder, "documents", "doc_id", "text")
+    told, _ = S.summary_tree(docs, Digest(), 600, content="text", at_blanks=False)
+    return told.select(
+        "doc_id", "summary", F.col("levels").cast("bigint").alias("levels"), "n_prompts", "status"
+    )
+
+
 @query(
     "context_block",
     f"""SELECT conv_id, string_agg('Document ' || n || ':' || {NL} || text || {NN}, ''
