@@ -52,7 +52,7 @@ def test_against_a_loop(spark, budget):
     found = {r.doc_id: r for r in told.collect()}
     for doc, text in enumerate(texts):
         if found[doc].status == "no_progress":
-            assert doc == 8 and found[doc].summary is None  # a word as long as its summaries
+            assert doc in (8, 10) and found[doc].summary is None  # words longer than pieces
             continue
         assert (found[doc].summary, found[doc].levels) == plain(text, budget)
     rows = nodes.collect()
