@@ -29,12 +29,10 @@ def row_sets(
     own = words.owners(rows)
     keys, at = words.windows(hashes, rows, size)
     owner = own[at]
-    for short in range(1, size):
-        if (counts == short).any():
-            few, start = words.windows(hashes, rows, short)
-            whole = counts[own[start]] == short
-            keys = np.concatenate([keys, few[whole]])
-            owner = np.concatenate([owner, own[start[whole]]])
+    few = np.flatnonzero((counts > 0) & (counts < size))
+    if len(few):
+        keys = np.concatenate([keys, words.whole(hashes, rows[few], counts[few])])
+        owner = np.concatenate([owner, few])
     order = np.lexsort((keys, owner))
     keys, owner = keys[order], owner[order]
     fresh = np.ones(len(keys), bool)

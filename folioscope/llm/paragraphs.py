@@ -203,11 +203,10 @@ def paragraph_classes(
     gives an empty result.
     """
     marks = mark(docs, key, text, shingle, percent, min_words)
-    holders = setjoin.set_holders(marks)
     texts = setjoin.Texts(
-        docs, key, text, holders, lambda column: paragraph_sets(column, shingle, min_words)
+        docs, key, text, lambda column: paragraph_sets(column, shingle, min_words)
     )
-    labels = setjoin.link_sets(marks.select("set", "n", "prefix"), texts, percent)
+    labels, holders = setjoin.link_sets(marks, texts, percent)
     known = workspace.materialize(
         holders.join(labels.withColumnRenamed("node", "set"), "set", "left")
         .where("size > 1 OR label IS NOT NULL")

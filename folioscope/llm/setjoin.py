@@ -239,21 +239,23 @@ def may_be_similar(apart: np.ndarray, both: np.ndarray, percent: int) -> np.ndar
     return 100 * most >= percent * (both - most)
 
 
-def set_holders(marks: DataFrame) -> DataFrame:
-    """One row per set: its smallest ``key``, or the smallest ``other_key`` where no row with a
-    key has it, how many rows have it (``size``), and ``n``.
+def set_holders(marks: DataFrame, asked: DataFrame) -> DataFrame:
+    """The sets of several rows and those of ``asked``: the smallest ``key``, or the smallest
+    ``other_key`` where no row with a key has the set, how many rows have it (``size``), ``n``.
 
     Rows of one set shrink to one per task before they are shuffled.
     """
-    least = marks.groupBy("set").agg(
+    least = marks.where("n > 0").groupBy("set").agg(
         F.min("key").alias("key"),
         F.min("other_key").alias("other"),
         F.count(F.lit(1)).alias("size"),
         F.max("n").alias("n"),
     )
     other = F.when(F.col("key").isNull(), F.col("other"))
+    wanted = asked.select("set").distinct().withColumn("asked", F.lit(True))
+    kept = least.join(wanted, "set", "left").where("size > 1 OR asked")
     return workspace.materialize(
-        least.select("set", "key", other.alias("other_key"), "size", "n"), "set-holders"
+        kept.select("set", "key", other.alias("other_key"), "size", "n"), "set-holders"
     )
 
 
@@ -264,15 +266,14 @@ class Texts:
     the row of each set.
     """
 
-    def __init__(self, docs: DataFrame, key: str, text: str, holders: DataFrame, cut) -> None:
+    def __init__(self, docs: DataFrame, key: str, text: str, cut) -> None:
         self.chosen = keyed(docs, key, text)
-        self.holders = holders.where("n > 0")
         self.cut = cut
 
-    def fetch(self, wanted: DataFrame, column: str, pack) -> DataFrame:
+    def fetch(self, wanted: DataFrame, holders: DataFrame, column: str, pack) -> DataFrame:
         """``set`` and ``column`` of the wanted sets; ``pack`` makes binary values of sets."""
         holder = (
-            self.holders.join(wanted.select("set").distinct(), "set", "left_semi")
+            holders.join(wanted.select("set").distinct(), "set", "left_semi")
             .groupBy(F.col("key").alias("_key"), F.col("other_key").alias("_other"))
             .agg(F.collect_list("set").alias("sets"))
         )
@@ -291,10 +292,12 @@ class Texts:
                     own = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
                     asked = _pair_key(lists.flatten().to_numpy(zero_copy_only=False), own)
                     right = np.isin(_pair_key(ids, owner), asked)
-                    rows = pa.RecordBatch.from_arrays(
-                        [pa.array(ids), pack(keys, places)], names=["set", column]
+                    sizes = np.diff(places)
+                    inside = np.concatenate([[0], np.cumsum(sizes[right])])
+                    packed = pack(keys[np.repeat(right, sizes)], inside)
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(ids[right]), packed], names=["set", column]
                     )
-                    yield rows.filter(pa.array(right))
 
         chosen = self.chosen
         same = chosen["key"].eqNullSafe(holder["_key"])
@@ -467,10 +470,12 @@ def compare_cells(cells: DataFrame, bits: DataFrame, percent: int) -> DataFrame:
     return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
 
 
-def link_sets(marks: DataFrame, texts: Texts, percent: int) -> DataFrame:
-    """``node`` and ``label`` of the sets that are similar to another one.
+def link_sets(marks: DataFrame, texts: Texts, percent: int) -> tuple[DataFrame, DataFrame]:
+    """``node`` and ``label`` of the sets that are similar to another one, and the holders of
+    these and of all sets of several rows.
 
-    ``marks`` has ``set``, ``n`` and ``prefix``, the keys under which sets meet.
+    ``marks`` has ``key``, ``other_key``, ``set``, ``n`` and ``prefix``, the keys under which
+    sets meet.
     """
     shared = share(marks, percent)
     pairs = shared.where("other is not null").select(
@@ -479,15 +484,16 @@ def link_sets(marks: DataFrame, texts: Texts, percent: int) -> DataFrame:
     pairs = workspace.materialize(pairs.distinct(), "pairs")
     tiles = shared.where("other is null").select("key", "n", "set")
     met = pairs.select(F.col("a").alias("set")).union(pairs.select("b"))
-    bits = texts.fetch(met.union(tiles.select("set")), "bits", _bitmaps)
+    holders = set_holders(marks, met.union(tiles.select("set")))
+    bits = texts.fetch(met.union(tiles.select("set")), holders, "bits", _bitmaps)
 
     def verify(some: DataFrame) -> DataFrame:
         some = workspace.materialize(some, "pairs")
         sets = some.select(F.col("a").alias("set")).union(some.select("b"))
-        members = texts.fetch(sets, "members", links.blobs)
+        members = texts.fetch(sets, holders, "members", links.blobs)
         return workspace.materialize(links.verified(some, members, percent), "links")
 
-    sizes = texts.holders.select("set", "n").join(bits, "set")
+    sizes = holders.select("set", "n").join(bits, "set")
     edges = verify(bounded(pairs, sizes, percent))
     labels = links.components(edges)
 
@@ -505,7 +511,7 @@ def link_sets(marks: DataFrame, texts: Texts, percent: int) -> DataFrame:
     rest = verify(compare_cells(_cells(classed()), bits, percent))
     if rest.limit(1).count():
         labels = links.components(edges.union(rest))
-    return labels
+    return labels, holders
 
 
 def jaccard_classes(
@@ -538,18 +544,20 @@ def _classes(docs: DataFrame, key: str, text: str, shingle: int, percent: int) -
     """``key``, ``other_key``, ``n`` and, of rows with a set, ``lowest``: the smallest key of
     the class, or the smallest hash of its texts if all rows of the class lack a key."""
     marks = mark(docs, key, text, shingle, percent)
-    every = set_holders(marks)
-    texts = Texts(docs, key, text, every, lambda column: text_sets(column, shingle))
-    labels = link_sets(marks, texts, percent)
+    texts = Texts(docs, key, text, lambda column: text_sets(column, shingle))
+    labels, every = link_sets(marks, texts, percent)
     place = F.struct(F.col("key").isNull().alias("none"), "key", "other_key")
-    holders = every.where("n > 0").select("set", place.alias("own"))
+    holders = every.select("set", place.alias("own"))
     classes = labels.join(holders, labels["node"] == holders["set"]).select("node", "label", "own")
     lowest = classes.groupBy("label").agg(F.min("own").alias("lowest"))
     reach = classes.join(lowest, "label").select(F.col("node").alias("set"), "lowest")
     named_sets = holders.join(reach, "set", "left").select(
         "set", F.coalesce("lowest", "own").alias("lowest")
     )
-    return marks.join(named_sets, "set", "left").select("key", "other_key", "n", "lowest")
+    # A set of one row that is like no other has no holder: the row is its own class.
+    return marks.join(named_sets, "set", "left").select(
+        "key", "other_key", "n", F.coalesce("lowest", place).alias("lowest")
+    )
 
 
 def keep_one(

@@ -153,6 +153,15 @@ def windows(hashes: np.ndarray, rows: np.ndarray, size: int) -> tuple[np.ndarray
     return mix(total[at] + np.uint64(size)), at
 
 
+def whole(hashes: np.ndarray, starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Hashes of short sequences of runs, equal to those of windows of their lengths."""
+    total = np.zeros(len(starts), np.uint64)
+    for step in range(int(counts.max(initial=0))):
+        longer = counts > step
+        total[longer] = total[longer] * _WINDOW + hashes[starts[longer] + step]
+    return mix(total + counts.astype(np.uint64))
+
+
 def repeated(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Which keys occur more than once, and which of them were seen at a smaller index."""
     many = np.zeros(len(keys), bool)
