@@ -178,7 +178,11 @@ def as_mail(
     text: str = "text",
 ) -> DataFrame:
     """The messages as mail: each quotes the turn before it, and that turn's first line of
-    the one before under two marks.  A turn that stands twice is quoted by its smaller text."""
+    the one before under two marks.  A turn that stands twice is quoted by its smaller text.
+
+    A null text stays null, and a turn behind it quotes nothing.  Rows without a conversation
+    or a turn quote nothing.  Other columns are left out; an empty table gives an empty one.
+    """
     rows = messages.select(conv, turn, role, text)
     one = rows.groupBy(conv, turn).agg(F.min(text).alias("said"), F.min(role).alias("by"))
     before = one.select(conv, (F.col(turn) + 1).alias(turn), F.col("said"), "by")

@@ -402,7 +402,9 @@ def find_repeats(
     """The texts by row id, and the places of strings of ``length`` bytes or more that stand
     elsewhere too: ``row``, ``first``, ``last``.
 
-    The row id is a hash of key and text; rows equal in both are copies of each other.
+    The row id is a hash of key and text; rows equal in both are copies of each other, and so
+    repeat all of their strings.  A null key is a key like any other.  Null texts are empty;
+    texts shorter than ``length`` have no places.  An empty table gives empty tables.
     """
     rows = docs.select(
         docs[key].alias("key"),

@@ -124,7 +124,11 @@ def repetition_report(
 
 
 def keep_varied(docs: DataFrame, text: str = "text", rules: Rules = Rules()) -> DataFrame:
-    """The rows that pass the rules, with all their columns unchanged."""
+    """The rows that pass the rules, with all their columns unchanged.
+
+    Null and empty texts, and others of too few words, do not pass.  Texts are measured whole,
+    however long; repeated rows stay or go together.  An empty table gives an empty result.
+    """
     names = docs.columns
 
     def run(batches):

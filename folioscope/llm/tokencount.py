@@ -23,8 +23,9 @@ BATCH_BYTES = 1 << 18
 PART_BYTES = 1 << 16
 TOKEN_LIMIT = 2048
 
-# A blank between two ASCII letters: neither normalisation, lower-casing nor a special
-# string of the vocabulary reaches across it.
+# A blank behind an ASCII letter, comma or full stop and in front of an ASCII letter: neither
+# normalisation, lower-casing nor a special string of the vocabulary reaches across it.  Texts
+# without such places, as in other scripts, are one call whatever their length.
 _SAFE = re.compile(rb"(?<=[A-Za-z,.]) (?=[A-Za-z])")
 
 
