@@ -6,6 +6,8 @@ expression runs once per row.
 
 from __future__ import annotations
 
+from urllib.parse import uses_relative
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,11 +17,8 @@ from folioscope.staging import let
 _SCHEME = r"[A-Za-z][A-Za-z0-9+.\-]*"
 _CONTROL_OR_BLANK = "".join(chr(i) for i in range(0x21))
 
-# Schemes whose links can be relative.
-RELATIVE_SCHEMES = (
-    "", "file", "ftp", "gopher", "http", "https", "imap", "mms", "nntp", "prospero", "rtsp",
-    "rtsps", "rtspu", "sftp", "shttp", "svn", "svn+ssh", "wais", "ws", "wss",
-)
+# Schemes whose links can be relative.
+RELATIVE_SCHEMES = tuple(uses_relative)
 
 HTML_EXTENSIONS = (".html", ".htm", "")
 PDF_EXTENSION = ".pdf"
