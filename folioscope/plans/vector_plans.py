@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from folioscope.functions import vectors as V
+from folioscope.operators import catalogue as G
 from folioscope.operators import embed as E
 from folioscope.operators import infer as N
 from folioscope.operators import pivots as P
@@ -131,6 +132,23 @@ def hit_projection(spark, folder):
     )
 
 
+@query(
+    "unanswered",
+    f"""WITH {SQL_HITS},
+        best AS (SELECT conv_id, turn, max(score) AS score FROM hits GROUP BY ALL)
+        SELECT conv_id, turn, text, round(score, 6) AS best_score,
+               CASE WHEN score IS NULL THEN 'no_documents' ELSE 'low_score' END AS reason
+        FROM q LEFT JOIN best USING (conv_id, turn) WHERE score IS NULL OR score < 1.5""",
+)
+def unanswered(spark, folder):
+    """Questions of the conversations whose best chunk is not near."""
+    turns = table(spark, folder, "conversations")
+    hits = N.question_hits(turns, chunk_index(spark, folder), HashingEncoder(DIMS))
+    asked = turns.where(F.col("role") == "user").select("conv_id", "turn", "text")
+    log = G.unanswered(asked, hits, ["conv_id", "turn"])
+    return log.withColumn("best_score", F.round("best_score", 6))
+
+
 @query(
     "no_hits",
     """SELECT d.doc_id AS qid,
