@@ -23,14 +23,13 @@ def embed_table(df: DataFrame, encoder: plugins.Encoder, text: str = "content")
     An empty text is embedded, a null one is not.  The encoder is started once per
     worker process and sees ``encoder.batch_size`` texts at a time.
     """
-    position = df.columns.index(text)
     shipped = plugins.Shipped(encoder)
 
     def prepare():
         model = plugins.start(shipped)
 
         def compute(batch):
-            texts = batch.column(position).to_pylist()
+            texts = batch.column(0).to_pylist()
             rows = [i for i, t in enumerate(texts) if t is not None]
             vectors = np.zeros((len(texts), model.dims), dtype=np.float32)
             for at in range(0, len(rows), model.batch_size):
@@ -51,7 +50,7 @@ def embed_table(df: DataFrame, encoder: plugins.Encoder, text: str = "content")
 
         return compute
 
-    return add_columns(df, schemas.EMBEDDING_FIELDS, prepare)
+    return add_columns(df, [text], schemas.EMBEDDING_FIELDS, prepare)
 
 
 def embed_questions(

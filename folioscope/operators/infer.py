@@ -35,7 +35,6 @@ def generate_batch(
     A prompt that fails marks its own row: ``error`` when the generator raises,
     ``invalid`` when it returns no text, otherwise ``ok``.  A null prompt is ``not_asked``.
     """
-    position = df.columns.index(prompt)
     shipped = plugins.Shipped(generator)
 
     def prepare():
@@ -53,12 +52,12 @@ def generate_batch(
             return answer, "ok", None
 
         def compute(batch):
-            rows = [one(text) for text in batch.column(position).to_pylist()]
+            rows = [one(text) for text in batch.column(0).to_pylist()]
             return [pa.array([r[i] for r in rows], pa.string()) for i in range(3)]
 
         return compute
 
-    return add_columns(df, _FIELDS, prepare)
+    return add_columns(df, [prompt], _FIELDS, prepare)
 
 
 def generation_status(generated: DataFrame) -> DataFrame:

@@ -103,7 +103,7 @@ def extract_with(files: DataFrame, extractor: plugins.Extractor) -> DataFrame:
         return compute
 
     raw = files.select("path", F.col("content").alias("_bytes"))
-    return _with_status(add_columns(raw, fields, prepare).drop("_bytes"))
+    return _with_status(add_columns(raw, ["path", "_bytes"], fields, prepare).drop("_bytes"))
 
 
 def _with_status(extracted: DataFrame) -> DataFrame:

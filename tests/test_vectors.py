@@ -271,3 +271,12 @@ def test_encoder_starts_once_per_process(spark, tmp_path):
     embedded = E.embed_table(rows, StartLog(str(tmp_path)))
     assert embedded.agg({"norm": "sum"}).first()[0] > 0
     assert 1 <= len(list(tmp_path.iterdir())) <= 8
+
+
+def test_only_the_text_goes_to_python(spark):
+    rows = spark.range(20).selectExpr("id", "concat('t', id) AS content", "repeat('x', 99) AS big")
+    told = E.embed_table(rows, HashingEncoder(DIMS)).where("norm > 0")
+    plan = told._jdf.queryExecution().optimizedPlan().toString()
+    calls = [line for line in plan.splitlines() if "EvalPython" in line]
+    assert len(calls) == 1 and "big" not in calls[0]
+    assert told.count() == 20 and told.columns == ["id", "content", "big", "embedding", "norm"]
