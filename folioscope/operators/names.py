@@ -22,6 +22,10 @@ _CAPITAL = r"\p{Lu}[\p{L}\p{N}]*"
 RANGE_DOCS = 1024
 # Distinct words of names that are broadcast to the scan of the index; more are joined.
 WORDS_BROADCAST = 1_000_000
+# Words of texts that are listed at once, so that memory does not depend on their lengths.
+LISTED_WORDS = 1 << 20
+# Names that a task compares with the postings of a range.
+NAMES_HELD = 50_000
 
 
 def words(text: Column) -> Column:
@@ -40,11 +44,19 @@ def name_pattern(min_words: int = 2) -> str:
     return rf"(?:^|[^\p{{L}}\p{{N}}])({_CAPITAL}(?:[ -]{_CAPITAL}){{{min_words - 1},}})"
 
 
+def _searched(min_words: int) -> str:
+    """The same pattern for regular expressions that can look back: the letter in front of a
+    name may be the last of the name before, as in a list with commas."""
+    if min_words < 2:
+        return name_pattern(min_words).replace(r"(?:[\p{Ll}\p{N}],? )", r"(?<=[\p{Ll}\p{N}]),? ")
+    return name_pattern(min_words)
+
+
 def proper_names(
     texts: DataFrame, text: str = "text", min_words: int = 2, out: str = "name"
 ) -> DataFrame:
     """One row per distinct name of each row, in lower case, words joined by blanks."""
-    found = F.regexp_extract_all(text, F.lit(name_pattern(min_words)), 1)
+    found = F.regexp_extract_all(text, F.lit(_searched(min_words)), 1)
     named = F.transform(found, lambda name: F.array_join(words(name), " "))
     return texts.withColumn(out, F.explode(F.array_distinct(named)))
 
@@ -57,14 +69,57 @@ def _gaps(ascending: Column) -> Column:
     return F.zip_with(ascending, before, lambda a, b: a - b)
 
 
+def _running(gaps: np.ndarray, ends: np.ndarray) -> np.ndarray:
+    """Running sums that begin anew behind each of ``ends``."""
+    sums = np.concatenate([[0], np.cumsum(gaps)])
+    starts = np.concatenate([[0], ends[:-1]])
+    return sums[1:] - np.repeat(sums[starts], ends - starts)
+
+
+def _lists(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
+    """Where the lists of a column end in its flat values."""
+    lengths = np.asarray(column.value_lengths(), dtype=np.int64)
+    return np.cumsum(lengths), column.flatten()
+
+
+def _listed(docs: pa.Array, ranges: pa.Array, texts: pa.Array) -> list[pa.Array]:
+    """``range``, ``word`` and ``list`` (documents with the gaps of places) of some texts."""
+    order = np.argsort(np.asarray(docs), kind="stable")
+    doc, span = np.asarray(docs)[order], np.asarray(ranges)[order]
+    ends, flat = _lists(texts.take(pa.array(order)))
+    lengths = np.diff(ends, prepend=0)
+    known = flat.dictionary_encode()
+    owner = np.repeat(np.arange(len(doc)), lengths)
+    place = np.arange(len(owner)) - np.repeat(ends - lengths, lengths)
+    # Ranges ascend with the ids; what is sorted are whole numbers, one per place.
+    nth = np.cumsum(np.diff(span, prepend=span[:1]) != 0)
+    key = nth[owner] * np.int64(len(known.dictionary)) + np.asarray(known.indices)
+    by = np.argsort(key, kind="stable")
+    key, owner, place = key[by], owner[by], place[by]
+    fresh = np.diff(key, prepend=-1) != 0
+    entries = np.flatnonzero(fresh | (np.diff(owner, prepend=-1) != 0))
+    gaps = np.diff(place, prepend=0)
+    gaps[entries] = place[entries]
+    first = np.flatnonzero(fresh)
+
+    def lists(starts: np.ndarray, values: pa.Array) -> pa.Array:
+        return pa.ListArray.from_arrays(pa.array(np.append(starts, len(values)), pa.int32()), values)
+
+    rows = pa.StructArray.from_arrays(
+        [pa.array(doc[owner[entries]]), lists(entries, pa.array(gaps))], ["doc", "places"]
+    )
+    word = known.dictionary.take(known.indices.take(pa.array(by[first])))
+    return [pa.array(span[owner[first]]), word, lists(np.searchsorted(entries, first), rows)]
+
+
 def positional_index(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", range_docs: int = RANGE_DOCS
 ) -> DataFrame:
     """``word``, ``range``, ``n_docs``, ``docs`` and ``places``: where each word stands.
 
     ``docs`` holds the gaps of ascending ids, ``places`` for each of them the gaps of the
-    ascending numbers of the words, from 0.  The texts are dealt out by range once; both
-    groupings below keep the range as a key and shuffle nothing more.  Ids are integers and
+    ascending numbers of the words, from 0.  Tasks list the words of some texts at a time;
+    only these lists are shuffled, to be joined by range and word.  Ids are integers and
     unique; rows without an id or a text are left out.
     """
     known = docs.select(
@@ -72,13 +127,23 @@ def positional_index(
         docs[doc_id].cast("bigint").alias("doc"),
         docs[text].alias("text"),
     ).where("doc IS NOT NULL AND text IS NOT NULL")
-    placed = known.repartition("range").select(
-        "range", "doc", F.posexplode(words(F.col("text"))).alias("place", "word")
-    )
-    places = F.array_sort(F.collect_list(F.col("place").cast("bigint")))
-    by_doc = placed.groupBy("range", "word", "doc").agg(_gaps(places).alias("places"))
-    listed = by_doc.groupBy("range", "word").agg(
-        F.array_sort(F.collect_list(F.struct("doc", "places"))).alias("list")
+    schema = "range bigint, word string, list array<struct<doc: bigint, places: array<bigint>>>"
+
+    def run(batches):
+        for batch in batches:
+            ends, _ = _lists(batch.column(2))
+            start = 0
+            while start < batch.num_rows:
+                held = LISTED_WORDS + (ends[start - 1] if start else 0)
+                stop = max(start + 1, int(np.searchsorted(ends, held, "right")))
+                part = batch.slice(start, stop - start)
+                columns = _listed(part.column(1), part.column(0), part.column(2))
+                yield pa.RecordBatch.from_arrays(columns, names=["range", "word", "list"])
+                start = stop
+
+    placed = known.select("range", "doc", words(F.col("text")).alias("words"))
+    listed = placed.mapInArrow(run, schema).groupBy("range", "word").agg(
+        F.array_sort(F.flatten(F.collect_list("list"))).alias("list")
     )
     return listed.select(
         "word",
@@ -97,72 +162,92 @@ def _occurrences(docs: np.ndarray, counts: np.ndarray, gaps: np.ndarray) -> tupl
     return np.repeat(np.cumsum(docs), counts), running - np.repeat(base, counts)
 
 
-def phrase_places(blocks: list[dict]) -> tuple[np.ndarray, np.ndarray]:
-    """Ids and first places of a phrase, from the postings of its words in one range.
+def _codes(doc: np.ndarray, place: np.ndarray, first: int, width: int) -> np.ndarray:
+    """One ascending number per occurrence; ids are those of one range, close to each other."""
+    return (doc - first) * width + place
+
 
-    Every word is shifted back by its place in the phrase; the phrase stands where the
-    sorted lists of all of its words meet.  Shorter lists are merged first.
+def _meet(words: list[tuple[int, np.ndarray]]) -> np.ndarray:
+    """Codes at which a phrase begins, from the codes of its words and their offsets in it.
+
+    The occurrences of the rarest word are looked up at the places of all others, so the
+    lists of frequent words are searched and never copied.
     """
+    words = sorted(words, key=lambda pair: len(pair[1]))
+    offset, codes = words[0]
+    starts = codes - offset
+    for offset, codes in words[1:]:
+        if not len(starts):
+            break
+        spot = np.searchsorted(codes, starts + offset)
+        spot[spot == len(codes)] = 0
+        starts = starts[codes[spot] == starts + offset]
+    return starts
+
+
+def phrase_places(blocks: list[dict]) -> tuple[np.ndarray, np.ndarray]:
+    """Ids and first places of a phrase, from the postings of its words in one range."""
     lists = []
     for block in blocks:
         places = block["places"]
         counts = np.fromiter(map(len, places), np.int64, len(places))
-        doc, place = _occurrences(
-            np.asarray(block["docs"]), counts, np.concatenate([np.asarray(p) for p in places])
-        )
-        lists.append((doc, place - block["offset"]))
-    lists.sort(key=lambda pair: len(pair[0]))
-    doc, place = lists[0]
-    for other, at in lists[1:]:
-        # One number per pair: the ids are those of one range, close to each other.
-        low, shift = min(doc.min(), other.min()), min(place.min(), at.min())
-        width = max(place.max(), at.max()) - shift + 1
-        left = (doc - low) * width + (place - shift)
-        right = (other - low) * width + (at - shift)
-        spot = np.searchsorted(right, left)
-        spot[spot == len(right)] = 0
-        both = right[spot] == left
-        doc, place = doc[both], place[both]
-        if not len(doc):
-            break
-    return doc, place
+        gaps = np.concatenate([np.asarray(p) for p in places])
+        lists.append((block["offset"], *_occurrences(np.asarray(block["docs"]), counts, gaps)))
+    first = min(int(doc[0]) for _, doc, _ in lists)
+    # Wider than any place and offset together, so a phrase cannot reach into the next document.
+    width = max(int(place.max()) for _, _, place in lists) + max(lists, key=lambda x: x[0])[0] + 1
+    starts = _meet([(o, _codes(doc, place, first, width)) for o, doc, place in lists])
+    return starts // width + first, starts % width
+
+
+def _range_codes(postings: pa.Table, reach: int) -> tuple[dict, int, int]:
+    """The codes of each word of one range, the range's first id and the width of a document."""
+    listed, docs = _lists(postings.column("docs").combine_chunks())
+    doc = _running(np.asarray(docs), listed)
+    of_word, inner = _lists(postings.column("places").combine_chunks())
+    of_doc, gaps = _lists(inner)
+    place = _running(np.asarray(gaps), of_doc)
+    counts = np.diff(of_doc, prepend=0)
+    first, width = int(doc.min()), int(place.max()) + reach + 1
+    codes = _codes(np.repeat(doc, counts), place, first, width)
+    ends = of_doc[of_word - 1]
+    parts = np.split(codes, ends[:-1])
+    return dict(zip(postings.column("word").to_pylist(), parts, strict=True)), first, width
 
 
 def find_names(names: DataFrame, index: DataFrame, name: str = "name") -> DataFrame:
     """``name``, ``doc_id``, ``n_places`` and ``first_place`` of all documents with the name.
 
     The postings of words in names are fetched once.  The rarest word of a name says which
-    ranges can have it; its other words are looked up there only, by word and range, so a
-    name of frequent words is many tasks' work.  Places may overlap.  Null names and names
-    without a word are nowhere.
+    ranges can have it.  Names and postings of a range meet in one task, or in several if
+    there are many names, so no posting is copied per name or per place in a name.  Places
+    may overlap.  Null names and names without a word are nowhere.
     """
     asked = names.select(F.col(name).alias("name")).where("name IS NOT NULL").distinct()
-    terms = asked.select("name", F.posexplode(words(F.col("name"))).alias("offset", "word"))
-    terms = workspace.materialize(terms, "names")
+    asked = workspace.materialize(asked, "names")
+    held = words(F.col("name"))
+    terms = asked.select("name", F.explode(F.array_distinct(held)).alias("word"))
     wanted = workspace.materialize(terms.select("word").distinct(), "names")
     if wanted.count() <= WORDS_BROADCAST:
         wanted = F.broadcast(wanted)
-    postings = workspace.materialize(index.join(wanted, "word"), "postings")
+    # Spark takes a semi join below the grouping, so only the places of wanted words are shuffled.
+    postings = workspace.materialize(index.join(wanted, "word", "left_semi"), "postings")
     spread = postings.groupBy("word").agg(F.sum("n_docs").alias("n_docs"))
     # A word that is in no document makes its names unfindable.
     counted = terms.join(spread, "word", "left")
     lead = counted.groupBy("name").agg(
-        F.min(F.struct(F.coalesce("n_docs", F.lit(0)).alias("n"), "word")).alias("lead"),
-        F.count(F.lit(1)).alias("n_words"),
-    )
-    lead = lead.where("lead.n > 0").select("name", F.col("lead.word").alias("word"), "n_words")
-    ranges = lead.join(postings.select("word", "range"), "word").select("name", "range", "n_words")
-    blocks = (
-        ranges.join(terms, "name")
-        .join(postings, ["word", "range"])
-        .groupBy("name", "range")
-        .agg(
-            F.collect_list(F.struct("offset", "docs", "places")).alias("blocks"),
-            F.first("n_words").alias("n_words"),
-        )
-        .where("size(blocks) = n_words")
-        .select("name", "blocks")
+        F.min(F.struct(F.coalesce("n_docs", F.lit(0)).alias("n"), "word")).alias("lead")
     )
+    lead = lead.where("lead.n > 0").select("name", F.col("lead.word").alias("word"))
+    cells = max(1, -(-asked.count() // NAMES_HELD))
+    cell = F.pmod(F.xxhash64("name"), F.lit(cells)).alias("cell")
+    ranges = lead.join(postings.select("word", "range"), "word")
+    phrase = F.array_join(held, " ")
+    left = ranges.select("range", cell, "name", F.nullif(phrase, F.col("name")).alias("phrase"))
+    every = F.lit(0).cast("bigint")
+    if cells > 1:
+        every = F.explode(F.sequence(every, F.lit(cells - 1).cast("bigint")))
+    right = postings.select("range", every.alias("cell"), "word", "docs", "places")
     schema = T.StructType(
         [
             T.StructField("name", T.StringType()),
@@ -172,13 +257,33 @@ def find_names(names: DataFrame, index: DataFrame, name: str = "name") -> DataFr
         ]
     )
 
-    def match(batches):
-        for batch in batches:
-            for row in range(batch.num_rows):
-                doc, place = phrase_places(batch.column(1)[row].as_py())
-                found, first, times = np.unique(doc, return_index=True, return_counts=True)
-                named = pa.array([batch.column(0)[row].as_py()] * len(found), pa.string())
-                columns = [named, found, times.astype(np.int64), place[first]]
-                yield pa.RecordBatch.from_arrays(list(map(pa.array, columns)), schema.names)
-
-    return blocks.mapInArrow(match, schema)
+    def match(asked: pa.Table, postings: pa.Table) -> pa.Table:
+        named = asked.column("name").to_pylist() if postings.num_rows else []
+        phrases = [
+            (own if phrase is None else phrase).split(" ")
+            for own, phrase in zip(named, asked.column("phrase").to_pylist())
+        ]
+        rows, found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        codes, first, width = {}, 0, 1
+        if named:
+            codes, first, width = _range_codes(postings, max(map(len, phrases)))
+        for row, phrase in enumerate(phrases):
+            if codes.keys() >= set(phrase):
+                starts = _meet([(at, codes[word]) for at, word in enumerate(phrase)])
+                if len(starts):
+                    rows.append(np.full(len(starts), row))
+                    found.append(starts)
+        row, start = np.concatenate(rows), np.concatenate(found)
+        # Rows and starts ascend, so a change of either is a new name or document.
+        doc = start // width
+        new = np.flatnonzero((np.diff(row, prepend=-1) != 0) | (np.diff(doc, prepend=-1) != 0))
+        columns = [
+            pa.array([named[i] for i in row[new]], pa.string()),
+            pa.array(doc[new] + first),
+            pa.array(np.diff(new, append=len(row))),
+            pa.array(start[new] % width),
+        ]
+        return pa.Table.from_arrays(columns, names=schema.names)
+
+    key = ["range", "cell"]
+    return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(match, schema)

@@ -86,3 +86,30 @@ def test_gaps_and_merge():
 def test_proper_names(spark, min_words, text, names):
     rows = spark.createDataFrame([(1, text)], "id int, text string")
     assert [r.name for r in N.proper_names(rows, min_words=min_words).collect()] == names
+
+
+def test_long_names_of_few_words_copy_no_posting(spark):
+    text = "das " + "Th " * 700
+    docs = spark.range(0, 40, 1, 4).selectExpr("id AS doc_id", f"concat('{text}', id) AS text")
+    index = N.positional_index(docs, range_docs=8)
+    asked = spark.createDataFrame([(" ".join(["th"] * n),) for n in (2, 500)], "name string")
+    places = N.find_names(asked, index)
+    assert found(places) == {
+        (" ".join(["th"] * n), doc): (701 - n, 1) for n in (2, 500) for doc in range(40)
+    }
+    # Names find their ranges by two joins of words; none joins the postings' places to names.
+    assert places._jdf.queryExecution().analyzed().toString().count("Join ") == 2
+
+
+@pytest.mark.parametrize("held", [1, 50_000])
+def test_names_in_cells(spark, monkeypatch, held):
+    monkeypatch.setattr(N, "NAMES_HELD", held)
+    docs = [(i, f"a b c{i % 3} a b") for i in range(-5, 30)]
+    names = ["a b", "B; c1", "c2 a b", "b a", "-", "c1 a b a"]
+    asked = spark.createDataFrame([(n,) for n in names], "name string")
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    expected = {}
+    for name in names:
+        plain = plain_places(docs, " ".join(re.findall(r"[^\W_]+", name.lower())))
+        expected |= {(name, doc): v for (_, doc), v in plain.items() if name != "-"}
+    assert found(N.find_names(asked, N.positional_index(table, range_docs=4))) == expected
