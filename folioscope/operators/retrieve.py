@@ -15,6 +15,7 @@ in memory by all tasks, in blocks whose size is checked:
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from typing import NamedTuple
 
@@ -32,6 +33,10 @@ from folioscope.functions.text import collapse_newlines, default_empty
 DOC_LIMIT = 5
 SCORE_DIGITS = 9
 BLOCK_BYTES = 128 << 20
+# Cells of a grid, while their blocks are not larger than a task may hold, nor small.
+GRID_CELLS = 64
+CELL_BYTES = 64 << 20
+CELL_ROWS = 4096
 # Ids of hits, some 50 MB, that are broadcast to the scan of the texts.
 HIT_IDS = 1_000_000
 # Scores held at once while a block is compared with a batch.
@@ -50,7 +55,7 @@ class Vectors(NamedTuple):
     rows: np.ndarray
     norms: np.ndarray
 
-    def screen(self, part: slice = slice(None)) -> np.ndarray:
+    def screen(self, part: slice | np.ndarray = slice(None)) -> np.ndarray:
         """Unit vectors in single precision."""
         return (self.rows[part] / self.norms[part, None]).astype(np.float32)
 
@@ -78,12 +83,13 @@ class Best:
     def __init__(self, n: int, k: int, n_ids: int):
         self.k = k
         self.scores = np.full((n, k), -np.inf)
+        self.least = np.full(n, -np.inf)  # scores that a search before this one found k times
         self.ids = [np.zeros((n, k), dtype=np.int64) for _ in range(n_ids)]
 
-    def _floor(self, first: int, screened: np.ndarray, error: float) -> np.ndarray:
+    def _floor(self, held: slice | np.ndarray, screened: np.ndarray, error: float) -> np.ndarray:
         """What a pair must reach to count: the k-th best so far or of this tile."""
-        k, (n, m) = self.k, screened.shape
-        floor = self.scores[first : first + n, -1]
+        k, m = self.k, screened.shape[1]
+        floor = np.maximum(self.scores[held, -1], self.least[held])
         if m > k and np.isneginf(floor).any():
             best = np.partition(screened, m - k, axis=1)[:, m - k]
             floor = np.maximum(floor, best - error)
@@ -111,9 +117,11 @@ class Best:
         for old, new in zip(self.ids, keys, strict=True):
             old[held] = new[chosen]
 
-    def compare(self, questions: Vectors, vectors: Vectors, ids) -> None:
-        """All questions against vectors with these ids."""
-        n, m = len(questions.norms), len(vectors.norms)
+    def compare(self, questions: Vectors, vectors: Vectors, ids, among=None) -> None:
+        """All questions, or those at the ascending places ``among``, against vectors with
+        these ids."""
+        n = len(questions.norms) if among is None else len(among)
+        m = len(vectors.norms)
         if not m:
             return
         # A dot product of unit vectors in single precision is off by less than this.
@@ -121,12 +129,13 @@ class Best:
         narrow = vectors.screen().T
         step = max(1, TILE_CELLS // m)
         for first in range(0, n, step):
-            screened = questions.screen(slice(first, first + step)) @ narrow
+            held = slice(first, first + step) if among is None else among[first : first + step]
+            screened = questions.screen(held) @ narrow
             screened += 1.0
-            floor = self._floor(first, screened, error)
+            floor = self._floor(held, screened, error)
             least = np.nextafter((floor - error).astype(np.float32), np.float32(-np.inf))
             question, column = np.nonzero(screened >= least[:, None])
-            question += first
+            question = question + first if among is None else held[question]
             for at in range(0, len(question), RESCORE_PAIRS):
                 q, c = question[at : at + RESCORE_PAIRS], column[at : at + RESCORE_PAIRS]
                 dots = np.einsum(
@@ -269,10 +278,14 @@ def _grid(shape: _Shape, n_questions: int, n_vectors: int, limit: int) -> DataFr
 
     A question is sent to the cells of its row of the grid and a vector to those of its
     column.  Square cells move the fewest rows for what a task may hold, so both sides have
-    blocks of the same size.  Ids are unique, so their hashes deal blocks out evenly; blocks
-    are planned a tenth smaller than the limit to leave room for the difference.
+    blocks of the same size: a limit far below what a task can hold must not send every row
+    to a number of cells that grows with the tables, and one far above must not leave cores
+    idle.  Ids are unique, so their hashes deal blocks out evenly; blocks are planned a tenth
+    smaller than the limit to leave room for the difference.
     """
-    room = max(1, limit * 9 // 10)
+    own = max(1, limit * 9 // 10)
+    even = math.isqrt(n_questions * n_vectors // GRID_CELLS)
+    room = min(max(own, CELL_BYTES // shape.row_bytes()), max(even, min(own, CELL_ROWS)))
     down, across = -(-n_questions // room), -(-n_vectors // room)
     k, dims, n_ids = shape.k, shape.dims, len(shape.ids)
     every = (F.sequence(F.lit(0), F.lit(n - 1)) for n in (across, down))

@@ -45,3 +45,35 @@ def test_nothing_there(spark):
     asked = spark.createDataFrame([(1, [1.0] * DIMS)], "qid long, embedding array<float>")
     hits, share = P.topk_pivots(asked, P.pivot_index(held, DIMS))
     assert hits.count() == 0 and share.count() == 0
+
+
+def test_pairs_with_blocks_are_not_rows(spark, monkeypatch):
+    """A question and the blocks that it wants are a row per bundle, however many blocks there are."""
+    stored = {}
+    keep = P.workspace.materialize
+
+    def counted(df, purpose):
+        out = keep(df, purpose)
+        stored[purpose] = stored.get(purpose, 0) + out.count()
+        return out
+
+    questions, vectors = make(40, 5), make(900, 6)
+    asked = spark.createDataFrame(questions, "qid long, embedding array<float>")
+    held = spark.createDataFrame(vectors, VECTORS)
+    index = P.pivot_index(held, DIMS, n_pivots=3, block_rows=4)
+    monkeypatch.setattr(P.workspace, "materialize", counted)
+    hits, share = P.topk_pivots(asked, index, 5)
+    assert found(hits) == brute_force(questions, vectors, 5)
+    assert index.blocks.count() > 200 and stored["pivot-pairs"] <= 2 * 40
+
+
+@pytest.mark.parametrize("bundle", [1, 30])
+def test_many_bundles(spark, monkeypatch, bundle):
+    monkeypatch.setattr(P, "BLOCK_ROWS", 1)
+    monkeypatch.setattr(P, "BUNDLE_BYTES", bundle * 8 * DIMS)
+    monkeypatch.setattr(P, "CHOSEN_CELLS", 50)
+    questions, vectors = make(25, 7), make(200, 8, copies=40)
+    asked = spark.createDataFrame(questions, "qid long, embedding array<float>")
+    held = spark.createDataFrame(vectors, VECTORS)
+    hits, _ = P.topk_pivots(asked, P.pivot_index(held, DIMS, n_pivots=5, block_rows=6), 4)
+    assert found(hits) == brute_force(questions, vectors, 4)
