@@ -1,6 +1,7 @@
 """Embedding and exact top-k against brute force."""
 
 import pickle
+import re
 import sys
 import uuid
 from pathlib import Path
@@ -94,6 +95,16 @@ def test_neither_side_fits(sides, swap):
     assert found(hits) == brute_force(questions, vectors, 4)
 
 
+def test_small_blocks_copy_rows_to_few_cells(spark):
+    questions, vectors = make(700, 11), make(900, 12)
+    asked = spark.createDataFrame(questions, "qid long, embedding array<float>")
+    held = spark.createDataFrame(vectors, VECTORS)
+    hits = R.topk_batch(asked, held, DIMS, 2, block_bytes=limit_bytes(4, 2))
+    plan = hits._jdf.queryExecution().analyzed().toString()
+    assert max(int(n) for n in re.findall(r"sequence\(0, (\d+)", plan)) < 16
+    assert found(hits) == brute_force(questions, vectors, 2)
+
+
 def test_tiles(sides, monkeypatch):
     questions, vectors, asked, held = sides
     best = R.Best(3, 2, 1)
