@@ -1,23 +1,31 @@
 """Documents with the documents that they refer to written into them.
 
 References make a graph.  Documents on a cycle cannot hold each other, so the references
-inside a strongly connected component stay as they are; what is left has no cycles and is
-resolved bottom-up, one topological layer after the other, each stored.  Of the texts
-below a layer only those that it asks for are shuffled.
+inside a strongly connected component stay as they are; what is left has no cycles.  Which
+documents a text holds is found by their ids alone, one layer of references after the other.
+Texts are then sent, once each and as they are, to the bundles of documents that hold them,
+and written there; no text that has others in it is stored or shuffled.
 """
 
 from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from folioscope import workspace
+from folioscope.operators.ordering import number_rows
 
 # A reference in a text, with the id of the document that it means.
 MARK = r"\[\[doc:(\d{1,18})\]\]"
 
+# Documents that are written together.
+BUNDLE_DOCS = 256
+# Characters of a batch of written texts.
+WRITTEN_BYTES = 8 << 20
+
 
 def reference_pieces(
     docs: DataFrame, doc_id: str = "doc_id", text: str = "text", mark: str = MARK
@@ -134,69 +142,153 @@ def inline_references(
     """
     known = docs.select(docs[doc_id].cast("bigint").alias("doc"), docs[text].alias("text"))
     known = workspace.materialize(known, "documents")
-    pieces = workspace.materialize(reference_pieces(known, "doc", "text", mark), "pieces")
+    refs = reference_pieces(known, "doc", "text", mark)
+    asked = refs.where("target IS NOT NULL AND doc IS NOT NULL AND doc <> target")
+    asked = asked.groupBy("doc", "target").agg(F.min("pos").alias("pos"))
     there = known.where("text IS NOT NULL").select(F.col("doc").alias("target"))
-    asked = pieces.where("target IS NOT NULL AND doc IS NOT NULL AND doc <> target")
-    edges = _edges(asked.select("doc", "target").distinct().join(there, "target", "left_semi"))
+    edges = _edges(asked.join(there, "target", "left_semi"))
     cyclic = workspace.materialize(components(edges.select("doc", "target")), "components")
     one = cyclic.select(F.col("node").alias("doc"), F.col("component").alias("a"))
     two = cyclic.select(F.col("node").alias("target"), F.col("component").alias("b"))
     # References that are replaced, by document and what it means.
-    live = _edges(
-        edges.join(one, "doc", "left").join(two, "target", "left")
-        .where("a IS NULL OR b IS NULL OR a <> b").select("doc", "target")
+    live = edges.join(one, "doc", "left").join(two, "target", "left").where(
+        "a IS NULL OR b IS NULL OR a <> b"
+    )
+    heads = workspace.materialize(
+        live.groupBy("doc").agg(
+            F.collect_set("target").alias("targets"), F.min_by("target", "pos").alias("first")
+        ),
+        "heads",
+    )
+    needed = _bundled(_below(heads))
+    held = F.col("text")
+    targets = F.transform(
+        F.regexp_extract_all(held, F.lit(mark), 1), lambda t: t.cast("bigint")
     )
-    heads = live.select("doc").distinct()
-    n_marks = pieces.groupBy("doc").agg(F.count("target").alias("n_left"))
-    plain = known.join(heads, "doc", "left_anti").join(n_marks, "doc", "left").select(
+    marks = F.regexp_extract_all(held, F.lit(f"({mark})"), 1)
+    named = F.size(F.filter(targets, lambda t: t.isNotNull()))
+    plain = known.join(heads, "doc", "left_anti").select(
         "doc", "text", F.lit(0).cast("bigint").alias("n_inlined"),
-        F.coalesce("n_left", F.lit(0)).cast("bigint").alias("n_left"),
+        F.when(F.col("doc").isNull() | held.isNull(), 0).otherwise(named).cast("bigint")
+        .alias("n_left"),
     )
-    done = [workspace.materialize(plain, "inlined")]
-    parts = workspace.materialize(
-        pieces.join(live.withColumn("live", F.lit(True)), ["doc", "target"], "left")
-        .join(heads, "doc", "left_semi")
-        .select("doc", "pos", "piece", "mark", F.when(F.col("live"), F.col("target")).alias("target")),
-        "parts",
+    parts = (
+        needed.join(known, "doc").join(heads, "doc", "left")
+        .select("bundle", "doc", "own", F.split(held, mark, -1).alias("pieces"),
+                marks.alias("marks"), targets.alias("named"), "targets")
     )
-    open_edges = live
-    while not _none(open_edges):
-        ready = reduce(DataFrame.unionByName, [d.select(F.col("doc").alias("target")) for d in done])
-        waits = open_edges.join(ready, "target", "left_anti").select("doc").distinct()
-        now = workspace.materialize(
-            open_edges.select("doc").distinct().join(waits, "doc", "left_anti"), "layer"
-        )
-        mine = parts.join(now, "doc", "left_semi")
-        texts = reduce(DataFrame.unionByName, done).where("doc IS NOT NULL").select(
-            F.col("doc").alias("target"), F.col("text").alias("whole"),
-            F.col("n_inlined").alias("n_in"), F.col("n_left").alias("n_out"),
-        )
-        # Only texts that are asked for go to the join.
-        wanted = mine.where("target IS NOT NULL").select("target").distinct()
-        texts = texts.join(wanted, "target", "left_semi")
-        layer = workspace.materialize(
-            _written(mine.join(texts, "target", "left"), opening, closing), "inlined"
-        )
-        done.append(layer)
-        open_edges = _edges(open_edges.join(now, "doc", "left_anti"))
-    return reduce(DataFrame.unionByName, done).select(
-        F.col("doc").alias(doc_id), F.col("text").alias(text), "n_inlined", "n_left"
+    whole = plain.unionByName(_written(parts, opening, closing))
+    return whole.select(F.col("doc").alias(doc_id), F.col("text").alias(text), "n_inlined", "n_left")
+
+
+def _below(heads: DataFrame) -> DataFrame:
+    """``doc``, ``target``, ``main`` and ``depth``: all documents that the text of another holds,
+    once per depth; ``main`` if first references lead to it.  Ids only, a stored layer a turn."""
+    spark = heads.sparkSession
+    edges = heads.select(
+        "doc", F.explode("targets").alias("target"), "first"
+    ).select("doc", "target", (F.col("target") == F.col("first")).alias("main"))
+    edges = _edges(edges)
+    folder = workspace.new_folder(spark, "below")
+    layer, depth = edges, 1
+    # What a document refers to, for the next layer.
+    steps = edges.select(
+        F.col("doc").alias("target"), F.col("target").alias("next"), F.col("main").alias("also")
     )
+    while True:
+        layer = workspace.stored(layer, f"{folder}/depth={depth}")
+        if _none(layer):
+            schema = "doc bigint, target bigint, main boolean, depth int"
+            return spark.read.schema(schema).parquet(folder)
+        further = layer.join(steps, "target")
+        layer = further.groupBy("doc", F.col("next").alias("target")).agg(
+            F.max(F.col("main") & F.col("also")).alias("main")
+        )
+        depth += 1
+
+
+def _bundled(below: DataFrame) -> DataFrame:
+    """``bundle``, ``doc`` and ``own``: documents that are written in one task, and all that these
+    need, each once.
+
+    Along the paths of first references from their ends, documents with much in common follow
+    each other, so few texts are needed by more than one bundle.
+    """
+    path = F.array_sort(F.collect_list(F.struct((-F.col("depth")).alias("up"), "target")))
+    paths = below.where("main").groupBy("doc").agg(path["target"].alias("path"))
+    order = paths.select("doc", F.concat("path", F.array("doc")).alias("path"))
+    placed = number_rows(order, ["path"], "_at")
+    bundle = F.floor(F.col("_at") / F.lit(BUNDLE_DOCS)).alias("bundle")
+    placed = workspace.materialize(placed.select("doc", bundle), "bundles")
+    others = below.select("doc", "target").join(placed, "doc").select(
+        "bundle", F.col("target").alias("doc"), F.lit(False).alias("own")
+    )
+    own = placed.select("bundle", "doc", F.lit(True).alias("own"))
+    return own.unionByName(others).groupBy("bundle", "doc").agg(F.max("own").alias("own"))
 
 
 def _written(parts: DataFrame, opening: str, closing: str) -> DataFrame:
-    """The texts of one layer from its parts and the texts that these refer to."""
-    replaced = F.concat(F.lit(opening), F.col("whole"), F.lit(closing))
-    shown: Column = F.concat(
-        "piece", F.coalesce(F.when(F.col("target").isNotNull(), replaced), "mark", F.lit(""))
-    )
-    ordered = F.array_sort(F.collect_list(F.struct("pos", shown.alias("shown"))))
-    inside = F.when(F.col("target").isNotNull(), F.col("n_in") + 1)
-    left = F.when(F.col("target").isNotNull(), F.col("n_out")).otherwise(
-        F.when(F.col("mark").isNotNull(), 1).otherwise(0)
-    )
-    return parts.groupBy("doc").agg(
-        F.array_join(ordered["shown"], "").alias("text"),
-        F.coalesce(F.sum(inside), F.lit(0)).cast("bigint").alias("n_inlined"),
-        F.sum(left).cast("bigint").alias("n_left"),
-    )
+    """The texts of the documents that bundles own, from the pieces of all that they need.
+
+    A task holds the pieces of one bundle and writes one text after the other; texts that
+    stand inside others are never kept whole.
+    """
+    schema = "doc bigint, text string, n_inlined bigint, n_left bigint"
+    limit = WRITTEN_BYTES
+
+    def whole(held: dict, doc: int) -> tuple[str, int, int]:
+        out, inlined, left = [], 0, 0
+        rest = [(doc, 0)]
+        while rest:
+            at, place = rest.pop()
+            pieces, marks, named, targets = held[at]
+            while place < len(marks) and named[place] not in targets:
+                out += [pieces[place], marks[place]]
+                left += 1
+                place += 1
+            out.append(pieces[place])
+            if place < len(marks):
+                out.append(opening)
+                inlined += 1
+                rest += [(at, place + 1), (named[place], 0)]
+            elif rest:
+                out.append(closing)
+        return "".join(out), inlined, left
+
+    def texts(held: dict, own: list[int]):
+        for doc in own:
+            yield doc, *whole(held, doc)
+
+    def bundles(batches):
+        bundle, held, own = None, {}, []
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if row[0] != bundle:
+                    yield from texts(held, own)
+                    bundle, held, own = row[0], {}, []
+                held[row[1]] = (*row[3:6], frozenset(row[6] or ()))
+                if row[2]:
+                    own.append(row[1])
+        yield from texts(held, own)
+
+    def run(batches):
+        rows, size = [], 0
+
+        def batch():
+            kinds = [pa.int64(), pa.string(), pa.int64(), pa.int64()]
+            columns = [pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True)]
+            return pa.RecordBatch.from_arrays(columns, ["doc", "text", "n_inlined", "n_left"])
+
+        for row in bundles(batches):
+            rows.append(row)
+            size += len(row[1])
+            if size >= limit:
+                yield batch()
+                rows, size = [], 0
+        if rows:
+            yield batch()
+
+    # Texts get much longer in here, so tasks are not made fewer by what they read.
+    tasks = int(parts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    dealt = parts.repartition(tasks, "bundle").sortWithinPartitions("bundle")
+    return dealt.mapInArrow(run, schema)

@@ -88,3 +88,25 @@ def test_no_documents(spark):
     one = spark.createDataFrame([(None, "a [[doc:1]]"), (1, "b")], "doc_id long, text string")
     got = {r.doc_id: r.text for r in R.inline_references(one).collect()}
     assert got == {None: "a [[doc:1]]", 1: "b"}
+
+
+@pytest.mark.parametrize("bundle,limit", [(1, 1), (3, 200), (256, 1 << 20)])
+def test_written_texts_are_neither_stored_nor_shuffled(spark, monkeypatch, bundle, limit):
+    monkeypatch.setattr(R, "BUNDLE_DOCS", bundle)
+    monkeypatch.setattr(R, "WRITTEN_BYTES", limit)
+    stored = []
+    keep = R.workspace.stored
+
+    def watched(df, folder):
+        out = keep(df, folder)
+        if "text" in out.columns:
+            stored.append(out.agg(F.sum(F.length("text"))).first()[0])
+        return out
+
+    monkeypatch.setattr(R.workspace, "stored", watched)
+    texts = {d: f"t{d} [[doc:{d // 2}]] and [[doc:{d // 3}]] ." for d in range(1, 120)}
+    table = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    out = R.inline_references(table, opening="<", closing=">")
+    got = {r.doc_id: (r.text, r.n_inlined, r.n_left) for r in out.collect()}
+    assert got == plain(texts)
+    assert sum(stored) == sum(map(len, texts.values())) < sum(len(t) for t, _, _ in got.values()) / 20
