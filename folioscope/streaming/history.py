@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import replace
+from itertools import chain
 
 import pandas as pd
 from pyspark.sql import DataFrame
@@ -53,11 +54,15 @@ class _History(StatefulProcessor):
 
     def told(self, key: tuple, turns: Iterator[tuple]) -> Iterator[pd.DataFrame]:
         """The questions among (turn, role, text, segment) in the order given, in pieces."""
+        turns = iter(turns)
+        first = next(turns, None)
+        if first is None:  # nothing is read or written for turns that wait
+            return
         told = self.opening + "".join(s[0] for s in self.segments.get())
-        held = self.pending.get()
+        held = None if self.keep else self.pending.get()
         waiting = held[0] if held else ""
         asked, new = [], []
-        for turn, role, text, left in turns:
+        for turn, role, text, left in chain([first], turns):
             if role == "user":
                 asked.append((key[0], turn, text, told))
             if not self.keep:
@@ -73,8 +78,10 @@ class _History(StatefulProcessor):
                 asked = []
         if new:
             self.segments.appendList(new)
-        self.pending.update((waiting,))
-        yield pd.DataFrame(asked, columns=OUTPUT.names)
+        if not self.keep:
+            self.pending.update((waiting,))
+        if asked:
+            yield pd.DataFrame(asked, columns=OUTPUT.names)
 
     def close(self) -> None:
         pass
@@ -103,9 +110,12 @@ class _InOrder(_History):
         self, key: tuple, rows: Iterator[pd.DataFrame], timerValues
     ) -> Iterator[pd.DataFrame]:
         held = self.next.get()
-        self.due = held[0] if held else self.first
+        self.due = before = held[0] if held else self.first
+        # A conversation that comes for the first time has nothing that waits.
+        self.held = held is not None
         yield from self.told(key, self._due(rows))
-        self.next.update((self.due,))
+        if not held or self.due != before or self.ttl is not None:
+            self.next.update((self.due,))
         if self.wait is None:
             return
         for timer in self.handle.listTimers():
@@ -115,21 +125,23 @@ class _InOrder(_History):
             self.handle.registerTimer(now + self.wait)
 
     def _due(self, rows: Iterator[pd.DataFrame]) -> Iterator[tuple]:
-        """Turns as they fall due; the others go to the map."""
+        """Turns as they fall due; the others go to the map.  Each call of the map goes to the
+        state store and back, so nothing is looked up that cannot be there."""
         for frame in rows:
-            for turn in frame.sort_values("turn").itertuples():
-                own = (turn.role, turn.text, turn.segment)
-                if turn.turn > self.due:
-                    self.early.updateValue((turn.turn,), own)
+            columns = (frame[name] for name in ("turn", "role", "text", "segment"))
+            for turn, *own in sorted(zip(*columns, strict=True), key=lambda row: row[0]):
+                if turn > self.due:
+                    self.early.updateValue((turn,), tuple(own))
+                    self.held = True
                     continue
-                yield turn.turn, *own
-                if turn.turn == self.due:
+                yield turn, *own
+                if turn == self.due:
                     self.due += 1
-                    yield from self._waiting()
+                    if self.held:
+                        yield from self._waiting()
 
     def _waiting(self) -> Iterator[tuple]:
-        while self.early.containsKey((self.due,)):
-            own = self.early.getValue((self.due,))
+        while (own := self.early.getValue((self.due,))) is not None:
             self.early.removeKey((self.due,))
             yield self.due, *own
             self.due += 1

@@ -281,3 +281,56 @@ def test_questions_without_text(spark):
     rows = spark.createDataFrame([(1, 0, "user", None)], TURNS)
     told = C.history(rows, C.CHAT)
     assert C.questions(told).select(F.col("question")).first()[0] == ""
+
+
+def test_turns_that_wait_read_no_history():
+    """Calls of the state store and frames handed on, per batch of a conversation."""
+    import pandas as pd
+
+    from folioscope.streaming.history import _InOrder
+
+    calls = []
+
+    class State:
+        def __init__(self, name):
+            self.name, self.held = name, {}
+
+        def __getattr__(self, call):
+            def run(key=(), value=None):
+                calls.append((self.name, call))
+                if call == "get":
+                    return iter(self.held.get("list", [])) if self.name == "segments" else self.held.get("value")
+                if call == "update":
+                    self.held["value"] = key
+                if call == "appendList":
+                    self.held["list"] = self.held.get("list", []) + key
+                if call == "updateValue":
+                    self.held[key] = value
+                if call == "getValue":
+                    return self.held.get(key)
+                if call == "removeKey":
+                    del self.held[key]
+                return None
+
+            return run
+
+    class Handle:
+        getListState = getValueState = getMapState = lambda self, name, *_: State(name)
+
+    def frame(*numbers):
+        rows = [(n, "user" if n % 2 == 0 else "assistant", f"t{n}", f"|{n}") for n in numbers]
+        return pd.DataFrame(rows, columns=["turn", "role", "text", "segment"])
+
+    keeper = _InOrder("", True, 0, None, None)
+    keeper.init(Handle())
+    assert list(keeper.handleInputRows((7,), iter([frame(2, 1)]), None)) == []
+    assert [c for c in calls if c[0] in ("segments", "pending")] == []
+    calls.clear()
+    told = pd.concat(keeper.handleInputRows((7,), iter([frame(0)]), None))
+    assert told.values.tolist() == [[7, 0, "t0", ""], [7, 2, "t2", "|0|1"]]
+    assert ("early", "containsKey") not in calls
+    calls.clear()
+    keeper = _InOrder("", True, 0, None, None)
+    keeper.init(Handle())
+    told = pd.concat(keeper.handleInputRows((8,), iter([frame(1, 0, 2)]), None))
+    assert told.turn.tolist() == [0, 2] and "early" not in {name for name, _ in calls}
