@@ -33,6 +33,21 @@ _NO_PIECE, _BYTES = -1, -2
 _LITERAL = 0x110000  # no code point, and so part of no piece
 
 
+class Trie(NamedTuple):
+    """The beginnings of all pieces as numbered nodes; 0 stands for none.
+
+    The steps from a node to a longer one are a hash table with linear probing, at most a
+    quarter full.
+    """
+
+    classes: np.ndarray  # a small number for each code point, 0 for those of no piece
+    firsts: np.ndarray  # node of each class alone
+    steps: np.ndarray  # keys of the table, node * number of classes + class, 0 where free
+    nexts: np.ndarray  # node behind each step
+    ids: np.ndarray  # piece of each node, or _NO_PIECE
+    weights: np.ndarray
+
+
 class Vocabulary(NamedTuple):
     """Pieces by their length in code points: sorted hashes with ids and weights."""
 
@@ -40,6 +55,64 @@ class Vocabulary(NamedTuple):
     byte_ids: np.ndarray
     byte_weight: float
     texts: list[bytes]  # what each id stands for
+    trie: Trie
+
+
+def _slots(keys: np.ndarray, size: int) -> np.ndarray:
+    """Where keys are looked for first in a table with a power of two as size."""
+    shift = np.uint64(65 - size.bit_length())
+    return ((keys.view(np.uint64) * _STEP) >> shift).view(np.int64)
+
+
+def build_trie(spelled: list[tuple[np.ndarray, int, float]]) -> Trie:
+    """``spelled`` holds the code points, id and weight of each piece."""
+    used = np.unique(np.concatenate([points for points, _, _ in spelled]))
+    classes = np.zeros(_LITERAL + 1, np.int32)
+    classes[used] = np.arange(1, len(used) + 1)
+    many = len(used) + 1
+    children: dict[int, int] = {}  # from the root the key is the class
+    held: dict[int, tuple[int, float]] = {}
+    for points, i, weight in spelled:
+        node = 0
+        for one in classes[points].tolist():
+            node = children.setdefault(node * many + one, len(children) + 1)
+        held[node] = (i, weight)
+    ids = np.full(len(children) + 1, _NO_PIECE, np.int32)
+    weights = np.full(len(children) + 1, -np.inf)
+    places = np.array(list(held))
+    ids[places], weights[places] = zip(*held.values())
+    keys = np.array(list(children), np.int64)
+    nodes = np.array(list(children.values()), np.int32)
+    firsts = np.zeros(many, np.int32)
+    firsts[keys[keys < many]] = nodes[keys < many]
+    keys, nodes = keys[keys >= many], nodes[keys >= many]
+    size = 1 << (4 * len(keys) + 1).bit_length()
+    steps, nexts = np.zeros(size, np.int64), np.zeros(size, np.int32)
+    slots = _slots(keys, size)
+    while len(keys):
+        free = steps[slots] == 0
+        _, one = np.unique(slots, return_index=True)
+        put = one[free[one]]
+        steps[slots[put]], nexts[slots[put]] = keys[put], nodes[put]
+        keys, nodes, slots = (np.delete(a, put) for a in (keys, nodes, slots))
+        slots = (slots + (steps[slots] != 0)) & (size - 1)
+    return Trie(classes, firsts, steps, nexts, ids, weights)
+
+
+def step(trie: Trie, nodes: np.ndarray, classes: np.ndarray) -> np.ndarray:
+    """The nodes that are one code point longer, 0 where no piece begins like that."""
+    keys = nodes * np.int64(len(trie.firsts)) + classes
+    slots = _slots(keys, len(trie.steps))
+    seen = trie.steps[slots]
+    out = np.where(seen == keys, trie.nexts[slots], 0)
+    open_ = np.flatnonzero((seen != keys) & (seen != 0))
+    while len(open_):
+        slots[open_] = (slots[open_] + 1) & (len(trie.steps) - 1)
+        seen = trie.steps[slots[open_]]
+        same = seen == keys[open_]
+        out[open_[same]] = trie.nexts[slots[open_[same]]]
+        open_ = open_[~same & (seen != 0)]
+    return out
 
 
 def _text_of(model, i: int) -> bytes:
@@ -60,6 +133,7 @@ def load(path: str, theta: float = 1.0) -> Vocabulary:
     model = sentencepiece.SentencePieceProcessor(model_file=path)
     size = model.get_piece_size()
     grouped: dict[int, list[tuple[int, int, float]]] = {}
+    spelled = []
     for i in range(size):
         if model.is_control(i) or model.is_unknown(i) or model.is_byte(i):
             continue
@@ -69,6 +143,7 @@ def load(path: str, theta: float = 1.0) -> Vocabulary:
             total = total * _STEP + np.uint64(point + 1)
         weight = -theta * float(np.log1p(max(-model.get_score(i), 0.0)))
         grouped.setdefault(len(points), []).append((int(total[0]), i, weight))
+        spelled.append((points, i, weight))
     by_length = []
     for length in range(1, max(grouped) + 1):
         rows = sorted(grouped.get(length, []))
@@ -81,7 +156,8 @@ def load(path: str, theta: float = 1.0) -> Vocabulary:
         )
     bytes_ = np.array([model.piece_to_id(f"<0x{byte:02X}>") for byte in range(256)], np.int32)
     texts = [_text_of(model, i) for i in range(size)]
-    return Vocabulary(by_length, bytes_, -theta * float(np.log1p(size)), texts)
+    byte_weight = -theta * float(np.log1p(size))
+    return Vocabulary(by_length, bytes_, byte_weight, texts, build_trie(spelled))
 
 
 class Words(NamedTuple):
@@ -113,61 +189,107 @@ def split_words(data: np.ndarray, heads: np.ndarray, offsets: np.ndarray) -> Wor
     return Words(starts, ends, np.searchsorted(starts, first))
 
 
-class Lattice(NamedTuple):
-    """For each character of the distinct words, the pieces that may end there."""
+class Layers(NamedTuple):
+    """The characters of the distinct words, longest word first: the first characters of all
+    words, then the second ones of those that have one, and so on."""
+
+    offsets: np.ndarray  # first character of each layer, and the number of characters
+    word: np.ndarray  # of each character
+    depth: np.ndarray
+    before: np.ndarray  # the character in front, or the number of characters
 
-    ids: np.ndarray  # by character and length of the piece
-    shares: np.ndarray  # running probabilities of the lengths
-    first: np.ndarray  # first character of each word
-    last: np.ndarray
+    def last(self, sizes: np.ndarray) -> np.ndarray:
+        return self.offsets[sizes - 1] + np.arange(len(sizes))
+
+
+def build_layers(sizes: np.ndarray) -> Layers:
+    """``sizes`` are the lengths of the words and do not grow."""
+    longest = int(sizes[0])
+    many = len(sizes) - np.searchsorted(sizes[::-1], np.arange(longest), "right")
+    offsets = np.concatenate([[0], np.cumsum(many)])
+    depth = np.repeat(np.arange(longest), many)
+    word = np.arange(offsets[-1]) - offsets[depth]
+    before = np.where(depth > 0, offsets[depth - 1] + word, offsets[-1])
+    return Layers(offsets, word, depth, before)
+
+
+class Lattice(NamedTuple):
+    """For each character of the distinct words, the pieces that may end there, by length."""
+
+    first: np.ndarray  # first piece of each character, and the number of pieces
+    ids: np.ndarray
+    shares: np.ndarray  # running probabilities of a character's pieces
+    before: np.ndarray  # the character in front of each piece, or the number of characters
+
+
+def find_pieces(vocabulary: Vocabulary, points: np.ndarray, layers: Layers):
+    """For each length the last characters of the pieces in the words, their nodes and the
+    characters in front."""
+    trie = vocabulary.trie
+    classes = trie.classes[points]
+    many = np.append(np.diff(layers.offsets), np.zeros(len(vocabulary.by_length), np.int64))
+    word, depth, before = layers.word, layers.depth, layers.before
+    node, at = trie.firsts[classes], np.arange(len(points))
+    for _ in vocabulary.by_length:
+        found = np.flatnonzero(trie.ids[node] != _NO_PIECE)
+        yield at[found], node[found], before[found]
+        more = np.flatnonzero((node > 0) & (word < many[depth + 1]))
+        word, depth, before = word[more], depth[more] + 1, before[more]
+        at = layers.offsets[depth] + word
+        node = step(trie, node[more], classes[at])
 
 
 def build_lattice(
-    vocabulary: Vocabulary, points: np.ndarray, widths: np.ndarray, first: np.ndarray, last: np.ndarray
+    vocabulary: Vocabulary, points: np.ndarray, widths: np.ndarray, layers: Layers
 ) -> Lattice:
     """Forward filtering over all words at once.
 
-    ``points`` are the code points of the words one after the other, ``widths`` their bytes.
+    ``points`` are the code points of the characters, ``widths`` their bytes.
     """
-    longest = len(vocabulary.by_length)
     size = len(points)
-    ids = np.full((size, longest), _NO_PIECE, np.int32)
-    weights = np.full((size, longest), -np.inf)
-    left = np.repeat(last, last - first + 1) - np.arange(size) + 1  # characters from here on
-    begins = np.arange(size)
-    total = np.zeros(size, np.uint64)
-    for length, (hashes, piece_ids, piece_weights) in enumerate(vocabulary.by_length, 1):
-        begins = begins[left[begins] >= length]
-        ends = begins + (length - 1)
-        total[begins] = total[begins] * _STEP + (points[ends] + np.uint64(1))
-        if not len(hashes):
-            continue
-        at = np.searchsorted(hashes, total[begins])
-        at[at == len(hashes)] = 0
-        found = hashes[at] == total[begins]
-        ids[ends[found], length - 1] = piece_ids[at[found]]
-        weights[ends[found], length - 1] = piece_weights[at[found]]
-    alone = ids[:, 0] == _NO_PIECE
-    ids[alone, 0] = _BYTES
-    weights[alone, 0] = vocabulary.byte_weight * widths[alone]
+    found = list(find_pieces(vocabulary, points, layers))
+    # Every character has a piece of its own: those without spell their bytes.
+    alone = np.ones(size, bool)
+    alone[found[0][0]] = False
+    alone = np.flatnonzero(alone)
+    many = np.bincount(np.concatenate([at for at, _, _ in found]), minlength=size)
+    many[alone] += 1
+    first = np.concatenate([[0], np.cumsum(many)])
+    ids = np.empty(first[-1], np.int32)
+    weights = np.empty(first[-1])
+    before = np.empty(first[-1], np.int64)
+    place = first[:-1].copy()
+    ids[place[alone]] = _BYTES
+    weights[place[alone]] = vocabulary.byte_weight * widths[alone]
+    before[place[alone]] = layers.before[alone]
+    place[alone] += 1
+    for at, node, front in found:
+        to = place[at]
+        ids[to] = vocabulary.trie.ids[node]
+        weights[to] = vocabulary.trie.weights[node]
+        before[to] = front
+        place[at] += 1
 
     # Each weight is read once; the running probabilities take its place.
-    summed = np.zeros(size)
+    summed = np.zeros(size + 1)
     shares = weights
-    lengths = last - first + 1
-    for depth in range(int(lengths.max(initial=0))):
-        at = first[lengths > depth] + depth
-        reach = min(depth + 1, longest)
-        before = np.zeros((len(at), reach))
-        inner = min(depth, longest)
-        before[:, :inner] = summed[at[:, None] - np.arange(1, inner + 1)]
-        score = weights[at, :reach] + before
-        top = score.max(1)
-        running = np.cumsum(np.exp(score - top[:, None]), 1)
-        summed[at] = top + np.log(running[:, -1])
-        shares[at, :reach] = running / running[:, -1:]
-        shares[at, reach:] = 1.0
-    return Lattice(ids, shares, first, last)
+    for begin, end in zip(layers.offsets[:-1], layers.offsets[1:]):
+        low, high = first[begin], first[end]
+        heads = first[begin:end] - low
+        score = weights[low:high] + summed[before[low:high]]
+        top = np.maximum.reduceat(score, heads)
+        score = np.exp(score - np.repeat(top, many[begin:end]))
+        summed[begin:end] = top + np.log(np.add.reduceat(score, heads))
+        shares[low:high] = score
+    rest = np.flatnonzero(many > 1)
+    rank = 1
+    while len(rest):
+        at = first[rest] + rank
+        shares[at] += shares[at - 1]
+        rank += 1
+        rest = rest[many[rest] > rank]
+    shares /= np.repeat(shares[first[1:] - 1], many)
+    return Lattice(first, ids, shares, before)
 
 
 def draws(seeds: np.ndarray, places: np.ndarray, step: int) -> np.ndarray:
@@ -177,25 +299,33 @@ def draws(seeds: np.ndarray, places: np.ndarray, step: int) -> np.ndarray:
 
 
 def sample(
-    lattice: Lattice, numbers: np.ndarray, seeds: np.ndarray, places: np.ndarray
+    lattice: Lattice, last: np.ndarray, seeds: np.ndarray, places: np.ndarray
 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Backward sampling: word, last character and length of each drawn piece, in order."""
-    at = lattice.last[numbers]
-    begin = lattice.first[numbers]
-    live = np.arange(len(numbers))
+    """Backward sampling from the last character of each word: word, last character and
+    number in the lattice of each drawn piece, in order."""
+    none = len(lattice.first) - 1
+    at = last.copy()
+    many = np.zeros(len(last), np.int64)
+    live = np.arange(len(last))
     taken = []
     while len(live):
         node = at[live]
         share = draws(seeds[live], places[live], len(taken))
-        length = (lattice.shares[node] <= share[:, None]).sum(1) + 1
-        taken.append((live, node, length))
-        at[live] = node - length
-        live = live[at[live] >= begin[live]]
-    if not taken:
-        return (np.empty(0, np.int64),) * 3
-    word, node, length = (np.concatenate([t[k] for t in taken]) for k in range(3))
-    order = np.lexsort((node, word))
-    return word[order], node[order], length[order]
+        piece = lattice.first[node]
+        left = np.flatnonzero(lattice.shares[piece] <= share)
+        while len(left):
+            piece[left] += 1
+            left = left[lattice.shares[piece[left]] <= share[left]]
+        taken.append((live, node, piece))
+        many[live] += 1
+        at[live] = lattice.before[piece]
+        live = live[at[live] != none]
+    ends = np.cumsum(many)
+    nodes, pieces = np.empty((2, many.sum()), np.int64)
+    for number, (live, node, piece) in enumerate(taken, 1):
+        to = ends[live] - number
+        nodes[to], pieces[to] = node, piece
+    return np.repeat(np.arange(len(last)), many), nodes, pieces
 
 
 def encode_column(
@@ -212,18 +342,22 @@ def encode_column(
     _, example, numbers = np.unique(hashes, return_index=True, return_inverse=True)
 
     sizes = (found.ends - found.starts)[example]
-    first = np.cumsum(sizes) - sizes
-    source = np.repeat(found.starts[example] - first, sizes) + np.arange(sizes.sum())
-    own = points[source].astype(np.uint64)
+    order = np.argsort(-sizes, kind="stable")
+    sizes, example = sizes[order], example[order]
+    layers = build_layers(sizes)
+    source = found.starts[example][layers.word] + layers.depth
+    own = points[source]
     own[own == ord(BLANK)] = _LITERAL
     own[own == 0x20] = ord(BLANK)
     widths = (tails - heads)[source]
-    lattice = build_lattice(vocabulary, own, widths, first, first + sizes - 1)
+    lattice = build_lattice(vocabulary, own, widths, layers)
+    last = np.empty(len(order), np.int64)
+    last[order] = layers.last(sizes)
 
     counts = np.diff(found.rows)
     places = np.arange(len(numbers)) - np.repeat(found.rows[:-1], counts)
-    word, node, length = sample(lattice, numbers, np.repeat(seeds, counts), places)
-    ids = lattice.ids[node, length - 1]
+    word, node, piece = sample(lattice, last[numbers], np.repeat(seeds, counts), places)
+    ids = lattice.ids[piece]
     many = np.where(ids == _BYTES, widths[node], 1)
     begin = np.cumsum(many) - many
     out = np.repeat(ids, many)

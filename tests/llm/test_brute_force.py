@@ -259,6 +259,30 @@ def test_sampled_frequencies():
         assert abs(seen.get(path, 0) / rows - share) < 5 * (share / rows) ** 0.5 + 1e-3
 
 
+def test_lattice_holds_the_pieces_that_fit():
+    """A lattice stores the pieces found in its words, not a place for every length."""
+    vocabulary = pieces.load(public_tokenizers.path("piece_bpe_32k.model"))
+    known = {text.decode("utf-8", "replace"): i for i, text in enumerate(vocabulary.texts)}
+    for bytes_ in vocabulary.byte_ids:
+        known = {text: i for text, i in known.items() if i != bytes_}
+    texts = sorted([" internationally", " the", "été", "q\U0001f600x", "zzz"], key=len, reverse=True)
+    sizes = np.array([len(t) for t in texts])
+    layers = pieces.build_layers(sizes)
+    points = np.array([ord(texts[w][d]) for w, d in zip(layers.word, layers.depth)], np.uint32)
+    points[points == 0x20] = ord(pieces.BLANK)
+    lattice = pieces.build_lattice(vocabulary, points, np.ones(len(points), np.int64), layers)
+    held = 0
+    for at, (w, d) in enumerate(zip(layers.word, layers.depth)):
+        found = [known[t] for n in range(1, d + 2) if (t := texts[w][d + 1 - n : d + 1]) in known]
+        if texts[w][d] not in known:
+            found.insert(0, pieces._BYTES)
+        span = slice(lattice.first[at], lattice.first[at + 1])
+        assert lattice.ids[span].tolist() == found
+        assert lattice.shares[span][-1] == 1 and (np.diff(lattice.shares[span]) >= 0).all()
+        held += len(found)
+    assert len(lattice.ids) == len(lattice.shares) == held < 4 * len(points)
+
+
 # --- automata ----------------------------------------------------------------------------
 
 
