@@ -35,6 +35,8 @@ BANDS, BAND_ROWS = 8, 2
 # Pieces of classes with so many members, or of the largest this many, whichever are fewer,
 # are looked up in a broadcast table; the others meet their class in a join.
 HOT_CLASS, HOT_SETS = 256, 100_000
+# Sets of which a task remembers that it has given their bands, a power of two; 8 bytes each.
+RECENT_SETS = 1 << 20
 
 _FACTORS = words.mix(np.arange(1, BANDS * BAND_ROWS + 1, dtype=np.uint64)) | np.uint64(1)
 _SHIFTS = words.mix(np.arange(1001, BANDS * BAND_ROWS + 1001, dtype=np.uint64))
@@ -134,18 +136,41 @@ def may_link(sizes: np.ndarray, percent: int) -> np.ndarray:
     return 100 * sizes >= percent * (sizes + 1)
 
 
+class Recent:
+    """The ids that came last, one for each place of a table of bounded size.
+
+    An id whose place another has taken counts as new again, so frequent ones stay known and
+    an id costs the same however many came before.
+    """
+
+    def __init__(self, size: int = RECENT_SETS) -> None:
+        self.held = np.zeros(size, np.int64)
+        self.held[0] = 1  # no id of this place
+
+    def fresh(self, ids: np.ndarray) -> np.ndarray:
+        """Which ids are new, the first of equal ones only."""
+        at = ids & (len(self.held) - 1)
+        new = np.flatnonzero(self.held[at] != ids)
+        _, first = np.unique(ids[new], return_index=True)
+        self.held[at[new]] = ids[new]
+        out = np.zeros(len(ids), bool)
+        out[new[first]] = True
+        return out
+
+
 def mark(
     docs: DataFrame, key: str, text: str, shingle: int, percent: int, min_words: int
 ) -> DataFrame:
     """``key``, ``other_key``, ``number`` of the piece in its text, ``set``, ``n``, ``prefix``
     (the bands).
 
-    A task gives the bands of a set once, so copies are merged before anything is shuffled.
+    A task gives the bands of a set that comes often once or a few times, so copies are
+    merged before anything is shuffled.
     """
     chosen = setjoin.keyed(docs, key, text)
 
     def run(batches):
-        seen = np.empty(0, np.int64)
+        recent = Recent()
         for batch in batches:
             for piece in words.pieces(batch, "text"):
                 cut = text_pieces(*words.buffers(piece.column(2)))
@@ -153,13 +178,9 @@ def mark(
                 keys, places = links.row_sets(hashes, rows, shingle)
                 own = words.owners(cut.rows)[long]
                 ids = links.set_ids(keys, places)
-                _, first = np.unique(ids, return_index=True)
-                fresh = np.zeros(len(ids), bool)
-                fresh[first] = True
-                fresh &= ~np.isin(ids, seen)
-                seen = np.union1d(seen, ids)
                 sizes = np.diff(places).astype(np.int64)
-                banded = fresh & may_link(sizes, percent)
+                banded = may_link(sizes, percent)
+                banded[banded] = recent.fresh(ids[banded])
                 inside = np.concatenate([[0], np.cumsum(sizes[banded])])
                 flat = bands(keys[np.repeat(banded, sizes)], inside).reshape(-1)
                 ends = np.concatenate([[0], np.cumsum(BANDS * banded)]).astype(np.int32)

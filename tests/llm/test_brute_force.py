@@ -196,6 +196,33 @@ def test_paragraphs(spark, monkeypatch):
         assert (lines[1] in kept) == (expected[doc][1] == doc)
 
 
+def test_recent_sets_are_bounded():
+    """A set is banded at least once, a frequent one seldom, and the table does not grow."""
+    rng = np.random.default_rng(8)
+    recent, given, again = paragraphs.Recent(1 << 12), set(), 0
+    for _ in range(60):
+        ids = np.append(rng.integers(-(1 << 62), 1 << 62, 300), [0, 1, 5, 5])
+        fresh = recent.fresh(ids)
+        chosen = ids[fresh].tolist()
+        assert len(set(chosen)) == len(chosen)
+        again += len(given & set(chosen))
+        given |= set(chosen)
+        assert given >= set(ids.tolist()) and len(recent.held) == 1 << 12
+    assert again < 60
+    assert paragraphs.Recent().fresh(np.array([0, 0, 1, 1])).tolist() == [True, False, True, False]
+
+
+def test_sets_are_sorted_by_row_and_key():
+    """Also where keys of a row agree in all of their first bits."""
+    rng = np.random.default_rng(9)
+    owner = rng.integers(0, 50, 3000)
+    for keys in (rng.integers(0, 1 << 63, 3000), (1 << 62) + rng.integers(0, 7, 3000)):
+        keys = keys.astype(np.uint64)
+        order = links._order(keys, owner, 50)
+        best = np.lexsort((keys, owner))
+        assert (keys[order] == keys[best]).all() and (owner[order] == owner[best]).all()
+
+
 # --- tokens and pieces -------------------------------------------------------------------
 
 
