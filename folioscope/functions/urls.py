@@ -12,7 +12,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from folioscope.functions.text import as_column
-from folioscope.staging import let
+from folioscope.staging import bind, let
 
 _SCHEME = r"[A-Za-z][A-Za-z0-9+.\-]*"
 _CONTROL_OR_BLANK = "".join(chr(i) for i in range(0x21))
@@ -132,6 +132,32 @@ def _segments(base_path: Column, path: Column) -> Column:
     )
 
 
+def _laid(base_path: Column, path: Column) -> Column:
+    """A relative path written behind the folder of the page, as a text."""
+    folder = F.left(base_path, F.length(base_path) - F.length(F.substring_index(base_path, "/", -1)))
+    return F.when(path.startswith("/"), path).otherwise(
+        F.concat(F.when(base_path == "", "/").otherwise(folder), path)
+    )
+
+
+def _tidy(base_path: Column, path: Column, laid: Column) -> Column:
+    """The path that a link means; ``laid`` is that path unless it has segments to drop.
+
+    Only paths that may have such segments are taken apart.
+    """
+    rooted = path.startswith("/")
+    odd = laid.startswith(".") | laid.contains("/.") | (~rooted & laid.contains("//"))
+    segments = _segments(base_path, path)
+    kept = F.when(rooted, segments).otherwise(_without_empty(segments))
+
+    def joined(parts: Column) -> Column:
+        dotted = F.exists(parts, lambda s: s.isin(".", ".."))
+        return F.array_join(F.when(dotted, _without_dots(parts)).otherwise(parts), "/")
+
+    whole = bind(kept, joined)
+    return F.when(odd, whole).otherwise(laid)
+
+
 def _without_empty(segments: Column) -> Column:
     """Drop empty segments except the first and the last."""
     last = F.size(segments) - 1
@@ -177,19 +203,13 @@ def resolve_links(df: DataFrame, base: str, href: str, out: str) -> DataFrame:
         .when((c("_h_path") == "") & (c("_h_params") == ""), "same")
         .otherwise("path")
     )
+    laid = _laid(c("_b_path"), c("_h_path"))
+    staged = let(staged, {"_scheme": scheme, "_form": form, "_laid": laid})
     staged = let(
         staged,
-        {"_scheme": scheme, "_form": form, "_segments": _segments(c("_b_path"), c("_h_path"))},
+        {"_merged": F.when(c("_form") == "path", _tidy(c("_b_path"), c("_h_path"), c("_laid")))},
     )
-    tidy = F.when(c("_h_path").startswith("/"), c("_segments")).otherwise(
-        _without_empty(c("_segments"))
-    )
-    staged = let(staged, {"_kept": F.when(c("_form") == "path", tidy)})
-    dotted = F.exists("_kept", lambda s: s.isin(".", ".."))
-    merged = F.array_join(F.when(dotted, _without_dots(c("_kept"))).otherwise(c("_kept")), "/")
-
     same, given = c("_form") == "same", c("_form") == "authority"
-    staged = let(staged, {"_merged": F.when(c("_form") == "path", merged)})
     staged = let(
         staged,
         {

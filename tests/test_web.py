@@ -176,3 +176,24 @@ def test_hostile_html(spark):
     ).collect()
     assert found[0].links == ["/z"] and found[6].links == ["it's"]
     assert time.monotonic() - begin < 20
+
+
+def test_plain_links_are_not_taken_apart(spark):
+    """A path without segments to drop stays one text; the others are cut at their slashes."""
+    cases = [
+        ("/s/", "p1", "/s/p1", "/s/p1"),
+        ("/s/x", "a/b", "/s/a/b", "/s/a/b"),
+        ("", "p", "/p", "/p"),
+        ("x", "p", "p", "p"),
+        ("/s/x", "/a//b", "/a//b", "/a//b"),
+        ("/s//x", "a", "/s//a", "/s/a"),
+        ("/s/x", "../p", "/s/../p", "/p"),
+        ("/s/x", "./", "/s/./", "/s/"),
+        ("/s/x", ".a", "/s/.a", "/s/.a"),
+    ]
+    rows = spark.createDataFrame(cases, "base string, path string, laid string, tidy string")
+    laid = U._laid(F.col("base"), F.col("path"))
+    found = rows.select(
+        laid.alias("laid"), U._tidy(F.col("base"), F.col("path"), laid).alias("tidy")
+    ).collect()
+    assert [(r.laid, r.tidy) for r in found] == [c[2:] for c in cases]
