@@ -39,6 +39,8 @@ BLOCK = 512
 # beyond it the texts are joined by a shuffle.
 BROADCAST_IDS = 500_000
 MIN_BITS, MAX_BITS = 64, 1 << 15
+# The label of all sets with a link where classes are not wanted; others have their own id.
+LINKED = -(1 << 63)
 # The least similarity that may be asked for; blocks whose sizes rule it out do not meet.
 PERCENT_FLOOR = 50
 
@@ -53,16 +55,21 @@ def text_sets(column: pa.Array, shingle: int):
 
 
 def common_shingles(texts: DataFrame, shingle: int) -> np.ndarray:
-    """Hashes of frequent shingles, sorted; counts come from all texts.
+    """Hashes of frequent shingles, sorted; counts come from all texts."""
+    return _common(texts, lambda column: text_sets(column, shingle)[0])
+
+
+def _common(rows: DataFrame, cut) -> np.ndarray:
+    """The same for a column of texts or packed sets, whose shingles ``cut`` gives.
 
     A task reports the shingles that several documents of a piece of text have.
     """
+    name = rows.columns[0]
 
     def run(batches):
         for batch in batches:
-            for piece in words.pieces(batch, "text"):
-                keys, _, _ = text_sets(piece.column(0), shingle)
-                keys = np.sort(keys)
+            for piece in words.pieces(batch, name):
+                keys = np.sort(cut(piece.column(0)))
                 heads = np.flatnonzero(np.append(True, keys[1:] != keys[:-1])) if len(keys) else []
                 counts = np.diff(np.append(heads, len(keys))).astype(np.int64)
                 many = counts >= COMMON_IN_PIECE
@@ -72,7 +79,7 @@ def common_shingles(texts: DataFrame, shingle: int) -> np.ndarray:
                         names=["key", "n"],
                     )
 
-    counted = texts.mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
+    counted = rows.mapInArrow(run, "key bigint, n bigint").groupBy("key").agg(F.sum("n").alias("n"))
     top = counted.where(F.col("n") >= COMMON_TOTAL).orderBy(F.desc("n"), "key")
     rows = top.limit(COMMON_SHINGLES).select("key").collect()
     return np.sort(np.array([r.key for r in rows], np.int64).view(np.uint64))
@@ -514,6 +521,74 @@ def link_sets(marks: DataFrame, texts: Texts, percent: int) -> tuple[DataFrame,
     return labels, holders
 
 
+def _unpacked(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+    """The shingles of packed sets, and where each set's begin."""
+    data, offsets = words.buffers(column)
+    return data.view(np.uint64), offsets // 8
+
+
+def _mark_sets(sets: DataFrame, percent: int) -> DataFrame:
+    """``set``, ``n``, ``prefix`` and ``bits`` of sets that are given with their ``members``."""
+    held = sets.sparkSession.sparkContext.broadcast(
+        _common(sets.select("members"), lambda column: _unpacked(column)[0])
+    )
+
+    def run(batches):
+        for batch in batches:
+            for piece in words.pieces(batch, "members"):
+                keys, places = _unpacked(piece.column(1))
+                front, begins = prefixes(keys, places, held.value, percent)
+                yield pa.RecordBatch.from_arrays(
+                    [
+                        piece.column(0),
+                        pa.array(np.diff(places)),
+                        pa.ListArray.from_arrays(
+                            pa.array(begins.astype(np.int32)), pa.array(front.view(np.int64))
+                        ),
+                        _bitmaps(keys, places),
+                    ],
+                    names=["set", "n", "prefix", "bits"],
+                )
+
+    schema = "set bigint, n bigint, prefix array<bigint>, bits binary"
+    return workspace.materialize(sets.select("set", "members").mapInArrow(run, schema), "marks")
+
+
+def linked_sets(sets: DataFrame, percent: int = links.PERCENT) -> DataFrame:
+    """``set`` of the sets that are similar to another one or that several rows have.
+
+    ``sets`` is a stored table of ``set`` (each once), ``members`` and ``size``, the number of
+    rows that have it.  Classes are not wanted: once a set has a link, only sets without one
+    are compared with it, and no components are formed.
+    """
+    marks = _mark_sets(sets, percent)
+    shared = share(marks, percent)
+    tiles = shared.where("other is null").select("key", "n", "set")
+    pairs = shared.where("other is not null").select(
+        F.col("set").alias("a"), F.col("other").alias("b")
+    )
+    sizes = marks.select("set", "n", "bits")
+
+    def grown(linked: DataFrame, pairs: DataFrame) -> DataFrame:
+        near = links.verified(pairs, sets, percent).select(F.explode(F.array("a", "b")).alias("set"))
+        return workspace.materialize(linked.union(near).distinct(), "linked")
+
+    linked = sets.where("size > 1").select("set")
+    linked = grown(linked, bounded(pairs.distinct(), sizes, percent))
+    for compare in (
+        lambda left: bounded(neighbours(left, percent), sizes, percent),
+        lambda left: compare_cells(_cells(left), sizes.select("set", "bits"), percent),
+    ):
+        known = linked.withColumn("label", F.lit(LINKED))
+        left = tiles.join(known, "set", "left").select(
+            "key", "n", "set", F.coalesce("label", "set").alias("label")
+        )
+        if not left.where(F.col("label") != LINKED).limit(1).count():
+            break
+        linked = grown(linked, compare(left))
+    return linked
+
+
 def jaccard_classes(
     docs: DataFrame,
     key: str = "doc_id",

@@ -160,19 +160,16 @@ def _set_ids(column: pa.Array) -> np.ndarray:
 def _copies(heavy: DataFrame) -> DataFrame:
     """``_key`` and ``_spared`` (ids of shingle sets) of the heavy rows with a near copy.
 
-    ``heavy`` has ``_key``, ``set`` and ``text``.  A copy is heavy itself, so both stay
-    whole and are as similar as before to whoever joins them later.  The set is the key of
-    the comparison, so a row without a key is compared like any other.
+    ``heavy`` has ``_key``, ``set`` and ``members``, which may be null where another row has
+    the set.  A copy is heavy itself, so both stay whole and are as similar as before to
+    whoever joins them later.  The set is the key of the comparison, so a row without a key
+    is compared like any other.
     """
     heavy = workspace.materialize(heavy, "heavy")
-    texts = heavy.dropDuplicates(["set"]).select("set", "text")
-    classes = setjoin.jaccard_classes(texts, "set").where("n_shingles > 0")
-    sizes = heavy.groupBy("set").agg(F.count(F.lit(1)).alias("n"))
-    known = workspace.materialize(
-        classes.join(sizes, "set").select("set", "n", "component_id"), "heavy-classes"
+    sets = heavy.groupBy("set").agg(
+        F.first("members", ignorenulls=True).alias("members"), F.count(F.lit(1)).alias("size")
     )
-    many = known.groupBy("component_id").agg(F.sum("n").alias("rows")).where("rows > 1")
-    copies = known.join(many, "component_id", "left_semi").select("set")
+    copies = setjoin.linked_sets(workspace.materialize(sets, "heavy-sets"))
     spared = heavy.select("_key", "set").join(copies, "set", "left_semi")
     return workspace.materialize(
         spared.groupBy("_key").agg(F.collect_set("set").alias("_spared")), "heavy-copies"
@@ -238,20 +235,29 @@ def remove_wide_lines(
         place = fields.index(key)
 
         def weigh(batches):
+            seen = np.empty(0, np.int64)
             for batch in batches:
                 for piece in words.pieces(batch, text):
                     column = piece.column(at)
                     own = words.buffers(column)
                     takes = _share(*own, marker(piece), min_words, max_share)[2]
                     chosen = pa.array(np.flatnonzero(~takes))
-                    column = column.take(chosen)
+                    keys, places, _ = setjoin.text_sets(column.take(chosen), links.SHINGLE_WORDS)
+                    ids = links.set_ids(keys, places)
+                    fresh = np.zeros(len(ids), bool)
+                    fresh[np.unique(ids, return_index=True)[1]] = True
+                    fresh &= ~np.isin(ids, seen)
+                    seen = np.union1d(seen, ids)
+                    members = links.blobs(keys, places)
+                    # A task gives the members of a set once.
+                    members = pa.compute.if_else(pa.array(fresh), members, None)
                     yield pa.RecordBatch.from_arrays(
-                        [piece.column(place).take(chosen), pa.array(_set_ids(column)), column],
-                        names=["_key", "set", "text"],
+                        [piece.column(place).take(chosen), pa.array(ids), members],
+                        names=["_key", "set", "members"],
                     )
 
-        kinds = [docs.schema[name].dataType.simpleString() for name in (key, text)]
-        heavy = carried.mapInArrow(weigh, f"_key {kinds[0]}, set bigint, text {kinds[1]}")
+        kind = docs.schema[key].dataType.simpleString()
+        heavy = carried.mapInArrow(weigh, f"_key {kind}, set bigint, members binary")
         copies = _copies(heavy)
         if copies.count() <= setjoin.BROADCAST_IDS:
             copies = F.broadcast(copies)

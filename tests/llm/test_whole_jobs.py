@@ -8,7 +8,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from folioscope.llm import paragraphs, queries, setjoin, spread, words
+from folioscope import workspace
+from folioscope.llm import links, paragraphs, queries, setjoin, spread, words
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -201,3 +202,42 @@ def test_only_copies_stay_whole(spark, bound):
     assert {r.doc_id: r.text for r in cleaned.collect()} == expected | {None: texts[13]}
     staged = corpus_pipeline.line_dedup(spark, docs, "").collect()
     assert {r.doc_id: r.text for r in staged} == expected | {None: texts[13]}
+
+
+@pytest.mark.parametrize("block, neighbours", [(512, 32), (4, 1)])
+@pytest.mark.parametrize("few", [(), (2,), (2, 5, 6, 6)])
+def test_linked_sets(spark, monkeypatch, few, block, neighbours):
+    """Sets of one large tile: those of 8 own words and more need a partner with fewer."""
+    monkeypatch.setattr(setjoin, "BLOCK", block)
+    monkeypatch.setattr(setjoin, "NEIGHBOURS", neighbours)
+    common = own_words("common", 60)
+    own = [*few, *(8 + i % 7 for i in range(40))]
+    texts = [f"{common} {own_words(f'own{i}x', k)}" for i, k in enumerate(own)] + ["alone", "a b c"]
+    sets = [shingles(text) for text in texts]
+    twice = len(texts) - 3
+    expected = {i for i, s in enumerate(sets)
+                if i == twice or any(similar(s, t) for t in sets if t is not s)}
+    keys, places, _ = setjoin.text_sets(pa.array(texts), 5)
+    ids = links.set_ids(keys, places).tolist()
+    rows = [(a, b, 1 + (i == twice))
+            for i, (a, b) in enumerate(zip(ids, links.blobs(keys, places).to_pylist()))]
+    table = spark.createDataFrame(rows, "set bigint, members binary, size bigint")
+    assert sorted(r.set for r in setjoin.linked_sets(table).collect()) == sorted(
+        ids[i] for i in expected
+    )
+    assert len(expected) == 1 if not few else 1 < len(expected) < len(texts) - 1
+
+
+def test_copies_are_found_without_classes(spark, monkeypatch):
+    """Heavy documents need a link, not a class, so few tables are stored on the way."""
+    footer = own_words("footer", 60)
+    texts = [f"{footer}\n{own_words(f'own{i}x', 1 + i)}" for i in range(24)]
+    stored, store = [], workspace.materialize
+    monkeypatch.setattr(
+        workspace, "materialize", lambda df, purpose: stored.append(purpose) or store(df, purpose)
+    )
+    out = spread.remove_wide_lines(sites(spark, texts)).collect()
+    sets = [shingles(text.replace("\n", " ")) for text in texts]
+    whole = {i for i, s in enumerate(sets) if any(similar(s, t) for t in sets if t is not s)}
+    assert {r.doc_id for r in out if not r._n_removed} == whole and 0 < len(whole) < len(texts)
+    assert len(stored) <= 10 and "labels" not in stored
