@@ -4,12 +4,19 @@ A name of a few words counts for little in the vector of a chunk, so names are l
 word by word in a positional index.  A posting is one word in one range of documents, so a
 word that every document has is many postings.  Ids and places are kept as gaps, small
 numbers that Parquet packs well.
+
+Names are a tree of words that all tasks hold.  A task walks it from all places of a range at
+once, so what it takes grows with the places and with what is found there, not with the number
+of names that have a word in the range.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,8 +31,12 @@ RANGE_DOCS = 1024
 WORDS_BROADCAST = 1_000_000
 # Words of texts that are listed at once, so that memory does not depend on their lengths.
 LISTED_WORDS = 1 << 20
-# Names that a task compares with the postings of a range.
-NAMES_HELD = 50_000
+# Names, and words of them, whose tree a task holds: some 64 MB at most.
+NAMES_HELD = 250_000
+NAME_WORDS_HELD = 4 << 20
+# Places where names begin that are summed up at once, and rows handed out at once.
+FOUND_HELD = 1 << 20
+ROWS_OUT = 1 << 16
 
 
 def words(text: Column) -> Column:
@@ -82,8 +93,11 @@ def _lists(column: pa.Array) -> tuple[np.ndarray, pa.Array]:
     return np.cumsum(lengths), column.flatten()
 
 
-def _listed(docs: pa.Array, ranges: pa.Array, texts: pa.Array) -> list[pa.Array]:
-    """``range``, ``word`` and ``list`` (documents with the gaps of places) of some texts."""
+def _listed(
+    docs: pa.Array, ranges: pa.Array, texts: pa.Array, wanted: pa.Array | None = None
+) -> list[pa.Array]:
+    """``range``, ``word`` and ``list`` (documents with the gaps of places) of some texts, of
+    all words or of those ``wanted``."""
     order = np.argsort(np.asarray(docs), kind="stable")
     doc, span = np.asarray(docs)[order], np.asarray(ranges)[order]
     ends, flat = _lists(texts.take(pa.array(order)))
@@ -91,11 +105,16 @@ def _listed(docs: pa.Array, ranges: pa.Array, texts: pa.Array) -> list[pa.Array]
     known = flat.dictionary_encode()
     owner = np.repeat(np.arange(len(doc)), lengths)
     place = np.arange(len(owner)) - np.repeat(ends - lengths, lengths)
+    number = np.asarray(known.indices)
+    if wanted is not None:
+        among = pc.is_in(known.dictionary, value_set=wanted).to_numpy(zero_copy_only=False)
+        kept = np.flatnonzero(among[number])
+        owner, place, number = owner[kept], place[kept], number[kept]
     # Ranges ascend with the ids; what is sorted are whole numbers, one per place.
     nth = np.cumsum(np.diff(span, prepend=span[:1]) != 0)
-    key = nth[owner] * np.int64(len(known.dictionary)) + np.asarray(known.indices)
+    key = nth[owner] * np.int64(len(known.dictionary)) + number
     by = np.argsort(key, kind="stable")
-    key, owner, place = key[by], owner[by], place[by]
+    key, owner, place, number = key[by], owner[by], place[by], number[by]
     fresh = np.diff(key, prepend=-1) != 0
     entries = np.flatnonzero(fresh | (np.diff(owner, prepend=-1) != 0))
     gaps = np.diff(place, prepend=0)
@@ -108,19 +127,31 @@ def _listed(docs: pa.Array, ranges: pa.Array, texts: pa.Array) -> list[pa.Array]
     rows = pa.StructArray.from_arrays(
         [pa.array(doc[owner[entries]]), lists(entries, pa.array(gaps))], ["doc", "places"]
     )
-    word = known.dictionary.take(known.indices.take(pa.array(by[first])))
+    word = known.dictionary.take(pa.array(number[first]))
     return [pa.array(span[owner[first]]), word, lists(np.searchsorted(entries, first), rows)]
 
 
+def _name_words(names: DataFrame, name: str) -> DataFrame:
+    """``word``: the distinct words of names, stored."""
+    held = names.select(F.explode(F.array_distinct(words(F.col(name)))).alias("word"))
+    return workspace.materialize(held.distinct(), "name-words")
+
+
 def positional_index(
-    docs: DataFrame, doc_id: str = "doc_id", text: str = "text", range_docs: int = RANGE_DOCS
+    docs: DataFrame,
+    doc_id: str = "doc_id",
+    text: str = "text",
+    range_docs: int = RANGE_DOCS,
+    names: DataFrame | None = None,
+    name: str = "name",
 ) -> DataFrame:
     """``word``, ``range``, ``n_docs``, ``docs`` and ``places``: where each word stands.
 
     ``docs`` holds the gaps of ascending ids, ``places`` for each of them the gaps of the
     ascending numbers of the words, from 0.  Tasks list the words of some texts at a time;
-    only these lists are shuffled, to be joined by range and word.  Ids are integers and
-    unique; rows without an id or a text are left out.
+    only these lists are shuffled, by range, to be joined by range and word.  Given stored
+    ``names``, only their words are listed: no optimizer moves a filter of words in front of
+    the lists.  Ids are integers and unique; rows without an id or a text are left out.
     """
     known = docs.select(
         F.floor(docs[doc_id] / F.lit(range_docs)).alias("range"),
@@ -128,8 +159,15 @@ def positional_index(
         docs[text].alias("text"),
     ).where("doc IS NOT NULL AND text IS NOT NULL")
     schema = "range bigint, word string, list array<struct<doc: bigint, places: array<bigint>>>"
+    few = many = None
+    if names is not None:
+        many = _name_words(names, name)
+        if many.count() <= WORDS_BROADCAST:
+            column = many.toArrow().column("word").combine_chunks()
+            few, many = docs.sparkSession.sparkContext.broadcast(column), None
 
     def run(batches):
+        wanted = None if few is None else few.value
         for batch in batches:
             ends, _ = _lists(batch.column(2))
             start = 0
@@ -137,15 +175,19 @@ def positional_index(
                 held = LISTED_WORDS + (ends[start - 1] if start else 0)
                 stop = max(start + 1, int(np.searchsorted(ends, held, "right")))
                 part = batch.slice(start, stop - start)
-                columns = _listed(part.column(1), part.column(0), part.column(2))
+                columns = _listed(part.column(1), part.column(0), part.column(2), wanted)
                 yield pa.RecordBatch.from_arrays(columns, names=["range", "word", "list"])
                 start = stop
 
     placed = known.select("range", "doc", words(F.col("text")).alias("words"))
-    listed = placed.mapInArrow(run, schema).groupBy("range", "word").agg(
+    listed = placed.mapInArrow(run, schema)
+    if many is not None:
+        listed = listed.join(many, "word", "left_semi")
+    # Dealt by range alone, so that whatever is done range by range moves nothing again.
+    joined = listed.repartition("range").groupBy("range", "word").agg(
         F.array_sort(F.flatten(F.collect_list("list"))).alias("list")
     )
-    return listed.select(
+    return joined.select(
         "word",
         "range",
         F.size("list").cast("bigint").alias("n_docs"),
@@ -200,90 +242,159 @@ def phrase_places(blocks: list[dict]) -> tuple[np.ndarray, np.ndarray]:
     return starts // width + first, starts % width
 
 
-def _range_codes(postings: pa.Table, reach: int) -> tuple[dict, int, int]:
-    """The codes of each word of one range, the range's first id and the width of a document."""
+def _tree(phrases: pa.Array, ids: np.ndarray) -> tuple:
+    """Names as a tree of words: ``known``, ``edges``, ``begin``, ``ends`` and ``ids``.
+
+    Nodes are numbered level by level from the root, 0.  ``known`` holds the words by number,
+    ``edges`` the ascending values of node times words plus word; edge n leads to node n + 1,
+    those of a node start at ``begin``.  Names that end at a node start at ``ends`` in ``ids``.
+    """
+    stops, flat = _lists(phrases)
+    known = flat.unique()
+    number = np.asarray(pc.index_in(flat, value_set=known), dtype=np.int64)
+    lengths = np.diff(stops, prepend=0)
+    first = stops - lengths
+    node, levels, nodes = np.zeros(len(lengths), np.int64), [np.zeros(0, np.int64)], 0
+    depth, live = 0, np.arange(len(lengths))
+    while len(live):
+        edge = node[live] * len(known) + number[first[live] + depth]
+        level, at = np.unique(edge, return_inverse=True)
+        node[live] = nodes + 1 + at
+        levels.append(level)
+        nodes += len(level)
+        depth += 1
+        live = live[lengths[live] > depth]
+    edges, every = np.concatenate(levels), np.arange(nodes + 2)
+    by = np.argsort(node, kind="stable")
+    begin = np.searchsorted(edges, every * max(1, len(known))).astype(np.int32)
+    return known, edges, begin, np.searchsorted(node[by], every).astype(np.int32), ids[by]
+
+
+def _laid_out(postings: pa.Table, known: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The documents of a range one behind the other: the number of the word at each place, -1
+    where none of ``known`` stands and behind each document; where they start; their ids."""
     listed, docs = _lists(postings.column("docs").combine_chunks())
     doc = _running(np.asarray(docs), listed)
-    of_word, inner = _lists(postings.column("places").combine_chunks())
+    _, inner = _lists(postings.column("places").combine_chunks())
     of_doc, gaps = _lists(inner)
     place = _running(np.asarray(gaps), of_doc)
     counts = np.diff(of_doc, prepend=0)
-    first, width = int(doc.min()), int(place.max()) + reach + 1
-    codes = _codes(np.repeat(doc, counts), place, first, width)
-    ends = of_doc[of_word - 1]
-    parts = np.split(codes, ends[:-1])
-    return dict(zip(postings.column("word").to_pylist(), parts, strict=True)), first, width
+    ids, owner = np.unique(doc, return_inverse=True)
+    size = np.zeros(len(ids), np.int64)
+    np.maximum.at(size, owner, place[of_doc - 1] + 2)
+    starts = np.cumsum(size) - size
+    number = pc.index_in(postings.column("word").combine_chunks(), value_set=known)
+    number = np.asarray(pc.fill_null(number, -1))
+    text = np.full(int(size.sum()), -1, np.int32)
+    each = np.repeat(number, np.diff(listed, prepend=0))
+    text[np.repeat(starts[owner], counts) + place] = np.repeat(each, counts)
+    return text, starts, ids
+
+
+def _walk(
+    text: np.ndarray, n_words: int, edges: np.ndarray, begin: np.ndarray, ends: np.ndarray
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Nodes at which names end, and the ascending places where these begin, level by level."""
+    root = np.zeros(n_words + 1, np.int64)  # the last is for places without a word, -1
+    root[edges[: begin[1]]] = np.arange(1, begin[1] + 1)
+    node = root[text]
+    place = np.flatnonzero(node)
+    node, depth = node[place], 0
+    while len(place):
+        named = np.flatnonzero(ends[node + 1] > ends[node])
+        if len(named):
+            yield node[named], place[named]
+        depth += 1
+        word = text[place + depth]
+        on = np.flatnonzero((word >= 0) & (begin[node + 1] > begin[node]))
+        place, node, word = place[on], node[on], word[on]
+        edge, at = node * n_words + word, begin[node].astype(np.int64)
+        met = edges[at] == edge
+        # Most nodes have one edge; that of others is looked for.
+        other = np.flatnonzero(~met & (begin[node + 1] - at > 1))
+        at[other] = np.minimum(np.searchsorted(edges, edge[other]), len(edges) - 1)
+        met[other] = edges[at[other]] == edge[other]
+        place, node = place[met], at[met] + 1
+
+
+def _told(found: list, starts: np.ndarray, ends: np.ndarray, ids: np.ndarray) -> tuple:
+    """Names by id, documents by number, places counted and the first, from whole levels."""
+    node, place = (np.concatenate(column) for column in zip(*found, strict=True))
+    doc = np.searchsorted(starts, place, "right") - 1
+    key = node * len(starts) + doc
+    # Places of a node ascend, and so they do behind a stable sort.
+    by = np.argsort(key, kind="stable")
+    key, node, doc, place = key[by], node[by], doc[by], place[by]
+    new = np.flatnonzero(np.diff(key, prepend=-1))
+    n_places, node, doc = np.diff(new, append=len(key)), node[new], doc[new]
+    # Names of the same words end at the same node.
+    names = ends[node + 1] - ends[node]
+    row = np.repeat(np.arange(len(new)), names)
+    nth = np.arange(len(row)) - np.repeat(np.cumsum(names) - names, names)
+    first = (place[new] - starts[doc])[row]
+    return ids[ends[node][row] + nth], doc[row], n_places[row], first
+
+
+def _match(postings: DataFrame, names: DataFrame) -> DataFrame:
+    """``id`` of names, ``doc_id``, ``n_places`` and ``first_place``; ``names`` has ``id`` and
+    ``phrase``, its words, and is small enough for every task."""
+    table = names.toArrow().combine_chunks()
+    ids = np.asarray(table.column("id").combine_chunks())
+    tree = _tree(table.column("phrase").combine_chunks(), ids)
+    held = postings.sparkSession.sparkContext.broadcast(tree)
+    columns = ["id", "doc_id", "n_places", "first_place"]
+
+    def match(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, edges, begin, ends, ids = held.value
+        text, starts, docs = _laid_out(pa.Table.from_batches(batches), known)
+
+        def rows(found):
+            id_, doc, n_places, first = _told(found, starts, ends, ids)
+            arrays = [pa.array(x, pa.int64()) for x in (id_, docs[doc], n_places, first)]
+            whole = pa.RecordBatch.from_arrays(arrays, names=columns)
+            for start in range(0, whole.num_rows, ROWS_OUT):
+                yield whole.slice(start, ROWS_OUT)
+
+        found, n_found = [], 0
+        for pair in _walk(text, len(known), edges, begin, ends):
+            found.append(pair)
+            n_found += len(pair[0])
+            if n_found >= FOUND_HELD:
+                yield from rows(found)
+                found, n_found = [], 0
+        if found:
+            yield from rows(found)
+
+    schema = T.StructType([T.StructField(c, T.LongType()) for c in columns])
+    return postings.groupBy("range").applyInArrow(match, schema)
 
 
 def find_names(names: DataFrame, index: DataFrame, name: str = "name") -> DataFrame:
     """``name``, ``doc_id``, ``n_places`` and ``first_place`` of all documents with the name.
 
-    The postings of words in names are fetched once.  The rarest word of a name says which
-    ranges can have it.  Names and postings of a range meet in one task, or in several if
-    there are many names, so no posting is copied per name or per place in a name.  Places
-    may overlap.  Null names and names without a word are nowhere.
+    The postings of words in names are fetched once and laid out range by range, each range in
+    one task, which holds the tree of names; many names are several trees, each compared with
+    the stored postings.  Tasks tell names by numbers, so no name travels per range or place.
+    Places may overlap.  Null names and names without a word are nowhere.
     """
     asked = names.select(F.col(name).alias("name")).where("name IS NOT NULL").distinct()
+    asked = asked.withColumn("id", F.monotonically_increasing_id())
     asked = workspace.materialize(asked, "names")
-    held = words(F.col("name"))
-    terms = asked.select("name", F.explode(F.array_distinct(held)).alias("word"))
-    wanted = workspace.materialize(terms.select("word").distinct(), "names")
+    phrases = asked.withColumn("phrase", words(F.col("name"))).where(F.size("phrase") > 0)
+    n_names, n_words = phrases.agg(F.count("id"), F.sum(F.size("phrase"))).first()
+    wanted = _name_words(asked, "name")
     if wanted.count() <= WORDS_BROADCAST:
         wanted = F.broadcast(wanted)
-    # Spark takes a semi join below the grouping, so only the places of wanted words are shuffled.
-    postings = workspace.materialize(index.join(wanted, "word", "left_semi"), "postings")
-    spread = postings.groupBy("word").agg(F.sum("n_docs").alias("n_docs"))
-    # A word that is in no document makes its names unfindable.
-    counted = terms.join(spread, "word", "left")
-    lead = counted.groupBy("name").agg(
-        F.min(F.struct(F.coalesce("n_docs", F.lit(0)).alias("n"), "word")).alias("lead")
-    )
-    lead = lead.where("lead.n > 0").select("name", F.col("lead.word").alias("word"))
-    cells = max(1, -(-asked.count() // NAMES_HELD))
-    cell = F.pmod(F.xxhash64("name"), F.lit(cells)).alias("cell")
-    ranges = lead.join(postings.select("word", "range"), "word")
-    phrase = F.array_join(held, " ")
-    left = ranges.select("range", cell, "name", F.nullif(phrase, F.col("name")).alias("phrase"))
-    every = F.lit(0).cast("bigint")
+    postings = index.join(wanted, "word", "left_semi").select("range", "word", "docs", "places")
+    cells = max(1, -(-n_names // NAMES_HELD), -(-(n_words or 0) // NAME_WORDS_HELD))
     if cells > 1:
-        every = F.explode(F.sequence(every, F.lit(cells - 1).cast("bigint")))
-    right = postings.select("range", every.alias("cell"), "word", "docs", "places")
-    schema = T.StructType(
-        [
-            T.StructField("name", T.StringType()),
-            T.StructField("doc_id", T.LongType()),
-            T.StructField("n_places", T.LongType()),
-            T.StructField("first_place", T.LongType()),
-        ]
-    )
-
-    def match(asked: pa.Table, postings: pa.Table) -> pa.Table:
-        named = asked.column("name").to_pylist() if postings.num_rows else []
-        phrases = [
-            (own if phrase is None else phrase).split(" ")
-            for own, phrase in zip(named, asked.column("phrase").to_pylist())
-        ]
-        rows, found = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
-        codes, first, width = {}, 0, 1
-        if named:
-            codes, first, width = _range_codes(postings, max(map(len, phrases)))
-        for row, phrase in enumerate(phrases):
-            if codes.keys() >= set(phrase):
-                starts = _meet([(at, codes[word]) for at, word in enumerate(phrase)])
-                if len(starts):
-                    rows.append(np.full(len(starts), row))
-                    found.append(starts)
-        row, start = np.concatenate(rows), np.concatenate(found)
-        # Rows and starts ascend, so a change of either is a new name or document.
-        doc = start // width
-        new = np.flatnonzero((np.diff(row, prepend=-1) != 0) | (np.diff(doc, prepend=-1) != 0))
-        columns = [
-            pa.array([named[i] for i in row[new]], pa.string()),
-            pa.array(doc[new] + first),
-            pa.array(np.diff(new, append=len(row))),
-            pa.array(start[new] % width),
-        ]
-        return pa.Table.from_arrays(columns, names=schema.names)
-
-    key = ["range", "cell"]
-    return left.groupBy(*key).cogroup(right.groupBy(*key)).applyInArrow(match, schema)
+        postings = workspace.materialize(postings, "postings")
+    places = None
+    for cell in range(cells):
+        own = phrases.where(F.pmod(F.xxhash64("name"), F.lit(cells)) == cell)
+        told = _match(postings, own.select("id", "phrase"))
+        # A cell's names fit into every task.
+        told = told.join(F.broadcast(own.select("id", "name")), "id")
+        told = told.select("name", "doc_id", "n_places", "first_place")
+        places = told if places is None else places.unionByName(told)
+    return places

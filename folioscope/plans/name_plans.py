@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from folioscope import workspace
 from folioscope.operators import names as N
 from folioscope.operators import references as R
 from folioscope.plans.base import query, spread_table, table
@@ -45,8 +46,9 @@ def find_names(spark, folder):
     """The names that documents and benchmark items hold, looked up in all documents."""
     docs = spread_table(spark, folder, "documents", "doc_id", "text")
     items = table(spark, folder, "benchmark", "text")
-    named = N.proper_names(docs.select("text").unionByName(items))
-    return N.find_names(named, N.positional_index(docs))
+    named = N.proper_names(docs.select("text").unionByName(items)).select("name").distinct()
+    named = workspace.materialize(named, "proper-names")
+    return N.find_names(named, N.positional_index(docs, names=named))
 
 
 # --- references: document k refers to k div 2, and some to their neighbours and back --------

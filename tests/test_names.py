@@ -113,3 +113,74 @@ def test_names_in_cells(spark, monkeypatch, held):
         plain = plain_places(docs, " ".join(re.findall(r"[^\W_]+", name.lower())))
         expected |= {(name, doc): v for (_, doc), v in plain.items() if name != "-"}
     assert found(N.find_names(asked, N.positional_index(table, range_docs=4))) == expected
+
+
+def runs(longest):
+    """Documents of one word over and over, names of that word in many lengths, what is found."""
+    docs = [(i, "x " + "th " * n) for i, n in enumerate([*range(0, 90, 6), longest])]
+    names = [" ".join(["th"] * n) for n in range(2, longest + 2, 3)]
+    expected = {}
+    for doc, text in docs:
+        have = text.count("th")
+        for name in names:
+            asked = name.count("th")
+            if have >= asked:
+                expected[name, doc] = (have - asked + 1, 1)
+    return docs, names, expected
+
+
+@pytest.mark.parametrize("held", [{}, {"NAME_WORDS_HELD": 4000, "FOUND_HELD": 50, "ROWS_OUT": 7}])
+def test_many_names_meet_a_range_once(spark, monkeypatch, held):
+    for limit, value in held.items():
+        monkeypatch.setattr(N, limit, value)
+    docs, names, expected = runs(200)
+    table = spark.createDataFrame(docs, "doc_id long, text string")
+    asked = spark.createDataFrame([(n,) for n in names], "name string")
+    places = N.find_names(asked, N.positional_index(table, range_docs=4, names=asked))
+    rows = places.collect()
+    assert found(places) == expected and len(rows) == len(expected)
+    if not held:
+        # The lists of words travel to their range; names, of which each range has all, do not.
+        plan = places._jdf.queryExecution().executedPlan().toString()
+        plan = plan.split("== Initial Plan ==")[0]
+        assert plan.count("Exchange hashpartitioning") == 1
+
+
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_index_of_names_lists_no_other_word(spark, monkeypatch, broadcast):
+    if not broadcast:
+        monkeypatch.setattr(N, "WORDS_BROADCAST", 0)
+    docs = [(i, f"Anna w{i} und w{i + 1} Anna berta") for i in range(20)]
+    table = spark.createDataFrame(docs, "doc_id long, text string").repartition(3)
+    names = spark.createDataFrame([("Anna W3",), ("anna berta",), (None,), ("-",)], "name string")
+    part = N.positional_index(table, range_docs=5, names=names)
+    whole = N.positional_index(table, range_docs=5).where("word IN ('anna', 'w3', 'berta')")
+    assert sorted(part.collect()) == sorted(whole.collect())
+    # Other words are left out where they are listed, before anything is shuffled.
+    plan = part._jdf.queryExecution().optimizedPlan().toString()
+    assert broadcast != ("LeftSemi" in plan) and "LeftSemi" not in plan.split("Aggregate")[0]
+
+
+def test_walk_against_plain_search():
+    rng = random.Random(3)
+    for _ in range(200):
+        phrases = [[rng.choice("abcd") for _ in range(rng.randrange(1, 6))] for _ in range(12)]
+        phrases += phrases[:2]
+        ids = np.array(rng.sample(range(1000), len(phrases)))
+        known, edges, begin, ends, by_node = N._tree(N.pa.array(phrases), ids)
+        texts = [[rng.choice("abcde") for _ in range(rng.randrange(1, 30))] for _ in range(4)]
+        number = {w: i for i, w in enumerate(known.to_pylist())}
+        text = np.array([number.get(w, -1) for t in texts for w in [*t, "-"]], np.int32)
+        starts = np.cumsum([0, *(len(t) + 1 for t in texts[:-1])])
+        pairs = list(N._walk(text, len(known), edges, begin, ends))
+        got = set()
+        if pairs:
+            columns = N._told(pairs, starts, ends, by_node)
+            got = set(zip(*(c.tolist() for c in columns), strict=True))
+        expected = set()
+        for id_, phrase in zip(ids.tolist(), phrases, strict=True):
+            for doc, own in enumerate(texts):
+                at = [i for i in range(len(own)) if own[i : i + len(phrase)] == phrase]
+                if at:
+                    expected.add((id_, doc, len(at), at[0]))
+        assert got == expected
